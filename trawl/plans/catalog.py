@@ -76,3 +76,117 @@ def collection_stats(spark, sf_dir):
 def bm25_topk(spark, sf_dir):
     """R1 + R3 + R4: exact BM25 top-10 for every benchmark query."""
     return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25", inp.TOP_K))
+
+
+@plan("tfidf_topk")
+def tfidf_topk(spark, sf_dir):
+    """R2 + R4: exact TF-IDF top-10."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "tfidf", inp.TOP_K))
+
+
+@plan("bm25_topk_floor")
+def bm25_topk_floor(spark, sf_dir):
+    """BM25 with the reference's score floor."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25", inp.TOP_K,
+                              mode="floor"))
+
+
+@plan("tfidf_topk_floor")
+def tfidf_topk_floor(spark, sf_dir):
+    """TF-IDF with the reference's score floor."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "tfidf", inp.TOP_K,
+                              mode="floor"))
+
+
+@plan("bm25_topk_all_terms")
+def bm25_topk_all_terms(spark, sf_dir):
+    """Only documents holding every distinct query term."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25", inp.TOP_K,
+                              match="all"))
+
+
+@plan("bm25_topk_pruned")
+def bm25_topk_pruned(spark, sf_dir):
+    """Upper-bound candidate cut; must equal bm25_topk."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25", inp.TOP_K,
+                              prune=True))
+
+
+@plan("custom_ranker")
+def custom_ranker(spark, sf_dir):
+    """A user ranker (BM25 with k1 = 1.2, b = 0.5) evaluated inside Catalyst."""
+    from trawl.functions.scoring import bm25_with
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), bm25_with(1.2, 0.5),
+                              inp.TOP_K))
+
+
+@plan("tfidf_zero_idf")
+def tfidf_zero_idf(spark, sf_dir):
+    """Over the documents that contain the most common term, that term has
+    idf 0, so a query of that term alone returns nothing."""
+    corpus = inp.corpus(spark, sf_dir)
+    full = ix.build_index(corpus)
+    top = full.lexicon.orderBy(F.col("df").desc(), F.col("term")).limit(1)
+    docs = full.postings.join(top.select("term"), "term", "left_semi").select("doc_id")
+    sub = corpus.join(docs, "doc_id", "left_semi")
+    queries = inp.bench_queries(spark, sf_dir).unionByName(
+        top.select(F.lit(-1).cast("long").alias("qid"), F.col("term").alias("query")))
+    return _rounded(rk.search(queries, ix.build_index(sub), "tfidf", inp.TOP_K))
+
+
+@plan("term_upper_bounds")
+def term_upper_bounds(spark, sf_dir):
+    """Largest single-term BM25 score per known query term."""
+    ub = rk.term_upper_bounds(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25")
+    return ub.select("qid", "term", "qtf", F.round("ub", 4).alias("ub"))
+
+
+@plan("query_term_weights")
+def query_term_weights(spark, sf_dir):
+    """Query tokens with their repeat count."""
+    return rk.query_terms(inp.bench_queries(spark, sf_dir))
+
+
+@plan("query_known_terms")
+def query_known_terms(spark, sf_dir):
+    """Query terms present in the lexicon, with df."""
+    qt = rk.query_terms(inp.bench_queries(spark, sf_dir))
+    return _index(spark, sf_dir).lexicon.join(F.broadcast(qt), "term").select("qid", "term", "qtf", "df")
+
+
+@plan("postings_lookup")
+def postings_lookup(spark, sf_dir):
+    """Postings of the query vocabulary only."""
+    from trawl.sources.index_store import lookup
+    qt = rk.query_terms(inp.bench_queries(spark, sf_dir))
+    return lookup(_index(spark, sf_dir), qt.select("term")).select("term", "doc_id", "tf")
+
+
+@plan("results_formatted")
+def results_formatted(spark, sf_dir):
+    """7-digit ids and 4-decimal scores."""
+    return rk.format_results(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25",
+                                       inp.TOP_K))
+
+
+def _all_queries(spark, sf_dir):
+    return inp.bench_queries(spark, sf_dir).unionByName(inp.extra_queries(spark))
+
+
+@plan("results_json")
+def results_json(spark, sf_dir):
+    """S9 + J5: one result row per query line, ids and scores in rank order."""
+    q = _all_queries(spark, sf_dir)
+    res = rk.results_per_query(q, rk.search(q, _index(spark, sf_dir), "bm25", inp.TOP_K))
+    return res.select(
+        "qid",
+        F.array_join(F.transform("Results", lambda r: r["ID"]), ",").alias("ids"),
+        F.array_join(F.transform("Results", lambda r: F.format_string("%.4f", r["Score"])), ",").alias("scores"))
+
+
+@plan("queries_without_hits")
+def queries_without_hits(spark, sf_dir):
+    """Queries with stop words only, unknown or empty text still give a row."""
+    q = _all_queries(spark, sf_dir)
+    res = rk.results_per_query(q, rk.search(q, _index(spark, sf_dir), "bm25", inp.TOP_K))
+    return res.select("qid", F.size("Results").cast("long").alias("n_results"))

@@ -4,30 +4,37 @@ definitions (views: documents, benchmark, pages, events, ...)."""
 from __future__ import annotations
 
 from trawl.functions.text import ENGLISH_STOPWORDS, TOKEN_PATTERN
-from trawl.plans.inputs import QUERY_CHARS, TOP_K
+from trawl.plans.inputs import EXTRA_QUERIES, QUERY_CHARS, TOP_K
 
-_STOP = ", ".join("'" + w + "'" for w in sorted({w for w in ENGLISH_STOPWORDS if "'" not in w}))
+STOP_LIST = ", ".join("'" + w + "'" for w in sorted({w for w in ENGLISH_STOPWORDS if "'" not in w}))
 _TOK = TOKEN_PATTERN
 
-# Reusable CTE text.  ``tok`` keeps stop words out; ``tok_all`` keeps them.
-CTE_INDEX = f"""
-tok_all AS (
-  SELECT doc_id, unnest(regexp_extract_all(lower(' ' || coalesce(text, '')), '{_TOK}')) AS term
-  FROM documents),
-tok AS (SELECT doc_id, term FROM tok_all WHERE term NOT IN ({_STOP})),
-post AS (SELECT term, doc_id, count(*) AS tf FROM tok GROUP BY term, doc_id),
-dl AS (
-  SELECT d.doc_id, count(t.term) AS dl
-  FROM documents d LEFT JOIN tok t ON t.doc_id = d.doc_id GROUP BY d.doc_id),
-stats AS (SELECT count(*) AS n, avg(dl::DOUBLE) AS avgdl FROM dl),
-lex AS (SELECT term, count(*) AS df FROM post GROUP BY term)"""
-
-CTE_QUERIES = f"""
-q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark),
+
+def cte_index(src: str = "documents", p: str = "") -> str:
+    """tok_all, tok, post, dl, stats, lex over table ``src`` (doc_id, text); names prefixed by ``p``."""
+    return f"""
+{p}tok_all AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(' ' || coalesce(text, '')), '{_TOK}')) AS term FROM {src}),
+{p}tok AS (SELECT doc_id, term FROM {p}tok_all WHERE term NOT IN ({STOP_LIST})),
+{p}post AS (SELECT term, doc_id, count(*) AS tf FROM {p}tok GROUP BY term, doc_id),
+{p}dl AS (
+  SELECT d.doc_id, count(t.term) AS dl FROM {src} d LEFT JOIN {p}tok t ON t.doc_id = d.doc_id GROUP BY d.doc_id),
+{p}stats AS (SELECT count(*) AS n, avg(dl::DOUBLE) AS avgdl FROM {p}dl),
+{p}lex AS (SELECT term, count(*) AS df FROM {p}post GROUP BY term)"""
+
+
+BENCH_Q = f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark)"
+_EXTRA = ", ".join(f"({qid}, '{text}')" for qid, text in EXTRA_QUERIES)
+ALL_Q = (f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark "
+         f"UNION ALL SELECT * FROM (VALUES {_EXTRA}) v(qid, query))")
+
+
+def cte_qterms(src: str = "q") -> str:
+    return f"""
 qt AS (
   SELECT qid, term, count(*) AS qtf FROM (
-    SELECT qid, unnest(regexp_extract_all(lower(query || ' '), '{_TOK}')) AS term FROM q)
-  WHERE term NOT IN ({_STOP}) GROUP BY qid, term)"""
+    SELECT qid, unnest(regexp_extract_all(lower(query || ' '), '{_TOK}')) AS term FROM {src})
+  WHERE term NOT IN ({STOP_LIST}) GROUP BY qid, term)"""
 
 
 def bm25_expr(k1: float = 1.5, b: float = 0.75) -> str:
@@ -38,30 +45,96 @@ def bm25_expr(k1: float = 1.5, b: float = 0.75) -> str:
 TFIDF_EXPR = "(1.0::DOUBLE + ln(p.tf::DOUBLE)) * ln(s.n::DOUBLE / l.df)"
 
 
-def cte_scored(expr: str) -> str:
+def cte_scored(expr: str, p: str = "") -> str:
     return f"""
 contrib AS (
   SELECT qt.qid, qt.term, qt.qtf, p.doc_id, {expr} AS s, qt.qtf * ({expr}) AS c
-  FROM qt JOIN lex l ON l.term = qt.term JOIN post p ON p.term = qt.term
-  JOIN dl d ON d.doc_id = p.doc_id CROSS JOIN stats s),
+  FROM qt JOIN {p}lex l ON l.term = qt.term JOIN {p}post p ON p.term = qt.term
+  JOIN {p}dl d ON d.doc_id = p.doc_id CROSS JOIN {p}stats s),
 scored AS (
   SELECT qid, doc_id, sum(c) AS score, count(*) AS matched FROM contrib GROUP BY qid, doc_id HAVING sum(c) > 0)"""
 
 
+def ranked_sql(src: str = "scored", k: int = TOP_K) -> str:
+    return f"""(
+  SELECT * FROM (
+    SELECT qid, doc_id, score,
+           row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id DESC) AS rank
+    FROM {src}) WHERE rank <= {k})"""
+
+
 def topk_select(src: str = "scored", k: int = TOP_K) -> str:
+    return f"SELECT qid, rank, doc_id, round(score, 4) AS score FROM {ranked_sql(src, k)}"
+
+
+def cte_floor(k: int = TOP_K) -> str:
+    """The reference's score floor, stated directly: documents scoring more
+    than the first scored document's score, plus that document, cut at the k-th
+    such score; ties at the cut admitted in doc-id order up to k."""
     return f"""
-SELECT qid, rank, doc_id, round(score, 4) AS score FROM (
-  SELECT qid, doc_id, score,
-         row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, doc_id DESC) AS rank
-  FROM {src}) WHERE rank <= {k}"""
+fs AS (SELECT qid, doc_id, score, round(score, 9) AS rs FROM scored),
+f0 AS (SELECT qid, arg_min(rs, doc_id) AS s0, min(doc_id) AS d0 FROM fs GROUP BY qid),
+fc AS (SELECT fs.* FROM fs JOIN f0 ON f0.qid = fs.qid WHERE fs.doc_id = f0.d0 OR fs.rs > f0.s0),
+ft AS (
+  SELECT qid, min(rs) AS t FROM (
+    SELECT qid, rs, row_number() OVER (PARTITION BY qid ORDER BY rs DESC, doc_id DESC) AS r FROM fc)
+  WHERE r <= {k} GROUP BY qid),
+fe AS (
+  SELECT fc.*, ft.t, row_number() OVER (PARTITION BY fc.qid ORDER BY fc.doc_id) AS pos
+  FROM fc JOIN ft ON ft.qid = fc.qid WHERE fc.rs >= ft.t),
+kept AS (SELECT qid, doc_id, score FROM fe WHERE rs > t OR pos <= {k})"""
+
+
+def with_(*ctes: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
+IDX = cte_index()
 SQL: dict[str, str] = {}
 
-SQL["tokens"] = f"WITH {CTE_INDEX.strip()} SELECT doc_id, term FROM tok_all"
-SQL["tokens_stop_filtered"] = f"WITH {CTE_INDEX.strip()} SELECT doc_id, term FROM tok"
-SQL["postings"] = f"WITH {CTE_INDEX.strip()} SELECT term, doc_id, tf FROM post"
-SQL["doc_lengths"] = f"WITH {CTE_INDEX.strip()} SELECT doc_id, dl FROM dl"
-SQL["lexicon"] = f"WITH {CTE_INDEX.strip()} SELECT term, df FROM lex"
-SQL["collection_stats"] = f"WITH {CTE_INDEX.strip()} SELECT n, round(avgdl, 6) AS avgdl FROM stats"
-SQL["bm25_topk"] = f"WITH {CTE_INDEX.strip()}, {CTE_QUERIES.strip()}, {cte_scored(bm25_expr()).strip()} {topk_select()}"
+# ---------------------------------------------------------------- index build
+SQL["tokens"] = with_(IDX) + "SELECT doc_id, term FROM tok_all"
+SQL["tokens_stop_filtered"] = with_(IDX) + "SELECT doc_id, term FROM tok"
+SQL["postings"] = with_(IDX) + "SELECT term, doc_id, tf FROM post"
+SQL["doc_lengths"] = with_(IDX) + "SELECT doc_id, dl FROM dl"
+SQL["lexicon"] = with_(IDX) + "SELECT term, df FROM lex"
+SQL["collection_stats"] = with_(IDX) + "SELECT n, round(avgdl, 6) AS avgdl FROM stats"
+
+# ---------------------------------------------------------------- ranking
+_BM25 = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(bm25_expr()))
+_TFIDF = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(TFIDF_EXPR))
+SQL["bm25_topk"] = _BM25 + topk_select()
+SQL["bm25_topk_pruned"] = _BM25 + topk_select()
+SQL["tfidf_topk"] = _TFIDF + topk_select()
+SQL["bm25_topk_floor"] = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(bm25_expr()), cte_floor()) + topk_select("kept")
+SQL["tfidf_topk_floor"] = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(TFIDF_EXPR), cte_floor()) + topk_select("kept")
+SQL["bm25_topk_all_terms"] = _BM25.rstrip() + """,
+need AS (SELECT qid, count(*) AS need FROM qt GROUP BY qid),
+allm AS (SELECT s.qid, s.doc_id, s.score FROM scored s JOIN need n ON n.qid = s.qid WHERE s.matched = n.need)
+""" + topk_select("allm")
+SQL["custom_ranker"] = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(bm25_expr(1.2, 0.5))) + topk_select()
+SQL["tfidf_zero_idf"] = with_(
+    IDX,
+    "top1 AS (SELECT term FROM lex ORDER BY df DESC, term LIMIT 1)",
+    "sub AS (SELECT doc_id, text FROM documents WHERE doc_id IN "
+    "(SELECT doc_id FROM post WHERE term = (SELECT term FROM top1)))",
+    cte_index("sub", "z_"),
+    f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark "
+    "UNION ALL SELECT -1 AS qid, term AS query FROM top1)",
+    cte_qterms(), cte_scored(TFIDF_EXPR, "z_")) + topk_select()
+SQL["term_upper_bounds"] = _BM25 + "SELECT qid, term, qtf, round(max(s), 4) AS ub FROM contrib GROUP BY qid, term, qtf"
+SQL["query_term_weights"] = with_(BENCH_Q, cte_qterms()) + "SELECT qid, term, qtf FROM qt"
+SQL["query_known_terms"] = with_(IDX, BENCH_Q, cte_qterms()) + (
+    "SELECT qt.qid, qt.term, qt.qtf, l.df FROM qt JOIN lex l ON l.term = qt.term")
+SQL["postings_lookup"] = with_(IDX, BENCH_Q, cte_qterms()) + (
+    "SELECT term, doc_id, tf FROM post WHERE term IN (SELECT term FROM qt)")
+SQL["results_formatted"] = _BM25 + (
+    f'SELECT qid, rank, printf(\'%07d\', doc_id) AS "ID", round(score, 4) AS "Score" FROM {ranked_sql()}')
+_ALLQ = with_(IDX, ALL_Q, cte_qterms(), cte_scored(bm25_expr()))
+SQL["results_json"] = _ALLQ + f"""
+SELECT q.qid,
+       coalesce(string_agg(printf('%07d', r.doc_id), ',' ORDER BY r.rank), '') AS ids,
+       coalesce(string_agg(printf('%.4f', round(r.score, 4)), ',' ORDER BY r.rank), '') AS scores
+FROM q LEFT JOIN {ranked_sql()} r ON r.qid = q.qid GROUP BY q.qid"""
+SQL["queries_without_hits"] = _ALLQ + f"""
+SELECT q.qid, count(r.doc_id) AS n_results FROM q LEFT JOIN {ranked_sql()} r ON r.qid = q.qid GROUP BY q.qid"""
