@@ -190,3 +190,123 @@ def queries_without_hits(spark, sf_dir):
     q = _all_queries(spark, sf_dir)
     res = rk.results_per_query(q, rk.search(q, _index(spark, sf_dir), "bm25", inp.TOP_K))
     return res.select("qid", F.size("Results").cast("long").alias("n_results"))
+
+
+# ---------------------------------------------------------------- sources and sinks
+@plan("read_corpus_jsonl")
+def read_corpus_jsonl(spark, sf_dir):
+    """S1 + S2: the documents written as a JSONL corpus (id as a zero-padded
+    string), read back with defaults applied."""
+    from trawl.session import scratch_path
+    from trawl.sources import corpus as src
+    path = scratch_path(spark, "corpus-jsonl")
+    docs = inp.table(spark, sf_dir, "documents")
+    docs.select(F.format_string("%07d", "doc_id").alias("id"), F.lit("").alias("title"), "text").write.json(path)
+    back = src.with_defaults(src.read_corpus(spark, path))
+    return back.select("doc_id", "title", F.octet_length("text").alias("text_bytes"))
+
+
+@plan("corpus_defaults")
+def corpus_defaults(spark, sf_dir):
+    """Missing id -> -1, missing title / text -> ''."""
+    from trawl.sources import corpus as src
+    d = inp.table(spark, sf_dir, "documents")
+    raw = d.select(
+        F.when(F.col("lang") == "de", F.lit(None)).otherwise(F.format_string("%07d", "doc_id")).alias("id"),
+        F.when(F.col("lang") == "es", F.lit(None)).otherwise(F.col("source")).alias("title"),
+        F.when(F.col("lang") == "fr", F.lit(None)).otherwise(F.col("text")).alias("text"))
+    return src.with_defaults(raw).select("doc_id", "title", F.octet_length("text").alias("text_bytes"))
+
+
+@plan("queries_from_text")
+def queries_from_text(spark, sf_dir):
+    """S3: a query file (padded lines, a blank line after each) read back."""
+    from trawl.session import scratch_path
+    from trawl.sources import corpus as src
+    path = scratch_path(spark, "queries-txt")
+    q = inp.bench_queries(spark, sf_dir)
+    lines = q.select(F.concat(F.lit("  "), "query", F.lit(" \t")).alias("value")).unionByName(
+        q.select(F.lit("   ").alias("value")))
+    lines.write.text(path)
+    return src.read_queries(spark, path).select("query")
+
+
+@plan("corpus_sample")
+def corpus_sample(spark, sf_dir):
+    """The first three records by id."""
+    d = inp.table(spark, sf_dir, "documents")
+    return d.orderBy("doc_id").limit(3).select("doc_id", F.substring("text", 1, 80).alias("text_head"))
+
+
+@plan("index_nested")
+def index_nested(spark, sf_dir):
+    """Postings per term as a doc-ordered map, flattened to 'doc:tf,...'."""
+    return ix.flatten_postings(ix.nested_postings(_index(spark, sf_dir).postings))
+
+
+@plan("index_roundtrip")
+def index_roundtrip(spark, sf_dir):
+    """S6 + S7: write the index, open it again, postings unchanged."""
+    from trawl.session import scratch_path
+    path = scratch_path(spark, "index")
+    _index(spark, sf_dir).write(path)
+    return ix.Index.read(spark, path).postings.select("term", "doc_id", "tf")
+
+
+@plan("page_store_rotation")
+def page_store_rotation(spark, sf_dir):
+    """Gzip JSON page store, at most 100 records per file (rows-only check)."""
+    from trawl.session import scratch_path
+    from trawl.sources import page_store
+    path = scratch_path(spark, "pages")
+    page_store.write_pages(inp.pages(spark, sf_dir), path, per_file=100)
+    return page_store.records_per_file(spark, path).select(
+        F.regexp_extract("file", r"([^/]+)$", 1).alias("file"), "records")
+
+
+# ---------------------------------------------------------------- merge, last wins, profiles
+# Extra stop words used by the second partial index in the merge
+# plan, so that pairs present only in the first part must survive the merge.
+MERGE_EXTRA_STOP = ("de", "der", "la", "die", "und", "que", "le", "et", "en", "des")
+
+
+@plan("merge_partials")
+def merge_partials(spark, sf_dir):
+    """Two partials over overlapping id ranges; the later one (doubled
+    text, more stop words) wins per (term, doc)."""
+    from trawl.operators.index import DEFAULT_STOPWORDS
+    c = inp.corpus(spark, sf_dir)
+    bounds = c.agg((F.max("doc_id") / 3).alias("lo"), (F.max("doc_id") * 2 / 3).alias("hi"))
+    c = c.crossJoin(F.broadcast(bounds))
+    p0 = ix.postings(c.filter(F.col("doc_id") <= F.col("hi"))).withColumn("part_no", F.lit(0))
+    doubled = c.filter(F.col("doc_id") >= F.col("lo")).withColumn("text", F.concat_ws(" ", "text", "text"))
+    p1 = ix.postings(doubled, stopwords=tuple(DEFAULT_STOPWORDS) + MERGE_EXTRA_STOP).withColumn("part_no", F.lit(1))
+    return ix.merge_partials(p0.unionByName(p1)).select("term", "doc_id", "tf")
+
+
+@plan("corpus_last_wins")
+def corpus_last_wins(spark, sf_dir):
+    """Ids folded with pmod(doc_id, 97); the record with the largest
+    original id (the later line) wins."""
+    d = inp.table(spark, sf_dir, "documents").select(
+        F.pmod("doc_id", F.lit(97)).alias("id"), F.col("doc_id").alias("seq"), "source", "n_chars", "text")
+    last = ix.last_record_per_id(d, "id", ["seq"])
+    return last.select("id", "seq", "source", "n_chars", F.octet_length("text").alias("text_bytes"))
+
+
+@plan("index_stats")
+def index_stats(spark, sf_dir):
+    """Number of lists, total postings, average list size."""
+    return ix.index_stats(_index(spark, sf_dir))
+
+
+@plan("lexicon_profile")
+def lexicon_profile(spark, sf_dir):
+    """I8: df distribution of the lexicon."""
+    return ix.lexicon_profile(_index(spark, sf_dir).lexicon)
+
+
+@plan("corpus_profile")
+def corpus_profile(spark, sf_dir):
+    """Documents and bytes of text."""
+    return ix.corpus_profile(inp.table(spark, sf_dir, "documents"))

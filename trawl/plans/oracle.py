@@ -138,3 +138,49 @@ SELECT q.qid,
 FROM q LEFT JOIN {ranked_sql()} r ON r.qid = q.qid GROUP BY q.qid"""
 SQL["queries_without_hits"] = _ALLQ + f"""
 SELECT q.qid, count(r.doc_id) AS n_results FROM q LEFT JOIN {ranked_sql()} r ON r.qid = q.qid GROUP BY q.qid"""
+
+# ---------------------------------------------------------------- sources and sinks
+SQL["read_corpus_jsonl"] = "SELECT doc_id, '' AS title, strlen(text) AS text_bytes FROM documents"
+SQL["corpus_defaults"] = """
+SELECT CASE WHEN lang = 'de' THEN -1 ELSE doc_id END AS doc_id,
+       CASE WHEN lang = 'es' THEN '' ELSE coalesce(source, '') END AS title,
+       CASE WHEN lang = 'fr' THEN 0 ELSE strlen(coalesce(text, '')) END AS text_bytes
+FROM documents"""
+_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SQL["queries_from_text"] = f"""
+SELECT query FROM (
+  SELECT trim(line, {_WS}) AS query FROM (
+    SELECT unnest(string_split('  ' || substr(text, 1, {QUERY_CHARS}) || ' ' || chr(9), chr(10))) AS line
+    FROM benchmark))
+WHERE query <> ''"""
+SQL["corpus_sample"] = "SELECT doc_id, substr(text, 1, 80) AS text_head FROM documents ORDER BY doc_id LIMIT 3"
+SQL["index_nested"] = with_(IDX) + """
+SELECT term, doc_id // 1048576 AS block, string_agg(doc_id || ':' || tf, ',' ORDER BY doc_id) AS postings
+FROM post GROUP BY term, doc_id // 1048576"""
+SQL["index_roundtrip"] = SQL["postings"]
+_MERGE_STOP = STOP_LIST + ", 'de', 'der', 'la', 'die', 'und', 'que', 'le', 'et', 'en', 'des'"
+SQL["merge_partials"] = with_(
+    "b AS (SELECT max(doc_id) / 3 AS lo, max(doc_id) * 2 / 3 AS hi FROM documents)",
+    f"""p0 AS (
+  SELECT term, doc_id, count(*) AS tf, 0 AS part FROM (
+    SELECT doc_id, unnest(regexp_extract_all(lower(' ' || coalesce(text, '')), '{_TOK}')) AS term
+    FROM documents, b WHERE doc_id <= b.hi)
+  WHERE term NOT IN ({STOP_LIST}) GROUP BY term, doc_id)""",
+    f"""p1 AS (
+  SELECT term, doc_id, count(*) AS tf, 1 AS part FROM (
+    SELECT doc_id, unnest(regexp_extract_all(lower(' ' || concat_ws(' ', text, text)), '{_TOK}')) AS term
+    FROM documents, b WHERE doc_id >= b.lo)
+  WHERE term NOT IN ({_MERGE_STOP}) GROUP BY term, doc_id)""") + """
+SELECT term, doc_id, arg_max(tf, part) AS tf FROM (SELECT * FROM p0 UNION ALL SELECT * FROM p1)
+GROUP BY term, doc_id"""
+SQL["corpus_last_wins"] = """
+SELECT doc_id % 97 AS id, max(doc_id) AS seq, arg_max(source, doc_id) AS source,
+       arg_max(n_chars, doc_id) AS n_chars, arg_max(strlen(text), doc_id) AS text_bytes
+FROM documents GROUP BY doc_id % 97"""
+SQL["index_stats"] = with_(IDX) + """
+SELECT count(*) AS num_lists, coalesce(sum(df), 0)::BIGINT AS total_postings,
+       coalesce(round(sum(df) / count(*), 2), 0.0) AS avg_list_size FROM lex"""
+SQL["lexicon_profile"] = with_(IDX) + """
+SELECT count(*) AS terms, min(df) AS min_df, max(df) AS max_df, round(avg(df), 4) AS avg_df,
+       count_if(df = 1) AS df_one, count_if(df > 100) AS df_over_100 FROM lex"""
+SQL["corpus_profile"] = "SELECT count(*) AS documents, coalesce(sum(strlen(text)), 0)::BIGINT AS bytes FROM documents"
