@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from trawl.functions.scoring import Ranker, resolve_ranker
 from trawl.functions.text import drop_stopwords, index_text, token_array
-from trawl.operators.distribute import broadcast_if_small
 from trawl.operators.index import DEFAULT_STOPWORDS, Index
 
 # Largest number of distinct query terms pushed into the index scans as a
@@ -63,10 +62,12 @@ def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker =
     score_fn = resolve_ranker(ranker)
     qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
     post, lex = _restrict(index, qt, push_terms)
-    # query side: (qid, term, qtf) x lexicon df x one-row stats
-    known = lex.join(F.broadcast(qt), "term").crossJoin(F.broadcast(index.stats))
-    known = broadcast_if_small(known, MAX_QUERY_TERM_ROWS)
-    joined = post.join(known, "term")
+    # Query side: (qid, term, qtf) x lexicon df x one-row stats.  It has at
+    # most as many rows as ``qt`` (one lexicon row per term), so the size check
+    # runs on ``qt`` alone and never evaluates the index.
+    small = qt.limit(MAX_QUERY_TERM_ROWS + 1).count() <= MAX_QUERY_TERM_ROWS
+    known = lex.join(F.broadcast(qt) if small else qt, "term").crossJoin(F.broadcast(index.stats))
+    joined = post.join(F.broadcast(known) if small else known, "term")
     s = score_fn(F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
     return joined.select("qid", "term", "qtf", "doc_id", s.alias("s")).withColumn(
         "contrib", F.col("qtf") * F.col("s"))

@@ -310,3 +310,104 @@ def lexicon_profile(spark, sf_dir):
 def corpus_profile(spark, sf_dir):
     """Documents and bytes of text."""
     return ix.corpus_profile(inp.table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- reports
+def _both_rankers(spark, sf_dir):
+    from trawl.operators import report as rp
+    q = inp.bench_queries(spark, sf_dir)
+    index = _index(spark, sf_dir)
+    a = rp.label(rk.search(q, index, "bm25", inp.TOP_K), "bm25")
+    b = rp.label(rk.search(q, index, "tfidf", inp.TOP_K), "tfidf")
+    return q, a, b
+
+
+@plan("run_report")
+def run_report(spark, sf_dir):
+    """Per ranker queries, hits, results and score range."""
+    from trawl.operators import report as rp
+    q, a, b = _both_rankers(spark, sf_dir)
+    return rp.run_report(q, a.unionByName(b))
+
+
+@plan("ranker_comparison")
+def ranker_comparison(spark, sf_dir):
+    """Average score per ranker side by side."""
+    from trawl.operators import report as rp
+    _, a, b = _both_rankers(spark, sf_dir)
+    return rp.compare_rankers(a.unionByName(b))
+
+
+@plan("ranker_overlap")
+def ranker_overlap(spark, sf_dir):
+    """Shared top-10 documents per query, every query."""
+    from trawl.operators import report as rp
+    q, a, b = _both_rankers(spark, sf_dir)
+    return rp.overlap(q, a, b)
+
+
+@plan("ranker_shared_docs")
+def ranker_shared_docs(spark, sf_dir):
+    """The shared ids per query."""
+    from trawl.operators import report as rp
+    _, a, b = _both_rankers(spark, sf_dir)
+    return rp.shared_docs(a, b)
+
+
+@plan("ranker_best")
+def ranker_best(spark, sf_dir):
+    """E5: best document per query and ranker, ties listed."""
+    from trawl.operators import report as rp
+    _, a, b = _both_rankers(spark, sf_dir)
+    return rp.best_docs(a.unionByName(b))
+
+
+# ---------------------------------------------------------------- pages and links
+@plan("page_domain")
+def page_domain(spark, sf_dir):
+    """C1 + P6: host of every page URL."""
+    from trawl.operators import pages as pg
+    return pg.page_domain(inp.pages(spark, sf_dir))
+
+
+@plan("page_text")
+def page_text(spark, sf_dir):
+    """C2 + C3: visible text."""
+    from trawl.operators import pages as pg
+    return pg.page_text(inp.pages(spark, sf_dir)).select("page_id", "text")
+
+
+@plan("page_title")
+def page_title(spark, sf_dir):
+    """C4: trimmed title, '' when absent."""
+    from trawl.operators import pages as pg
+    return pg.page_title(inp.pages(spark, sf_dir))
+
+
+@plan("page_links")
+def page_links(spark, sf_dir):
+    """Distinct raw hrefs per page."""
+    from trawl.operators import pages as pg
+    return pg.page_links(inp.pages(spark, sf_dir))
+
+
+@plan("link_edges")
+def link_edges(spark, sf_dir):
+    """C5 + P4: resolved, http-only, distinct edges."""
+    from trawl.operators import pages as pg
+    return pg.link_edges(inp.pages(spark, sf_dir)).select("page_id", "dst_url")
+
+
+@plan("page_summary")
+def page_summary(spark, sf_dir):
+    """Title, URL and the first 20 words of the first 1000 characters."""
+    from trawl.operators import pages as pg
+    return pg.page_summary(inp.pages(spark, sf_dir))
+
+
+@plan("pages_bm25_topk")
+def pages_bm25_topk(spark, sf_dir):
+    """Index title + text of the pages, answer the benchmark queries."""
+    from trawl.operators import pages as pg
+    index = ix.build_index(pg.pages_corpus(inp.pages(spark, sf_dir)))
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), index, "bm25", inp.TOP_K))

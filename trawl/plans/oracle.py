@@ -184,3 +184,116 @@ SQL["lexicon_profile"] = with_(IDX) + """
 SELECT count(*) AS terms, min(df) AS min_df, max(df) AS max_df, round(avg(df), 4) AS avg_df,
        count_if(df = 1) AS df_one, count_if(df > 100) AS df_over_100 FROM lex"""
 SQL["corpus_profile"] = "SELECT count(*) AS documents, coalesce(sum(strlen(text)), 0)::BIGINT AS bytes FROM documents"
+
+# ---------------------------------------------------------------- reports
+_BOTH = with_(IDX, BENCH_Q, cte_qterms(),
+              f"""bm AS (
+  SELECT qt.qid, p.doc_id, sum(qt.qtf * ({bm25_expr()})) AS score
+  FROM qt JOIN lex l ON l.term = qt.term JOIN post p ON p.term = qt.term
+  JOIN dl d ON d.doc_id = p.doc_id CROSS JOIN stats s GROUP BY qt.qid, p.doc_id HAVING sum(qt.qtf * ({bm25_expr()})) > 0)""",
+              f"""tf AS (
+  SELECT qt.qid, p.doc_id, sum(qt.qtf * ({TFIDF_EXPR})) AS score
+  FROM qt JOIN lex l ON l.term = qt.term JOIN post p ON p.term = qt.term
+  JOIN dl d ON d.doc_id = p.doc_id CROSS JOIN stats s GROUP BY qt.qid, p.doc_id HAVING sum(qt.qtf * ({TFIDF_EXPR})) > 0)""",
+              f"""res AS (
+  SELECT 'bm25' AS ranker, qid, rank, doc_id, round(score, 4) AS score FROM {ranked_sql('bm')}
+  UNION ALL
+  SELECT 'tfidf' AS ranker, qid, rank, doc_id, round(score, 4) AS score FROM {ranked_sql('tf')})""")
+SQL["run_report"] = _BOTH + """
+SELECT r.ranker, count(*) AS queries, count_if(n.n > 0) AS with_results, coalesce(sum(n.n), 0)::BIGINT AS total_results,
+       round(coalesce(sum(n.n), 0) / count(*), 4) AS results_per_query,
+       any_value(sc.min_score) AS min_score, any_value(sc.max_score) AS max_score, any_value(sc.avg_score) AS avg_score
+FROM q CROSS JOIN (VALUES ('bm25'), ('tfidf')) r(ranker)
+LEFT JOIN (SELECT ranker, qid, count(*) AS n FROM res GROUP BY ranker, qid) n ON n.qid = q.qid AND n.ranker = r.ranker
+LEFT JOIN (SELECT ranker, min(score) AS min_score, max(score) AS max_score, round(avg(score), 4) AS avg_score
+           FROM res GROUP BY ranker) sc ON sc.ranker = r.ranker
+GROUP BY r.ranker"""
+SQL["ranker_comparison"] = _BOTH + """
+SELECT round(avg(score) FILTER (WHERE ranker = 'bm25'), 4) AS bm25_avg_score,
+       round(avg(score) FILTER (WHERE ranker = 'tfidf'), 4) AS tfidf_avg_score FROM res"""
+SQL["ranker_overlap"] = _BOTH + """
+SELECT q.qid, count(s.doc_id) AS shared FROM q LEFT JOIN (
+  SELECT a.qid, a.doc_id FROM res a JOIN res b ON a.qid = b.qid AND a.doc_id = b.doc_id
+  WHERE a.ranker = 'bm25' AND b.ranker = 'tfidf') s ON s.qid = q.qid GROUP BY q.qid"""
+SQL["ranker_shared_docs"] = _BOTH + """
+SELECT a.qid, string_agg(printf('%07d', a.doc_id), ',' ORDER BY a.doc_id) AS shared_ids
+FROM res a JOIN res b ON a.qid = b.qid AND a.doc_id = b.doc_id
+WHERE a.ranker = 'bm25' AND b.ranker = 'tfidf' GROUP BY a.qid"""
+SQL["ranker_best"] = _BOTH + """
+SELECT ranker, qid, doc_id, score FROM (
+  SELECT *, rank() OVER (PARTITION BY ranker, qid ORDER BY score DESC) AS r FROM res) WHERE r = 1"""
+
+# ---------------------------------------------------------------- pages and links
+_WSC = r"[ \t\n\r\f\v]"
+
+
+def sql_decode(x: str) -> str:
+    from trawl.functions.html import ENTITIES
+    for ent, ch in ENTITIES:
+        x = f"replace({x}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+def sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WSC}+|{_WSC}+$', '', 'g')"
+
+
+def sql_without_invisible(h: str = "html") -> str:
+    x = f"coalesce({h}, '')"
+    for tag in ("script", "style", "noscript"):
+        x = f"regexp_replace({x}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', chr(1), 'g')"
+    return f"regexp_replace({x}, '(?s)<!--.*?-->', chr(1), 'g')"
+
+
+def sql_visible(h: str = "html") -> str:
+    nodes = f"string_split(regexp_replace({sql_without_invisible(h)}, '<[^>]*>', chr(1), 'g'), chr(1))"
+    return (f"array_to_string(list_filter(list_transform({nodes}, lambda n: {sql_strip(sql_decode('n'))}), "
+            f"lambda n: n <> ''), ' ')")
+
+
+def sql_title(h: str = "html") -> str:
+    return sql_strip(sql_decode(f"regexp_extract(coalesce({h}, ''), '(?is)<title\\b[^>]*>(.*?)</title\\s*>', 1)"))
+
+
+def sql_hrefs(h: str = "html") -> str:
+    found = (f"regexp_extract_all({sql_without_invisible(h)}, "
+             f"'(?is)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"''>]*)[\"'']', 1)")
+    return f"list_distinct(list_transform({found}, lambda l: {sql_decode('l')}))"
+
+
+_SCH = "[a-zA-Z][a-zA-Z0-9+.-]*"
+
+
+def sql_resolve(link: str, base: str) -> str:
+    origin = f"regexp_extract({base}, '^({_SCH}://[^/?#]*)', 1)"
+    scheme = f"regexp_extract({base}, '^({_SCH}):', 1)"
+    basedir = f"regexp_extract({base}, '^({_SCH}://[^?#]*/)', 1)"
+    return f"""CASE WHEN starts_with({link}, 'http') THEN {link}
+     WHEN starts_with({link}, '//') THEN {scheme} || ':' || {link}
+     WHEN starts_with({link}, '/') THEN {origin} || {link}
+     WHEN starts_with({link}, '#') OR regexp_matches({link}, '^{_SCH}:') OR {link} = '' THEN NULL
+     ELSE CASE WHEN {basedir} = '' THEN {origin} || '/' ELSE {basedir} END || {link} END"""
+
+
+def sql_first_words(t: str, chars: int = 1000, words: int = 20) -> str:
+    parts = f"list_filter(string_split_regex(substr({t}, 1, {chars}), '{_WSC}+'), lambda w: w <> '')"
+    return f"array_to_string({parts}[1:{words}], ' ')"
+
+
+SQL["page_domain"] = ("SELECT page_id, url, split_part(url, '/', 3) AS domain FROM pages "
+                      "WHERE len(string_split(url, '/')) >= 3")
+SQL["page_text"] = f"SELECT page_id, {sql_visible()} AS text FROM pages"
+SQL["page_title"] = f"SELECT page_id, {sql_title()} AS title FROM pages"
+SQL["page_links"] = f"SELECT page_id, unnest({sql_hrefs()}) AS href FROM pages"
+CTE_EDGES = f"""
+raw_links AS (SELECT page_id, url, unnest({sql_hrefs()}) AS href FROM pages),
+edges AS (
+  SELECT DISTINCT page_id, url AS src_url, dst_url FROM (
+    SELECT page_id, url, {sql_resolve('href', 'url')} AS dst_url FROM raw_links)
+  WHERE dst_url IS NOT NULL AND starts_with(dst_url, 'http'))"""
+SQL["link_edges"] = with_(CTE_EDGES) + "SELECT page_id, dst_url FROM edges"
+SQL["page_summary"] = (f"SELECT page_id, {sql_title()} AS title, url, {sql_first_words(sql_visible())} AS text "
+                       "FROM pages")
+SQL["pages_bm25_topk"] = with_(
+    f"pdocs AS (SELECT page_id AS doc_id, {sql_title()} || ' ' || {sql_visible()} AS text FROM pages)",
+    cte_index("pdocs"), BENCH_Q, cte_qterms(), cte_scored(bm25_expr())) + topk_select()
