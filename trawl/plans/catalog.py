@@ -411,3 +411,115 @@ def pages_bm25_topk(spark, sf_dir):
     from trawl.operators import pages as pg
     index = ix.build_index(pg.pages_corpus(inp.pages(spark, sf_dir)))
     return _rounded(rk.search(inp.bench_queries(spark, sf_dir), index, "bm25", inp.TOP_K))
+
+
+# ---------------------------------------------------------------- crawl planning
+# Robots rule sets assigned to a domain by length(domain) % 4.
+# Bucket 0 has no row (robots file unavailable: the domain is skipped); bucket 1
+# has a file without rules and delay 0 (default delay applies); bucket 2 allows
+# a prefix before disallowing an overlapping shorter one; bucket 3 disallows two.
+ROBOTS_TEMPLATE: tuple[tuple[int, int, bool | None, str | None, float], ...] = (
+    (1, 1, None, None, 0.0),
+    (2, 1, True, "/en/1", 2.0),
+    (2, 2, False, "/en", 2.0),
+    (3, 1, False, "/fr", 0.5),
+    (3, 2, False, "/es", 0.5),
+)
+VIOLATION_GAP_S = 600.0   # minimum gap between two requests of one user in the log
+BUDGET_PAGES = 1000       # page budget for the crawl_budget plan
+
+
+def _crawl_inputs(spark, sf_dir):
+    from trawl.functions import html as H
+    from trawl.operators import pages as pg
+    p = inp.pages(spark, sf_dir)
+    seeds = p.select(F.concat(F.regexp_extract("url", rf"^({H.SCHEME}://[^/?#]*)", 1), F.lit("/")).alias("url"))
+    return p, seeds, pg.link_edges(p)
+
+
+def _robots_rules(spark, pages):
+    from trawl.functions import html as H
+    from trawl.operators.crawlplan import RULES_SCHEMA
+    t = spark.createDataFrame(list(ROBOTS_TEMPLATE), "bucket int, seq int, allow boolean, prefix string, delay double")
+    doms = pages.filter(H.has_host(F.col("url"))).select(H.url_host(F.col("url")).alias("domain")).distinct()
+    rules = doms.join(F.broadcast(t), F.pmod(F.length("domain"), F.lit(4)) == F.col("bucket"))
+    return rules.select(*[c.split()[0] for c in RULES_SCHEMA.split(", ")])
+
+
+def _candidates(spark, sf_dir):
+    from trawl.operators import crawlplan as cp
+    p, seeds, edges = _crawl_inputs(spark, sf_dir)
+    return p, cp.frontier_candidates(seeds, edges, p)
+
+
+@plan("frontier_unvisited")
+def frontier_unvisited(spark, sf_dir):
+    """C7 + J6: seeds and link targets not yet visited."""
+    return _candidates(spark, sf_dir)[1]
+
+
+@plan("frontier_topn")
+def frontier_topn(spark, sf_dir):
+    """The bounded frontier (1000) in hash-priority order."""
+    from trawl.operators import crawlplan as cp
+    return cp.frontier_topn(_candidates(spark, sf_dir)[1])
+
+
+@plan("robots_filter")
+def robots_filter(spark, sf_dir):
+    """Candidates allowed by their domain's rules."""
+    from trawl.operators import crawlplan as cp
+    p, cand = _candidates(spark, sf_dir)
+    return cp.robots_filter(cand, _robots_rules(spark, p))
+
+
+@plan("politeness_plan")
+def politeness_plan(spark, sf_dir):
+    """Start offsets per domain for the allowed part of the frontier."""
+    from trawl.operators import crawlplan as cp
+    p, cand = _candidates(spark, sf_dir)
+    allowed = cp.robots_filter(cp.frontier_topn(cand), _robots_rules(spark, p))
+    return cp.fetch_plan(allowed)
+
+
+@plan("politeness_violations")
+def politeness_violations(spark, sf_dir):
+    """Requests of one user (as domain) closer than the minimum gap."""
+    from trawl.operators import crawlplan as cp
+    return cp.politeness_violations(inp.events(spark, sf_dir), VIOLATION_GAP_S, domain_col="user_id")
+
+
+@plan("events_success_only")
+def events_success_only(spark, sf_dir):
+    """P5: successful requests only."""
+    e = inp.events(spark, sf_dir)
+    return e.filter(F.col("event_type") != "error").select("event_id", "user_id", "event_type")
+
+
+@plan("crawl_budget")
+def crawl_budget(spark, sf_dir):
+    """C11: the first 1000 successful fetches."""
+    from trawl.operators import crawlplan as cp
+    ok = inp.events(spark, sf_dir).filter(F.col("event_type") != "error")
+    return cp.crawl_budget(ok, BUDGET_PAGES).select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@plan("visited_dedup")
+def visited_dedup(spark, sf_dir):
+    """One row per link target."""
+    from trawl.operators import crawlplan as cp
+    return cp.visited_dedup(_crawl_inputs(spark, sf_dir)[2])
+
+
+@plan("crawl_progress")
+def crawl_progress(spark, sf_dir):
+    """Pages, elapsed seconds and rate at every 50th successful fetch."""
+    from trawl.operators import crawlplan as cp
+    return cp.crawl_progress(inp.events(spark, sf_dir).filter(F.col("event_type") != "error"))
+
+
+@plan("pages_per_domain")
+def pages_per_domain(spark, sf_dir):
+    """C14: pages per host."""
+    from trawl.operators import crawlplan as cp
+    return cp.pages_per_domain(inp.pages(spark, sf_dir))

@@ -297,3 +297,59 @@ SQL["page_summary"] = (f"SELECT page_id, {sql_title()} AS title, url, {sql_first
 SQL["pages_bm25_topk"] = with_(
     f"pdocs AS (SELECT page_id AS doc_id, {sql_title()} || ' ' || {sql_visible()} AS text FROM pages)",
     cte_index("pdocs"), BENCH_Q, cte_qterms(), cte_scored(bm25_expr())) + topk_select()
+
+# ---------------------------------------------------------------- crawl planning
+_ORIGIN = f"regexp_extract(url, '^({_SCH}://[^/?#]*)', 1)"
+CTE_CAND = CTE_EDGES + f""",
+seeds AS (SELECT {_ORIGIN} || '/' AS url FROM pages),
+cand AS ((SELECT url FROM seeds UNION SELECT dst_url FROM edges) EXCEPT SELECT url FROM pages)"""
+CTE_RULES = """
+rules_t(bucket, seq, allow, prefix, delay) AS (VALUES
+  (1, 1, NULL::BOOLEAN, NULL::VARCHAR, 0.0::DOUBLE), (2, 1, true, '/en/1', 2.0), (2, 2, false, '/en', 2.0),
+  (3, 1, false, '/fr', 0.5), (3, 2, false, '/es', 0.5)),
+doms AS (SELECT DISTINCT split_part(url, '/', 3) AS domain FROM pages WHERE len(string_split(url, '/')) >= 3),
+rules AS (SELECT d.domain, t.seq, t.allow, t.prefix, t.delay FROM doms d JOIN rules_t t ON t.bucket = length(d.domain) % 4)"""
+
+
+def cte_robots(src: str) -> str:
+    path = f"regexp_extract(u.url, '^{_SCH}://[^/?#]*([^#]*)', 1)"
+    return f"""
+ru AS (
+  SELECT u.*, split_part(u.url, '/', 3) AS domain,
+         CASE WHEN {path} = '' THEN '/' ELSE {path} END AS path FROM {src} u),
+rj AS (
+  SELECT ru.url, ru.domain, r.seq, r.allow, r.delay,
+         r.prefix IS NOT NULL AND starts_with(ru.path, r.prefix) AS hit FROM ru JOIN rules r ON r.domain = ru.domain),
+allowed AS (
+  SELECT url, domain, max(delay) AS delay FROM rj GROUP BY url, domain
+  HAVING coalesce(arg_min(allow, seq) FILTER (WHERE hit), true))"""
+
+
+SQL["frontier_unvisited"] = with_(CTE_CAND) + "SELECT url FROM cand"
+SQL["frontier_topn"] = with_(CTE_CAND) + "SELECT url, md5(url) AS prio FROM cand ORDER BY prio, url LIMIT 1000"
+SQL["robots_filter"] = with_(CTE_CAND, CTE_RULES, cte_robots("cand")) + "SELECT url, domain, delay FROM allowed"
+SQL["politeness_plan"] = with_(
+    CTE_CAND, CTE_RULES,
+    "top AS (SELECT url, md5(url) AS prio FROM cand ORDER BY prio, url LIMIT 1000)",
+    cte_robots("top")) + """
+SELECT domain, url, pos, round((pos - 1) * coalesce(CASE WHEN delay > 0 THEN delay END, 0.1), 6) AS start_s FROM (
+  SELECT a.domain, a.url, a.delay, row_number() OVER (PARTITION BY a.domain ORDER BY t.prio, a.url) AS pos
+  FROM allowed a JOIN top t ON t.url = a.url)"""
+SQL["politeness_violations"] = """
+SELECT domain, event_id, gap_s FROM (
+  SELECT user_id AS domain, event_id,
+         round((epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) / 1e6, 6) AS gap_s
+  FROM events) WHERE gap_s < 600.0"""
+SQL["events_success_only"] = "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'error'"
+SQL["crawl_budget"] = ("SELECT event_id, user_id, ts FROM events WHERE event_type <> 'error' "
+                       "ORDER BY ts, event_id LIMIT 1000")
+SQL["visited_dedup"] = with_(CTE_EDGES) + (
+    "SELECT dst_url AS url, min(page_id) AS first_page, count(*) AS copies FROM edges GROUP BY dst_url")
+SQL["crawl_progress"] = """
+WITH f AS (SELECT ts, row_number() OVER (ORDER BY ts, event_id) AS pages FROM events WHERE event_type <> 'error'),
+t0 AS (SELECT min(ts) AS t0 FROM f)
+SELECT pages, round((epoch_us(ts) - epoch_us(t0)) / 1e6, 3) AS elapsed_s,
+       round(pages / nullif((epoch_us(ts) - epoch_us(t0)) / 1e6, 0), 4) AS pages_per_s
+FROM f, t0 WHERE pages % 50 = 0"""
+SQL["pages_per_domain"] = ("SELECT split_part(url, '/', 3) AS domain, count(*) AS pages FROM pages "
+                           "WHERE len(string_split(url, '/')) >= 3 GROUP BY 1")
