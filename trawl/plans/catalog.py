@@ -523,3 +523,37 @@ def pages_per_domain(spark, sf_dir):
     """C14: pages per host."""
     from trawl.operators import crawlplan as cp
     return cp.pages_per_domain(inp.pages(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- streaming
+@plan("stream_visited_dedup")
+def stream_visited_dedup(spark, sf_dir):
+    """The pages table as a file stream; each link target once."""
+    from trawl.streaming import dedup, runner
+    runner.use_disk_state(spark)
+    s = runner.file_stream(spark, f"{sf_dir.rstrip('/')}/pages.parquet", maxFilesPerTrigger="1")
+    return runner.run_available_now(dedup.new_link_targets(s.select("page_id", "url", "html")), "visited")
+
+
+@plan("stream_incremental_index")
+def stream_incremental_index(spark, sf_dir):
+    """Documents staged as 4 files, streamed one file per micro-batch,
+    each batch written as a partial index, partials merged; equals postings."""
+    from trawl.session import scratch_path
+    from trawl.streaming import incremental, runner
+    staged, parts = scratch_path(spark, "docs-staged"), scratch_path(spark, "parts")
+    inp.corpus(spark, sf_dir).repartitionByRange(4, "doc_id").write.parquet(staged)
+    s = runner.file_stream(spark, staged, maxFilesPerTrigger="1")
+    runner.run_foreach_batch(s, "incremental-index", incremental.partial_writer(parts))
+    return incremental.merge(spark, parts).select("term", "doc_id", "tf")
+
+
+@plan("stream_progress")
+def stream_progress(spark, sf_dir):
+    """Successful fetches per hour from the event stream (closed windows)."""
+    from trawl.streaming import progress, runner
+    s = runner.file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    ok = s.filter(F.col("event_type") != "error").select("ts")
+    out = runner.run_available_now(progress.progress_windows(ok), "progress")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "fetches")

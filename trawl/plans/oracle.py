@@ -353,3 +353,12 @@ SELECT pages, round((epoch_us(ts) - epoch_us(t0)) / 1e6, 3) AS elapsed_s,
 FROM f, t0 WHERE pages % 50 = 0"""
 SQL["pages_per_domain"] = ("SELECT split_part(url, '/', 3) AS domain, count(*) AS pages FROM pages "
                            "WHERE len(string_split(url, '/')) >= 3 GROUP BY 1")
+
+# ---------------------------------------------------------------- streaming
+SQL["stream_visited_dedup"] = with_(CTE_EDGES) + "SELECT DISTINCT dst_url AS url FROM edges"
+SQL["stream_incremental_index"] = SQL["postings"]
+SQL["stream_progress"] = """
+WITH ok AS (SELECT ts FROM events WHERE event_type <> 'error'),
+w AS (SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+             count(*) AS fetches FROM ok GROUP BY 1, 2)
+SELECT * FROM w WHERE window_end <= (SELECT max(ts) FROM ok)"""
