@@ -50,11 +50,14 @@ def tokens(corpus: DataFrame, id_col: str = "doc_id", title_col: str | None = "t
 def postings_from_terms(terms: DataFrame, stem: bool = False) -> DataFrame:
     """(term, doc_id, tf, dl) from (doc_id, terms)."""
     exploded = terms.select("doc_id", F.size("terms").cast("long").alias("dl"), F.explode("terms").alias("term"))
+    post = exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
     if stem:
+        # Stem the (much smaller) postings, not the tokens, then fold the
+        # surface forms of one stem together.
         from trawl.functions.stem import stem_column_terms
-        exploded = stem_column_terms(exploded, "term")
-    return exploded.groupBy("term", "doc_id").agg(
-        F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+        post = stem_column_terms(post, "term").groupBy("term", "doc_id").agg(
+            F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
+    return post
 
 
 def postings(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,

@@ -557,3 +557,17 @@ def stream_progress(spark, sf_dir):
     out = runner.run_available_now(progress.progress_windows(ok), "progress")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "fetches")
+
+
+# ---------------------------------------------------------------- stemming
+@plan("stemmed_postings")
+def stemmed_postings(spark, sf_dir):
+    """Postings over stemmed terms (surface forms folded, tf summed)."""
+    return ix.build_index(inp.corpus(spark, sf_dir), stem=True).postings.select("term", "doc_id", "tf")
+
+
+@plan("stemmed_bm25_topk")
+def stemmed_bm25_topk(spark, sf_dir):
+    """I10 + R4: BM25 top-10 with stemmed index and stemmed query terms."""
+    index = ix.build_index(inp.corpus(spark, sf_dir), stem=True)
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), index, "bm25", inp.TOP_K))
