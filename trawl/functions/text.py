@@ -62,3 +62,14 @@ def _usable(stopwords: Iterable[str] | None) -> list[str]:
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def explode_nonempty(df, array_col, out: str, *keep):
+    """Rows of ``df`` (columns ``keep``) times the elements of ``array_col``.
+
+    ``explode`` makes the optimizer add a ``size(array) > 0`` filter below the
+    generator, which evaluates an expensive array expression (tokenizing,
+    HTML parsing) a second time.  ``explode_outer`` plus a null filter has the
+    same result without the duplicate evaluation."""
+    arr = F.col(array_col) if isinstance(array_col, str) else array_col
+    return df.select(*keep, F.explode_outer(arr).alias(out)).filter(F.col(out).isNotNull())

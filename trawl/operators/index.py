@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import ENGLISH_STOPWORDS, drop_stopwords, index_text, token_array
+from trawl.functions.text import ENGLISH_STOPWORDS, drop_stopwords, explode_nonempty, index_text, token_array
 
 DEFAULT_STOPWORDS = ENGLISH_STOPWORDS
 
@@ -39,8 +39,7 @@ def tokens(corpus: DataFrame, id_col: str = "doc_id", title_col: str | None = "t
            text_col: str = "text", stopwords: Iterable[str] | None = DEFAULT_STOPWORDS,
            stem: bool = False) -> DataFrame:
     """(doc_id, term): one row per token occurrence, after stop-word removal."""
-    toks = doc_terms(corpus, id_col, title_col, text_col, stopwords).select(
-        "doc_id", F.explode("terms").alias("term"))
+    toks = explode_nonempty(doc_terms(corpus, id_col, title_col, text_col, stopwords), "terms", "term", "doc_id")
     if stem:
         from trawl.functions.stem import stem_column_terms
         toks = stem_column_terms(toks, "term")
@@ -49,7 +48,7 @@ def tokens(corpus: DataFrame, id_col: str = "doc_id", title_col: str | None = "t
 
 def postings_from_terms(terms: DataFrame, stem: bool = False) -> DataFrame:
     """(term, doc_id, tf, dl) from (doc_id, terms)."""
-    exploded = terms.select("doc_id", F.size("terms").cast("long").alias("dl"), F.explode("terms").alias("term"))
+    exploded = explode_nonempty(terms.withColumn("dl", F.size("terms").cast("long")), "terms", "term", "doc_id", "dl")
     post = exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
     if stem:
         # Stem the (much smaller) postings, not the tokens, then fold the
@@ -97,14 +96,17 @@ class Index:
     doc_lengths: DataFrame
     stem: bool = False
     stopwords: tuple[str, ...] | None = DEFAULT_STOPWORDS
+    # (doc_id) of every corpus record; lets ``write`` derive document lengths
+    # from the written postings without tokenizing the corpus again.
+    doc_ids: DataFrame | None = None
 
     @property
     def stats(self) -> DataFrame:
         return collection_stats(self.doc_lengths)
 
-    def write(self, path: str, mode: str = "overwrite") -> None:
+    def write(self, path: str, mode: str = "overwrite", layout: str = "range") -> None:
         from trawl.sources.index_store import write_index
-        write_index(self, path, mode)
+        write_index(self, path, mode, layout)
 
     @staticmethod
     def read(spark, path: str) -> "Index":
@@ -123,7 +125,8 @@ def build_index(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STO
     post = postings_from_terms(terms, stem)
     return Index(postings=post, lexicon=lexicon_from_postings(post),
                  doc_lengths=doc_lengths_from_terms(terms), stem=stem,
-                 stopwords=tuple(stopwords) if stopwords is not None else None)
+                 stopwords=tuple(stopwords) if stopwords is not None else None,
+                 doc_ids=corpus.select(F.col(id_col).alias("doc_id")))
 
 
 def last_record_per_id(corpus: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
+from trawl.functions.text import explode_nonempty
 
 
 def page_domain(pages: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def page_title(pages: DataFrame) -> DataFrame:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """(page_id, href): distinct raw href values per page."""
-    return pages.select("page_id", F.explode(H.hrefs(F.col("html"))).alias("href"))
+    return explode_nonempty(pages.select("page_id", H.hrefs(F.col("html")).alias("_l")), "_l", "href", "page_id")
 
 
 def link_edges(pages: DataFrame, resolve: bool = True, http_only: bool = True) -> DataFrame:
@@ -38,7 +39,8 @@ def link_edges(pages: DataFrame, resolve: bool = True, http_only: bool = True) -
                                           lambda l: l.isNotNull()))
     if http_only:
         links = F.filter(links, lambda l: l.startswith("http"))
-    return pages.select("page_id", F.col("url").alias("src_url"), F.explode(links).alias("dst_url"))
+    return explode_nonempty(pages.select("page_id", F.col("url").alias("src_url"), links.alias("_l")), "_l", "dst_url",
+                            "page_id", "src_url")
 
 
 def page_summary(pages: DataFrame, chars: int = 1000, words: int = 20) -> DataFrame:

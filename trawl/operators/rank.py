@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.scoring import Ranker, resolve_ranker
-from trawl.functions.text import drop_stopwords, index_text, token_array
+from trawl.functions.text import drop_stopwords, explode_nonempty, index_text, token_array
 from trawl.operators.index import DEFAULT_STOPWORDS, Index
 
 # Largest number of distinct query terms pushed into the index scans as a
@@ -35,7 +35,7 @@ def query_terms(queries: DataFrame, qid_col: str = "qid", query_col: str = "quer
                 stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False) -> DataFrame:
     """(qid, term, qtf): query tokens parsed like documents, repeats counted."""
     arr = drop_stopwords(token_array(index_text(query_col, F.lit(""))), stopwords)
-    toks = queries.select(F.col(qid_col).alias("qid"), F.explode(arr).alias("term"))
+    toks = explode_nonempty(queries.select(F.col(qid_col).alias("qid"), arr.alias("_t")), "_t", "term", "qid")
     if stem:
         from trawl.functions.stem import stem_column_terms
         toks = stem_column_terms(toks, "term")
@@ -47,14 +47,34 @@ def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFr
     query vocabulary is small it is pushed into both scans as a literal IN list."""
     post, lex = index.postings, index.lexicon
     if push_terms:
-        vocab = qterms.select("term").distinct()
-        if vocab.limit(MAX_PUSHED_TERMS + 1).count() <= MAX_PUSHED_TERMS:
-            terms = [r.term for r in vocab.collect()]
-            post = post.filter(F.col("term").isin(terms))
-            lex = lex.filter(F.col("term").isin(terms))
+        rows = qterms.select("term").distinct().limit(MAX_PUSHED_TERMS + 1).collect()
+        if len(rows) <= MAX_PUSHED_TERMS:
+            terms = [r.term for r in rows]
+            post = post.filter(term_in(terms))
+            lex = lex.filter(term_in(terms))
     return post, lex
 
 
+def _sql_string(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def term_in(terms: list[str], col: str = "term") -> Column:
+    """``col IN (terms)`` built as one SQL expression (one JVM call, not one
+    per literal).  Parquet receives the whole value set: the session's IN
+    push-down threshold is raised to the list size, otherwise more than ten
+    values would be pushed as a plain min/max range."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        key = "spark.sql.parquet.pushdown.inFilterThreshold"
+        if int(spark.conf.get(key, "10")) < len(terms):
+            spark.conf.set(key, str(len(terms)))
+    if not terms:
+        return F.lit(False)
+    return F.expr(f"`{col}` IN ({', '.join(_sql_string(t) for t in terms)})")
+
+
 def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
                        qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
     """(qid, term, qtf, doc_id, s, contrib): single-term score ``s`` of every

@@ -1,9 +1,18 @@
 """Persisting and opening an index.
 
-Layout under ``path``: ``postings/`` (term, doc_id, tf, dl) range-partitioned
-and sorted on (term, doc_id) so Parquet row-group statistics let a term lookup
-skip most of the files; ``lexicon/`` (term, df) sorted on term;
-``doc_lengths/`` (doc_id, dl).  Collection statistics are recomputed from
+Layout under ``path``:
+  postings/     (term, doc_id, tf, dl), range-partitioned and sorted on
+                (term, doc_id) (``layout="range"``, default): files cover
+                disjoint term ranges, so a pushed-down ``term IN (...)`` skips
+                whole files by their statistics, and a very frequent term is
+                split over several files.  ``layout="sorted"`` saves the range
+                shuffle at build time but every file then spans all terms and
+                only page-level statistics can skip.
+  lexicon/      (term, df) sorted on term
+  doc_lengths/  (doc_id, dl)
+The corpus is tokenized once: lexicon and document lengths are derived from
+the written postings (documents without any indexed term come from a scan of
+the corpus id column only).  Collection statistics are recomputed from
 ``doc_lengths`` when the index is opened (one small aggregate).
 """
 
@@ -12,18 +21,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import Index
+from trawl.operators.index import Index, lexicon_from_postings
 
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> None:
+def write_index(index: Index, path: str, mode: str = "overwrite", layout: str = "range") -> None:
     base = path.rstrip("/")
-    # Range partitioning on (term, doc_id) also splits a very frequent term
-    # over several files instead of one.
-    (index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
-     .write.mode(mode).parquet(f"{base}/postings"))
-    (index.lexicon.repartitionByRange("term").sortWithinPartitions("term")
-     .write.mode(mode).parquet(f"{base}/lexicon"))
-    index.doc_lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
+    spark = index.postings.sparkSession
+    post = index.postings.select("term", "doc_id", "tf", "dl")
+    if layout == "range":
+        post = post.repartitionByRange("term", "doc_id")
+    elif layout != "sorted":
+        raise ValueError("layout must be 'sorted' or 'range'")
+    post.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{base}/postings")
+    written = spark.read.parquet(f"{base}/postings")
+    # Lexicon: partial counts per file, then one small shuffle of distinct terms.
+    lexicon_from_postings(written).orderBy("term").write.mode(mode).parquet(f"{base}/lexicon")
+    if index.doc_ids is not None:
+        per_doc = written.groupBy("doc_id").agg(F.max("dl").alias("dl"))
+        lengths = (index.doc_ids.dropDuplicates(["doc_id"]).join(per_doc, "doc_id", "left")
+                   .select("doc_id", F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
+    else:
+        lengths = index.doc_lengths
+    lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
 
 
 def read_index(spark: SparkSession, path: str, stem: bool = False, stopwords=None) -> Index:
@@ -40,6 +59,7 @@ def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:
     IN filter; a DataFrame of terms becomes a left-semi join (broadcast when
     the term list is small)."""
     if isinstance(terms, list):
-        return index.postings.filter(F.col("term").isin(terms))
+        from trawl.operators.rank import term_in
+        return index.postings.filter(term_in(terms))
     from trawl.operators.distribute import broadcast_if_small
     return index.postings.join(broadcast_if_small(terms.select("term").distinct()), "term", "left_semi")
