@@ -59,14 +59,20 @@ def _sql_string(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Parquet receives an IN list as a chain of OR predicates; beyond this many
+# values the chain is too deep for the reader, so larger lists are pushed as a
+# min/max range (Spark's behaviour past its threshold) and filtered exactly by
+# the InSet test above the scan.
+MAX_EXACT_PARQUET_IN = 100
+
+
 def term_in(terms: list[str], col: str = "term") -> Column:
     """``col IN (terms)`` built as one SQL expression (one JVM call, not one
-    per literal).  Parquet receives the whole value set: the session's IN
-    push-down threshold is raised to the list size, otherwise more than ten
-    values would be pushed as a plain min/max range."""
+    per literal).  Up to ``MAX_EXACT_PARQUET_IN`` values the session's IN
+    push-down threshold is raised so Parquet skips by the exact value set."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    if spark is not None:
+    if spark is not None and len(terms) <= MAX_EXACT_PARQUET_IN:
         key = "spark.sql.parquet.pushdown.inFilterThreshold"
         if int(spark.conf.get(key, "10")) < len(terms):
             spark.conf.set(key, str(len(terms)))
@@ -126,6 +132,9 @@ def _floor_candidates(scored: DataFrame, k: int) -> DataFrame:
     d0 = smallest doc id, s0 its score; C = {d0} + {score > s0};
     t = k-th best score in C (or the lowest); E = C with score >= t;
     keep score > t, or position <= k in doc-id order within E."""
+    # Referenced by several branches below: materialise once (reliable
+    # checkpoint) instead of re-running the scoring plan per branch.
+    scored = scored.checkpoint(eager=True)
     first = scored.groupBy("qid").agg(F.min_by("_rs", "doc_id").alias("_s0"), F.min("doc_id").alias("_d0"))
     c = scored.join(F.broadcast(first), "qid").filter(
         (F.col("doc_id") == F.col("_d0")) | (F.col("_rs") > F.col("_s0")))
@@ -172,6 +181,7 @@ def _prune(contrib: DataFrame, k: int) -> DataFrame:
     The k-th score of a query is at least the k-th largest contribution of any
     single term, so that is a safe bound; the per-(query, term) top-k is a
     window limit and the bound tables have one row per (query, term)."""
+    contrib = contrib.checkpoint(eager=True)  # read by three branches
     per_term = contrib.groupBy("qid", "term").agg(F.max("contrib").alias("_ub"))
     w = Window.partitionBy("qid", "term").orderBy(F.col("contrib").desc())
     kth = (contrib.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)

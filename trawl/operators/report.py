@@ -15,18 +15,20 @@ def label(ranked: DataFrame, ranker: str) -> DataFrame:
 
 def run_report(queries: DataFrame, ranked: DataFrame, qid_col: str = "qid") -> DataFrame:
     """Per ranker: queries, queries with results, total results, results per
-    query, min / max / average score of the returned results."""
-    rankers = ranked.select("ranker").distinct()
+    query, min / max / average score of the returned results.
+
+    ``ranked`` is read once: one aggregate per (ranker, query) carries the
+    count, min, max and sum, and the per-ranker figures are folded from it."""
     q = queries.select(F.col(qid_col).alias("qid"))
-    per_q = ranked.groupBy("ranker", "qid").agg(F.count(F.lit(1)).alias("n"))
-    base = (q.crossJoin(F.broadcast(rankers))  # one small row per ranker
-            .join(per_q, ["ranker", "qid"], "left")
-            .groupBy("ranker").agg(F.count(F.lit(1)).alias("queries"),
-                                   F.count_if(F.col("n") > 0).alias("with_results"),
-                                   F.coalesce(F.sum("n"), F.lit(0)).alias("total_results")))
-    scores = ranked.groupBy("ranker").agg(F.min("score").alias("min_score"), F.max("score").alias("max_score"),
-                                          F.round(F.avg("score"), 4).alias("avg_score"))
-    return base.join(scores, "ranker", "left").select(
+    per_q = ranked.groupBy("ranker", "qid").agg(
+        F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"),
+        F.sum("score").alias("total"))
+    hits = per_q.groupBy("ranker").agg(
+        F.count_if(F.col("n") > 0).alias("with_results"), F.sum("n").alias("total_results"),
+        F.min("lo").alias("min_score"), F.max("hi").alias("max_score"),
+        F.round(F.sum("total") / F.sum("n"), 4).alias("avg_score"))
+    n_queries = q.agg(F.count(F.lit(1)).alias("queries"))  # one row
+    return hits.crossJoin(F.broadcast(n_queries)).select(
         "ranker", "queries", "with_results", "total_results",
         F.round(F.col("total_results") / F.col("queries"), 4).alias("results_per_query"),
         "min_score", "max_score", "avg_score")

@@ -78,6 +78,20 @@ def bm25_topk(spark, sf_dir):
     return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25", inp.TOP_K))
 
 
+@plan("bm25_scores")
+def bm25_scores(spark, sf_dir):
+    """Single-term BM25 score of every posting of every query term."""
+    c = rk.term_contributions(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "bm25")
+    return c.select("qid", "term", "doc_id", F.round("s", 6).alias("s"))
+
+
+@plan("tfidf_scores")
+def tfidf_scores(spark, sf_dir):
+    """R2: single-term TF-IDF score of every posting of every query term."""
+    c = rk.term_contributions(inp.bench_queries(spark, sf_dir), _index(spark, sf_dir), "tfidf")
+    return c.select("qid", "term", "doc_id", F.round("s", 6).alias("s"))
+
+
 @plan("tfidf_topk")
 def tfidf_topk(spark, sf_dir):
     """R2 + R4: exact TF-IDF top-10."""

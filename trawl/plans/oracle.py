@@ -103,6 +103,8 @@ SQL["collection_stats"] = with_(IDX) + "SELECT n, round(avgdl, 6) AS avgdl FROM
 # ---------------------------------------------------------------- ranking
 _BM25 = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(bm25_expr()))
 _TFIDF = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(TFIDF_EXPR))
+SQL["bm25_scores"] = _BM25 + "SELECT qid, term, doc_id, round(s, 6) AS s FROM contrib"
+SQL["tfidf_scores"] = _TFIDF + "SELECT qid, term, doc_id, round(s, 6) AS s FROM contrib"
 SQL["bm25_topk"] = _BM25 + topk_select()
 SQL["bm25_topk_pruned"] = _BM25 + topk_select()
 SQL["tfidf_topk"] = _TFIDF + topk_select()
