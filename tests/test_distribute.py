@@ -24,3 +24,12 @@ def test_ordered_position_global(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"))
     got = ordered_position(df.repartition(8), [], ["v"])
     assert sorted((r.v, r.pos) for r in got.collect()) == [(i, i + 1) for i in range(5000)]
+
+
+def test_first_n_large_budget_equals_top_n(spark):
+    from trawl.operators.crawlplan import MAX_TOP_N, first_n
+    df = spark.range(40000).select((F.col("id") * 7 % 40000).alias("ts"), F.col("id").alias("event_id"))
+    n = MAX_TOP_N + 123
+    got = sorted(tuple(r) for r in first_n(df.repartition(8), n, ["ts", "event_id"]).collect())
+    exp = sorted(tuple(r) for r in df.orderBy("ts", "event_id").limit(n).collect())
+    assert got == exp

@@ -34,7 +34,9 @@ def url_path(url) -> F.Column:
 def frontier_candidates(seeds: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
     """(url): seeds plus link targets, minus visited URLs, distinct."""
     cand = seeds.select("url").unionByName(edges.select(F.col("dst_url").alias("url")))
-    return cand.join(visited.select("url"), "url", "left_anti").distinct()
+    # De-duplicate first (map-side partial aggregation), so a URL linked from a
+    # large share of all pages reaches the anti join once per partition only.
+    return cand.distinct().join(visited.select("url"), "url", "left_anti")
 
 
 def frontier_topn(candidates: DataFrame, size: int = FRONTIER_SIZE) -> DataFrame:
@@ -42,7 +44,7 @@ def frontier_topn(candidates: DataFrame, size: int = FRONTIER_SIZE) -> DataFrame
     so the order is random-looking but reproducible; ``orderBy.limit`` plans as
     a per-partition top-N plus a final merge (no full sort)."""
     prio = F.md5(F.col("url"))
-    return candidates.select("url", prio.alias("prio")).orderBy("prio", "url").limit(size)
+    return first_n(candidates.select("url", prio.alias("prio")), size, ["prio", "url"])
 
 
 def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -88,10 +90,23 @@ def politeness_violations(log: DataFrame, min_gap_s: float, domain_col: str = "d
     return j.select("domain", "event_id", F.round(gap, 6).alias("gap_s")).filter(F.col("gap_s") < min_gap_s)
 
 
+# Up to this many rows a top-N (per-partition top-N, merged in one task) is
+# used; larger budgets cut on the skew-safe global position instead, so no
+# single task receives n rows from every partition.
+MAX_TOP_N = 10_000
+
+
+def first_n(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows in ``order`` (which must be total)."""
+    if n <= MAX_TOP_N:
+        return df.orderBy(*order).limit(n)
+    return ordered_position(df, [], order, out="_pos").filter(F.col("_pos") <= n).drop("_pos")
+
+
 def crawl_budget(fetches: DataFrame, n: int = PAGE_BUDGET, ts_col: str = "ts",
                  id_col: str = "event_id") -> DataFrame:
     """The first ``n`` successful fetches in time order (the page budget)."""
-    return fetches.orderBy(F.col(ts_col), F.col(id_col)).limit(n)
+    return first_n(fetches, n, [ts_col, id_col])
 
 
 def crawl_progress(fetches: DataFrame, every: int = PROGRESS_EVERY, ts_col: str = "ts",

@@ -99,10 +99,12 @@ class Index:
     # (doc_id) of every corpus record; lets ``write`` derive document lengths
     # from the written postings without tokenizing the corpus again.
     doc_ids: DataFrame | None = None
+    # One-row (n, avgdl) written with the index; computed when absent.
+    stats_table: DataFrame | None = None
 
     @property
     def stats(self) -> DataFrame:
-        return collection_stats(self.doc_lengths)
+        return self.stats_table if self.stats_table is not None else collection_stats(self.doc_lengths)
 
     def write(self, path: str, mode: str = "overwrite", layout: str = "range") -> None:
         from trawl.sources.index_store import write_index

@@ -46,10 +46,13 @@ def strip(col) -> F.Column:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank stripped lines with their 0-based position in read order:
     (line_no long, value string).  Duplicates are kept."""
-    raw = spark.read.text(path)
-    indexed = raw.rdd.zipWithIndex().map(lambda rv: (rv[1], rv[0][0]))
-    df = spark.createDataFrame(indexed, "line_no long, value string")
-    return df.select("line_no", strip(F.col("value")).alias("value")).filter(F.col("value") != "")
+    from trawl.operators.distribute import ordered_position
+    # Within a file, read order is line order (splits of one file keep their
+    # offset order); the id is increasing in read order and made dense.
+    raw = spark.read.text(path).withColumn("_mid", F.monotonically_increasing_id())
+    numbered = ordered_position(raw, [], ["_mid"], out="_n")
+    return numbered.select((F.col("_n") - 1).alias("line_no"), strip(F.col("value")).alias("value")).filter(
+        F.col("value") != "")
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:

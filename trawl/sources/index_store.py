@@ -10,6 +10,7 @@ Layout under ``path``:
                 only page-level statistics can skip.
   lexicon/      (term, df) sorted on term
   doc_lengths/  (doc_id, dl)
+  stats/        one row (n, avgdl), so opening the index aggregates nothing
 The corpus is tokenized once: lexicon and document lengths are derived from
 the written postings (documents without any indexed term come from a scan of
 the corpus id column only).  Collection statistics are recomputed from
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import Index, lexicon_from_postings
+from trawl.operators.index import Index, collection_stats, lexicon_from_postings
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite", layout: str = "range") -> None:
@@ -43,15 +44,23 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     else:
         lengths = index.doc_lengths
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
+    collection_stats(spark.read.parquet(f"{base}/doc_lengths")).coalesce(1).write.mode(mode).parquet(
+        f"{base}/stats")
 
 
 def read_index(spark: SparkSession, path: str, stem: bool = False, stopwords=None) -> Index:
     from trawl.operators.index import DEFAULT_STOPWORDS
     base = path.rstrip("/")
+    stats = None
+    try:
+        stats = spark.read.parquet(f"{base}/stats")
+    except Exception:  # noqa: BLE001 -- an index written without stats
+        stats = None
     return Index(postings=spark.read.parquet(f"{base}/postings"),
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
-                 stem=stem, stopwords=DEFAULT_STOPWORDS if stopwords is None else tuple(stopwords))
+                 stem=stem, stopwords=DEFAULT_STOPWORDS if stopwords is None else tuple(stopwords),
+                 stats_table=stats)
 
 
 def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:
