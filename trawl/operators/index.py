@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trawl.functions.text import ENGLISH_STOPWORDS, drop_stopwords, explode_nonempty, index_text, token_array
+from trawl.functions.text import ENGLISH_STOPWORDS, drop_stopwords, explode_nonempty, index_text, token_array  # noqa: F401
 
 DEFAULT_STOPWORDS = ENGLISH_STOPWORDS
 

@@ -1,7 +1,7 @@
 """How the operators are fed from the shared test tables.
 
 documents  -> corpus (doc_id, title = '', text)
-benchmark  -> queries (qid = item_id, query = first 60 characters of text)
+benchmark  -> queries (qid = item_id, query = the whole passage text)
 pages      -> crawled pages (page_id, url, html)
 events     -> request log (user_id as the domain, event_type 'error' = failure)
 """
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-QUERY_CHARS = 60
 TOP_K = 10
 
 
@@ -25,7 +24,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bench_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("qid"), F.substring("text", 1, QUERY_CHARS).alias("query"))
+        F.col("item_id").alias("qid"), F.col("text").alias("query"))
 
 
 # Extra query lines of the fixture set -- stop words only, an

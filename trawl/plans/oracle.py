@@ -4,7 +4,7 @@ definitions (views: documents, benchmark, pages, events, ...)."""
 from __future__ import annotations
 
 from trawl.functions.text import ENGLISH_STOPWORDS, TOKEN_PATTERN
-from trawl.plans.inputs import EXTRA_QUERIES, QUERY_CHARS, TOP_K
+from trawl.plans.inputs import EXTRA_QUERIES, TOP_K
 
 STOP_LIST = ", ".join("'" + w + "'" for w in sorted({w for w in ENGLISH_STOPWORDS if "'" not in w}))
 _TOK = TOKEN_PATTERN
@@ -23,9 +23,9 @@ def cte_index(src: str = "documents", p: str = "") -> str:
 {p}lex AS (SELECT term, count(*) AS df FROM {p}post GROUP BY term)"""
 
 
-BENCH_Q = f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark)"
+BENCH_Q = f"q AS (SELECT item_id AS qid, text AS query FROM benchmark)"
 _EXTRA = ", ".join(f"({qid}, '{text}')" for qid, text in EXTRA_QUERIES)
-ALL_Q = (f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark "
+ALL_Q = (f"q AS (SELECT item_id AS qid, text AS query FROM benchmark "
          f"UNION ALL SELECT * FROM (VALUES {_EXTRA}) v(qid, query))")
 
 
@@ -121,7 +121,7 @@ SQL["tfidf_zero_idf"] = with_(
     "sub AS (SELECT doc_id, text FROM documents WHERE doc_id IN "
     "(SELECT doc_id FROM post WHERE term = (SELECT term FROM top1)))",
     cte_index("sub", "z_"),
-    f"q AS (SELECT item_id AS qid, substr(text, 1, {QUERY_CHARS}) AS query FROM benchmark "
+    f"q AS (SELECT item_id AS qid, text AS query FROM benchmark "
     "UNION ALL SELECT -1 AS qid, term AS query FROM top1)",
     cte_qterms(), cte_scored(TFIDF_EXPR, "z_")) + topk_select()
 SQL["term_upper_bounds"] = _BM25 + "SELECT qid, term, qtf, round(max(s), 4) AS ub FROM contrib GROUP BY qid, term, qtf"
@@ -152,7 +152,7 @@ _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 SQL["queries_from_text"] = f"""
 SELECT query FROM (
   SELECT trim(line, {_WS}) AS query FROM (
-    SELECT unnest(string_split('  ' || substr(text, 1, {QUERY_CHARS}) || ' ' || chr(9), chr(10))) AS line
+    SELECT unnest(string_split('  ' || text || ' ' || chr(9), chr(10))) AS line
     FROM benchmark))
 WHERE query <> ''"""
 SQL["corpus_sample"] = "SELECT doc_id, substr(text, 1, 80) AS text_head FROM documents ORDER BY doc_id LIMIT 3"
