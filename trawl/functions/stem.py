@@ -177,8 +177,12 @@ MAX_BROADCAST_VOCAB = 1_000_000
 
 
 def stem_column_terms(df: DataFrame, col: str = "term") -> DataFrame:
-    """Replace ``col`` by its stem (same column name)."""
-    from trawl.operators.distribute import broadcast_if_small
-    m = broadcast_if_small(stem_map(df, col), MAX_BROADCAST_VOCAB)
+    """Replace ``col`` by its stem (same column name).  The broadcast bound is
+    checked on the distinct vocabulary before stemming, so the Python function
+    runs once per term, in the join's plan only."""
+    vocab = df.select(F.col(col).alias("term")).distinct()
+    small = vocab.limit(MAX_BROADCAST_VOCAB + 1).count() <= MAX_BROADCAST_VOCAB
+    m = vocab.select("term", stem_udf(F.col("term")).alias("stem"))
+    m = F.broadcast(m) if small else m
     others = [c for c in df.columns if c != col]
     return df.join(m, df[col] == m["term"]).select(*[df[c] for c in others], m["stem"].alias(col))

@@ -132,3 +132,13 @@ def visited_dedup(edges: DataFrame) -> DataFrame:
 def pages_per_domain(pages: DataFrame) -> DataFrame:
     return (pages.filter(H.has_host(F.col("url"))).groupBy(H.url_host(F.col("url")).alias("domain"))
             .agg(F.count(F.lit(1)).alias("pages")))
+
+
+def next_fetch_list(pages: DataFrame, seeds: DataFrame, visited: DataFrame, rules: DataFrame,
+                    size: int = FRONTIER_SIZE, default_delay: float = DEFAULT_DELAY) -> DataFrame:
+    """One crawl round: links of the fetched pages plus the seeds, minus what
+    was visited, filtered by the robots rules, cut to the bounded frontier and
+    spaced per domain.  Returns (domain, url, pos, start_s)."""
+    from trawl.operators.pages import link_edges
+    cand = frontier_candidates(seeds, link_edges(pages), visited)
+    return fetch_plan(robots_filter(frontier_topn(cand, size), rules), default_delay)

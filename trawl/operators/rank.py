@@ -42,17 +42,22 @@ def query_terms(queries: DataFrame, qid_col: str = "qid", query_col: str = "quer
     return toks.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFrame, DataFrame]:
-    """Postings and lexicon limited to the query vocabulary.  When the distinct
-    query vocabulary is small it is pushed into both scans as a literal IN list."""
+def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFrame, DataFrame, int | None]:
+    """Postings and lexicon limited to the query vocabulary, and the number of
+    (qid, term) rows when it was learnt on the way.  One small job returns the
+    distinct vocabulary with its row counts; when the vocabulary is small it is
+    pushed into both scans as a literal IN list."""
     post, lex = index.postings, index.lexicon
+    n_rows = None
     if push_terms:
-        rows = qterms.select("term").distinct().limit(MAX_PUSHED_TERMS + 1).collect()
+        rows = (qterms.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+                .limit(MAX_PUSHED_TERMS + 1).collect())
         if len(rows) <= MAX_PUSHED_TERMS:
             terms = [r.term for r in rows]
+            n_rows = sum(r.c for r in rows)
             post = post.filter(term_in(terms))
             lex = lex.filter(term_in(terms))
-    return post, lex
+    return post, lex, n_rows
 
 
 def _sql_string(v: str) -> str:
@@ -87,11 +92,13 @@ def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker =
     posting of every known query term, ``contrib = qtf * s``."""
     score_fn = resolve_ranker(ranker)
     qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
-    post, lex = _restrict(index, qt, push_terms)
+    post, lex, n_rows = _restrict(index, qt, push_terms)
     # Query side: (qid, term, qtf) x lexicon df x one-row stats.  It has at
     # most as many rows as ``qt`` (one lexicon row per term), so the size check
     # runs on ``qt`` alone and never evaluates the index.
-    small = qt.limit(MAX_QUERY_TERM_ROWS + 1).count() <= MAX_QUERY_TERM_ROWS
+    if n_rows is None:
+        n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
+    small = n_rows <= MAX_QUERY_TERM_ROWS
     known = lex.join(F.broadcast(qt) if small else qt, "term").crossJoin(F.broadcast(index.stats))
     joined = post.join(F.broadcast(known) if small else known, "term")
     s = score_fn(F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))

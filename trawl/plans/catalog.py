@@ -491,9 +491,8 @@ def robots_filter(spark, sf_dir):
 def politeness_plan(spark, sf_dir):
     """Start offsets per domain for the allowed part of the frontier."""
     from trawl.operators import crawlplan as cp
-    p, cand = _candidates(spark, sf_dir)
-    allowed = cp.robots_filter(cp.frontier_topn(cand), _robots_rules(spark, p))
-    return cp.fetch_plan(allowed)
+    p, seeds, _ = _crawl_inputs(spark, sf_dir)
+    return cp.next_fetch_list(p, seeds, p, _robots_rules(spark, p))
 
 
 @plan("politeness_violations")
