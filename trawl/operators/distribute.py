@@ -60,6 +60,10 @@ def ordered_position(df: DataFrame, group: Sequence[str], order: Sequence[Column
     if not group:
         # One row per partition: bounded by the partition count.
         spans = F.broadcast(spans)
+    else:
+        # One row per (partition, group): broadcast when its count allows, so
+        # the numbered rows are not shuffled a second time.
+        spans = broadcast_if_small(spans, DEFAULT_BROADCAST_ROWS // 2)
     # Null-safe on the group keys: a null group is a group like any other.
     renamed = spans.select(F.col("_pid").alias("_spid"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
                            "_first", "_before")
