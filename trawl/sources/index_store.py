@@ -8,7 +8,7 @@ Layout under ``path``:
                 split over several files.  ``layout="sorted"`` saves the range
                 shuffle at build time but every file then spans all terms and
                 only page-level statistics can skip.
-  lexicon/      (term, df) sorted on term
+  lexicon/      (term, df), each file sorted on term
   doc_lengths/  (doc_id, dl)
   stats/        one row (n, avgdl), so opening the index aggregates nothing
 The corpus is tokenized once: lexicon and document lengths are derived from
@@ -35,8 +35,9 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
         raise ValueError("layout must be 'sorted' or 'range'")
     post.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{base}/postings")
     written = spark.read.parquet(f"{base}/postings")
-    # Lexicon: partial counts per file, then one small shuffle of distinct terms.
-    lexicon_from_postings(written).orderBy("term").write.mode(mode).parquet(f"{base}/lexicon")
+    # Lexicon: partial counts per file, one shuffle of distinct terms, each
+    # file sorted on term (page statistics skip for a term lookup).
+    lexicon_from_postings(written).sortWithinPartitions("term").write.mode(mode).parquet(f"{base}/lexicon")
     if index.doc_ids is not None:
         per_doc = written.groupBy("doc_id").agg(F.max("dl").alias("dl"))
         lengths = (index.doc_ids.dropDuplicates(["doc_id"]).join(per_doc, "doc_id", "left")
