@@ -44,11 +44,18 @@ def test_every_query_has_sql_or_is_rows_only():
     assert rows_only <= {"page_store_rotation", "stemmed_postings", "stemmed_bm25_topk"}
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SF_SMALL).toPandas()
-    exp = con.sql(E.oracle_sql()[key]).df()
-    assert _rows(got) == _rows(exp)
+    sdf = E.queries()[key](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[key])
+    spark_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    assert _rows(sdf.toPandas()) == _rows(rel.df())
 
 
 def test_entry(spark):

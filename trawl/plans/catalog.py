@@ -217,7 +217,7 @@ def read_corpus_jsonl(spark, sf_dir):
     docs = inp.table(spark, sf_dir, "documents")
     docs.select(F.format_string("%07d", "doc_id").alias("id"), F.lit("").alias("title"), "text").write.json(path)
     back = src.with_defaults(src.read_corpus(spark, path))
-    return back.select("doc_id", "title", F.octet_length("text").alias("text_bytes"))
+    return back.select("doc_id", "title", F.octet_length("text").cast("long").alias("text_bytes"))
 
 
 @plan("corpus_defaults")
@@ -229,7 +229,7 @@ def corpus_defaults(spark, sf_dir):
         F.when(F.col("lang") == "de", F.lit(None)).otherwise(F.format_string("%07d", "doc_id")).alias("id"),
         F.when(F.col("lang") == "es", F.lit(None)).otherwise(F.col("source")).alias("title"),
         F.when(F.col("lang") == "fr", F.lit(None)).otherwise(F.col("text")).alias("text"))
-    return src.with_defaults(raw).select("doc_id", "title", F.octet_length("text").alias("text_bytes"))
+    return src.with_defaults(raw).select("doc_id", "title", F.octet_length("text").cast("long").alias("text_bytes"))
 
 
 @plan("queries_from_text")
@@ -305,7 +305,7 @@ def corpus_last_wins(spark, sf_dir):
     d = inp.table(spark, sf_dir, "documents").select(
         F.pmod("doc_id", F.lit(97)).alias("id"), F.col("doc_id").alias("seq"), "source", "n_chars", "text")
     last = ix.last_record_per_id(d, "id", ["seq"])
-    return last.select("id", "seq", "source", "n_chars", F.octet_length("text").alias("text_bytes"))
+    return last.select("id", "seq", "source", "n_chars", F.octet_length("text").cast("long").alias("text_bytes"))
 
 
 @plan("index_stats")

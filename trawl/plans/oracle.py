@@ -184,7 +184,7 @@ SELECT count(*) AS num_lists, coalesce(sum(df), 0)::BIGINT AS total_postings,
        coalesce(round(sum(df) / count(*), 2), 0.0) AS avg_list_size FROM lex"""
 SQL["lexicon_profile"] = with_(IDX) + """
 SELECT count(*) AS terms, min(df) AS min_df, max(df) AS max_df, round(avg(df), 4) AS avg_df,
-       count_if(df = 1) AS df_one, count_if(df > 100) AS df_over_100 FROM lex"""
+       count_if(df = 1)::BIGINT AS df_one, count_if(df > 100)::BIGINT AS df_over_100 FROM lex"""
 SQL["corpus_profile"] = "SELECT count(*) AS documents, coalesce(sum(strlen(text)), 0)::BIGINT AS bytes FROM documents"
 
 # ---------------------------------------------------------------- reports
@@ -202,7 +202,7 @@ _BOTH = with_(IDX, BENCH_Q, cte_qterms(),
   UNION ALL
   SELECT 'tfidf' AS ranker, qid, rank, doc_id, round(score, 4) AS score FROM {ranked_sql('tf')})""")
 SQL["run_report"] = _BOTH + """
-SELECT r.ranker, count(*) AS queries, count_if(n.n > 0) AS with_results, coalesce(sum(n.n), 0)::BIGINT AS total_results,
+SELECT r.ranker, count(*) AS queries, count_if(n.n > 0)::BIGINT AS with_results, coalesce(sum(n.n), 0)::BIGINT AS total_results,
        round(coalesce(sum(n.n), 0) / count(*), 4) AS results_per_query,
        any_value(sc.min_score) AS min_score, any_value(sc.max_score) AS max_score, any_value(sc.avg_score) AS avg_score
 FROM q CROSS JOIN (VALUES ('bm25'), ('tfidf')) r(ranker)
