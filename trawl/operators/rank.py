@@ -27,6 +27,17 @@ from trawl.operators.index import DEFAULT_STOPWORDS, Index
 MAX_PUSHED_TERMS = 10_000
 # Largest number of (query, term) rows broadcast into the postings join.
 MAX_QUERY_TERM_ROWS = 2_000_000
+# Largest number of per-query rows (one per query) broadcast back to matches.
+MAX_BROADCAST_QUERIES = 2_000_000
+
+
+def _maybe_broadcast(df: DataFrame, ok: bool) -> DataFrame:
+    return F.broadcast(df) if ok else df
+
+
+def few_queries(df: DataFrame, qid_col: str = "qid") -> bool:
+    """Whether one row per query of ``df`` is small enough to broadcast."""
+    return df.select(qid_col).distinct().limit(MAX_BROADCAST_QUERIES + 1).count() <= MAX_BROADCAST_QUERIES
 
 _TIE_DIGITS = 9
 
@@ -119,13 +130,14 @@ def _rs(score: Column | str = "score") -> Column:
     return F.round(c, _TIE_DIGITS)
 
 
-def top_k(scored: DataFrame, k: int = 10, mode: str = "exact") -> DataFrame:
-    """(qid, rank, doc_id, score) from (qid, doc_id, score)."""
+def top_k(scored: DataFrame, k: int = 10, mode: str = "exact", small_batch: bool | None = None) -> DataFrame:
+    """(qid, rank, doc_id, score) from (qid, doc_id, score).  ``small_batch``
+    says whether one row per query may be broadcast (checked when None)."""
     if k <= 0:
         return scored.select("qid", F.lit(0).alias("rank"), "doc_id", "score").limit(0)
     scored = scored.withColumn("_rs", _rs())
     if mode == "floor":
-        scored = _floor_candidates(scored, k)
+        scored = _floor_candidates(scored, k, small_batch)
     elif mode != "exact":
         raise ValueError("mode must be 'exact' or 'floor'")
     w = Window.partitionBy("qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
@@ -133,7 +145,7 @@ def top_k(scored: DataFrame, k: int = 10, mode: str = "exact") -> DataFrame:
     return ranked.select("qid", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
 
 
-def _floor_candidates(scored: DataFrame, k: int) -> DataFrame:
+def _floor_candidates(scored: DataFrame, k: int, small_batch: bool | None = None) -> DataFrame:
     """Documents the reference's heap keeps when its threshold is the heap
     minimum after every push (closed form, see README):
     d0 = smallest doc id, s0 its score; C = {d0} + {score > s0};
@@ -142,13 +154,15 @@ def _floor_candidates(scored: DataFrame, k: int) -> DataFrame:
     # Referenced by several branches below: materialise once (reliable
     # checkpoint) instead of re-running the scoring plan per branch.
     scored = scored.checkpoint(eager=True)
+    if small_batch is None:
+        small_batch = few_queries(scored)
     first = scored.groupBy("qid").agg(F.min_by("_rs", "doc_id").alias("_s0"), F.min("doc_id").alias("_d0"))
-    c = scored.join(F.broadcast(first), "qid").filter(
+    c = scored.join(_maybe_broadcast(first, small_batch), "qid").filter(
         (F.col("doc_id") == F.col("_d0")) | (F.col("_rs") > F.col("_s0")))
     by_score = Window.partitionBy("qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
     t = (c.withColumn("_r", F.row_number().over(by_score)).filter(F.col("_r") <= k)
          .groupBy("qid").agg(F.min("_rs").alias("_t")))
-    e = c.join(F.broadcast(t), "qid").filter(F.col("_rs") >= F.col("_t"))
+    e = c.join(_maybe_broadcast(t, small_batch), "qid").filter(F.col("_rs") >= F.col("_t"))
     by_doc = Window.partitionBy("qid").orderBy(F.col("doc_id").asc())
     # Only the first k ties (by doc id) can pass the position test.
     ties = (e.filter(F.col("_rs") == F.col("_t")).withColumn("_r", F.row_number().over(by_doc))
@@ -163,16 +177,20 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
            qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
     """Top-k documents per query: (qid, rank, doc_id, score)."""
     contrib = term_contributions(queries, index, ranker, qid_col, query_col, push_terms)
+    small_batch = None
+    if prune or match == "all" or mode == "floor":
+        small_batch = few_queries(queries, qid_col)
     if prune:
-        contrib = _prune(contrib, k)
+        contrib = _prune(contrib, k, small_batch)
     scored = score_documents(contrib)
     if match == "all":
         need = query_terms(queries, qid_col, query_col, index.stopwords, index.stem).groupBy("qid").agg(
             F.count(F.lit(1)).alias("_need"))
-        scored = scored.join(F.broadcast(need), "qid").filter(F.col("matched") == F.col("_need")).drop("_need")
+        scored = scored.join(_maybe_broadcast(need, small_batch), "qid").filter(
+            F.col("matched") == F.col("_need")).drop("_need")
     elif match != "any":
         raise ValueError("match must be 'any' or 'all'")
-    return top_k(scored.select("qid", "doc_id", "score"), k, mode)
+    return top_k(scored.select("qid", "doc_id", "score"), k, mode, small_batch)
 
 
 def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
@@ -182,7 +200,7 @@ def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "
     return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
 
 
-def _prune(contrib: DataFrame, k: int) -> DataFrame:
+def _prune(contrib: DataFrame, k: int, small_batch: bool) -> DataFrame:
     """Drop documents whose summed upper bounds cannot reach the k-th score.
 
     The k-th score of a query is at least the k-th largest contribution of any
@@ -190,12 +208,14 @@ def _prune(contrib: DataFrame, k: int) -> DataFrame:
     window limit and the bound tables have one row per (query, term)."""
     contrib = contrib.checkpoint(eager=True)  # read by three branches
     per_term = contrib.groupBy("qid", "term").agg(F.max("contrib").alias("_ub"))
+    # one row per (query, term): as many as the query-term table
+    few_terms = per_term.limit(MAX_QUERY_TERM_ROWS + 1).count() <= MAX_QUERY_TERM_ROWS
     w = Window.partitionBy("qid", "term").orderBy(F.col("contrib").desc())
     kth = (contrib.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)
            .groupBy("qid").agg(F.max("contrib").alias("_bound")))
-    with_ub = contrib.join(F.broadcast(per_term), ["qid", "term"])
+    with_ub = contrib.join(_maybe_broadcast(per_term, few_terms), ["qid", "term"])
     doc_ub = with_ub.groupBy("qid", "doc_id").agg(F.sum("_ub").alias("_ubsum"))
-    keep = (doc_ub.join(F.broadcast(kth), "qid", "left")
+    keep = (doc_ub.join(_maybe_broadcast(kth, small_batch), "qid", "left")
             .filter(F.col("_ubsum") >= F.coalesce(F.col("_bound"), F.lit(0.0)) - F.lit(1e-9))
             .select("qid", "doc_id"))
     return contrib.join(keep, ["qid", "doc_id"], "left_semi")

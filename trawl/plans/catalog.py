@@ -164,8 +164,10 @@ def query_term_weights(spark, sf_dir):
 @plan("query_known_terms")
 def query_known_terms(spark, sf_dir):
     """Query terms present in the lexicon, with df."""
+    from trawl.operators.distribute import broadcast_if_small
     qt = rk.query_terms(inp.bench_queries(spark, sf_dir))
-    return _index(spark, sf_dir).lexicon.join(F.broadcast(qt), "term").select("qid", "term", "qtf", "df")
+    return (_index(spark, sf_dir).lexicon.join(broadcast_if_small(qt, rk.MAX_QUERY_TERM_ROWS), "term")
+            .select("qid", "term", "qtf", "df"))
 
 
 @plan("postings_lookup")
