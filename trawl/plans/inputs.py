@@ -15,7 +15,8 @@ TOP_K = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from trawl.sources.tables import read_parquet
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
