@@ -70,3 +70,17 @@ def test_pruned_equals_exact(spark, index):
         a = sorted(search(q, index, "bm25", k=k).collect())
         b = sorted(search(q, index, "bm25", k=k, prune=True).collect())
         assert a == b
+
+
+@pytest.mark.parametrize("ranker", ["bm25", "tfidf"])
+def test_pruned_equals_exact_on_documents(spark, ranker):
+    from trawl.plans import inputs as inp
+
+    from .conftest import SF_SMALL
+    idx = build_index(inp.corpus(spark, SF_SMALL))
+    q = inp.bench_queries(spark, SF_SMALL)
+    for k in (1, 3, 10):
+        a = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, idx, ranker, k=k).collect())
+        b = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9))
+                   for r in search(q, idx, ranker, k=k, prune=True).collect())
+        assert a == b

@@ -180,9 +180,7 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
     small_batch = None
     if prune or match == "all" or mode == "floor":
         small_batch = few_queries(queries, qid_col)
-    if prune:
-        contrib = _prune(contrib, k, small_batch)
-    scored = score_documents(contrib)
+    scored = _pruned_scores(contrib, k, small_batch) if prune else score_documents(contrib)
     if match == "all":
         need = query_terms(queries, qid_col, query_col, index.stopwords, index.stem).groupBy("qid").agg(
             F.count(F.lit(1)).alias("_need"))
@@ -200,25 +198,28 @@ def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "
     return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
 
 
-def _prune(contrib: DataFrame, k: int, small_batch: bool) -> DataFrame:
-    """Drop documents whose summed upper bounds cannot reach the k-th score.
+def _pruned_scores(contrib: DataFrame, k: int, small_batch: bool) -> DataFrame:
+    """Scores of the documents whose summed upper bounds can reach the k-th score.
 
     The k-th score of a query is at least the k-th largest contribution of any
-    single term, so that is a safe bound; the per-(query, term) top-k is a
-    window limit and the bound tables have one row per (query, term)."""
-    contrib = contrib.checkpoint(eager=True)  # read by three branches
-    per_term = contrib.groupBy("qid", "term").agg(F.max("contrib").alias("_ub"))
+    single term, so that is a safe bound.  One window-limited pass per
+    (query, term) yields both the term's upper bound (its best contribution)
+    and its k-th contribution; the cut is then a filter on the one scoring
+    aggregation.  Result-neutral by construction."""
+    w = Window.partitionBy("qid", "term").orderBy(F.col("contrib").desc())
+    top = contrib.select("qid", "term", "contrib").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
+    per_term = top.groupBy("qid", "term").agg(
+        F.max("contrib").alias("_ub"), F.max(F.when(F.col("_r") == k, F.col("contrib"))).alias("_kth"))
     # one row per (query, term): as many as the query-term table
     few_terms = per_term.limit(MAX_QUERY_TERM_ROWS + 1).count() <= MAX_QUERY_TERM_ROWS
-    w = Window.partitionBy("qid", "term").orderBy(F.col("contrib").desc())
-    kth = (contrib.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == k)
-           .groupBy("qid").agg(F.max("contrib").alias("_bound")))
-    with_ub = contrib.join(_maybe_broadcast(per_term, few_terms), ["qid", "term"])
-    doc_ub = with_ub.groupBy("qid", "doc_id").agg(F.sum("_ub").alias("_ubsum"))
-    keep = (doc_ub.join(_maybe_broadcast(kth, small_batch), "qid", "left")
-            .filter(F.col("_ubsum") >= F.coalesce(F.col("_bound"), F.lit(0.0)) - F.lit(1e-9))
-            .select("qid", "doc_id"))
-    return contrib.join(keep, ["qid", "doc_id"], "left_semi")
+    bound = per_term.groupBy("qid").agg(F.coalesce(F.max("_kth"), F.lit(0.0)).alias("_bound"))
+    ub = per_term.select("qid", "term", "_ub")
+    agg = (contrib.join(_maybe_broadcast(ub, few_terms), ["qid", "term"])
+           .groupBy("qid", "doc_id").agg(F.sum("contrib").alias("score"), F.count(F.lit(1)).alias("matched"),
+                                         F.sum("_ub").alias("_ubsum")))
+    kept = agg.join(_maybe_broadcast(bound, small_batch), "qid").filter(
+        F.col("_ubsum") >= F.col("_bound") - F.lit(1e-9))
+    return kept.filter(F.col("score") > 0).select("qid", "doc_id", "score", "matched")
 
 
 def format_results(ranked: DataFrame) -> DataFrame:
