@@ -84,3 +84,13 @@ def test_pruned_equals_exact_on_documents(spark, ranker):
         b = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9))
                    for r in search(q, idx, ranker, k=k, prune=True).collect())
         assert a == b
+
+
+def test_search_many_equals_separate_searches(spark, index):
+    from trawl.operators.rank import search_many
+    q = spark.createDataFrame(list(enumerate(QUERIES)), "qid long, query string")
+    both = search_many(q, index, {"bm25": "bm25", "tfidf": "tfidf"}, k=3).collect()
+    for ranker in ("bm25", "tfidf"):
+        one = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, index, ranker, k=3).collect())
+        many = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in both if r.ranker == ranker)
+        assert one == many

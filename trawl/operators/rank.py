@@ -191,6 +191,34 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
     return top_k(scored.select("qid", "doc_id", "score"), k, mode, small_batch)
 
 
+def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranker], k: int = 10,
+                qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
+    """Exact top-k of several rankers from one postings scan and one join:
+    (ranker, qid, rank, doc_id, score).  Every ranker's contribution is a
+    column of the same joined rows; one aggregation sums them all, and the
+    per-ranker rows are unpivoted before the per-(ranker, query) top-k."""
+    names = list(rankers)
+    score_fns = {n: resolve_ranker(r) for n, r in rankers.items()}
+    qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
+    post, lex, n_rows = _restrict(index, qt, push_terms)
+    if n_rows is None:
+        n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
+    small = n_rows <= MAX_QUERY_TERM_ROWS
+    known = lex.join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))
+    joined = post.join(_maybe_broadcast(known, small), "term")
+    args = (F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
+    contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
+                                                for i, n in enumerate(names)])
+    summed = contrib.groupBy("qid", "doc_id").agg(*[F.sum(f"_c{i}").alias(f"_s{i}") for i in range(len(names))])
+    stacked = summed.select("qid", "doc_id", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("ranker"), F.col(f"_s{i}").alias("score")) for i, n in enumerate(names)])).alias("_x"))
+    scored = stacked.select(F.col("_x.ranker").alias("ranker"), "qid", "doc_id", F.col("_x.score").alias("score"))
+    scored = scored.filter(F.col("score") > 0).withColumn("_rs", _rs())
+    w = Window.partitionBy("ranker", "qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
+    ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.select("ranker", "qid", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
+
+
 def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
                       qid_col: str = "qid", query_col: str = "query") -> DataFrame:
     """(qid, term, qtf, ub): the largest single-term score of each known query term."""

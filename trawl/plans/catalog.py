@@ -330,12 +330,11 @@ def corpus_profile(spark, sf_dir):
 
 # ---------------------------------------------------------------- reports
 def _both_rankers(spark, sf_dir):
-    from trawl.operators import report as rp
+    """Both rankers from one scan (``search_many``), split into two result sets."""
     q = inp.bench_queries(spark, sf_dir)
-    index = _index(spark, sf_dir)
-    a = rp.label(rk.search(q, index, "bm25", inp.TOP_K), "bm25")
-    b = rp.label(rk.search(q, index, "tfidf", inp.TOP_K), "tfidf")
-    return q, a, b
+    both = rk.search_many(q, _index(spark, sf_dir), {"bm25": "bm25", "tfidf": "tfidf"}, inp.TOP_K)
+    both = both.select("ranker", "qid", "rank", "doc_id", F.round("score", 4).alias("score"))
+    return q, both.filter(F.col("ranker") == "bm25"), both.filter(F.col("ranker") == "tfidf")
 
 
 @plan("run_report")
