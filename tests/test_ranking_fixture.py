@@ -94,3 +94,26 @@ def test_search_many_equals_separate_searches(spark, index):
         one = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, index, ranker, k=3).collect())
         many = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in both if r.ranker == ranker)
         assert one == many
+
+
+def test_written_index_answers_like_in_memory(spark, tmp_dir):
+    from trawl.operators.index import Index
+    from trawl.plans import inputs as inp
+
+    from .conftest import SF_SMALL
+    mem = build_index(inp.corpus(spark, SF_SMALL))
+    path = tmp_dir + "/idx"
+    mem.write(path, term_buckets=16)
+    disk = Index.read(spark, path)
+    assert disk.term_buckets == 16
+    q = inp.bench_queries(spark, SF_SMALL)
+    for ranker in ("bm25", "tfidf"):
+        a = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, mem, ranker).collect())
+        b = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, disk, ranker).collect())
+        assert a == b
+    small = spark.createDataFrame([(0, "onesen erblest")], "qid long, query string")
+    plan = search(small, disk)._jdf.queryExecution().executedPlan().toString()
+    import re
+    scans = [line for line in plan.splitlines() if "/idx/postings" in line]
+    assert scans and all(re.search(r"PartitionFilters: \[tb#\d+ IN \(\d+(,\d+)?\)\]", line) for line in scans)
+    assert all("PushedFilters: [In(term, [erblest,onesen])" in line for line in scans)

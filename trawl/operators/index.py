@@ -101,14 +101,16 @@ class Index:
     doc_ids: DataFrame | None = None
     # One-row (n, avgdl) written with the index; computed when absent.
     stats_table: DataFrame | None = None
+    # Number of term-hash bucket folders of a written index (None in memory).
+    term_buckets: int | None = None
 
     @property
     def stats(self) -> DataFrame:
         return self.stats_table if self.stats_table is not None else collection_stats(self.doc_lengths)
 
-    def write(self, path: str, mode: str = "overwrite", layout: str = "range") -> None:
-        from trawl.sources.index_store import write_index
-        write_index(self, path, mode, layout)
+    def write(self, path: str, mode: str = "overwrite", layout: str = "range", term_buckets: int | None = None) -> None:
+        from trawl.sources.index_store import DEFAULT_TERM_BUCKETS, write_index
+        write_index(self, path, mode, layout, term_buckets or DEFAULT_TERM_BUCKETS)
 
     @staticmethod
     def read(spark, path: str) -> "Index":

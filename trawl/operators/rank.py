@@ -61,11 +61,18 @@ def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFr
     post, lex = index.postings, index.lexicon
     n_rows = None
     if push_terms:
-        rows = (qterms.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-                .limit(MAX_PUSHED_TERMS + 1).collect())
+        per_term = qterms.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+        bucketed = bool(index.term_buckets) and "tb" in post.columns
+        if bucketed:
+            from trawl.sources.index_store import term_bucket
+            per_term = per_term.withColumn("b", term_bucket(F.col("term"), index.term_buckets))
+        rows = per_term.limit(MAX_PUSHED_TERMS + 1).collect()
         if len(rows) <= MAX_PUSHED_TERMS:
             terms = [r.term for r in rows]
             n_rows = sum(r.c for r in rows)
+            if bucketed:
+                # partition pruning: only the bucket folders of the query terms
+                post = post.filter(F.col("tb").isin(sorted({r.b for r in rows})))
             post = post.filter(term_in(terms))
             lex = lex.filter(term_in(terms))
     return post, lex, n_rows

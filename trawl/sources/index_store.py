@@ -1,7 +1,11 @@
 """Persisting and opening an index.
 
 Layout under ``path``:
-  postings/     (term, doc_id, tf, dl), range-partitioned and sorted on
+  postings/tb=*/ (term, doc_id, tf, dl) in folders by term bucket
+                pmod(xxhash64(term), term_buckets): a query batch reads only the
+                folders of its terms' buckets (partition pruning at planning
+                time, no footers opened elsewhere).  Inside, range-partitioned
+                and sorted on
                 (term, doc_id) (``layout="range"``, default): files cover
                 disjoint term ranges, so a pushed-down ``term IN (...)`` skips
                 whole files by their statistics, and a very frequent term is
@@ -25,15 +29,27 @@ from pyspark.sql import functions as F
 from trawl.operators.index import Index, collection_stats, lexicon_from_postings
 
 
-def write_index(index: Index, path: str, mode: str = "overwrite", layout: str = "range") -> None:
+# Term-hash buckets of the postings directory (``tb=<n>`` sub-folders).
+DEFAULT_TERM_BUCKETS = 64
+
+
+def term_bucket(term, buckets: int):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_index(index: Index, path: str, mode: str = "overwrite", layout: str = "range",
+                term_buckets: int = DEFAULT_TERM_BUCKETS) -> None:
     base = path.rstrip("/")
     spark = index.postings.sparkSession
-    post = index.postings.select("term", "doc_id", "tf", "dl")
+    post = index.postings.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
     if layout == "range":
-        post = post.repartitionByRange("term", "doc_id")
+        # (tb, term, doc_id): each task covers a contiguous run of buckets and
+        # terms, so a bucket folder holds few files and a hot term is split.
+        post = post.repartitionByRange("tb", "term", "doc_id")
     elif layout != "sorted":
         raise ValueError("layout must be 'sorted' or 'range'")
-    post.sortWithinPartitions("term", "doc_id").write.mode(mode).parquet(f"{base}/postings")
+    (post.sortWithinPartitions("tb", "term", "doc_id")
+     .write.mode(mode).partitionBy("tb").parquet(f"{base}/postings"))
     written = spark.read.parquet(f"{base}/postings")
     # Lexicon: partial counts per file, one shuffle of distinct terms, each
     # file sorted on term (page statistics skip for a term lookup).
@@ -45,23 +61,26 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     else:
         lengths = index.doc_lengths
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
-    collection_stats(spark.read.parquet(f"{base}/doc_lengths")).coalesce(1).write.mode(mode).parquet(
-        f"{base}/stats")
+    (collection_stats(spark.read.parquet(f"{base}/doc_lengths"))
+     .withColumn("term_buckets", F.lit(term_buckets)).coalesce(1).write.mode(mode).parquet(f"{base}/stats"))
 
 
 def read_index(spark: SparkSession, path: str, stem: bool = False, stopwords=None) -> Index:
     from trawl.operators.index import DEFAULT_STOPWORDS
     base = path.rstrip("/")
-    stats = None
+    stats, buckets = None, None
     try:
         stats = spark.read.parquet(f"{base}/stats")
     except Exception:  # noqa: BLE001 -- an index written without stats
         stats = None
+    if stats is not None and "term_buckets" in stats.columns:
+        buckets = stats.select("term_buckets").first()[0]  # one row
+        stats = stats.select("n", "avgdl")
     return Index(postings=spark.read.parquet(f"{base}/postings"),
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
                  stem=stem, stopwords=DEFAULT_STOPWORDS if stopwords is None else tuple(stopwords),
-                 stats_table=stats)
+                 stats_table=stats, term_buckets=buckets)
 
 
 def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:
@@ -70,6 +89,11 @@ def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:
     the term list is small)."""
     if isinstance(terms, list):
         from trawl.operators.rank import term_in
-        return index.postings.filter(term_in(terms))
+        post = index.postings
+        if index.term_buckets and "tb" in post.columns:
+            rows = (post.sparkSession.createDataFrame([(t,) for t in terms], "term string")
+                    .select(term_bucket(F.col("term"), index.term_buckets).alias("b")).distinct().collect())
+            post = post.filter(F.col("tb").isin([r.b for r in rows]))
+        return post.filter(term_in(terms))
     from trawl.operators.distribute import broadcast_if_small
     return index.postings.join(broadcast_if_small(terms.select("term").distinct()), "term", "left_semi")
