@@ -109,8 +109,8 @@ class Index:
         return self.stats_table if self.stats_table is not None else collection_stats(self.doc_lengths)
 
     def write(self, path: str, mode: str = "overwrite", layout: str = "range", term_buckets: int | None = None) -> None:
-        from trawl.sources.index_store import DEFAULT_TERM_BUCKETS, write_index
-        write_index(self, path, mode, layout, term_buckets or DEFAULT_TERM_BUCKETS)
+        from trawl.sources.index_store import write_index
+        write_index(self, path, mode, layout, term_buckets)
 
     @staticmethod
     def read(spark, path: str) -> "Index":

@@ -29,8 +29,22 @@ from pyspark.sql import functions as F
 from trawl.operators.index import Index, collection_stats, lexicon_from_postings
 
 
-# Term-hash buckets of the postings directory (``tb=<n>`` sub-folders).
-DEFAULT_TERM_BUCKETS = 64
+# Term-hash buckets of the postings directory (``tb=<n>`` sub-folders): by
+# default one per BYTES_PER_BUCKET of corpus input, between 1 and MAX_BUCKETS,
+# so a small index is one folder and a very large one prunes to 1/4096.
+BYTES_PER_BUCKET = 256 << 20
+MAX_BUCKETS = 4096
+
+
+def default_term_buckets(index: Index) -> int:
+    if index.doc_ids is None:
+        return 1
+    try:
+        from trawl.sources.tables import input_bytes
+        size = input_bytes(index.doc_ids.sparkSession, index.doc_ids)
+    except Exception:  # noqa: BLE001 -- not a file-based corpus
+        return 1
+    return int(min(MAX_BUCKETS, max(1, size // BYTES_PER_BUCKET)))
 
 
 def term_bucket(term, buckets: int):
@@ -38,9 +52,10 @@ def term_bucket(term, buckets: int):
 
 
 def write_index(index: Index, path: str, mode: str = "overwrite", layout: str = "range",
-                term_buckets: int = DEFAULT_TERM_BUCKETS) -> None:
+                term_buckets: int | None = None) -> None:
     base = path.rstrip("/")
     spark = index.postings.sparkSession
+    term_buckets = term_buckets or default_term_buckets(index)
     post = index.postings.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
     if layout == "range":
         # (tb, term, doc_id): each task covers a contiguous run of buckets and
