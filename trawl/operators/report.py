@@ -40,20 +40,25 @@ def compare_rankers(ranked: DataFrame, rankers: tuple[str, ...] = ("bm25", "tfid
             .select(*[F.col(r).alias(f"{r}_avg_score") for r in rankers]))
 
 
-def _shared(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.select("qid", "doc_id").join(b.select("qid", "doc_id"), ["qid", "doc_id"])
+def _shared(ranked: DataFrame, a: str, b: str) -> DataFrame:
+    """(qid, doc_id) returned by both rankers ``a`` and ``b``: one pass over
+    the combined results (each ranker lists a document once per query)."""
+    two = ranked.filter(F.col("ranker").isin(a, b))
+    return (two.groupBy("qid", "doc_id").agg(F.count_distinct("ranker").alias("_n"))
+            .filter(F.col("_n") == 2).select("qid", "doc_id"))
 
 
-def overlap(queries: DataFrame, a: DataFrame, b: DataFrame, qid_col: str = "qid") -> DataFrame:
+def overlap(queries: DataFrame, ranked: DataFrame, a: str = "bm25", b: str = "tfidf",
+            qid_col: str = "qid") -> DataFrame:
     """(qid, shared): number of documents both top-k lists return; 0 included."""
-    s = _shared(a, b).groupBy("qid").agg(F.count(F.lit(1)).alias("shared"))
+    s = _shared(ranked, a, b).groupBy("qid").agg(F.count(F.lit(1)).alias("shared"))
     q = queries.select(F.col(qid_col).alias("qid"))
     return q.join(s, "qid", "left").select("qid", F.coalesce("shared", F.lit(0)).alias("shared"))
 
 
-def shared_docs(a: DataFrame, b: DataFrame) -> DataFrame:
+def shared_docs(ranked: DataFrame, a: str = "bm25", b: str = "tfidf") -> DataFrame:
     """(qid, shared_ids): sorted 7-digit ids both rankers return."""
-    s = _shared(a, b).groupBy("qid").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
+    s = _shared(ranked, a, b).groupBy("qid").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
     return s.select("qid", F.array_join(F.transform("ids", lambda d: F.format_string("%07d", d)), ",")
                     .alias("shared_ids"))
 

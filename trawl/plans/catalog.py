@@ -330,51 +330,47 @@ def corpus_profile(spark, sf_dir):
 
 # ---------------------------------------------------------------- reports
 def _both_rankers(spark, sf_dir):
-    """Both rankers from one scan (``search_many``), split into two result sets."""
+    """Both rankers from one scan (``search_many``): (ranker, qid, rank, doc_id, score)."""
     q = inp.bench_queries(spark, sf_dir)
     both = rk.search_many(q, _index(spark, sf_dir), {"bm25": "bm25", "tfidf": "tfidf"}, inp.TOP_K)
-    both = both.select("ranker", "qid", "rank", "doc_id", F.round("score", 4).alias("score"))
-    return q, both.filter(F.col("ranker") == "bm25"), both.filter(F.col("ranker") == "tfidf")
+    return q, both.select("ranker", "qid", "rank", "doc_id", F.round("score", 4).alias("score"))
 
 
 @plan("run_report")
 def run_report(spark, sf_dir):
     """Per ranker queries, hits, results and score range."""
     from trawl.operators import report as rp
-    q, a, b = _both_rankers(spark, sf_dir)
-    return rp.run_report(q, a.unionByName(b))
+    q, both = _both_rankers(spark, sf_dir)
+    return rp.run_report(q, both)
 
 
 @plan("ranker_comparison")
 def ranker_comparison(spark, sf_dir):
     """Average score per ranker side by side."""
     from trawl.operators import report as rp
-    _, a, b = _both_rankers(spark, sf_dir)
-    return rp.compare_rankers(a.unionByName(b))
+    return rp.compare_rankers(_both_rankers(spark, sf_dir)[1])
 
 
 @plan("ranker_overlap")
 def ranker_overlap(spark, sf_dir):
     """Shared top-10 documents per query, every query."""
     from trawl.operators import report as rp
-    q, a, b = _both_rankers(spark, sf_dir)
-    return rp.overlap(q, a, b)
+    q, both = _both_rankers(spark, sf_dir)
+    return rp.overlap(q, both)
 
 
 @plan("ranker_shared_docs")
 def ranker_shared_docs(spark, sf_dir):
     """The shared ids per query."""
     from trawl.operators import report as rp
-    _, a, b = _both_rankers(spark, sf_dir)
-    return rp.shared_docs(a, b)
+    return rp.shared_docs(_both_rankers(spark, sf_dir)[1])
 
 
 @plan("ranker_best")
 def ranker_best(spark, sf_dir):
     """E5: best document per query and ranker, ties listed."""
     from trawl.operators import report as rp
-    _, a, b = _both_rankers(spark, sf_dir)
-    return rp.best_docs(a.unionByName(b))
+    return rp.best_docs(_both_rankers(spark, sf_dir)[1])
 
 
 # ---------------------------------------------------------------- pages and links
