@@ -23,7 +23,6 @@ def main() -> None:
 
     from trawl.operators import crawlplan as cp
     from trawl.operators import index as ix
-    from trawl.operators import pages as pg
     from trawl.operators import rank as rk
     from trawl.plans import inputs as inp
     from trawl.plans.catalog import _robots_rules
