@@ -85,3 +85,15 @@ def test_results_json(spark):
     assert out[1] == {"Query": "zebra", "Results": []}
     assert out[0]["Query"] == "red" and [x["ID"] for x in out[0]["Results"]] == ["0000002", "0000001"]
     assert all(isinstance(x["Score"], float) for x in out[0]["Results"])
+
+
+def test_repeated_id_later_record_wins(spark, tmp_dir):
+    from trawl.operators.index import build_index
+    p = os.path.join(tmp_dir, "dup.jsonl")
+    _write(p, ['{"id": 1, "text": "red apple"}\n', '{"id": 2, "text": "green pie"}\n',
+               '{"id": 1, "text": "blue car car"}\n'])
+    corpus = src.with_defaults(src.read_corpus(spark, p))
+    idx = build_index(corpus, stopwords=None, last_wins_order=["src_file", "src_pos"])
+    post = {(r.term, r.doc_id): r.tf for r in idx.postings.collect()}
+    assert post == {("blue", 1): 1, ("car", 1): 2, ("green", 2): 1, ("pie", 2): 1}
+    assert {r.doc_id: r.dl for r in idx.doc_lengths.collect()} == {1: 3, 2: 2}
