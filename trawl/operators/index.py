@@ -59,6 +59,28 @@ def postings_from_terms(terms: DataFrame, stem: bool = False) -> DataFrame:
     return post
 
 
+# Reserved term carrying each document's length inside the postings: every
+# document gets one ("", doc_id, 1, dl) row.  Tokens are never empty, so the
+# row cannot meet a real term.
+LENGTH_TERM = ""
+
+
+def postings_with_lengths(terms: DataFrame, stem: bool = False) -> DataFrame:
+    """(term, doc_id, tf, dl) plus one ``LENGTH_TERM`` row per document (also
+    for documents without any term).  Written indexes read their document
+    lengths back from these rows, so the corpus is tokenized once and no
+    second aggregation over all postings is needed."""
+    marked = terms.withColumn("terms", F.concat(F.col("terms"), F.array(F.lit(LENGTH_TERM))))
+    exploded = explode_nonempty(marked.withColumn("dl", (F.size("terms") - 1).cast("long")),
+                                "terms", "term", "doc_id", "dl")
+    post = exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
+    if stem:
+        from trawl.functions.stem import stem_column_terms
+        post = stem_column_terms(post, "term").groupBy("term", "doc_id").agg(
+            F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
+    return post
+
+
 def postings(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,
              id_col: str = "doc_id", title_col: str | None = "title", text_col: str = "text") -> DataFrame:
     """(term, doc_id, tf): term frequency per document."""
@@ -103,6 +125,9 @@ class Index:
     stats_table: DataFrame | None = None
     # Number of term-hash bucket folders of a written index (None in memory).
     term_buckets: int | None = None
+    # Postings with the per-document length rows (see ``LENGTH_TERM``); what
+    # ``write`` stores.  None for an index read back from storage.
+    combined: DataFrame | None = None
 
     @property
     def stats(self) -> DataFrame:
@@ -126,11 +151,12 @@ def build_index(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STO
     if last_wins_order:
         corpus = last_record_per_id(corpus, id_col, last_wins_order)
     terms = doc_terms(corpus, id_col, title_col, text_col, stopwords)
-    post = postings_from_terms(terms, stem)
+    combined = postings_with_lengths(terms, stem)
+    post = combined.filter(F.col("term") != LENGTH_TERM)
     return Index(postings=post, lexicon=lexicon_from_postings(post),
                  doc_lengths=doc_lengths_from_terms(terms), stem=stem,
                  stopwords=tuple(stopwords) if stopwords is not None else None,
-                 doc_ids=corpus.select(F.col(id_col).alias("doc_id")))
+                 doc_ids=corpus.select(F.col(id_col).alias("doc_id")), combined=combined)
 
 
 def last_record_per_id(corpus: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:

@@ -15,9 +15,10 @@ Layout under ``path``:
   lexicon/      (term, df), each file sorted on term
   doc_lengths/  (doc_id, dl)
   stats/        one row (n, avgdl), so opening the index aggregates nothing
-The corpus is tokenized once: lexicon and document lengths are derived from
-the written postings (documents without any indexed term come from a scan of
-the corpus id column only).  Collection statistics are recomputed from
+The corpus is tokenized once: the lexicon is derived from the written
+postings, and document lengths from the one reserved-term row per document
+that the postings carry (``LENGTH_TERM``), so no aggregation over all postings
+and no second tokenization is needed.  Collection statistics are recomputed from
 ``doc_lengths`` when the index is opened (one small aggregate).
 """
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import Index, collection_stats, lexicon_from_postings
+from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_from_postings
 
 
 # Term-hash buckets of the postings directory (``tb=<n>`` sub-folders): by
@@ -56,7 +57,8 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     base = path.rstrip("/")
     spark = index.postings.sparkSession
     term_buckets = term_buckets or default_term_buckets(index)
-    post = index.postings.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
+    source = index.combined if index.combined is not None else index.postings
+    post = source.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
     if layout == "range":
         # (tb, term, doc_id): each task covers a contiguous run of buckets and
         # terms, so a bucket folder holds few files and a hot term is split.
@@ -68,11 +70,13 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     written = spark.read.parquet(f"{base}/postings")
     # Lexicon: partial counts per file, one shuffle of distinct terms, each
     # file sorted on term (page statistics skip for a term lookup).
-    lexicon_from_postings(written).sortWithinPartitions("term").write.mode(mode).parquet(f"{base}/lexicon")
-    if index.doc_ids is not None:
-        per_doc = written.groupBy("doc_id").agg(F.max("dl").alias("dl"))
-        lengths = (index.doc_ids.dropDuplicates(["doc_id"]).join(per_doc, "doc_id", "left")
-                   .select("doc_id", F.coalesce("dl", F.lit(0)).cast("long").alias("dl")))
+    (lexicon_from_postings(written.filter(F.col("term") != LENGTH_TERM)).sortWithinPartitions("term")
+     .write.mode(mode).parquet(f"{base}/lexicon"))
+    if index.combined is not None:
+        # The length rows: one bucket folder (pruned), first rows of its sort.
+        lengths = (written.filter((F.col("tb") == term_bucket(F.lit(LENGTH_TERM), term_buckets))
+                                  & (F.col("term") == LENGTH_TERM))
+                   .select("doc_id", F.col("dl").cast("long").alias("dl")))
     else:
         lengths = index.doc_lengths
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
@@ -91,7 +95,7 @@ def read_index(spark: SparkSession, path: str, stem: bool = False, stopwords=Non
     if stats is not None and "term_buckets" in stats.columns:
         buckets = stats.select("term_buckets").first()[0]  # one row
         stats = stats.select("n", "avgdl")
-    return Index(postings=spark.read.parquet(f"{base}/postings"),
+    return Index(postings=spark.read.parquet(f"{base}/postings").filter(F.col("term") != LENGTH_TERM),
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
                  stem=stem, stopwords=DEFAULT_STOPWORDS if stopwords is None else tuple(stopwords),
