@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import quality_bands
+from trawl.llm import quality_bands, simhash
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +25,10 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = quality_bands.compression_bands(docs)
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "ratio", "n_chunks", "n_bad_chunks")
+
+
+@query
+def op3_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicate_classes(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
