@@ -45,3 +45,9 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (a stored table) marked for broadcast if it has at most ``rows`` rows.
+    Beyond that Spark joins it by a shuffle; the result is the same."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -1,3 +1,46 @@
 """DuckDB SQL of the queries that SQL can express, written out on its own."""
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _words(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
 SQL: dict[str, str] = {}
+
+SQL["op2_positional_index"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words('text')} AS w FROM documents),
+items AS (SELECT DISTINCT item_id, {_words('text')} AS w FROM benchmark),
+full_items AS (SELECT * FROM items WHERE len(w) > 0),
+starts AS (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM full_items),
+phrases AS (SELECT DISTINCT item_id, array_to_string(w[s + 1:s + 10], ' ') AS phrase, len(w[s + 1:s + 10]) AS n FROM starts),
+sizes AS (SELECT DISTINCT n FROM phrases),
+doc_starts AS (SELECT rid, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM d, sizes WHERE len(w) >= n),
+doc_windows AS (SELECT rid, s, n, array_to_string(w[s + 1:s + n], ' ') AS phrase FROM doc_starts),
+found AS (SELECT x.rid, x.s, x.n, p.item_id FROM doc_windows x JOIN phrases p ON x.phrase = p.phrase AND x.n = p.n),
+marked AS (SELECT DISTINCT rid, s, n FROM found),
+positions AS (SELECT rid, unnest(range(s, s + n)) AS pos FROM marked),
+hit AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM positions GROUP BY rid),
+named AS (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL),
+listed AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM named GROUP BY rid),
+tokens AS (SELECT rid, unnest(w) AS term, unnest(range(0, len(w))) AS pos FROM d),
+freq AS (SELECT term, count(*) AS n FROM tokens GROUP BY term),
+texts AS (SELECT DISTINCT array_to_string(w, ' ') AS item, w FROM full_items),
+item_terms AS (SELECT DISTINCT item, unnest(w) AS term FROM texts),
+counted AS (SELECT item, i.term, n, row_number() OVER (PARTITION BY item ORDER BY n, i.term) AS r,
+                   bool_or(n IS NULL) OVER (PARTITION BY item) AS missing
+            FROM item_terms i LEFT JOIN freq f ON i.term = f.term),
+rare AS (SELECT item, term FROM counted WHERE NOT missing AND r <= 3),
+n_rare AS (SELECT item, count(*) AS k FROM rare GROUP BY item),
+near_hits AS (SELECT rid, pos, r.item, r.term FROM tokens t JOIN rare r ON t.term = r.term),
+spans AS (SELECT a.rid, a.item, a.pos, count(DISTINCT b.term) AS k
+          FROM near_hits a JOIN near_hits b ON a.rid = b.rid AND a.item = b.item AND b.pos BETWEEN a.pos AND a.pos + 19
+          GROUP BY a.rid, a.item, a.pos),
+near_items AS (SELECT DISTINCT s.rid, s.item FROM spans s JOIN n_rare n ON s.item = n.item AND s.k = n.k),
+near AS (SELECT rid, count(*) AS n_near FROM near_items GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN hit ON d.rid = hit.rid LEFT JOIN listed ON d.rid = listed.rid LEFT JOIN near ON d.rid = near.rid
+"""

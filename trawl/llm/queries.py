@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import quality_bands, simhash
+from trawl.llm import decontam, quality_bands, simhash
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +32,11 @@ def op3_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicate_classes(docs).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = decontam.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return r.select("doc_id", "n_words", "n_hit", "n_items",
+                    F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
