@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, quality_bands, simhash
+from trawl.llm import decontam, pii, quality_bands, simhash
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,16 @@ def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = decontam.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return r.select("doc_id", "n_words", "n_hit", "n_items",
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
+
+
+def _span_list(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+@query
+def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"].isin(*pii.BASE))
+    return r.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
+                    F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans"))
