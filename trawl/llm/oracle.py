@@ -44,3 +44,38 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
 FROM d LEFT JOIN hit ON d.rid = hit.rid LEFT JOIN listed ON d.rid = listed.rid LEFT JOIN near ON d.rid = near.rid
 """
+
+SQL["op4_pfair_mix"] = """
+WITH RECURSIVE weights AS (
+  SELECT * FROM (VALUES ('src0', 12), ('src1', 8), ('src2', 8), ('src3', 6), ('src4', 6), ('src5', 5), ('src6', 5),
+    ('src7', 5), ('src8', 5), ('src9', 5), ('src10', 4), ('src11', 4), ('src12', 4), ('src13', 4), ('src14', 4),
+    ('src15', 3), ('src16', 3), ('src17', 3), ('src18', 3), ('src19', 2), (NULL, 1)) AS v(name, q)),
+classes AS (SELECT name, q, row_number() OVER (ORDER BY name NULLS LAST) AS g FROM weights),
+total AS (SELECT sum(q) AS q FROM weights),
+lists AS (SELECT list(q ORDER BY g) AS qs FROM classes),
+run AS (
+  SELECT 0 AS t, [0 FOR x IN qs] AS done, 0 AS pick FROM lists
+  UNION ALL
+  SELECT t + 1,
+         [done[i] + CASE WHEN i = pick_next THEN 1 ELSE 0 END FOR i IN range(1, len(done) + 1)],
+         pick_next
+  FROM (SELECT t, done,
+          list_min([CASE WHEN floor(done[i] * n / qs[i]) <= t
+                         THEN ceil((done[i] + 1) * n / qs[i]) * 1000 + i END FOR i IN range(1, len(done) + 1)])::BIGINT % 1000
+            AS pick_next
+        FROM run, lists, (SELECT q::DOUBLE AS n FROM total)) s
+  WHERE t < (SELECT q FROM total)),
+sched AS (SELECT t - 1 AS t, pick AS g, done[pick] - 1 AS k FROM run WHERE t > 0),
+ranked AS (
+  SELECT d.doc_id, d.source, coalesce(c.g, (SELECT max(g) FROM classes)) AS g,
+         row_number() OVER (PARTITION BY coalesce(c.g, (SELECT max(g) FROM classes))
+                            ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id, d.source) - 1 AS rank
+  FROM documents d LEFT JOIN classes c ON d.source = c.name),
+slots AS (
+  SELECT r.doc_id, r.source, r.rank, r.rank // 32 AS block,
+         ((r.rank // 32) // c.q) * (SELECT q FROM total) + s.t AS slot
+  FROM ranked r JOIN classes c ON r.g = c.g JOIN sched s ON s.g = r.g AND s.k = (r.rank // 32) % c.q)
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(slot AS BIGINT) AS slot,
+       row_number() OVER (ORDER BY slot, rank) - 1 AS position
+FROM slots
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, pii, quality_bands, simhash
+from trawl.llm import decontam, mixing, pii, quality_bands, simhash
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,9 @@ def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda x: x["kind"].isin(*pii.BASE))
     return r.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
                     F.sha2(_span_list(base), 256).alias("base_sha256"), _span_list(F.col("spans")).alias("spans"))
+
+
+@query
+def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, mixing.TARGET_PARTS)
