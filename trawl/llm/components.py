@@ -16,9 +16,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Labels only fall and stay inside the component, so the rounds end; they end
     when no label changed, which is when each component has one label.
     """
-    both = stored(edges.where("a <> b").select("a", "b")
-                  .unionAll(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-                  .distinct(), "cc-edges")
+    once = stored(edges.where("a <> b").select("a", "b"), "cc-links")
+    both = stored(once.unionAll(once.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
     labels = stored(both.groupBy(F.col("a").alias("node"))
                     .agg(F.least(F.first("a"), F.min("b")).alias("root")), "cc-labels")
     while True:
