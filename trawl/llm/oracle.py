@@ -79,3 +79,52 @@ SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(slot AS BIGINT) AS s
        row_number() OVER (ORDER BY slot, rank) - 1 AS position
 FROM slots
 """
+
+_SUFFIXES2 = ("('co.uk','org.uk','ac.uk','gov.uk','com.au','net.au','org.au','co.nz','co.jp','ne.jp','or.jp','com.br',"
+              "'com.cn','com.mx','co.in','co.kr','co.za','com.tr','com.ar','com.tw')")
+
+
+def _weight(children: str) -> str:
+    """Weight of a level's prior: moments of its children (bad, n) around m."""
+    return f"""(SELECT CASE WHEN coalesce(sum(n * (bad / n - m) * (bad / n - m) - m * (1 - m)), 0) <= 1e-12 THEN 1000.0
+        ELSE greatest(2.0, least(1000.0, sum(m * (1 - m) * (n - 1))
+             / sum(n * (bad / n - m) * (bad / n - m) - m * (1 - m)) - 1)) END AS w FROM {children} WHERE n > 0)"""
+
+
+SQL["op5_host_reputation"] = rf"""
+WITH p AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), {_AZ}) AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+known AS (SELECT doc_id AS page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad
+          FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+h0 AS (SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad, string_split(host, '.') AS parts
+       FROM p LEFT JOIN known k ON p.page_id = k.page_id GROUP BY host),
+h1 AS (SELECT host, n, bad, parts, array_to_string(parts[-2:], '.') AS two FROM h0),
+hosts AS (SELECT host, n, bad,
+            CASE WHEN two IN {_SUFFIXES2} THEN array_to_string(parts[-3:], '.') ELSE two END AS domain,
+            CASE WHEN two IN {_SUFFIXES2} THEN two ELSE parts[-1] END AS suffix FROM h1),
+domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
+top AS (SELECT (coalesce(sum(bad), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) AS m FROM suffixes),
+s1 AS (SELECT s.*, m FROM suffixes s, top),
+s2 AS (SELECT suffix, (w * m + bad) / (w + n) AS m FROM s1, {_weight('s1')}),
+d1 AS (SELECT d.*, m FROM domains d JOIN s2 ON d.suffix = s2.suffix),
+d2 AS (SELECT suffix, domain, (w * m + bad) / (w + n) AS m FROM d1, {_weight('d1')}),
+h2 AS (SELECT h.host, h.n, h.bad, m FROM hosts h JOIN d2 ON h.suffix = d2.suffix AND h.domain = d2.domain),
+h3 AS (SELECT host, n, bad, (w * m + bad) / (w + n) AS m, w + n AS size FROM h2, {_weight('h2')}),
+h4 AS (SELECT host, n, bad, m, greatest(0.0, m - 1.645 * sqrt(m * (1 - m) / (size + 1))) AS low FROM h3),
+fits AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT f.page_id, f.host, f.path, f.rule,
+       CASE WHEN f.rule IN ('net/', 'example.com/de/') THEN 'block' WHEN f.rule IS NOT NULL THEN 'allow'
+            WHEN round(h.low, 6) > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       CAST(h.n AS BIGINT) AS n_labelled, CAST(h.bad AS BIGINT) AS n_bad,
+       round(h.m, 6) AS bad_mean, round(h.low, 6) AS bad_low
+FROM fits f JOIN h4 h ON f.host = h.host
+"""

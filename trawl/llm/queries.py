@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, mixing, pii, quality_bands, simhash
+from trawl.llm import decontam, mixing, pii, quality_bands, simhash, url_reputation
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,16 @@ def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs, mixing.TARGET_PARTS)
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known outcomes of pages: a page's id is that of the document taken from it, and
+    it was bad if that document was labelled toxic or of low quality."""
+    return table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad"))
+
+
+@query
+def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_reputation.judge(pages, page_outcomes(spark, sf_dir)).drop("url")
