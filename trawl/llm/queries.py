@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, mixing, pii, quality_bands, simhash, url_reputation
+from trawl.llm import decontam, license_templates, mixing, pii, quality_bands, simhash, url_reputation
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,10 @@ def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_reputation.judge(pages, page_outcomes(spark, sf_dir)).drop("url")
+
+
+@query
+def op6_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = license_templates.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return r.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
+                    F.round("score", 6).alias("score"))
