@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, license_templates, mixing, pii, quality_bands, simhash, url_reputation
+from trawl.llm import decontam, language_id, license_templates, mixing, pii, quality_bands, simhash, url_reputation
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,12 @@ def op6_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = license_templates.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels",
                     F.round("score", 6).alias("score"))
+
+
+@query
+def op7_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 4
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", remainder.alias("part"))
+    model = language_id.train(docs.where("part <> 2").select("doc_id", "text", "lang"))
+    r = language_id.identify(docs.select("doc_id", "text", "part"), model)
+    return r.select("doc_id", F.coalesce(F.col("part") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
