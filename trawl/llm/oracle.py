@@ -128,3 +128,18 @@ SELECT f.page_id, f.host, f.path, f.rule,
        round(h.m, 6) AS bad_mean, round(h.low, 6) AS bad_low
 FROM fits f JOIN h4 h ON f.host = h.host
 """
+
+SQL["op8_countmin_windows"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT rid, doc_id, w, unnest(range(0, len(w) - 12)) AS s FROM d WHERE len(w) >= 13),
+win AS (SELECT rid, doc_id, s, array_to_string(w[s + 1:s + 13], ' ') AS k FROM starts),
+firsts AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k HAVING count(*) > 1),
+bad AS (SELECT DISTINCT rid, unnest(range(s, s + 13)) AS pos FROM win JOIN firsts ON win.k = firsts.k WHERE m < doc_id),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM d),
+kept AS (SELECT words.rid, string_agg(word, ' ' ORDER BY words.pos) AS t, count(*) AS n
+         FROM words LEFT JOIN bad ON words.rid = bad.rid AND words.pos = bad.pos WHERE bad.rid IS NULL GROUP BY words.rid)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.rid = kept.rid
+"""

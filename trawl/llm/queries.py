@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, language_id, license_templates, mixing, pii, quality_bands, simhash, url_reputation
+from trawl.llm import decontam, language_id, license_templates, mixing, pii, quality_bands, simhash, substring_dedup, url_reputation
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,9 @@ def op7_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.where("part <> 2").select("doc_id", "text", "lang"))
     r = language_id.identify(docs.select("doc_id", "text", "part"), model)
     return r.select("doc_id", F.coalesce(F.col("part") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_countmin_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return r.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
