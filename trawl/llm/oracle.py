@@ -143,3 +143,33 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.rid = kept.rid
 """
+
+_RECORD = r"""concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: response', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', page_id,
+  '>', chr(13), chr(10), 'WARC-Target-URI: ', url, chr(13), chr(10), 'Content-Length: ', strlen(coalesce(html, '')),
+  chr(13), chr(10), chr(13), chr(10), html, chr(13), chr(10), chr(13), chr(10))"""
+
+
+def _replica(pages: str) -> str:
+    return f"""SELECT file, page_id, length, digest,
+         coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, digest
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
+  FROM (SELECT printf('pages-%08d.warc', coalesce(floor(page_id / 500)::BIGINT, -1)) AS file, page_id,
+               strlen({_RECORD}) AS length, sha256({_RECORD}) AS digest FROM {pages}) r"""
+
+
+SQL["op10_merkle_fixity"] = f"""
+WITH damaged AS (
+  SELECT page_id, url, CASE WHEN page_id % 211 = 17 THEN concat('#', substring(html, 2))
+                            WHEN page_id % 1009 = 400 THEN substring(html, 3) ELSE html END AS html
+  FROM pages WHERE NOT coalesce(floor(page_id / 500)::BIGINT % 20 = 3 AND page_id % 500 >= 495, false)),
+a AS ({_replica('pages')}), b AS ({_replica('damaged')}),
+ga AS (SELECT file, off, string_agg(digest, ',' ORDER BY page_id, length, digest) AS d,
+              string_agg(page_id || ':' || length, ',' ORDER BY page_id, length, digest) AS r FROM a GROUP BY file, off),
+gb AS (SELECT file, off, string_agg(digest, ',' ORDER BY page_id, length, digest) AS d,
+              string_agg(page_id || ':' || length, ',' ORDER BY page_id, length, digest) AS r FROM b GROUP BY file, off)
+SELECT coalesce(ga.file, gb.file) AS file, coalesce(ga.off, gb.off) AS "offset",
+       CASE WHEN gb.file IS NULL THEN 'missing' WHEN ga.file IS NULL THEN 'extra' ELSE 'changed' END AS status,
+       ga.r AS first_records, gb.r AS second_records
+FROM ga FULL JOIN gb ON ga.file = gb.file AND ga.off = gb.off
+WHERE ga.d IS DISTINCT FROM gb.d
+"""

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.llm import decontam, language_id, license_templates, mixing, pii, quality_bands, simhash, substring_dedup, url_reputation
+from trawl.llm import (
+    decontam,
+    language_id,
+    license_templates,
+    merkle_audit,
+    mixing,
+    pii,
+    quality_bands,
+    simhash,
+    substring_dedup,
+    url_reputation,
+)
 from trawl.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +105,23 @@ def op7_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_countmin_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return r.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def second_replica(pages: DataFrame) -> DataFrame:
+    """A replica to audit, with damage by rule: the content of every 211th page starts
+    with another character, every 20th file has lost its last five records, and a page
+    in 1009 has a shorter content, which moves all records after it."""
+    lost = (F.floor(F.col("page_id") / merkle_audit.FILE_RECORDS) % 20 == 3) & (
+        F.col("page_id") % merkle_audit.FILE_RECORDS >= merkle_audit.FILE_RECORDS - 5)
+    html = (F.when(F.col("page_id") % 211 == 17, F.concat(F.lit("#"), F.expr("substring(html, 2)")))
+            .when(F.col("page_id") % 1009 == 400, F.expr("substring(html, 3)")).otherwise(F.col("html")))
+    return pages.where(~F.coalesce(lost, F.lit(False))).withColumn("html", html)
+
+
+@query
+def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    r = merkle_audit.audit(merkle_audit.archive(pages), merkle_audit.archive(second_replica(pages)))
+    listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["record_id"], x["length"])), ",")
+    return r.select("file", "offset", "status", listed("first_records").alias("first_records"),
+                    listed("second_records").alias("second_records"))
