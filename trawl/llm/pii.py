@@ -158,6 +158,13 @@ def find_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Dat
     return out.withColumn(spans, F.concat(F.col(base), added)).drop(base, *found)
 
 
+def _masked(kind: Kind, parts: Column) -> Column:
+    """The text put together again, confirmed hits replaced; null parts give null."""
+    name = F.lit(f"[{kind.name.upper()}]")
+    return F.array_join(F.transform(parts, lambda x, i: F.concat(x["gaps"], F.when(
+        _score(kind, parts, x, i).isNotNull(), name).otherwise(F.coalesce(x["hits"], F.lit(""))))), "")
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every confirmed span replaced by its kind, as ``[EMAIL]``.  The
     kinds take turns in their order, each on the text that the last one left."""
@@ -165,8 +172,5 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs
     for kind in KINDS:
         out = out.withColumn(work, _parts(kind, F.col(text)))
-        pieces = F.transform(F.col(work), lambda x, i, k=kind: F.concat(
-            x["gaps"], F.when(_score(k, F.col(work), x, i).isNotNull(), F.lit(f"[{k.name.upper()}]"))
-            .otherwise(F.coalesce(x["hits"], F.lit("")))))
-        out = out.withColumn(text, F.coalesce(F.array_join(pieces, ""), F.col(text)))
+        out = out.withColumn(text, F.coalesce(_masked(kind, F.col(work)), F.col(text)))
     return out.drop(work)
