@@ -89,7 +89,7 @@ def window_keys(hashes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of one length as a compressed block, byte by byte of the values."""
     n = len(arrays[0])
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(n, -1).T.tobytes() for a in arrays]
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(n, a.dtype.itemsize).T.tobytes() for a in arrays]
     return n.to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
