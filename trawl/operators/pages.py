@@ -4,7 +4,7 @@ the explicit distinct/aggregate steps."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
@@ -49,6 +49,18 @@ def page_summary(pages: DataFrame, chars: int = 1000, words: int = 20) -> DataFr
                         H.first_words(H.visible_text(F.col("html")), chars, words).alias("text"))
 
 
+def summary_json(pages: DataFrame, fetched_at: Column | None = None) -> DataFrame:
+    """(page_id, json): the summary with its time as one JSON line per page."""
+    at = F.current_timestamp() if fetched_at is None else fetched_at
+    parts = page_summary(pages).withColumn("timestamp", F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"))
+    return parts.select("page_id", F.to_json(F.struct("timestamp", "title", "url", "text")).alias("json"))
+
+
+def successful(fetches: DataFrame, status_col: str = "status", failures: tuple[str, ...] = ("error",)) -> DataFrame:
+    """Fetches whose status is not one of ``failures`` (a null status is no success)."""
+    return fetches.filter(~F.col(status_col).isin(*failures))
+
+
 def pages_corpus(pages: DataFrame) -> DataFrame:
     """(doc_id, title, text) for the indexer: page id, title and visible text."""
     return pages.select(F.col("page_id").alias("doc_id"), H.title_text(F.col("html")).alias("title"),

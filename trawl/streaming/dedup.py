@@ -14,6 +14,3 @@ def new_link_targets(pages_stream: DataFrame) -> DataFrame:
     edges = link_edges(pages_stream)
     return edges.select(F.col("dst_url").alias("url")).dropDuplicates(["url"])
 
-
-def new_urls(url_stream: DataFrame, url_col: str = "url") -> DataFrame:
-    return url_stream.dropDuplicates([url_col])

@@ -1,16 +1,19 @@
-"""Running crawl progress -- fetches per event-time window, emitted once a
-window can no longer change (watermark), in append mode."""
+"""Running crawl progress -- fetches per event-time window.
+
+There is no watermark: a row counts however late its file comes, and the newest window is
+reported too.  The state is one row per window.  Run it with ``runner.run_updates``,
+which keeps the latest count of every window."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+KEYS = ("window_start", "window_end")
+
 
-def progress_windows(fetches: DataFrame, ts_col: str = "ts", window: str = "1 hour",
-                     lateness: str = "0 seconds") -> DataFrame:
-    """(window_start, window_end, fetches) for closed windows."""
-    ts = F.col(ts_col).cast("timestamp")
-    s = fetches.withColumn("_ts", ts).withWatermark("_ts", lateness)
-    agg = s.groupBy(F.window("_ts", window).alias("w")).agg(F.count(F.lit(1)).alias("fetches"))
+def progress_windows(fetches: DataFrame, ts_col: str = "ts", window: str = "1 hour") -> DataFrame:
+    """(window_start, window_end, fetches), to be written in update mode."""
+    timed = fetches.select(F.col(ts_col).cast("timestamp").alias("_ts"))
+    agg = timed.groupBy(F.window("_ts", window).alias("w")).agg(F.count(F.lit(1)).alias("fetches"))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "fetches")

@@ -4,6 +4,7 @@ the shared scratch location, and read the committed result back."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trawl.session import scratch_path
 
@@ -38,31 +39,51 @@ def use_disk_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
+def _finish(query, name: str, timeout_s: float | None) -> None:
+    """Wait for the end; a stream that is over its time, if one is given, is stopped."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      timeout_s: int = 900) -> DataFrame:
+                      timeout_s: float | None = None) -> DataFrame:
     """Process all available input once (``availableNow``), write to a parquet
     sink, and return the committed sink contents as a batch DataFrame."""
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
          .outputMode(output_mode).trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finish(q, name, timeout_s)
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: int = 900) -> None:
+def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: float | None = None, output_mode: str = "append") -> None:
     """Process all available input once with ``fn(batch_df, batch_id)``."""
+    ckpt = scratch_path(df.sparkSession, f"{name}-ckpt")
+    q = (df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    _finish(q, name, timeout_s)
+
+
+def run_updates(df: DataFrame, name: str, keys: tuple[str, ...], timeout_s: float | None = None) -> DataFrame:
+    """Process all available input once in update mode and return the latest row of
+    every key.  Each batch's changed rows are a partition of their own, which a
+    retried batch overwrites."""
     spark = df.sparkSession
-    ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = df.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"streaming query {name} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    out = scratch_path(spark, f"{name}-updates")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("_batch", F.lit(int(batch_id)).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(out))
+
+    write(spark.createDataFrame([], df.schema), 0)
+    run_foreach_batch(df, name, write, timeout_s, "update")
+    others = [c for c in df.columns if c not in keys]
+    updates = spark.read.schema(df.schema.add("_batch", "long")).parquet(out)
+    last = updates.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("_batch")).alias("_v"))
+    return last.select(*keys, "_v.*")
