@@ -13,12 +13,12 @@ def _write(path, lines):
         f.write("".join(lines))
 
 
-def test_three_records(spark, tmp_dir):
-    p = os.path.join(tmp_dir, "c.jsonl")
-    _write(p, [json.dumps(r) + "\n" for r in ({"id": 1, "text": "hello"}, {"id": 2, "text": "world"},
-                                              {"id": 3, "text": "!"})])
-    rows = src.with_defaults(src.read_corpus(spark, p)).orderBy("doc_id").collect()
-    assert [(r.doc_id, r.title, r.text) for r in rows] == [(1, "", "hello"), (2, "", "world"), (3, "", "!")]
+def test_records_in_two_files(spark, tmp_dir):
+    for name, records in (("a", [{"id": 31, "text": "north wind"}, {"id": "0040", "title": "Tide", "text": ""}]),
+                          ("b", [{"id": 7, "text": "low\nwater", "extra": True}])):
+        _write(os.path.join(tmp_dir, f"{name}.jsonl"), [json.dumps(r) + "\n" for r in records])
+    rows = src.with_defaults(src.read_corpus(spark, tmp_dir)).collect()
+    assert sorted((r.doc_id, r.title, r.text) for r in rows) == [(7, "", "low\nwater"), (31, "", "north wind"), (40, "Tide", "")]
 
 
 def test_empty_file(spark, tmp_dir):
@@ -69,7 +69,8 @@ def test_page_store_rotation(spark, tmp_dir):
     pages = spark.range(0, 250).selectExpr("id as page_id", "concat('http://h.example/', id) as url",
                                            "'<p>x</p>' as html")
     out = os.path.join(tmp_dir, "store")
-    page_store.write_pages(pages, out, per_file=40)
+    page_store.write_pages(page_store.with_response(pages, 404, {"Server": "x"}), out, per_file=40)
+    assert page_store.read_pages(spark, out).filter("status = 404 and headers['Server'] = 'x'").count() == 250
     counts = [r.records for r in page_store.records_per_file(spark, out).collect()]
     assert sum(counts) == 250 and max(counts) <= 40
     assert all(f.endswith(".json.gz") for f in os.listdir(out) if f.startswith("part-"))
@@ -93,7 +94,7 @@ def test_repeated_id_later_record_wins(spark, tmp_dir):
     _write(p, ['{"id": 1, "text": "red apple"}\n', '{"id": 2, "text": "green pie"}\n',
                '{"id": 1, "text": "blue car car"}\n'])
     corpus = src.with_defaults(src.read_corpus(spark, p))
-    idx = build_index(corpus, stopwords=None, last_wins_order=["src_file", "src_pos"])
+    idx = build_index(corpus, stopwords=None)
     post = {(r.term, r.doc_id): r.tf for r in idx.postings.collect()}
     assert post == {("blue", 1): 1, ("car", 1): 2, ("green", 2): 1, ("pie", 2): 1}
     assert {r.doc_id: r.dl for r in idx.doc_lengths.collect()} == {1: 3, 2: 2}

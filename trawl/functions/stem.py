@@ -1,188 +1,148 @@
-"""English stemming (the Snowball "English"/Porter2 rules) applied to the
-distinct vocabulary only.
+"""English stemming (the Snowball "English"/Porter2 rules) as Column expressions.
 
-``stem_column_terms`` takes a DataFrame with a term column, stems its distinct
-terms with an Arrow ``pandas_udf`` (one Python call per batch of terms, not
-per token), and joins the map back.  Callers that count terms must
-re-aggregate afterwards: several surface forms fold into one stem.
+``stem_terms`` stems every element of an array of lower-case tokens, in place: no
+Python function, no join.  Each step is one ``transform`` over the array, so that a step's
+result is bound once however often the next one looks at it.  Tokens hold no
+apostrophes, so the rules about them (step 0) never apply and are left out.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed values of the published algorithm.
-VOWELS = frozenset("aeiouy")
-DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
-LI_ENDINGS = frozenset("cdeghkmnrt")
-R1_PREFIXES = ("gener", "commun", "arsen")
 EXCEPTIONS = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
     "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
     "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
     "cosmos": "cosmos", "bias": "bias", "andes": "andes",
 }
-AFTER_1A = frozenset(("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"))
-STEP2 = (
-    ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"), ("iveness", "ive"),
-    ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"), ("entli", "ent"), ("ation", "ate"),
-    ("alism", "al"), ("aliti", "al"), ("ousli", "ous"), ("iviti", "ive"), ("fulli", "ful"), ("enci", "ence"),
-    ("anci", "ance"), ("abli", "able"), ("izer", "ize"), ("ator", "ate"), ("alli", "al"), ("bli", "ble"),
-    ("ogi", "og"), ("li", ""),
-)
-STEP3 = (
-    ("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
-    ("ative", ""), ("ical", "ic"), ("ness", ""), ("ful", ""),
-)
+AFTER_1A = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
+STEP2 = {
+    "ization": "ize", "ational": "ate", "fulness": "ful", "ousness": "ous", "iveness": "ive",
+    "tional": "tion", "biliti": "ble", "lessli": "less", "entli": "ent", "ation": "ate",
+    "alism": "al", "aliti": "al", "ousli": "ous", "iviti": "ive", "fulli": "ful", "enci": "ence",
+    "anci": "ance", "abli": "able", "izer": "ize", "ator": "ate", "alli": "al", "bli": "ble",
+    "ogi": "og", "li": "",
+}
+STEP3 = {
+    "ational": "ate", "tional": "tion", "alize": "al", "icate": "ic", "iciti": "ic",
+    "ative": "", "ical": "ic", "ness": "", "ful": "",
+}
 STEP4 = ("ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous", "ive",
          "ize", "ion", "al", "er", "ic")
+_VOWEL, _OTHER = "[aeiouy]", "[^aeiouy]"
+_SHORT = f"^{_VOWEL}{_OTHER}X$|{_OTHER}{_VOWEL}[^aeiouywxY]X$"  # a short syllable, then X
+
+State = Callable[[Column], dict[str, Column]]
+
+
+def _drop(w: Column, n: int | Column) -> Column:
+    return F.left(w, F.length(w) - n)
+
+
+def _region(w: Column, start: Column) -> Column:
+    """Where the region after the first other letter behind a vowel begins, from ``start``."""
+    n = F.length(F.regexp_extract(F.substr(w, start + 1), f"^(.*?{_VOWEL}{_OTHER})", 1))
+    return F.when(n > 0, start + n).otherwise(F.length(w))
+
+
+def _then(states: Column, **new: Callable[[Column], Column]) -> Column:
+    """One step: every state with the given fields set anew, all from the old state."""
+    def step(s: Column) -> Column:
+        for name, value in new.items():
+            s = s.withField(f"__{name}", value(s))
+        for name in new:
+            s = s.withField(name, s[f"__{name}"]).dropFields(f"__{name}")
+        return s
+
+    return F.transform(states, step)
+
+
+def _going(rule: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """The rule for words that are not finished yet."""
+    return lambda s: F.when(s["done"], s["w"]).otherwise(rule(s))
+
+
+def _step_1a(s: Column) -> Column:
+    w = s["w"]
+    return (F.when(w.endswith("sses"), _drop(w, 2))
+            .when(w.rlike("ie[ds]$"), _drop(w, F.when(F.length(w) > 4, 2).otherwise(1)))
+            .when(w.rlike("[us]s$"), w)
+            .when(w.rlike(f"{_VOWEL}.+s$"), _drop(w, 1)).otherwise(w))
+
+
+def _cuts_1b(s: Column) -> Column:
+    """Whether step 1b takes ingly, edly, ing or ed off."""
+    return ~s["done"] & s["w"].rlike(f"{_VOWEL}.*(?:ing|ingly|ed|edly)$") & ~s["w"].rlike("eed(?:ly)?$") & F.regexp_replace(
+        s["w"], "(?:ingly|edly|ing|ed)$", "").rlike(_VOWEL)
+
+
+def _step_1b(s: Column) -> Column:
+    w, suffix = s["w"], F.regexp_extract(s["w"], "(eedly|eed)$", 1)
+    return (F.when(suffix != "", F.when(F.length(w) - F.length(suffix) >= s["p1"], F.concat(_drop(w, F.length(suffix)), F.lit("ee")))
+                   .otherwise(w))
+            .when(_cuts_1b(s), F.regexp_replace(w, "(?:ingly|edly|ing|ed)$", "")).otherwise(w))
+
+
+def _after_1b(s: Column) -> Column:
+    w = s["w"]
+    short = (s["p1"] >= F.length(w)) & w.rlike(_SHORT.replace("X", ""))
+    mended = (F.when(w.rlike("(?:at|bl|iz)$"), F.concat(w, F.lit("e")))
+              .when(w.rlike("(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _drop(w, 1))
+              .when(short, F.concat(w, F.lit("e"))).otherwise(w))
+    return F.when(s["cut"], mended).otherwise(w)
+
+
+def _step_1c(s: Column) -> Column:
+    return F.when(s["w"].rlike(f"^.+{_OTHER}[yY]$"), F.concat(_drop(s["w"], 1), F.lit("i"))).otherwise(s["w"])
+
+
+def _suffixes(states: Column, table: dict[str, str], allowed: Callable[[Column], Column]) -> Column:
+    """Replace the longest suffix of ``table`` that the word has, if ``allowed``."""
+    pattern = "(" + "|".join(table) + ")$"
+    states = _then(states, suffix=lambda s: F.when(s["done"], F.lit("")).otherwise(F.regexp_extract(s["w"], pattern, 1)))
+    new = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    return _then(states, w=lambda s: F.when(
+        (s["suffix"] != "") & allowed(s), F.concat(_drop(s["w"], F.length(s["suffix"])), F.try_element_at(new, s["suffix"])))
+        .otherwise(s["w"]))
+
+
+def _inside(s: Column, region: str) -> Column:
+    return F.length(s["w"]) - F.length(s["suffix"]) >= s[region]
+
+
+def _step_5(s: Column) -> Column:
+    w, rest = s["w"], F.length(s["w"]) - 1
+    cut = (w.endswith("ll") & (rest >= s["p2"])) | (
+        w.endswith("e") & ((rest >= s["p2"]) | ((rest >= s["p1"]) & ~w.rlike(_SHORT.replace("X", "e")))))
+    return F.when(cut, _drop(w, 1)).otherwise(w)
 
 
-def _is_vowel(ch: str) -> bool:
-    return ch in VOWELS
-
-
-def _region_after(word: str, start: int) -> int:
-    """Index after the first non-vowel that follows a vowel, from ``start``."""
-    for i in range(start + 1, len(word)):
-        if not _is_vowel(word[i]) and _is_vowel(word[i - 1]):
-            return i + 1
-    return len(word)
-
-
-def _ends_short_syllable(w: str) -> bool:
-    if len(w) == 2:
-        return _is_vowel(w[0]) and not _is_vowel(w[1])
-    return (len(w) >= 3 and not _is_vowel(w[-3]) and _is_vowel(w[-2])
-            and not _is_vowel(w[-1]) and w[-1] not in "wxY")
-
-
-def stem(word: str) -> str:
-    """Stem one lower-case token."""
-    if len(word) <= 2:
-        return word
-    if word in EXCEPTIONS:
-        return EXCEPTIONS[word]
-    w = word.lstrip("'")
-    # y at the start or after a vowel is a consonant: mark it Y.
-    chars = list(w)
-    for i, ch in enumerate(chars):
-        if ch == "y" and (i == 0 or _is_vowel(chars[i - 1])):
-            chars[i] = "Y"
-    w = "".join(chars)
-    if w.startswith(R1_PREFIXES):
-        p1 = 5 if w.startswith(("gener", "arsen")) else 6
-    else:
-        p1 = _region_after(w, 0)
-    p2 = _region_after(w, p1)
-
-    # Step 0: possessives.
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-
-    # Step 1a.
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith(("ied", "ies")):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith(("us", "ss")):
-        pass
-    elif w.endswith("s"):
-        if any(_is_vowel(c) for c in w[:-2]):
-            w = w[:-1]
-    if w in AFTER_1A:
-        return w
-
-    # Step 1b.
-    for suf in ("eedly", "ingly", "edly", "eed", "ing", "ed"):
-        if w.endswith(suf):
-            if suf in ("eed", "eedly"):
-                if len(w) - len(suf) >= p1:
-                    w = w[: -len(suf)] + "ee"
-            else:
-                stem_part = w[: -len(suf)]
-                if any(_is_vowel(c) for c in stem_part):
-                    w = stem_part
-                    if w.endswith(("at", "bl", "iz")):
-                        w += "e"
-                    elif w.endswith(DOUBLES):
-                        w = w[:-1]
-                    elif p1 >= len(w) and _ends_short_syllable(w):
-                        w += "e"
-            break
-
-    # Step 1c.
-    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w[-2]):
-        w = w[:-1] + "i"
-
-    # Step 2 (longest suffix, must lie in R1).
-    for suf, rep in STEP2:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= p1:
-                if suf == "ogi":
-                    if len(w) >= 4 and w[-4] == "l":
-                        w = w[:-1]
-                elif suf == "li":
-                    if len(w) >= 3 and w[-3] in LI_ENDINGS:
-                        w = w[:-2]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-
-    # Step 3 (in R1; "ative" also in R2).
-    for suf, rep in STEP3:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= p1 and (suf != "ative" or len(w) - len(suf) >= p2):
-                w = w[: -len(suf)] + rep
-            break
-
-    # Step 4 (in R2; "ion" after s or t).
-    for suf in STEP4:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= p2:
-                if suf == "ion":
-                    if len(w) >= 4 and w[-4] in "st":
-                        w = w[:-3]
-                else:
-                    w = w[: -len(suf)]
-            break
-
-    # Step 5.
-    if w.endswith("l") and len(w) - 1 >= p2 and len(w) >= 2 and w[-2] == "l":
-        w = w[:-1]
-    elif w.endswith("e"):
-        if len(w) - 1 >= p2 or (len(w) - 1 >= p1 and not _ends_short_syllable(w[:-1])):
-            w = w[:-1]
-    return w.replace("Y", "y")
-
-
-@F.pandas_udf(T.StringType())
-def stem_udf(terms: pd.Series) -> pd.Series:
-    return terms.map(lambda t: None if t is None else stem(t))
-
-
-def stem_map(terms: DataFrame, col: str = "term") -> DataFrame:
-    """(term, stem) over the distinct values of ``col``."""
-    vocab = terms.select(F.col(col).alias("term")).distinct()
-    return vocab.select("term", stem_udf(F.col("term")).alias("stem"))
-
-
-# Vocabulary rows we broadcast; beyond this the map is joined with a shuffle.
-MAX_BROADCAST_VOCAB = 1_000_000
-
-
-def stem_column_terms(df: DataFrame, col: str = "term") -> DataFrame:
-    """Replace ``col`` by its stem (same column name).  The broadcast bound is
-    checked on the distinct vocabulary before stemming, so the Python function
-    runs once per term, in the join's plan only."""
-    vocab = df.select(F.col(col).alias("term")).distinct()
-    small = vocab.limit(MAX_BROADCAST_VOCAB + 1).count() <= MAX_BROADCAST_VOCAB
-    m = vocab.select("term", stem_udf(F.col("term")).alias("stem"))
-    m = F.broadcast(m) if small else m
-    others = [c for c in df.columns if c != col]
-    return df.join(m, df[col] == m["term"]).select(*[df[c] for c in others], m["stem"].alias(col))
+def stem_terms(terms: Column) -> Column:
+    """The array with every token replaced by its stem."""
+    irregular = F.create_map(*[F.lit(x) for kv in EXCEPTIONS.items() for x in kv])
+    # A y at the start or behind a vowel is no vowel: it becomes Y.
+    marked = lambda t: F.regexp_replace(F.regexp_replace(t, "^y", "Y"), f"({_VOWEL})y", "$1Y")
+    states = F.transform(terms, lambda t: F.struct(
+        F.coalesce(F.try_element_at(irregular, t), F.when(F.length(t) <= 2, t), marked(t)).alias("w"),
+        ((F.length(t) <= 2) | F.try_element_at(irregular, t).isNotNull()).alias("done"),
+        F.lit(0).alias("p1"), F.lit(0).alias("p2"), F.lit(False).alias("cut"), F.lit("").alias("suffix")))
+    states = _then(states, p1=lambda s: F.when(s["w"].rlike("^(?:gener|arsen)"), 5).when(s["w"].startswith("commun"), 6)
+                   .otherwise(_region(s["w"], F.lit(0))))
+    states = _then(states, p2=lambda s: _region(s["w"], s["p1"]))
+    states = _then(states, w=_going(_step_1a))
+    states = _then(states, done=lambda s: s["done"] | s["w"].isin(*AFTER_1A))
+    states = _then(states, cut=_cuts_1b, w=_going(_step_1b))
+    states = _then(states, w=_after_1b)
+    states = _then(states, w=_going(_step_1c))
+    states = _suffixes(states, STEP2, lambda s: _inside(s, "p1") & (
+        ~s["suffix"].isin("ogi", "li") | s["w"].rlike("logi$|[cdeghkmnrt]li$")))
+    states = _suffixes(states, STEP3, lambda s: _inside(s, "p1") & ((s["suffix"] != "ative") | _inside(s, "p2")))
+    states = _suffixes(states, dict.fromkeys(STEP4, ""), lambda s: _inside(s, "p2") & (
+        (s["suffix"] != "ion") | s["w"].rlike("[st]ion$")))
+    states = _then(states, w=_going(_step_5))
+    return F.transform(states, lambda s: F.replace(s["w"], F.lit("Y"), F.lit("y")))

@@ -22,16 +22,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trawl.functions.stem import stem_terms
 from trawl.functions.text import ENGLISH_STOPWORDS, drop_stopwords, explode_nonempty, index_text, token_array
 
 DEFAULT_STOPWORDS = ENGLISH_STOPWORDS
 
 
 def doc_terms(corpus: DataFrame, id_col: str = "doc_id", title_col: str | None = "title",
-              text_col: str = "text", stopwords: Iterable[str] | None = DEFAULT_STOPWORDS) -> DataFrame:
-    """(doc_id, terms): the stop-filtered token array of every document."""
+              text_col: str = "text", stopwords: Iterable[str] | None = DEFAULT_STOPWORDS,
+              stem: bool = False) -> DataFrame:
+    """(doc_id, terms): the stop-filtered token array of every document, stemmed on request."""
     title = title_col if (title_col and title_col in corpus.columns) else None
     arr = drop_stopwords(token_array(index_text(title, text_col)), stopwords)
+    if stem:
+        arr = stem_terms(arr)
     return corpus.select(F.col(id_col).alias("doc_id"), arr.alias("terms"))
 
 
@@ -39,24 +43,7 @@ def tokens(corpus: DataFrame, id_col: str = "doc_id", title_col: str | None = "t
            text_col: str = "text", stopwords: Iterable[str] | None = DEFAULT_STOPWORDS,
            stem: bool = False) -> DataFrame:
     """(doc_id, term): one row per token occurrence, after stop-word removal."""
-    toks = explode_nonempty(doc_terms(corpus, id_col, title_col, text_col, stopwords), "terms", "term", "doc_id")
-    if stem:
-        from trawl.functions.stem import stem_column_terms
-        toks = stem_column_terms(toks, "term")
-    return toks
-
-
-def postings_from_terms(terms: DataFrame, stem: bool = False) -> DataFrame:
-    """(term, doc_id, tf, dl) from (doc_id, terms)."""
-    exploded = explode_nonempty(terms.withColumn("dl", F.size("terms").cast("long")), "terms", "term", "doc_id", "dl")
-    post = exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
-    if stem:
-        # Stem the (much smaller) postings, not the tokens, then fold the
-        # surface forms of one stem together.
-        from trawl.functions.stem import stem_column_terms
-        post = stem_column_terms(post, "term").groupBy("term", "doc_id").agg(
-            F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
-    return post
+    return explode_nonempty(doc_terms(corpus, id_col, title_col, text_col, stopwords, stem), "terms", "term", "doc_id")
 
 
 # Reserved term carrying each document's length inside the postings: every
@@ -65,31 +52,22 @@ def postings_from_terms(terms: DataFrame, stem: bool = False) -> DataFrame:
 LENGTH_TERM = ""
 
 
-def postings_with_lengths(terms: DataFrame, stem: bool = False) -> DataFrame:
-    """(term, doc_id, tf, dl) plus one ``LENGTH_TERM`` row per document (also
-    for documents without any term).  Written indexes read their document
-    lengths back from these rows, so the corpus is tokenized once and no
-    second aggregation over all postings is needed."""
+def postings_with_lengths(terms: DataFrame) -> DataFrame:
+    """(term, doc_id, tf, dl) from (doc_id, terms), plus one ``LENGTH_TERM`` row per
+    document (also for documents without any term).  Document lengths are read back
+    from these rows, so the corpus is tokenized once and no second aggregation over all
+    postings is needed."""
     marked = terms.withColumn("terms", F.concat(F.col("terms"), F.array(F.lit(LENGTH_TERM))))
     exploded = explode_nonempty(marked.withColumn("dl", (F.size("terms") - 1).cast("long")),
                                 "terms", "term", "doc_id", "dl")
-    post = exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
-    if stem:
-        from trawl.functions.stem import stem_column_terms
-        post = stem_column_terms(post, "term").groupBy("term", "doc_id").agg(
-            F.sum("tf").alias("tf"), F.max("dl").alias("dl"))
-    return post
+    return exploded.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"), F.max("dl").alias("dl"))
 
 
 def postings(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,
              id_col: str = "doc_id", title_col: str | None = "title", text_col: str = "text") -> DataFrame:
     """(term, doc_id, tf): term frequency per document."""
-    terms = doc_terms(corpus, id_col, title_col, text_col, stopwords)
-    return postings_from_terms(terms, stem).select("term", "doc_id", "tf")
-
-
-def doc_lengths_from_terms(terms: DataFrame) -> DataFrame:
-    return terms.select("doc_id", F.size("terms").cast("long").alias("dl"))
+    combined = postings_with_lengths(doc_terms(corpus, id_col, title_col, text_col, stopwords, stem))
+    return combined.filter(F.col("term") != LENGTH_TERM).select("term", "doc_id", "tf")
 
 
 def lexicon_from_postings(post: DataFrame) -> DataFrame:
@@ -133,6 +111,16 @@ class Index:
     def stats(self) -> DataFrame:
         return self.stats_table if self.stats_table is not None else collection_stats(self.doc_lengths)
 
+    def tokenized_once(self) -> "Index":
+        """The same index with its postings written to the shared scratch folder, so
+        that lexicon, lengths and statistics do not tokenize the corpus again."""
+        from trawl.session import scratch_path
+        spark = self.postings.sparkSession
+        path = scratch_path(spark, "postings")
+        source = self.combined if self.combined is not None else self.postings
+        source.select("term", "doc_id", "tf", "dl").write.parquet(path)
+        return index_from_combined(spark.read.parquet(path), self.stem, self.stopwords)
+
     def write(self, path: str, mode: str = "overwrite", layout: str = "range", term_buckets: int | None = None) -> None:
         from trawl.sources.index_store import write_index
         write_index(self, path, mode, layout, term_buckets)
@@ -143,20 +131,36 @@ class Index:
         return read_index(spark, path)
 
 
-def build_index(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,
-                id_col: str = "doc_id", title_col: str | None = "title", text_col: str = "text",
-                last_wins_order: Sequence[str] | None = None) -> Index:
-    """Index a corpus.  With ``last_wins_order`` the corpus is first reduced to
-    the last record per id in that order (see ``last_record_per_id``)."""
-    if last_wins_order:
-        corpus = last_record_per_id(corpus, id_col, last_wins_order)
-    terms = doc_terms(corpus, id_col, title_col, text_col, stopwords)
-    combined = postings_with_lengths(terms, stem)
+# Columns of ``read_corpus`` that say where a record stood.
+SOURCE_ORDER = ("src_file", "src_pos")
+
+
+def index_from_combined(combined: DataFrame, stem: bool = False,
+                        stopwords: Iterable[str] | None = DEFAULT_STOPWORDS) -> Index:
+    """An index out of postings that carry the length rows (see ``LENGTH_TERM``).  The
+    length rows alone say which documents there are, so N is the same in memory, on
+    disk and after a merge."""
     post = combined.filter(F.col("term") != LENGTH_TERM)
-    return Index(postings=post, lexicon=lexicon_from_postings(post),
-                 doc_lengths=doc_lengths_from_terms(terms), stem=stem,
+    lengths = combined.filter(F.col("term") == LENGTH_TERM).select("doc_id", F.col("dl").cast("long").alias("dl"))
+    return Index(postings=post, lexicon=lexicon_from_postings(post), doc_lengths=lengths, stem=stem,
                  stopwords=tuple(stopwords) if stopwords is not None else None,
-                 doc_ids=corpus.select(F.col(id_col).alias("doc_id")), combined=combined)
+                 doc_ids=lengths.select("doc_id"), combined=combined)
+
+
+def build_index(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,
+                id_col: str = "doc_id", title_col: str | None = "title", text_col: str = "text",
+                last_wins_order: Sequence[str] | None = None, unique_ids: bool = False) -> Index:
+    """Index a corpus.  Of records that share an id the last one is indexed: in
+    ``last_wins_order``, else in the order in which ``read_corpus`` found them, else
+    (a table without any order) the one with the largest title and text.
+    ``unique_ids`` says that no id repeats, which saves that step's shuffle."""
+    if not unique_ids:
+        order = last_wins_order or [c for c in SOURCE_ORDER if c in corpus.columns]
+        if not order:
+            order = [c for c in (title_col, text_col) if c and c in corpus.columns]
+        corpus = last_record_per_id(corpus, id_col, order)
+    terms = doc_terms(corpus, id_col, title_col, text_col, stopwords, stem)
+    return index_from_combined(postings_with_lengths(terms), stem, stopwords)
 
 
 def last_record_per_id(corpus: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
@@ -170,12 +174,15 @@ def last_record_per_id(corpus: DataFrame, id_col: str, order: Sequence[str]) ->
 
 
 def merge_partials(parts: DataFrame, part_col: str = "part_no") -> DataFrame:
-    """Merge partial postings: the highest part number wins per (term, doc_id);
-    pairs that occur in one part only are kept."""
-    value_cols = [c for c in parts.columns if c not in ("term", "doc_id", part_col)]
-    agg = parts.groupBy("term", "doc_id").agg(
-        F.max_by(F.struct(*[F.col(c) for c in value_cols]), F.col(part_col)).alias("_v"))
-    return agg.select("term", "doc_id", *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+    """Merge partial postings ``(term, doc_id, tf, dl, part_no)`` with their length
+    rows: the highest part number wins per (term, doc_id), pairs that occur in one part
+    only are kept, and every posting of a document carries the newest length."""
+    agg = parts.groupBy("term", "doc_id").agg(F.max_by(F.struct("tf", "dl"), F.col(part_col)).alias("_v"))
+    merged = agg.select("term", "doc_id", F.col("_v.tf").alias("tf"), F.col("_v.dl").alias("dl"))
+    newest = (parts.filter(F.col("term") == LENGTH_TERM).groupBy("doc_id")
+              .agg(F.max_by("dl", part_col).alias("_dl")))
+    both = merged.join(newest, merged["doc_id"].eqNullSafe(newest["doc_id"]), "left").drop(newest["doc_id"])
+    return both.select("term", "doc_id", "tf", F.coalesce("_dl", "dl").alias("dl"))
 
 
 def index_stats(index: Index) -> DataFrame:

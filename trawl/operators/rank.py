@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.scoring import Ranker, resolve_ranker
+from trawl.functions.stem import stem_terms
 from trawl.functions.text import drop_stopwords, explode_nonempty, index_text, token_array
 from trawl.operators.index import DEFAULT_STOPWORDS, Index
 
@@ -46,33 +47,30 @@ def query_terms(queries: DataFrame, qid_col: str = "qid", query_col: str = "quer
                 stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False) -> DataFrame:
     """(qid, term, qtf): query tokens parsed like documents, repeats counted."""
     arr = drop_stopwords(token_array(index_text(query_col, F.lit(""))), stopwords)
-    toks = explode_nonempty(queries.select(F.col(qid_col).alias("qid"), arr.alias("_t")), "_t", "term", "qid")
     if stem:
-        from trawl.functions.stem import stem_column_terms
-        toks = stem_column_terms(toks, "term")
+        arr = stem_terms(arr)
+    toks = explode_nonempty(queries.select(F.col(qid_col).alias("qid"), arr.alias("_t")), "_t", "term", "qid")
     return toks.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
 def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFrame, DataFrame, int | None]:
     """Postings and lexicon limited to the query vocabulary, and the number of
-    (qid, term) rows when it was learnt on the way.  One small job returns the
-    distinct vocabulary with its row counts; when the vocabulary is small it is
-    pushed into both scans as a literal IN list."""
+    (qid, term) rows when it was learnt on the way.  The bucket folders that the
+    vocabulary needs (at most as many numbers as the index has folders) are pushed
+    as a partition filter however many terms there are; the terms themselves also go
+    into both scans as a literal IN list while there are few."""
     post, lex = index.postings, index.lexicon
     n_rows = None
     if push_terms:
         per_term = qterms.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-        bucketed = bool(index.term_buckets) and "tb" in post.columns
-        if bucketed:
+        if index.term_buckets and "tb" in post.columns:
             from trawl.sources.index_store import term_bucket
-            per_term = per_term.withColumn("b", term_bucket(F.col("term"), index.term_buckets))
+            buckets = per_term.select(term_bucket(F.col("term"), index.term_buckets).alias("b")).distinct()
+            post = post.filter(F.col("tb").isin(sorted(r.b for r in buckets.collect())))
         rows = per_term.limit(MAX_PUSHED_TERMS + 1).collect()
         if len(rows) <= MAX_PUSHED_TERMS:
             terms = [r.term for r in rows]
             n_rows = sum(r.c for r in rows)
-            if bucketed:
-                # partition pruning: only the bucket folders of the query terms
-                post = post.filter(F.col("tb").isin(sorted({r.b for r in rows})))
             post = post.filter(term_in(terms))
             lex = lex.filter(term_in(terms))
     return post, lex, n_rows
@@ -82,23 +80,10 @@ def _sql_string(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# Parquet receives an IN list as a chain of OR predicates; beyond this many
-# values the chain is too deep for the reader, so larger lists are pushed as a
-# min/max range (Spark's behaviour past its threshold) and filtered exactly by
-# the InSet test above the scan.
-MAX_EXACT_PARQUET_IN = 100
-
-
 def term_in(terms: list[str], col: str = "term") -> Column:
-    """``col IN (terms)`` built as one SQL expression (one JVM call, not one
-    per literal).  Up to ``MAX_EXACT_PARQUET_IN`` values the session's IN
-    push-down threshold is raised so Parquet skips by the exact value set."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    if spark is not None and len(terms) <= MAX_EXACT_PARQUET_IN:
-        key = "spark.sql.parquet.pushdown.inFilterThreshold"
-        if int(spark.conf.get(key, "10")) < len(terms):
-            spark.conf.set(key, str(len(terms)))
+    """``col IN (terms)`` built as one SQL expression (one JVM call, not one per
+    literal).  Past ``spark.sql.parquet.pushdown.inFilterThreshold`` values Parquet
+    gets their range, and the exact test runs above the scan."""
     if not terms:
         return F.lit(False)
     return F.expr(f"`{col}` IN ({', '.join(_sql_string(t) for t in terms)})")

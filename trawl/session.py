@@ -17,12 +17,11 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app: str = "trawl") -> SparkSession:
-    cores = _cores_of(master)
-    parts = shuffle_partitions or max(8, 2 * cores)
-    spark = (
+    """A session; shuffle partitions are set from the cores in local mode only (or
+    when given), a cluster's own setting is kept."""
+    builder = (
         SparkSession.builder.master(master)
         .appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -31,10 +30,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    if shuffle_partitions or master.startswith("local"):
+        parts = shuffle_partitions or max(8, 2 * _cores_of(master))
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
     return spark
@@ -56,7 +57,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running trawl jobs")
         conf = tempfile.mkdtemp(prefix="trawl-ckpt-")
     sc.setCheckpointDir(conf)

@@ -14,12 +14,12 @@ Layout under ``path``:
                 only page-level statistics can skip.
   lexicon/      (term, df), each file sorted on term
   doc_lengths/  (doc_id, dl)
-  stats/        one row (n, avgdl), so opening the index aggregates nothing
+  stats/        one row (n, avgdl)
+  meta/         one row: how the index was made (stem, stop words, term buckets)
 The corpus is tokenized once: the lexicon is derived from the written
 postings, and document lengths from the one reserved-term row per document
-that the postings carry (``LENGTH_TERM``), so no aggregation over all postings
-and no second tokenization is needed.  Collection statistics are recomputed from
-``doc_lengths`` when the index is opened (one small aggregate).
+that the postings carry (``LENGTH_TERM``).  Opening reads ``stats`` and ``meta``, two
+rows; queries are parsed as the documents were, by what ``meta`` says.
 """
 
 from __future__ import annotations
@@ -29,23 +29,27 @@ from pyspark.sql import functions as F
 
 from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_from_postings
 
+# Term-hash buckets of the postings directory (``tb=<n>`` sub-folders), one per so
+# many bytes of estimated corpus size.
+BYTES_PER_BUCKET = 1 << 30
+# Estimated corpus bytes for each range partition of the postings.
+BYTES_PER_TASK = 128 << 20
 
-# Term-hash buckets of the postings directory (``tb=<n>`` sub-folders): by
-# default one per BYTES_PER_BUCKET of corpus input, between 1 and MAX_BUCKETS,
-# so a small index is one folder and a very large one prunes to 1/4096.
-BYTES_PER_BUCKET = 256 << 20
-MAX_BUCKETS = 4096
+META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int"
 
 
-def default_term_buckets(index: Index) -> int:
-    if index.doc_ids is None:
-        return 1
-    try:
-        from trawl.sources.tables import input_bytes
-        size = input_bytes(index.doc_ids.sparkSession, index.doc_ids)
-    except Exception:  # noqa: BLE001 -- not a file-based corpus
-        return 1
-    return int(min(MAX_BUCKETS, max(1, size // BYTES_PER_BUCKET)))
+def plan_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size of the tables that ``df`` reads, from the listings it already
+    has; None if it does not know (Spark then reports ``spark.sql.defaultSizeInBytes``)."""
+    def leaves(node):
+        kids = node.children()
+        if kids.size() == 0:
+            yield int(str(node.stats().sizeInBytes()))
+        for i in range(kids.size()):
+            yield from leaves(kids.apply(i))
+
+    size = sum(leaves(df._jdf.queryExecution().optimizedPlan()))
+    return size if size < 1 << 62 else None
 
 
 def term_bucket(term, buckets: int):
@@ -56,17 +60,22 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
                 term_buckets: int | None = None) -> None:
     base = path.rstrip("/")
     spark = index.postings.sparkSession
-    term_buckets = term_buckets or default_term_buckets(index)
     source = index.combined if index.combined is not None else index.postings
+    size = plan_bytes(source)
+    term_buckets = term_buckets or max(1, (size or 0) // BYTES_PER_BUCKET)
     post = source.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
     if layout == "range":
         # (tb, term, doc_id): each task covers a contiguous run of buckets and
         # terms, so a bucket folder holds few files and a hot term is split.
-        post = post.repartitionByRange("tb", "term", "doc_id")
+        keys = ["tb", "term", "doc_id"]
+        tasks = [] if size is None else [int(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism))]
+        post = post.repartitionByRange(*tasks, *keys)
     elif layout != "sorted":
         raise ValueError("layout must be 'sorted' or 'range'")
+    # Static overwrite: a smaller index over a larger one must not leave old bucket folders behind.
     (post.sortWithinPartitions("tb", "term", "doc_id")
-     .write.mode(mode).partitionBy("tb").parquet(f"{base}/postings"))
+     .write.mode(mode).option("partitionOverwriteMode", "static")
+     .option("parquet.bloom.filter.enabled#term", "true").partitionBy("tb").parquet(f"{base}/postings"))
     written = spark.read.parquet(f"{base}/postings")
     # Lexicon: partial counts per file, one shuffle of distinct terms, each
     # file sorted on term (page statistics skip for a term lookup).
@@ -80,26 +89,20 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     else:
         lengths = index.doc_lengths
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
-    (collection_stats(spark.read.parquet(f"{base}/doc_lengths"))
-     .withColumn("term_buckets", F.lit(term_buckets)).coalesce(1).write.mode(mode).parquet(f"{base}/stats"))
+    collection_stats(spark.read.parquet(f"{base}/doc_lengths")).coalesce(1).write.mode(mode).parquet(f"{base}/stats")
+    stop = None if index.stopwords is None else list(index.stopwords)
+    spark.createDataFrame([(index.stem, stop, int(term_buckets))], META_SCHEMA).coalesce(1).write.mode(mode).parquet(
+        f"{base}/meta")
 
 
-def read_index(spark: SparkSession, path: str, stem: bool = False, stopwords=None) -> Index:
-    from trawl.operators.index import DEFAULT_STOPWORDS
+def read_index(spark: SparkSession, path: str) -> Index:
     base = path.rstrip("/")
-    stats, buckets = None, None
-    try:
-        stats = spark.read.parquet(f"{base}/stats")
-    except Exception:  # noqa: BLE001 -- an index written without stats
-        stats = None
-    if stats is not None and "term_buckets" in stats.columns:
-        buckets = stats.select("term_buckets").first()[0]  # one row
-        stats = stats.select("n", "avgdl")
+    made = spark.read.schema(META_SCHEMA).parquet(f"{base}/meta").first()
     return Index(postings=spark.read.parquet(f"{base}/postings").filter(F.col("term") != LENGTH_TERM),
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
-                 stem=stem, stopwords=DEFAULT_STOPWORDS if stopwords is None else tuple(stopwords),
-                 stats_table=stats, term_buckets=buckets)
+                 stem=made.stem, stopwords=None if made.stopwords is None else tuple(made.stopwords),
+                 stats_table=spark.read.parquet(f"{base}/stats"), term_buckets=made.term_buckets)
 
 
 def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:

@@ -7,12 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+PAGE_SCHEMA = "page_id long, url string, status int, headers map<string,string>, html string"
+
+
+def with_response(pages: DataFrame, status: int = 200, headers: dict[str, str] | None = None) -> DataFrame:
+    """Pages as stored records: response status and headers added where they are missing."""
+    out = pages
+    if "status" not in out.columns:
+        out = out.withColumn("status", F.lit(status))
+    if "headers" not in out.columns:
+        pairs = [F.lit(x) for kv in (headers or {"Content-Type": "text/html"}).items() for x in kv]
+        out = out.withColumn("headers", F.create_map(*pairs))
+    return out.select("page_id", "url", "status", "headers", "html")
+
+
 def write_pages(pages: DataFrame, path: str, per_file: int = 1000) -> None:
     (pages.write.mode("overwrite").option("maxRecordsPerFile", per_file)
      .option("compression", "gzip").json(path))
 
 
-def read_pages(spark: SparkSession, path: str, schema: str = "page_id long, url string, html string") -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: str = PAGE_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 

@@ -1,38 +1,20 @@
-"""Reading Parquet tables with parallelism for small inputs.
+"""Reading Parquet tables.
 
-Spark splits Parquet by row group.  A small table written as one row group is
-read -- and then tokenized or parsed -- by a single task however many cores
-there are.  ``read_parquet`` spreads such an input round-robin over the
-default parallelism, but only when the whole input is small (at most
-``SMALL_INPUT_BYTES`` and fewer files than cores).  The size comes from the
-file listing the driver already has.  Large inputs are never reshuffled: their
-many files and row groups give the parallelism.
+Spark splits Parquet by row group, so a table of one row group is read -- and then
+tokenized or parsed -- by one task however many cores there are.  ``read_parquet`` deals
+the rows of a scan that has fewer partitions than the session has cores out over the
+cores; a scan with more partitions, as any large table's, is left alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALL_INPUT_BYTES = 1 << 30
 
-
-def input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def rebalance_small(spark: SparkSession, df: DataFrame, max_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores or input_bytes(spark, df) > max_bytes:
-        return df
-    return df.repartition(cores)
+def spread(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return rebalance_small(spark, spark.read.parquet(path))
+    return spread(spark.read.parquet(path))
