@@ -8,34 +8,40 @@ the doctype are not text.  Attribute values are assumed to hold no ``>``.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SEP = "\u0001"  # node boundary marker; never part of page text
 
-# Named entities decoded in text and attribute values
-# (``&amp;`` is applied last so that "&amp;lt;" becomes "&lt;").
-ENTITIES: tuple[tuple[str, str], ...] = (
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+# The named entities of HTML 4, and &apos;, from the standard library's table.
+ENTITY_CHARS: dict[str, str] = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
+_ENTITY = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 _INVISIBLE = ("script", "style", "noscript")
-_WS_CLASS = r"[ \t\n\r\f\u000b]"
+# What ``str.strip()`` takes for a blank.
+_WS_CLASS = "[ \\t\\n\\r\\f\\x0B\\x1C-\\x1F\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]"
 SCHEME = r"[a-zA-Z][a-zA-Z0-9+.-]*"
 
 
+def _entity(e: Column) -> Column:
+    """The character of one entity, the entity itself if it stands for none."""
+    name = F.substring(e, 2, 64).substr(F.lit(1), F.length(e) - 2)
+    hexa = F.conv(F.regexp_extract(name, "^#[xX](.*)$", 1), 16, 10).cast("int")
+    code = F.when(name.rlike("^#[xX]"), hexa).when(name.startswith("#"), F.substring(name, 2, 7).cast("int"))
+    valid = code.between(2, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    named = F.create_map(*[F.lit(x) for kv in ENTITY_CHARS.items() for x in kv])
+    return F.when(code.isNotNull(), F.when(valid, char).otherwise(e)).otherwise(
+        F.coalesce(F.try_element_at(named, name), e))
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Numeric and named entities replaced in one pass, so "&amp;lt;" gives "&lt;"."""
+    found = F.transform(F.regexp_extract_all(c, F.lit(_ENTITY), F.lit(0)), _entity)
+    pieces = F.zip_with(F.split(c, _ENTITY, -1), found, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(c.rlike(_ENTITY), F.array_join(pieces, "")).otherwise(c)
 
 
 def strip_ws(c: Column) -> Column:
@@ -52,20 +58,23 @@ def without_invisible(html: Column) -> Column:
 
 
 def visible_text(html: Column) -> Column:
-    nodes = F.split(F.regexp_replace(without_invisible(html), r"<[^>]*>", SEP), SEP)
-    cleaned = F.transform(nodes, lambda n: strip_ws(decode_entities(n)))
+    decoded = decode_entities(F.regexp_replace(without_invisible(html), r"<[^>]*>", SEP))
+    cleaned = F.transform(F.split(decoded, SEP), strip_ws)
     return F.array_join(F.filter(cleaned, lambda n: n != F.lit("")), " ")
 
 
 def title_text(html: Column) -> Column:
-    raw = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    raw = F.regexp_extract(without_invisible(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
     return strip_ws(decode_entities(raw))
 
 
 def hrefs(html: Column) -> Column:
-    """Distinct href values of <a> elements (outside scripts and comments)."""
-    found = F.regexp_extract_all(without_invisible(html), F.lit(r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"), 1)
-    return F.array_distinct(F.transform(found, decode_entities))
+    """Distinct href values of <a> elements (outside scripts and comments), quoted
+    either way or not at all."""
+    value = "\"[^\">]*\"|'[^'>]*'|[^\\s\"'>]+"
+    found = F.regexp_extract_all(without_invisible(html), F.lit(rf"(?is)<a\s(?:[^>]*?\s)??href\s*=\s*({value})"), 1)
+    bare = F.transform(found, lambda v: F.when(v.rlike("^[\"']"), v.substr(F.lit(2), F.length(v) - 2)).otherwise(v))
+    return F.array_distinct(F.transform(bare, decode_entities))
 
 
 def url_host(url: Column) -> Column:
@@ -87,6 +96,7 @@ def resolve(link: Column, base: Column) -> Column:
     return (F.when(link.startswith("http"), link)
             .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
             .when(link.startswith("/"), F.concat(origin, link))
+            .when(link.startswith("?"), F.concat(F.regexp_extract(base, "^([^?#]*)", 1), link))
             .when(link.startswith("#") | link.rlike(rf"^{SCHEME}:") | (link == ""), F.lit(None))
             .otherwise(F.concat(basedir, link)))
 

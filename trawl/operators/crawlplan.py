@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
-from trawl.operators.distribute import broadcast_if_small, ordered_position
+from trawl.operators.distribute import ordered_position
 
 # The reference's crawl defaults.
 DEFAULT_DELAY = 0.1          # seconds between requests to one domain
@@ -22,7 +22,10 @@ FRONTIER_SIZE = 1000         # bounded frontier
 PROGRESS_EVERY = 50          # progress line every N pages
 PAGE_BUDGET = 100_000        # stop after N pages
 
-RULES_SCHEMA = "domain string, seq int, allow boolean, prefix string, delay double"
+AGENT = "*"                  # the rules' agent that holds for everyone
+
+# A row per line of a domain's robots file; ``agent`` null means everyone.
+RULES_SCHEMA = "domain string, agent string, seq int, allow boolean, prefix string, delay double"
 
 
 def url_path(url) -> F.Column:
@@ -47,47 +50,75 @@ def frontier_topn(candidates: DataFrame, size: int = FRONTIER_SIZE) -> DataFrame
     return first_n(candidates.select("url", prio.alias("prio")), size, ["prio", "url"])
 
 
-def robots_filter(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def domain_rules(rules: DataFrame, agent: str = AGENT) -> DataFrame:
+    """(domain, rules, delay): a row for each domain that has a robots file, its
+    rules for ``agent`` in ``seq`` order (those for everyone if it names no rules of
+    its own for this agent).  Rows without a prefix and empty Disallow lines match
+    nothing.  An array is as long as the file it comes from."""
+    who = F.lower(F.coalesce(F.col("agent"), F.lit(AGENT)))
+    own, everyone = who == agent.lower(), who == AGENT
+    matches = (F.col("prefix") != "") & F.col("allow").isNotNull()
+    line = F.struct("seq", "allow", "prefix")
+    folded = rules.groupBy("domain").agg(
+        F.max(own).alias("_has"),
+        F.collect_list(F.when(own & matches, line)).alias("_own"), F.max(F.when(own, F.col("delay"))).alias("_own_delay"),
+        F.collect_list(F.when(everyone & matches, line)).alias("_all"), F.max(F.when(everyone, F.col("delay"))).alias("_all_delay"))
+    return folded.select(
+        "domain", F.array_sort(F.when(F.col("_has"), F.col("_own")).otherwise(F.col("_all"))).alias("rules"),
+        F.when(F.col("_has"), F.col("_own_delay")).otherwise(F.col("_all_delay")).alias("delay"))
+
+
+def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = AGENT) -> DataFrame:
     """(url, domain, delay) of URLs their domain's rules allow.
 
     Rules are checked in ``seq`` order, the first matching prefix decides,
     no match means allowed.  A domain without any rules row (robots file
-    unavailable) is skipped.  A row with a null prefix carries only the delay.
+    unavailable) is skipped.  A domain's rules are one row, so each URL meets one row
+    and is judged where it stands: no pairs of URLs and rules, no grouping of URLs.
     """
     keep = [c for c in urls.columns if c not in ("domain", "delay")]
     u = urls.select(*keep, H.url_host(F.col("url")).alias("domain"), url_path(F.col("url")).alias("_path"))
-    r = broadcast_if_small(rules.select("domain", "seq", "allow", "prefix", "delay"))
-    j = u.join(r, "domain")
-    hit = F.col("prefix").isNotNull() & F.col("_path").startswith(F.col("prefix"))
-    # One group per URL, bounded by the number of rules of its domain.
-    agg = j.groupBy(*keep, "domain").agg(
-        F.min(F.when(hit, F.struct(F.col("seq"), F.col("allow")))).alias("_first"),
-        F.max("delay").alias("delay"))
-    return agg.filter(F.coalesce(F.col("_first.allow"), F.lit(True))).select(*keep, "domain", "delay")
+    j = u.join(domain_rules(rules, agent), "domain")
+    first = F.get(F.filter("rules", lambda r: F.col("_path").startswith(r["prefix"])), 0)
+    return j.filter(F.coalesce(first["allow"], F.lit(True))).select(*keep, "domain", "delay")
 
 
 def fetch_plan(allowed: DataFrame, default_delay: float = DEFAULT_DELAY,
-               order: tuple[str, ...] = ("prio", "url")) -> DataFrame:
+               order: tuple[str, ...] = ("prio", "url"), last_requests: DataFrame | None = None) -> DataFrame:
     """(domain, url, pos, start_s): earliest start offset of every URL inside
-    its domain, ``(pos - 1) * delay``; a delay of 0 or null means the default."""
+    its domain, ``(pos - 1) * delay``; a delay of 0 or null means the default.
+    ``last_requests(domain, age_s)`` tells how long ago a domain was last asked in
+    an earlier round; its first URL waits for what is left of the delay."""
     delay = F.coalesce(F.when(F.col("delay") > 0, F.col("delay")), F.lit(default_delay))
-    ranked = ordered_position(allowed.withColumn("_delay", delay), ["domain"], list(order))
+    timed = allowed.withColumn("_delay", delay).withColumn("_wait", F.lit(0.0))
+    if last_requests is not None:
+        ages = last_requests.groupBy("domain").agg(F.min("age_s").alias("_age")).withColumnRenamed("domain", "_d")
+        timed = timed.join(ages, timed["domain"].eqNullSafe(ages["_d"]), "left").withColumn(
+            "_wait", F.greatest(F.lit(0.0), F.coalesce(F.col("_delay") - F.col("_age"), F.lit(0.0))))
+    ranked = ordered_position(timed, ["domain"], list(order))
     return ranked.select("domain", "url", "pos",
-                         F.round((F.col("pos") - 1) * F.col("_delay"), 6).alias("start_s"))
+                         F.round(F.col("_wait") + (F.col("pos") - 1) * F.col("_delay"), 6).alias("start_s"))
 
 
 def politeness_violations(log: DataFrame, min_gap_s: float, domain_col: str = "domain",
-                          ts_col: str = "ts", id_col: str = "event_id") -> DataFrame:
+                          ts_col: str = "ts", id_col: str = "event_id", gaps: DataFrame | None = None) -> DataFrame:
     """(domain, event_id, gap_s): requests that followed the previous request
-    to the same domain sooner than ``min_gap_s`` seconds.  The predecessor is
-    found by position (skew-safe), then an equi-join on (domain, position)."""
+    to the same domain sooner than the domain's gap of ``gaps(domain, gap)``, else
+    ``min_gap_s`` seconds.  The predecessor is found by position (skew-safe), then an
+    equi-join on (domain, position); requests without a domain are one domain."""
     pos = ordered_position(log.select(F.col(domain_col).alias("domain"), F.col(ts_col).alias("ts"),
                                       F.col(id_col).alias("event_id")),
                            ["domain"], ["ts", "event_id"])
-    prev = pos.select("domain", (F.col("pos") + 1).alias("pos"), F.col("ts").alias("prev_ts"))
-    j = pos.join(prev, ["domain", "pos"])
+    prev = pos.select(F.col("domain").alias("_d"), (F.col("pos") + 1).alias("_p"), F.col("ts").alias("prev_ts"))
+    j = pos.join(prev, pos["domain"].eqNullSafe(prev["_d"]) & (pos["pos"] == prev["_p"]))
     gap = (F.unix_micros(F.col("ts")) - F.unix_micros(F.col("prev_ts"))) / F.lit(1e6)
-    return j.select("domain", "event_id", F.round(gap, 6).alias("gap_s")).filter(F.col("gap_s") < min_gap_s)
+    j = j.select("domain", "event_id", F.round(gap, 6).alias("gap_s"))
+    least = F.lit(min_gap_s)
+    if gaps is not None:
+        own = gaps.groupBy(F.col("domain").alias("_g")).agg(F.max("gap").alias("_gap"))
+        j = j.join(own, j["domain"].eqNullSafe(own["_g"]), "left")
+        least = F.coalesce(F.col("_gap"), least)
+    return j.filter(F.col("gap_s") < least).select("domain", "event_id", "gap_s")
 
 
 # Up to this many rows a top-N (per-partition top-N, merged in one task) is
@@ -135,10 +166,11 @@ def pages_per_domain(pages: DataFrame) -> DataFrame:
 
 
 def next_fetch_list(pages: DataFrame, seeds: DataFrame, visited: DataFrame, rules: DataFrame,
-                    size: int = FRONTIER_SIZE, default_delay: float = DEFAULT_DELAY) -> DataFrame:
+                    size: int = FRONTIER_SIZE, default_delay: float = DEFAULT_DELAY,
+                    agent: str = AGENT, last_requests: DataFrame | None = None) -> DataFrame:
     """One crawl round: links of the fetched pages plus the seeds, minus what
     was visited, filtered by the robots rules, cut to the bounded frontier and
     spaced per domain.  Returns (domain, url, pos, start_s)."""
     from trawl.operators.pages import link_edges
     cand = frontier_candidates(seeds, link_edges(pages), visited)
-    return fetch_plan(robots_filter(frontier_topn(cand, size), rules), default_delay)
+    return fetch_plan(robots_filter(frontier_topn(cand, size), rules, agent), default_delay, last_requests=last_requests)

@@ -4,34 +4,33 @@ rows per query, so the joins below stay small."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def label(ranked: DataFrame, ranker: str) -> DataFrame:
-    return ranked.select(F.lit(ranker).alias("ranker"), "qid", "rank", "doc_id",
-                         F.round("score", 4).alias("score"))
-
-
-def run_report(queries: DataFrame, ranked: DataFrame, qid_col: str = "qid") -> DataFrame:
-    """Per ranker: queries, queries with results, total results, results per
-    query, min / max / average score of the returned results.
+def run_report(queries: DataFrame, ranked: DataFrame, rankers: Sequence[str], qid_col: str = "qid") -> DataFrame:
+    """Per ranker of ``rankers``, also of one without any result: queries, queries
+    with results, total results, results per query, min / max / average score of the
+    returned results.
 
     ``ranked`` is read once: one aggregate per (ranker, query) carries the
     count, min, max and sum, and the per-ranker figures are folded from it."""
-    q = queries.select(F.col(qid_col).alias("qid"))
     per_q = ranked.groupBy("ranker", "qid").agg(
         F.count(F.lit(1)).alias("n"), F.min("score").alias("lo"), F.max("score").alias("hi"),
         F.sum("score").alias("total"))
     hits = per_q.groupBy("ranker").agg(
-        F.count_if(F.col("n") > 0).alias("with_results"), F.sum("n").alias("total_results"),
+        F.count(F.lit(1)).alias("with_results"), F.sum("n").alias("total_results"),
         F.min("lo").alias("min_score"), F.max("hi").alias("max_score"),
         F.round(F.sum("total") / F.sum("n"), 4).alias("avg_score"))
-    n_queries = q.agg(F.count(F.lit(1)).alias("queries"))  # one row
-    return hits.crossJoin(F.broadcast(n_queries)).select(
-        "ranker", "queries", "with_results", "total_results",
-        F.round(F.col("total_results") / F.col("queries"), 4).alias("results_per_query"),
-        "min_score", "max_score", "avg_score")
+    # One row of the number of queries, times the given names.
+    named = (queries.agg(F.count(F.lit(1)).alias("queries"))
+             .select("queries", F.explode(F.array(*[F.lit(r) for r in rankers])).alias("ranker")))
+    total = F.coalesce("total_results", F.lit(0))
+    return named.join(hits, "ranker", "left").select(
+        "ranker", "queries", F.coalesce("with_results", F.lit(0)).alias("with_results"), total.alias("total_results"),
+        F.round(total / F.col("queries"), 4).alias("results_per_query"), "min_score", "max_score", "avg_score")
 
 
 def compare_rankers(ranked: DataFrame, rankers: tuple[str, ...] = ("bm25", "tfidf")) -> DataFrame:
