@@ -10,7 +10,7 @@ skew-safe ``ordered_position`` (a domain may own a large share of all URLs).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions import html as H
@@ -84,18 +84,24 @@ def robots_filter(urls: DataFrame, rules: DataFrame, agent: str = AGENT) -> Data
 
 
 def fetch_plan(allowed: DataFrame, default_delay: float = DEFAULT_DELAY,
-               order: tuple[str, ...] = ("prio", "url"), last_requests: DataFrame | None = None) -> DataFrame:
+               order: tuple[str, ...] = ("prio", "url"), last_requests: DataFrame | None = None,
+               bounded: bool = False) -> DataFrame:
     """(domain, url, pos, start_s): earliest start offset of every URL inside
     its domain, ``(pos - 1) * delay``; a delay of 0 or null means the default.
     ``last_requests(domain, age_s)`` tells how long ago a domain was last asked in
-    an earlier round; its first URL waits for what is left of the delay."""
+    an earlier round; its first URL waits for what is left of the delay.  ``bounded``
+    says that ``allowed`` is a cut frontier, whose size a parameter gives: its domains are
+    then numbered by a plain window, without writing anything."""
     delay = F.coalesce(F.when(F.col("delay") > 0, F.col("delay")), F.lit(default_delay))
     timed = allowed.withColumn("_delay", delay).withColumn("_wait", F.lit(0.0))
     if last_requests is not None:
         ages = last_requests.groupBy("domain").agg(F.min("age_s").alias("_age")).withColumnRenamed("domain", "_d")
         timed = timed.join(ages, timed["domain"].eqNullSafe(ages["_d"]), "left").withColumn(
             "_wait", F.greatest(F.lit(0.0), F.coalesce(F.col("_delay") - F.col("_age"), F.lit(0.0))))
-    ranked = ordered_position(timed, ["domain"], list(order))
+    if bounded:
+        ranked = timed.withColumn("pos", F.row_number().over(Window.partitionBy("domain").orderBy(*order)).cast("long"))
+    else:
+        ranked = ordered_position(timed, ["domain"], list(order))
     return ranked.select("domain", "url", "pos",
                          F.round(F.col("_wait") + (F.col("pos") - 1) * F.col("_delay"), 6).alias("start_s"))
 
@@ -173,4 +179,5 @@ def next_fetch_list(pages: DataFrame, seeds: DataFrame, visited: DataFrame, rule
     spaced per domain.  Returns (domain, url, pos, start_s)."""
     from trawl.operators.pages import link_edges
     cand = frontier_candidates(seeds, link_edges(pages), visited)
-    return fetch_plan(robots_filter(frontier_topn(cand, size), rules, agent), default_delay, last_requests=last_requests)
+    return fetch_plan(robots_filter(frontier_topn(cand, size), rules, agent), default_delay, last_requests=last_requests,
+                      bounded=True)

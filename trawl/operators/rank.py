@@ -143,14 +143,13 @@ def _floor_candidates(scored: DataFrame, k: int, small_batch: bool | None = None
     d0 = smallest doc id, s0 its score; C = {d0} + {score > s0};
     t = k-th best score in C (or the lowest); E = C with score >= t;
     keep score > t, or position <= k in doc-id order within E."""
-    # Referenced by several branches below: materialise once (reliable
-    # checkpoint) instead of re-running the scoring plan per branch.
-    scored = scored.checkpoint(eager=True)
     if small_batch is None:
         small_batch = few_queries(scored)
+    # Both uses of ``scored`` share its exchange; only documents above their query's
+    # first score are stored (reliable checkpoint), for the branches below.
     first = scored.groupBy("qid").agg(F.min_by("_rs", "doc_id").alias("_s0"), F.min("doc_id").alias("_d0"))
     c = scored.join(_maybe_broadcast(first, small_batch), "qid").filter(
-        (F.col("doc_id") == F.col("_d0")) | (F.col("_rs") > F.col("_s0")))
+        (F.col("doc_id") == F.col("_d0")) | (F.col("_rs") > F.col("_s0"))).checkpoint(eager=True)
     by_score = Window.partitionBy("qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
     t = (c.withColumn("_r", F.row_number().over(by_score)).filter(F.col("_r") <= k)
          .groupBy("qid").agg(F.min("_rs").alias("_t")))
