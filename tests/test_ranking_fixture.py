@@ -72,13 +72,19 @@ def test_pruned_equals_exact(spark, index):
         assert a == b
 
 
-@pytest.mark.parametrize("ranker", ["bm25", "tfidf"])
-def test_pruned_equals_exact_on_documents(spark, ranker):
+@pytest.mark.parametrize("ranker,block_docs", [("bm25", 1 << 18), ("bm25", 7), ("tfidf", 25)])
+def test_pruned_equals_exact_on_documents(spark, ranker, block_docs):
+    """The cut by blocks of documents, with one block and with many, short queries and long."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
     from trawl.plans import inputs as inp
 
     from .conftest import SF_SMALL
-    idx = build_index(inp.corpus(spark, SF_SMALL))
+    idx = replace(build_index(inp.corpus(spark, SF_SMALL)).tokenized_once(), block_docs=block_docs)
     q = inp.bench_queries(spark, SF_SMALL)
+    q = q.unionByName(q.select((F.col("qid") + 1000).alias("qid"), F.substring_index("query", " ", 3).alias("query")))
     for k in (1, 3, 10):
         a = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in search(q, idx, ranker, k=k).collect())
         b = sorted((r.qid, r.rank, r.doc_id, round(r.score, 9))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.stem import stem_terms
@@ -81,6 +81,10 @@ def collection_stats(doc_lengths: DataFrame) -> DataFrame:
     return doc_lengths.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("dl").cast("double")).alias("avgdl"))
 
 
+# Consecutive doc ids that share upper bounds (see ``Index.block_bounds``).
+BLOCK_DOCS = 1 << 18
+
+
 @dataclass(frozen=True)
 class Index:
     """The three index tables plus the one-row collection statistics.
@@ -107,6 +111,21 @@ class Index:
     # ``write`` stores.  None for an index read back from storage.
     combined: DataFrame | None = None
 
+    # (term, block, tf, dl) of a written index; computed when absent.
+    bounds_table: DataFrame | None = None
+    block_docs: int = BLOCK_DOCS
+
+    def block_of(self, doc_id: Column) -> Column:
+        return F.floor(doc_id / F.lit(self.block_docs)).cast("long")
+
+    def block_bounds(self) -> DataFrame:
+        """(term, block, tf, dl): the largest tf and smallest length of a term's
+        postings in each block of ``block_docs`` consecutive doc ids."""
+        if self.bounds_table is not None:
+            return self.bounds_table
+        return (self.postings.groupBy("term", self.block_of(F.col("doc_id")).alias("block"))
+                .agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")))
+
     @property
     def stats(self) -> DataFrame:
         return self.stats_table if self.stats_table is not None else collection_stats(self.doc_lengths)

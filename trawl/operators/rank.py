@@ -89,26 +89,39 @@ def term_in(terms: list[str], col: str = "term") -> Column:
     return F.expr(f"`{col}` IN ({', '.join(_sql_string(t) for t in terms)})")
 
 
-def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
-                       qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
-    """(qid, term, qtf, doc_id, s, contrib): single-term score ``s`` of every
-    posting of every known query term, ``contrib = qtf * s``."""
-    score_fn = resolve_ranker(ranker)
+def _known_terms(queries: DataFrame, index: Index, qid_col: str, query_col: str,
+                 push_terms: bool) -> tuple[DataFrame, DataFrame]:
+    """Postings limited to the query vocabulary, and the query side (qid, term, qtf, df,
+    n, avgdl), marked for broadcast if it is small.  It has at most as many rows as there
+    are query terms (one lexicon row per term), so the size check runs on those alone and
+    never evaluates the index."""
     qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
     post, lex, n_rows = _restrict(index, qt, push_terms)
-    # Query side: (qid, term, qtf) x lexicon df x one-row stats.  It has at
-    # most as many rows as ``qt`` (one lexicon row per term), so the size check
-    # runs on ``qt`` alone and never evaluates the index.
     if n_rows is None:
         n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
     small = n_rows <= MAX_QUERY_TERM_ROWS
-    known = lex.join(F.broadcast(qt) if small else qt, "term").crossJoin(F.broadcast(index.stats))
-    joined = post.join(F.broadcast(known) if small else known, "term")
-    s = score_fn(F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
-    return joined.select("qid", "term", "qtf", "doc_id", s.alias("s")).withColumn(
+    known = lex.join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))  # one row of statistics
+    return post, _maybe_broadcast(known, small)
+
+
+def _term_score(ranker: str | Ranker) -> Column:
+    return resolve_ranker(ranker)(F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
+
+
+def _contributions(post: DataFrame, known: DataFrame, ranker: str | Ranker, *keep: str) -> DataFrame:
+    joined = post.join(known, "term")
+    return joined.select("qid", "term", "qtf", "doc_id", *keep, _term_score(ranker).alias("s")).withColumn(
         "contrib", F.col("qtf") * F.col("s"))
 
 
+def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
+                       qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
+    """(qid, term, qtf, doc_id, s, contrib): single-term score ``s`` of every
+    posting of every known query term, ``contrib = qtf * s``."""
+    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    return _contributions(post, known, ranker)
+
+
 def score_documents(contrib: DataFrame) -> DataFrame:
     """(qid, doc_id, score, matched): summed score and number of distinct query
     terms found in the document; zero (and null) scores dropped."""
@@ -166,12 +179,15 @@ def _floor_candidates(scored: DataFrame, k: int, small_batch: bool | None = None
 def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: int = 10,
            mode: str = "exact", match: str = "any", prune: bool = False,
            qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
-    """Top-k documents per query: (qid, rank, doc_id, score)."""
-    contrib = term_contributions(queries, index, ranker, qid_col, query_col, push_terms)
+    """Top-k documents per query: (qid, rank, doc_id, score).  ``prune`` skips document
+    blocks that cannot reach a query's top-k (with ``match="any"`` and ``mode="exact"``)."""
+    prune = prune and match == "any" and mode == "exact"
+    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
     small_batch = None
-    if prune or match == "all" or mode == "floor":
+    if match == "all" or mode == "floor":
         small_batch = few_queries(queries, qid_col)
-    scored = _pruned_scores(contrib, k, small_batch) if prune else score_documents(contrib)
+    contrib = _cut_contributions(post, known, index, ranker, k) if prune else _contributions(post, known, ranker)
+    scored = score_documents(contrib)
     if match == "all":
         need = query_terms(queries, qid_col, query_col, index.stopwords, index.stem).groupBy("qid").agg(
             F.count(F.lit(1)).alias("_need"))
@@ -190,13 +206,8 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
     per-ranker rows are unpivoted before the per-(ranker, query) top-k."""
     names = list(rankers)
     score_fns = {n: resolve_ranker(r) for n, r in rankers.items()}
-    qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
-    post, lex, n_rows = _restrict(index, qt, push_terms)
-    if n_rows is None:
-        n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
-    small = n_rows <= MAX_QUERY_TERM_ROWS
-    known = lex.join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))
-    joined = post.join(_maybe_broadcast(known, small), "term")
+    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    joined = post.join(known, "term")
     args = (F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
     contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
                                                 for i, n in enumerate(names)])
@@ -217,28 +228,38 @@ def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "
     return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
 
 
-def _pruned_scores(contrib: DataFrame, k: int, small_batch: bool) -> DataFrame:
-    """Scores of the documents whose summed upper bounds can reach the k-th score.
-
-    The k-th score of a query is at least the k-th largest contribution of any
-    single term, so that is a safe bound.  One window-limited pass per
-    (query, term) yields both the term's upper bound (its best contribution)
-    and its k-th contribution; the cut is then a filter on the one scoring
-    aggregation.  Result-neutral by construction."""
-    w = Window.partitionBy("qid", "term").orderBy(F.col("contrib").desc())
-    top = contrib.select("qid", "term", "contrib").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-    per_term = top.groupBy("qid", "term").agg(
-        F.max("contrib").alias("_ub"), F.max(F.when(F.col("_r") == k, F.col("contrib"))).alias("_kth"))
-    # one row per (query, term): as many as the query-term table
-    few_terms = per_term.limit(MAX_QUERY_TERM_ROWS + 1).count() <= MAX_QUERY_TERM_ROWS
-    bound = per_term.groupBy("qid").agg(F.coalesce(F.max("_kth"), F.lit(0.0)).alias("_bound"))
-    ub = per_term.select("qid", "term", "_ub")
-    agg = (contrib.join(_maybe_broadcast(ub, few_terms), ["qid", "term"])
-           .groupBy("qid", "doc_id").agg(F.sum("contrib").alias("score"), F.count(F.lit(1)).alias("matched"),
-                                         F.sum("_ub").alias("_ubsum")))
-    kept = agg.join(_maybe_broadcast(bound, small_batch), "qid").filter(
-        F.col("_ubsum") >= F.col("_bound") - F.lit(1e-9))
-    return kept.filter(F.col("score") > 0).select("qid", "doc_id", "score", "matched")
+def _cut_contributions(post: DataFrame, known: DataFrame, index: Index, ranker: str | Ranker, k: int) -> DataFrame:
+    """The contributions from blocks of documents that can reach a query's top-k.
+
+    The index' block bounds (largest tf, smallest length of a term in a block of doc ids)
+    give each (query, block) the most that any document in it can score, for rankers
+    that grow with tf and fall with the length, as both built-in ones do.  Each query's
+    best block is scored first; its k-th score is a floor, and blocks whose bound is below
+    it are never joined.  A query all of whose postings lie in one block has nothing
+    to cut.  Result-neutral: a document's terms all lie in its own block."""
+    from trawl.session import scratch_path
+
+    spark = post.sparkSession
+    path = scratch_path(spark, "block-bounds")
+    (index.block_bounds().join(known, "term").withColumn("u", F.col("qtf") * _term_score(ranker))
+     .groupBy("qid", "block").agg(F.sum("u").alias("ub")).write.parquet(path))
+    bounds = spark.read.parquet(path)
+    placed = post.withColumn("block", index.block_of(F.col("doc_id")))
+    if bounds.groupBy("qid").count().where("count > 1").isEmpty():
+        return _contributions(post, known, ranker)
+
+    def scores(blocks: DataFrame) -> DataFrame:
+        return _contributions(placed, known, ranker, "block").join(blocks.select("qid", "block"), ["qid", "block"], "left_semi")
+
+    best = Window.partitionBy("qid").orderBy(F.col("ub").desc(), "block")
+    first = bounds.withColumn("r", F.row_number().over(best)).filter("r = 1")
+    by_score = Window.partitionBy("qid").orderBy(F.col("score").desc())
+    floor = (score_documents(scores(first)).withColumn("r", F.row_number().over(by_score)).filter(F.col("r") == k)
+             .select("qid", F.col("score").alias("floor")))
+    kept = bounds.join(floor, "qid", "left").filter(F.col("ub") >= F.coalesce("floor", F.lit(0.0)) - 1e-9)
+    kept_path = scratch_path(spark, "block-kept")
+    kept.select("qid", "block").write.parquet(kept_path)
+    return scores(spark.read.parquet(kept_path))
 
 
 def format_results(ranked: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ Layout under ``path``:
   lexicon/      (term, df), each file sorted on term
   doc_lengths/  (doc_id, dl)
   stats/        one row (n, avgdl)
-  meta/         one row: how the index was made (stem, stop words, term buckets)
+  bounds/       (term, block, tf, dl), what a block of documents can score at most
+  meta/         one row: how the index was made (stem, stop words, term buckets, block size)
 The corpus is tokenized once: the lexicon is derived from the written
 postings, and document lengths from the one reserved-term row per document
 that the postings carry (``LENGTH_TERM``).  Opening reads ``stats`` and ``meta``, two
@@ -24,6 +25,8 @@ rows; queries are parsed as the documents were, by what ``meta`` says.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +38,7 @@ BYTES_PER_BUCKET = 1 << 30
 # Estimated corpus bytes for each range partition of the postings.
 BYTES_PER_TASK = 128 << 20
 
-META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int"
+META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int, block_docs long"
 
 
 def plan_bytes(df: DataFrame) -> int | None:
@@ -81,6 +84,8 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     # file sorted on term (page statistics skip for a term lookup).
     (lexicon_from_postings(written.filter(F.col("term") != LENGTH_TERM)).sortWithinPartitions("term")
      .write.mode(mode).parquet(f"{base}/lexicon"))
+    (replace(index, postings=written.filter(F.col("term") != LENGTH_TERM), bounds_table=None).block_bounds()
+     .sortWithinPartitions("term", "block").write.mode(mode).parquet(f"{base}/bounds"))
     if index.combined is not None:
         # The length rows: one bucket folder (pruned), first rows of its sort.
         lengths = (written.filter((F.col("tb") == term_bucket(F.lit(LENGTH_TERM), term_buckets))
@@ -91,7 +96,7 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
     collection_stats(spark.read.parquet(f"{base}/doc_lengths")).coalesce(1).write.mode(mode).parquet(f"{base}/stats")
     stop = None if index.stopwords is None else list(index.stopwords)
-    spark.createDataFrame([(index.stem, stop, int(term_buckets))], META_SCHEMA).coalesce(1).write.mode(mode).parquet(
+    spark.createDataFrame([(index.stem, stop, int(term_buckets), index.block_docs)], META_SCHEMA).coalesce(1).write.mode(mode).parquet(
         f"{base}/meta")
 
 
@@ -102,7 +107,8 @@ def read_index(spark: SparkSession, path: str) -> Index:
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
                  stem=made.stem, stopwords=None if made.stopwords is None else tuple(made.stopwords),
-                 stats_table=spark.read.parquet(f"{base}/stats"), term_buckets=made.term_buckets)
+                 stats_table=spark.read.parquet(f"{base}/stats"), term_buckets=made.term_buckets,
+                 bounds_table=spark.read.parquet(f"{base}/bounds"), block_docs=made.block_docs)
 
 
 def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:
