@@ -11,6 +11,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Words are runs without ASCII white space / runs of ASCII letters, digits and anything above ASCII.
 SPACED_WORD = "[^\\x20\\x09-\\x0D]+"
 ALNUM_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+ALNUM_GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 #: Byte table: A-Z lower-cased, every byte outside ``ALNUM_WORD`` (after that) a blank.
 ALNUM_TABLE = bytes(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawl.llm.common import ALNUM_WORD, ascii_lower, small, stored
+from trawl.llm.common import ALNUM_GAP, ascii_lower, small, stored
 
 WINDOW = 10
 #: Terms whose lists are intersected before all others are.
@@ -40,7 +40,8 @@ BROADCAST_ROWS = 200_000
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(ALNUM_WORD), F.lit(0))
+    """The words of a text; cutting at what is between them is much faster than extracting them."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), ALNUM_GAP), "")
 
 
 def text_hash(text: Column) -> Column:
