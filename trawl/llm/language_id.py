@@ -16,7 +16,6 @@ columns lang_pred and score replace any of these names.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trawl.llm.common import stored
+from trawl.llm.common import free_name, stored
 
 SAMPLE_PER_LANGUAGE = 500
 PAIR_SLOTS, TRIPLE_SLOTS = 512, 1536
@@ -49,7 +48,6 @@ FAMILIES: dict[str, tuple[str, ...]] = {
 }
 _FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 _NOT_LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def family_of(lang: str) -> str:
@@ -81,7 +79,7 @@ class LanguageModel:
     pairs: dict[str, list[tuple[int, int, np.ndarray, float]]] = field(default_factory=dict)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.families or text is None or not _LETTER.search(text):
+        if not self.families or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         x = features(text)
         family, score = 0, 1.0
@@ -154,6 +152,6 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         for s in texts:
             yield pd.DataFrame([model.predict(t) for t in s], columns=["lang_pred", "score"])
 
-    guess = of(F.col(text)).alias("__guess")
+    guess = free_name(docs, "__guess")
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    return docs.select(*kept, guess).select(*kept, "__guess.lang_pred", "__guess.score")
+    return docs.select(*kept, of(F.col(text)).alias(guess)).select(*kept, f"{guess}.lang_pred", f"{guess}.score")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from trawl.llm.common import ALNUM_TABLE
+from trawl.llm.common import ALNUM_TABLE, free_name
 
 #: Fixed values: (phrase, label) of the base rule.
 PHRASES: tuple[tuple[str, str], ...] = (
@@ -194,7 +194,7 @@ def license_scan(docs: DataFrame, text: str = "text") -> DataFrame:
     result = StructType.fromDDL(RESULT)
     own = {f.name.lower() for f in result}
     carried = [c for c in docs.columns if c.lower() not in own]
-    source = docs.select(*carried, docs[text].alias("__scanned"))
+    source = docs.select(*carried, docs[text].alias(free_name(docs, "__scanned")))
     out = StructType([*docs.select(*carried).schema.fields, *result.fields])
     n_carried = len(carried)
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(

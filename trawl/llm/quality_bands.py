@@ -17,6 +17,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
+
+from trawl.llm.common import free_name
 
 #: Texts of at most so many bytes -> smallest and largest ratio of the whole text.
 BANDS: tuple[tuple[float, float, float], ...] = (
@@ -89,13 +92,10 @@ def measure(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
 def compression_bands(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the columns of ``RESULT``; ``kept`` is the verdict.  One pass
     over Arrow batches, no shuffle."""
-    from pyspark.sql.types import StructType
-
     result = StructType.fromDDL(RESULT)
     own = {f.name.lower() for f in result}
-    source = docs.select("*", docs[text].alias("__measured"))
     carried = [c for c in docs.columns if c.lower() not in own]
-    source = source.select(*carried, "__measured")
+    source = docs.select(*carried, docs[text].alias(free_name(docs, "__measured")))
     out = StructType([*docs.select(*carried).schema.fields, *result.fields])
     n_carried = len(carried)
 
