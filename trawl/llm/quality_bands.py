@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -57,18 +58,24 @@ def _dup_lines(raw: bytes) -> int:
 
 
 def _repeat_words(words: list[bytes]) -> int:
-    """Words inside 3-word windows that occur twice or more."""
-    windows = list(zip(words, words[1:], words[2:], strict=False))
-    if len(set(windows)) == len(windows):
+    """Words inside 3-word windows that occur twice or more.  Windows are numbers made
+    of their words' numbers, exactly, a few bytes each however long the text is."""
+    n = len(words) - 2
+    if n < 2:
         return 0
-    first: dict[tuple, int] = {}
-    hit = bytearray(len(words))
-    for i, w in enumerate(windows):
-        j = first.setdefault(w, i)
-        if j != i:
-            hit[i:i + 3] = b"\1\1\1"
-            hit[j:j + 3] = b"\1\1\1"
-    return sum(hit)
+    number: dict[bytes, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    pairs = ids[:-1] * len(number) + ids[1:]
+    if len(number) >= 1 << 21:
+        pairs = np.unique(pairs, return_inverse=True)[1]
+    _, which, counts = np.unique(pairs[:-1] * len(number) + ids[2:], return_inverse=True, return_counts=True)
+    if len(counts) == n:
+        return 0
+    again = counts[which] > 1
+    hit = np.zeros(len(words), bool)
+    for k in range(3):
+        hit[k:k + n] |= again
+    return int(hit.sum())
 
 
 def measure(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
