@@ -51,3 +51,12 @@ def test_sample_is_bounded(spark):
     rows = spark.range(5000).selectExpr("id AS doc_id", "'t' AS text", "IF(id % 10 = 0, 'de', 'en') AS lang")
     got = {r.lang: r["count"] for r in li.training_sample(rows, 100).groupBy("lang").count().collect()}
     assert got == {"de": 100, "en": 100}
+
+
+def test_features_do_not_depend_on_pieces(monkeypatch):
+    for text in ("", "a", "é", "some words, others too; Ünd 12 " * 30):
+        whole = li.features(text)
+        for size in (1, 2, 3, 7, 64):
+            monkeypatch.setattr(li, "PIECE_BYTES", size)
+            assert (li.features(text) == whole).all()
+        monkeypatch.undo()

@@ -31,6 +31,7 @@ from trawl.llm.common import free_name, stored
 
 SAMPLE_PER_LANGUAGE = 500
 PAIR_SLOTS, TRIPLE_SLOTS = 512, 1536
+PIECE_BYTES = 1 << 20
 MAX_ITER, REG = 25, 1e-3
 UNKNOWN = "und"
 
@@ -55,15 +56,17 @@ def family_of(lang: str) -> str:
 
 
 def features(text: str) -> np.ndarray:
-    """Square roots of the slot counts, scaled to length one."""
+    """Square roots of the slot counts, scaled to length one.  Counted piece by piece."""
     raw = b" " + b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_NOT_LETTERS).split()) + b" "
-    a = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    pairs = (a[:-1] * 2654435761 + a[1:] * 40503) >> 7
-    x = np.bincount(pairs % PAIR_SLOTS, minlength=PAIR_SLOTS + TRIPLE_SLOTS)
-    if len(a) > 2:
-        triples = (pairs[:-1] * 31 + a[2:] * 2246822519) >> 9
-        x = x + np.bincount(PAIR_SLOTS + triples % TRIPLE_SLOTS, minlength=PAIR_SLOTS + TRIPLE_SLOTS)
-    x = np.sqrt(x).astype(np.float32)
+    slots = PAIR_SLOTS + TRIPLE_SLOTS
+    total = np.zeros(slots, np.int64)
+    for at in range(0, len(raw) - 1, PIECE_BYTES):
+        a = np.frombuffer(raw, np.uint8, min(PIECE_BYTES + 2, len(raw) - at), at).astype(np.uint32)
+        pairs = (a[:-1] * 2654435761 + a[1:] * 40503) >> 7
+        triples = (pairs[:len(a) - 2] * 31 + a[2:] * 2246822519) >> 9
+        total += np.bincount(pairs[:PIECE_BYTES] % PAIR_SLOTS, minlength=slots)
+        total += np.bincount(PAIR_SLOTS + triples[:PIECE_BYTES] % TRIPLE_SLOTS, minlength=slots)
+    x = np.sqrt(total).astype(np.float32)
     return x / max(float(np.linalg.norm(x)), 1e-9)
 
 
