@@ -32,7 +32,7 @@ def main() -> None:
     spark = build_session("local[4]", 8)
     corpus = inp.corpus(spark, sf)
     path = scratch_path(spark, "plans-index")
-    index = ix.build_index(corpus)
+    index = ix.build_index(corpus, unique_ids=True)
     index.write(path)
     opened = ix.Index.read(spark, path)
     q = inp.bench_queries(spark, sf)
