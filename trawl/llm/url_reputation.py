@@ -71,27 +71,22 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return out
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, on: list[str]) -> DataFrame:
-    """``children(.., bad, n)`` with the posterior ``a``, ``b`` under their parents'
-    means ``(on.., mean)``; the prior's weight comes from the spread of all children
-    around their parents.
+def _shrunk(children: DataFrame) -> DataFrame:
+    """``children(.., bad, n, mean)`` with the posterior ``a``, ``b`` under the parents'
+    means; the prior's weight comes from the spread of all children around them.
 
     With share s = bad / n, E (s - m)^2 = m (1 - m) (1 / n + (1 - 1 / n) / (w + 1)) for
     a prior of mean m and weight w; summed over the children with n labels each and
-    solved for w.
+    solved for w.  Two sums reach the driver.
     """
-    both = children.join(parents, on) if on else children.crossJoin(parents)
     spread = F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("mean"), 2)
     chance = F.col("mean") * (1 - F.col("mean"))
-    told = F.when(F.col("n") > 0, F.lit(1))
-    sums = both.agg(F.sum(told * (spread - chance)).alias("over"), F.sum(told * chance * (F.col("n") - 1)).alias("most"))
-    ratio = F.col("most") / F.col("over") - 1
-    weight = sums.select(F.when(F.coalesce(F.col("over"), F.lit(0.0)) <= 1e-12, F.lit(MOST_WEIGHT)).otherwise(
-        F.greatest(F.lit(LEAST_WEIGHT), F.least(F.lit(MOST_WEIGHT), ratio))).alias("weight"))
-    return (both.crossJoin(F.broadcast(weight))  # one row of two sums
-            .withColumn("a", F.col("weight") * F.col("mean") + F.col("bad"))
-            .withColumn("b", F.col("weight") * (1 - F.col("mean")) + F.col("n") - F.col("bad"))
-            .drop("mean", "weight"))
+    sums = children.where("n > 0").agg(F.sum(spread - chance).alias("over"), F.sum(chance * (F.col("n") - 1)).alias("most")).first()
+    weight = MOST_WEIGHT
+    if sums.over is not None and sums.over > 1e-12:
+        weight = max(LEAST_WEIGHT, min(MOST_WEIGHT, sums.most / sums.over - 1))
+    return (children.withColumn("a", weight * F.col("mean") + F.col("bad"))
+            .withColumn("b", weight * (1 - F.col("mean")) + F.col("n") - F.col("bad")).drop("mean"))
 
 
 def _mean(level: DataFrame, on: list[str]) -> DataFrame:
@@ -109,10 +104,10 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     total = lambda df, *on: df.groupBy(*on).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = stored(total(hosts, "suffix", "domain"), "reputation-domains")
     suffixes = stored(total(domains, "suffix"), "reputation-suffixes")
-    top = total(suffixes).select(((F.coalesce("bad", F.lit(0)) + TOP_BAD) / (F.coalesce("n", F.lit(0)) + TOP_ALL)).alias("mean"))
-    by_suffix = _shrunk(suffixes, F.broadcast(top), [])
-    by_domain = _shrunk(domains, _mean(by_suffix, ["suffix"]), ["suffix"])
-    by_host = _shrunk(hosts, _mean(by_domain, ["suffix", "domain"]), ["suffix", "domain"])
+    top = total(suffixes).first()
+    by_suffix = _shrunk(suffixes.withColumn("mean", F.lit(((top.bad or 0) + TOP_BAD) / ((top.n or 0) + TOP_ALL))))
+    by_domain = _shrunk(domains.join(_mean(by_suffix, ["suffix"]), "suffix"))
+    by_host = _shrunk(hosts.join(_mean(by_domain, ["suffix", "domain"]), ["suffix", "domain"]))
     size = F.col("a") + F.col("b")
     mean = F.col("a") / size
     low = F.greatest(F.lit(0.0), mean - BOUND_Z * F.sqrt(mean * (1 - mean) / (size + 1)))
