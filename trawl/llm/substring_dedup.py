@@ -46,6 +46,7 @@ CELLS_PER_WINDOW = 8
 GROUP_WORDS = 1_000_000
 SHARD_WINDOWS = 2_000_000
 PIECE_BYTES = 1 << 20
+SPOOL_LEVEL = 6
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -146,7 +147,7 @@ def packed(docs: DataFrame, text: str, group_words: int = GROUP_WORDS) -> DataFr
             with pa.ipc.new_stream(sink, rows[0].schema) as w:
                 for r in rows:
                     w.write_batch(r)
-            blob = zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
+            blob = zstandard.ZstdCompressor(level=SPOOL_LEVEL).compress(sink.getvalue().to_pybytes())
             return pa.RecordBatch.from_pydict({"g": [uuid.uuid4().hex], "blob": [blob], "n_words": [n]})
 
         held, n = [], 0
@@ -187,10 +188,24 @@ def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
+def _keys_block(a: np.ndarray, b: np.ndarray, at: np.ndarray, least: np.ndarray, most: np.ndarray) -> bytes:
+    """Keys with a place and their doc_ids, in the order of the places: those and the
+    doc_ids then differ little from one to the next and take about a byte together."""
+    order = np.argsort(at, kind="stable")
+    at, least, most = at[order], least[order], most[order]
+    return pack(a[order], b[order], np.diff(at, prepend=0).astype("<u4"), np.diff(least, prepend=0), most - least)
+
+
+def _keys_of(block: bytes) -> tuple[np.ndarray, ...]:
+    a, b, at, least, more = unpack(block, "<u8", "<u8", "<u4", "<i8", "<i8")
+    least = np.cumsum(least)
+    return a, b, np.cumsum(at, dtype=np.int64), least, least + more
+
+
 def _least_ids(lists: pa.Table) -> pa.Table:
     """Exact groups of one bucket: for each group of documents the windows whose key
     also starts in a smaller doc_id than the group's largest, with the smallest."""
-    parts = [unpack(b, "<u8", "<u8", "<u4", "<i8", "<i8") for b in lists.column("blob").to_pylist()]
+    parts = [_keys_of(b) for b in lists.column("blob").to_pylist()]
     a, b, _, least, _ = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((least, b, a))
     new = np.ones(len(order), bool)
@@ -205,7 +220,7 @@ def _least_ids(lists: pa.Table) -> pa.Table:
         later = own < most
         if later.any():
             out["g"].append(g)
-            out["blob"].append(pack(at[later], own[later]))
+            out["blob"].append(pack(np.diff(at[later], prepend=0).astype("<u4"), np.diff(own[later], prepend=0)))
     return pa.table(out, pa.schema([("g", pa.string()), ("blob", pa.binary())]))
 
 
@@ -259,19 +274,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(a)) - 1 if len(first) else first
             buckets, starts = np.unique(bucket[first], return_index=True)
-            columns = a[first], b[first], at[first].astype("<u4"), ids[first], ids[last]
+            columns = a[first], b[first], at[first], ids[first], ids[last]
             for n, k in enumerate(buckets):
                 part = slice(starts[n], starts[n + 1] if n + 1 < len(starts) else None)
                 out["bucket"].append(int(k))
                 out["g"].append(g)
-                out["blob"].append(pack(*(c[part] for c in columns)))
+                out["blob"].append(_keys_block(*(c[part] for c in columns)))
         return pa.table(out, pa.schema([("bucket", pa.int64()), ("g", pa.string()), ("blob", pa.binary())]))
 
     def cut(spool_rows: pa.Table, lists: pa.Table) -> pa.Table:
         done = []
         for blob in spool_rows.column("blob").to_pylist():
             group = _Group(blob, i, t, width)
-            told = [unpack(x, "<u4", "<i8") for x in lists.column("blob").to_pylist()]
+            told = [[np.cumsum(c, dtype=np.int64) for c in unpack(x, "<u4", "<i8")] for x in lists.column("blob").to_pylist()]
             gone = np.zeros(int(group.sizes.sum()) + width, np.int64)
             if told:
                 at, least = (np.concatenate(x) for x in zip(*told, strict=True))
