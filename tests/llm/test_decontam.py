@@ -54,6 +54,7 @@ def sample():
 def test_query_against_all_windows(spark, make_dir, monkeypatch, bound):
     """Same rows whether side tables are broadcast or shuffled."""
     monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(dc, "BROADCAST_TEXTS", bound)
     rows, items = sample()
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = QUERIES["op2_positional_index"](spark, make_dir(rows, benchmark=bench)).collect()

@@ -12,7 +12,8 @@ for, so no list is multiplied by the phrases that use it.  ``near_matches`` find
 rarest terms of an item close together in any order.
 
 Everything is DataFrame operations.  Tables of the test set's size are broadcast only
-below ``BROADCAST_ROWS`` rows, otherwise joined by a shuffle.
+below ``BROADCAST_ROWS`` rows, otherwise joined by a shuffle; hashes of candidate texts
+only below ``BROADCAST_TEXTS``, otherwise the lists are joined whole.
 
 Defined results: null and empty texts have no words, no hits, and still get a row;
 rows that are equal in doc_id and text get equal results, a row each; items without
@@ -37,6 +38,8 @@ RAREST = 3
 NEAR_SPAN = 20
 LENGTH = " "
 BROADCAST_ROWS = 200_000
+#: Texts whose hashes are broadcast to leave out the postings of all others.
+BROADCAST_TEXTS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -133,9 +136,10 @@ def phrase_matches(index: PositionalIndex, phrases: DataFrame) -> DataFrame:
         asked = stored(_asked(ranked, condition), "decontam-asked")
         terms = stored(asked.select("term").distinct(), "decontam-asked-terms")
         postings = index.postings.join(small(terms, BROADCAST_ROWS), "term", "left_semi")
-        docs = stored(found.select("doc_id", "th").distinct(), "decontam-docs")
-        if docs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-            postings = postings.join(F.broadcast(docs), _same_doc(postings, docs), "left_semi")
+        # Hashes of the texts in question, eight bytes each; another text with such a hash is only looked at in vain.
+        texts = stored(found.select("th").distinct(), "decontam-texts")
+        if texts.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
+            postings = postings.join(F.broadcast(texts), "th", "left_semi")
         short = found.join(small(asked.select("phrase").distinct(), BROADCAST_ROWS), "phrase", "left_anti")
         found = stored(_standing(found, small(asked, BROADCAST_ROWS), postings).unionAll(
             short.select("doc_id", "th", "start", "phrase")), name)
