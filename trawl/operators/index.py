@@ -100,9 +100,6 @@ class Index:
     doc_lengths: DataFrame
     stem: bool = False
     stopwords: tuple[str, ...] | None = DEFAULT_STOPWORDS
-    # (doc_id) of every corpus record; lets ``write`` derive document lengths
-    # from the written postings without tokenizing the corpus again.
-    doc_ids: DataFrame | None = None
     # One-row (n, avgdl) written with the index; computed when absent.
     stats_table: DataFrame | None = None
     # Number of term-hash bucket folders of a written index (None in memory).
@@ -163,7 +160,7 @@ def index_from_combined(combined: DataFrame, stem: bool = False,
     lengths = combined.filter(F.col("term") == LENGTH_TERM).select("doc_id", F.col("dl").cast("long").alias("dl"))
     return Index(postings=post, lexicon=lexicon_from_postings(post), doc_lengths=lengths, stem=stem,
                  stopwords=tuple(stopwords) if stopwords is not None else None,
-                 doc_ids=lengths.select("doc_id"), combined=combined)
+                 combined=combined)
 
 
 def build_index(corpus: DataFrame, stopwords: Iterable[str] | None = DEFAULT_STOPWORDS, stem: bool = False,
