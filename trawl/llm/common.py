@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from trawl.session import checkpoint_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Words are runs without ASCII white space / runs of ASCII letters, digits and anything above ASCII.
-SPACED_WORD = "[^\\x20\\x09-\\x0D]+"
-ALNUM_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: What stands between words of ASCII letters, digits and anything above ASCII.
 ALNUM_GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
-#: Byte table: A-Z lower-cased, every byte outside ``ALNUM_WORD`` (after that) a blank.
+#: Byte table: A-Z lower-cased, every byte of ``ALNUM_GAP`` (after that) a blank.
 ALNUM_TABLE = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32
     for b in range(256))
