@@ -32,11 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from trawl.llm.common import stored
+from trawl.llm.common import free_name, stored
 from trawl.llm.components import connected_components
 
 SHINGLE = 3
@@ -81,6 +81,10 @@ def with_fingerprints(docs: DataFrame, name: str, text: str = "text", width: int
     return docs.withColumn(name, of(F.col(text)))
 
 
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 class _Tree:
     """Vantage-point tree over an array of fingerprints; nodes hold the radius of
     the inner half, leaves hold positions."""
@@ -186,26 +190,28 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                            width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``(doc_id, fp, class_fp, component_id)``, one row per row of ``docs``:
-    ``class_fp`` names the class, ``component_id`` is its smallest doc_id."""
-    marked = stored(with_fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
-                                      "fp", "text", width).select("doc_id", "fp"), "simhash-fp")
+    """``(doc_id, th, fp, class_fp, component_id)``, one row per row of ``docs``: ``th``
+    is the text's hash, ``class_fp`` names the class, ``component_id`` is its smallest doc_id."""
+    work = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), _text_hash(text).alias("th"))
+    marked = stored(with_fingerprints(work, "fp", "text", width).select("doc_id", "th", "fp"), "simhash-fp")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
     roots = connected_components(near_links(nodes.select("fp"), radius))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("class_fp"))
     least = placed.groupBy("class_fp").agg(F.min("first_id").alias("component_id"))
     classes = placed.join(least, "class_fp").select("fp", "class_fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "class_fp", "component_id")
+    return marked.join(classes, "fp").select("doc_id", "th", "fp", "class_fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each class: the one with the smallest doc_id (among rows that
-    share it, the smallest fingerprint, then any one).  Columns as in ``docs``."""
+    """One row of each class: the one with the smallest doc_id (among rows that share
+    it, the smallest text hash, then any one).  Columns as in ``docs``.  Texts move
+    once, to meet the keepers by doc_id, of which no class has more than one."""
     classes = near_duplicate_classes(docs, width=width, radius=radius)
     keepers = stored(classes.groupBy("class_fp").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")).alias("k"))
-        .select("k.doc_id", "k.fp"), "simhash-keepers")
-    marked = with_fingerprints(docs, "__fp", "text", width)
-    same = marked["doc_id"].eqNullSafe(keepers["doc_id"]) & (marked["__fp"] == keepers["fp"])
-    return marked.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "__fp"]).drop("__fp")
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("k"))
+        .select("k.doc_id", "k.th"), "simhash-keepers")
+    th = free_name(docs, "__th")
+    marked = docs.withColumn(th, _text_hash("text"))
+    same = marked["doc_id"].eqNullSafe(keepers["doc_id"]) & (marked[th] == keepers["th"])
+    return marked.join(keepers, same, "left_semi").dropDuplicates(["doc_id", th]).drop(th)
