@@ -206,12 +206,16 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
 def keep_one(docs: DataFrame, width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of each class: the one with the smallest doc_id (among rows that share
     it, the smallest text hash, then any one).  Columns as in ``docs``.  Texts move
-    once, to meet the keepers by doc_id, of which no class has more than one."""
-    classes = near_duplicate_classes(docs, width=width, radius=radius)
+    once, to meet the keepers by doc_id, of which no class has more than one; a second
+    time only if the table has rows that are equal in doc_id and text."""
+    classes = stored(near_duplicate_classes(docs, width=width, radius=radius), "simhash-classes")
     keepers = stored(classes.groupBy("class_fp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")).alias("k"))
         .select("k.doc_id", "k.th"), "simhash-keepers")
     th = free_name(docs, "__th")
     marked = docs.withColumn(th, _text_hash("text"))
     same = marked["doc_id"].eqNullSafe(keepers["doc_id"]) & (marked[th] == keepers["th"])
-    return marked.join(keepers, same, "left_semi").dropDuplicates(["doc_id", th]).drop(th)
+    kept = marked.join(keepers, same, "left_semi")
+    if not classes.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", th])
+    return kept.drop(th)
