@@ -30,6 +30,7 @@ from trawl.llm.common import free_name
 CONTEXT_CHARS = 40
 CONTEXT_SCORE = 0.3
 MIN_SCORE = 0.6
+BLOCK = 64
 
 
 def _digits(s: Column) -> Column:
@@ -158,19 +159,48 @@ def find_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Dat
     return out.withColumn(spans, F.concat(F.col(base), added)).drop(base, *found)
 
 
-def _masked(kind: Kind, parts: Column) -> Column:
-    """The text put together again, confirmed hits replaced; null parts give null."""
-    name = F.lit(f"[{kind.name.upper()}]")
-    return F.array_join(F.transform(parts, lambda x, i: F.concat(x["gaps"], F.when(
-        _score(kind, parts, x, i).isNotNull(), name).otherwise(F.coalesce(x["hits"], F.lit(""))))), "")
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` characters, so that a piece of it is found by its
+    place without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to before ``end``, at most to its end."""
+    first = F.floor(start / BLOCK).cast("int")
+    n = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+    joined = F.array_join(F.slice(blocks, first + 1, n), "")
+    return F.when(end > start, F.substring(joined, start % BLOCK + 1, end - start)).otherwise("")
+
+
+def _union(spans: Column) -> Column:
+    """Spans by start, those that overlap merged into one of the longest's kind."""
+    part = "struct<start:int,end:int,kind:string,len:int>"
+    parts = F.array_sort(F.transform(spans, lambda x: F.struct(
+        x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), (x["end"] - x["start"]).alias("len"))))
+
+    def add(acc: Column, x: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        kind = F.when(x["len"] > last["len"], x["kind"]).otherwise(last["kind"])
+        merged = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
+                          kind.alias("kind"), F.greatest(last["len"], x["len"]).alias("len"))
+        apart = (F.size(acc) == 0) | (last["end"] <= x["start"])
+        return F.when(apart, F.concat(acc, F.array(x))).otherwise(
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(merged)))
+
+    return F.aggregate(parts, F.array().cast(f"array<{part}>"), add)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every confirmed span replaced by its kind, as ``[EMAIL]``.  The
-    kinds take turns in their order, each on the text that the last one left."""
-    work = free_name(docs, "__cut")
-    out = docs
-    for kind in KINDS:
-        out = out.withColumn(work, _parts(kind, F.col(text)))
-        out = out.withColumn(text, F.coalesce(_masked(kind, F.col(work)), F.col(text)))
-    return out.drop(work)
+    """``docs`` with every span of ``find_spans`` replaced by its kind, as ``[EMAIL]``;
+    of spans that overlap the union is replaced, named by the longest (of equally long
+    ones by that which starts first, then ends first, then by name)."""
+    spans, blocks = free_name(docs, "__spans"), free_name(docs, "__blocks")
+    out = find_spans(docs, text, spans).withColumn(spans, _union(F.col(spans)))
+    out = out.withColumn(blocks, F.when(F.size(spans) > 0, _blocks(F.col(text))))
+    kept_from = lambda i: F.when(i == 0, 0).otherwise(F.get(F.col(spans), i - 1)["end"])
+    pieces = F.transform(spans, lambda x, i: F.concat(
+        _piece(F.col(blocks), kept_from(i), x["start"]), F.lit("["), F.upper(x["kind"]), F.lit("]")))
+    rest = _piece(F.col(blocks), F.try_element_at(F.col(spans), F.lit(-1))["end"], F.size(blocks) * BLOCK)
+    masked = F.concat(F.array_join(pieces, ""), rest)
+    return out.withColumn(text, F.when(F.size(spans) > 0, masked).otherwise(F.col(text))).drop(spans, blocks)
