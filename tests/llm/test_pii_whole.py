@@ -28,3 +28,19 @@ def test_redaction_masks_the_reported_spans(spark, make_docs):
     out = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert out[1] == "fax [PHONE] now" and out[2] == "[PHONE]" and out[9] == texts[9]
     assert out == {i: union_masked(t, found[i]) for i, t in texts.items()}
+
+
+def test_account_numbers_before_upper_case_words(spark, make_docs):
+    es, at, be = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034"
+    cases = [(f"IBAN: {es} BIC: CAIXESBB", [es]), (f"IBAN {at} BIC", [at]), (f"account {be} OR", [be]),
+             ("IBAN ES9121000418450200051332 BIC", ["ES9121000418450200051332"]), (f"IBAN {es} BANK NAME", [es]),
+             ("IBAN ES9121000418450200051332BIC", ["ES9121000418450200051332"]), (f"IBAN {es} Bank", [es]),
+             (f"IBAN {es} CAIXESBBXXXXXXXX", [es]), (f"IBAN {es} {es} {at} {be}", [es, es, at, be]), (es, [es]),
+             ("IBAN GB82 WEST 1234 5698 7654 32 BIC", ["GB82 WEST 1234 5698 7654 32"]), (f"IBAN {es[:-1]}3 BIC", []),
+             (f"IBAN x{es}", []), ("IBAN DE89370400440532013000x", ["DE89370400440532013000"]), ("IBAN DE8937040044053201300x", []),
+             ("IBAN MT84 MALT 0110 0001 2345 MTLC AST0 01S", ["MT84 MALT 0110 0001 2345 MTLC AST0 01S"])]
+    got = {r.doc_id: r.spans for r in pii.find_spans(make_docs([(i, t) for i, (t, _) in enumerate(cases)])).collect()}
+    for i, (text, want) in enumerate(cases):
+        found = [s for s in got[i] if s.kind == "iban"]
+        assert [s.text for s in found] == want, text
+        assert all(text[s.start:s.end] == s.text for s in found)

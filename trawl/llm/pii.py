@@ -58,6 +58,32 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, ""), lambda x: x != ""), F.lit(0), step) == 1
 
 
+#: Length of an account number by country, as its registry gives it.
+IBAN_LENGTHS: dict[str, int] = {c: n for n, listed in (
+    (15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"),
+    (21, "CH HR LI LV"), (22, "BG BH CR DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"),
+    (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"),
+    (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"),
+    (32, "LC"), (33, "RU")) for c in listed.split()}
+
+
+def iban_prefix(hit: Column) -> Column:
+    """The longest beginning of ``hit`` that ends before a blank, at its end (unless a
+    small letter goes on there) or at the length of its country, and passes ``mod97``."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def ends(n: Column) -> Column:
+        compact = F.length(F.replace(F.left(hit, n), F.lit(" ")))
+        stops = F.substring(hit, n + 1, F.lit(1)).isin("", " ") | F.coalesce(
+            compact == lengths[F.left(hit, F.lit(2))], F.lit(False))
+        return ((n <= F.length(hit)) & F.substring(hit, n, F.lit(1)).rlike("[A-Z0-9]") & stops
+                & compact.between(15, 34) & mod97(F.replace(F.left(hit, n), F.lit(" "))))
+
+    # A hit has at most 34 places, a blank before every group and a few places more.
+    longest_first = F.sequence(F.lit(45), F.lit(15), F.lit(-1))
+    return F.left(hit, F.get(F.filter(longest_first, ends), F.lit(0)))
+
+
 def _card(least: int, most: int) -> Callable[[Column], Column]:
     return lambda s: F.length(_digits(s)).between(least, most) & luhn(_digits(s))
 
@@ -65,16 +91,20 @@ def _card(least: int, most: int) -> Callable[[Column], Column]:
 @dataclass(frozen=True)
 class Kind:
     """``hint``: cheap necessary condition on the whole text, a regular expression
-    or a plain string; ``score``: of a match that its validator confirmed."""
+    or a plain string; ``score``: of a match that its validator confirmed.  Without
+    ``valid``, ``prefix`` gives what to take of a match (null: nothing); the match is
+    then group 1 of the pattern, read ahead, and ``step`` characters are passed by."""
 
     name: str
     pattern: str
     hint: str
     plain_hint: bool
-    valid: Callable[[Column], Column]
+    valid: Callable[[Column], Column] | None
     score: float
     context: tuple[str, ...]
     base: bool
+    prefix: Callable[[Column], Column] | None = None
+    step: int = 0
 
 
 _MAIL = "[A-Za-z0-9._%+-]"
@@ -90,10 +120,9 @@ KINDS: tuple[Kind, ...] = (
     Kind("card", _CARD, r"[0-9](?:[ -]?[0-9]){15}", False, _card(16, 19), 0.8, _CARD_WORDS, True),
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", True,
          lambda s: F.length(_digits(s)).between(8, 15), 0.7, ("phone", "tel", "call", "mobile", "fax"), True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
+    Kind("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?+[a-z]?+))[A-Z]{2}[0-9]{2}",
          r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", False,
-         lambda s: F.length(F.replace(s, F.lit(" "))).between(15, 34) & mod97(F.replace(s, F.lit(" "))),
-         0.8, ("iban", "account", "konto", "compte", "cuenta"), False),
+         None, 0.8, ("iban", "account", "konto", "compte", "cuenta"), False, iban_prefix, 4),
     Kind("short_card", _CARD, r"[0-9](?:[ -]?[0-9]){12}", False, _card(13, 15), 0.4, _CARD_WORDS, False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", False,
          lambda s: ~s.rlike("^(?:000|666|9)|-00-|-0000$"), 0.4, ("ssn", "social security"), False),
@@ -113,34 +142,58 @@ def _parts(kind: Kind, text: Column) -> Column:
     """The text cut at the kind's matches: ``array<struct<gaps, hits>>``, the last
     with a null hit; null if the text cannot have a match."""
     cut = F.split(text, kind.pattern, -1)
-    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.prefix else 0))
     return F.when(_hinted(kind, text), F.arrays_zip(cut.alias("gaps"), hits.alias("hits")))
 
 
-def _score(kind: Kind, parts: Column, x: Column, i: Column) -> Column:
-    """The score of a part's hit; null where there is none or its validator fails."""
-    near = F.lower(F.concat_ws(" ", F.right(x["gaps"], F.lit(CONTEXT_CHARS)),
-                               F.left(F.get(parts, i + 1)["gaps"], F.lit(CONTEXT_CHARS))))
-    bonus = F.when(near.rlike("|".join(kind.context)), CONTEXT_SCORE).otherwise(0.0)
-    score = F.round(F.least(F.lit(1.0), F.lit(kind.score) + bonus), 2)
-    taken = x["hits"].isNotNull() & kind.valid(x["hits"])
-    return F.when(taken & (F.lit(kind.base) | (score >= MIN_SCORE)), score)
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` characters, so that a piece of it is found by its
+    place without counting from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to before ``end``, at most to its end."""
+    first = F.floor(start / BLOCK).cast("int")
+    n = F.floor((end - 1) / BLOCK).cast("int") - first + 1
+    joined = F.array_join(F.slice(blocks, first + 1, n), "")
+    return F.when(end > start, F.substring(joined, start % BLOCK + 1, end - start)).otherwise("")
 
 
-def _spans(kind: Kind, parts: Column) -> Column:
-    scored = F.transform(parts, lambda x, i: F.struct(
-        F.length(x["gaps"]).alias("gap"), F.coalesce(F.length(x["hits"]), F.lit(0)).alias("len"),
-        _score(kind, parts, x, i).alias("score"), x["hits"].alias("text")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+def _placed(kind: Kind, parts: Column) -> Column:
+    """The confirmed matches with their places, none over another: ``array<struct<start, end, text>>``."""
+    spot = "struct<start:int,end:int,text:string>"
+    taken = lambda s: kind.prefix(s) if kind.prefix else F.when(kind.valid(s), s)
+    read = F.transform(parts, lambda x: F.struct(
+        F.length(x["gaps"]).alias("gap"), taken(x["hits"]).alias("text"),
+        F.when(x["hits"].isNull(), 0).otherwise(F.lit(kind.step) if kind.prefix else F.length(x["hits"])).alias("step")))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.array().cast(f"array<{spot}>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
-        span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + x["len"]).alias("end"),
-                        x["score"].alias("score"), x["text"].alias("text")).cast(SPAN)
-        out = F.when(x["score"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span)))
-        return F.struct((start + x["len"]).alias("at"), out.alias("out"))
+        end = start + F.length(x["text"])
+        new = x["text"].isNotNull() & (start >= acc["free"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["text"].alias("text")).cast(spot)
+        return F.struct((start + x["step"]).alias("at"), F.when(new, end).otherwise(acc["free"]).alias("free"),
+                        F.when(new, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.coalesce(F.aggregate(scored, zero, step, lambda acc: acc["out"]), F.array().cast(f"array<{SPAN}>"))
+    return F.coalesce(F.aggregate(read, zero, step, lambda acc: acc["out"]), F.array().cast(f"array<{spot}>"))
+
+
+def _spans(kind: Kind, placed: Column, blocks: Column) -> Column:
+    """``placed`` as scored spans; those of added kinds below ``MIN_SCORE`` are left out."""
+    def scored(x: Column, i: Column) -> Column:
+        since = F.when(i == 0, 0).otherwise(F.get(placed, i - 1)["end"])
+        upto = F.coalesce(F.get(placed, i + 1)["start"], x["end"] + CONTEXT_CHARS)
+        before = _piece(blocks, F.greatest(since, x["start"] - CONTEXT_CHARS), x["start"])
+        after = _piece(blocks, x["end"], F.least(upto, x["end"] + CONTEXT_CHARS))
+        bonus = F.when(F.lower(F.concat_ws(" ", before, after)).rlike("|".join(kind.context)), CONTEXT_SCORE).otherwise(0.0)
+        score = F.round(F.least(F.lit(1.0), F.lit(kind.score) + bonus), 2)
+        return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
+                        score.alias("score"), x["text"].alias("text")).cast(SPAN)
+
+    spans = F.transform(placed, scored)
+    return spans if kind.base else F.filter(spans, lambda x: x["score"] >= MIN_SCORE)
 
 
 def find_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
@@ -148,9 +201,15 @@ def find_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Dat
     by kind in the order of ``KINDS``, then start; ends are exclusive."""
     source = F.coalesce(F.col(text), F.lit(""))
     cut = [free_name(docs, f"__cut_{k.name}") for k in KINDS]
+    placed = [free_name(docs, f"__placed_{k.name}") for k in KINDS]
     found = [free_name(docs, f"__spans_{k.name}") for k in KINDS]
+    blocks = free_name(docs, "__text_blocks")
     out = docs.select("*", *[_parts(k, source).alias(c) for k, c in zip(KINDS, cut, strict=True)])
-    out = out.select("*", *[_spans(k, F.col(c)).alias(s) for k, c, s in zip(KINDS, cut, found, strict=True)]).drop(*cut)
+    out = out.select("*", *[_placed(k, F.col(c)).alias(p) for k, c, p in zip(KINDS, cut, placed, strict=True)]).drop(*cut)
+    any_placed = F.greatest(*[F.size(p) for p in placed]) > 0
+    out = out.withColumn(blocks, F.when(any_placed, _blocks(source)))
+    out = out.select("*", *[_spans(k, F.col(p), F.col(blocks)).alias(s) for k, p, s in zip(KINDS, placed, found, strict=True)])
+    out = out.drop(blocks, *placed)
     base = free_name(docs, "__base")
     n_base = len(BASE)
     out = out.withColumn(base, F.concat(*found[:n_base]))
@@ -159,20 +218,6 @@ def find_spans(docs: DataFrame, text: str = "text", spans: str = "spans") -> Dat
     return out.withColumn(spans, F.concat(F.col(base), added)).drop(base, *found)
 
 
-def _blocks(text: Column) -> Column:
-    """The text in blocks of ``BLOCK`` characters, so that a piece of it is found by its
-    place without counting from the start."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
-
-
-def _piece(blocks: Column, start: Column, end: Column) -> Column:
-    """The text from ``start`` to before ``end``, at most to its end."""
-    first = F.floor(start / BLOCK).cast("int")
-    n = F.floor((end - 1) / BLOCK).cast("int") - first + 1
-    joined = F.array_join(F.slice(blocks, first + 1, n), "")
-    return F.when(end > start, F.substring(joined, start % BLOCK + 1, end - start)).otherwise("")
-
-
 def _union(spans: Column) -> Column:
     """Spans by start, those that overlap merged into one of the longest's kind."""
     part = "struct<start:int,end:int,kind:string,len:int>"
