@@ -3,8 +3,8 @@
 Each kind has a pattern, a validator and context words.  A text is cut once at the
 pattern's matches: the pieces between them and the matches themselves give every
 span's position by adding up lengths, in code points, without searching again.  The
-context of a match is the text just before and after it, up to the neighbouring
-matches.  The four base kinds (email, ip, card, phone) are taken whenever their
+context of a match is the ``CONTEXT_CHARS`` characters before and after it, across
+neighbouring matches, so a heading counts for all entries close to it.  The four base kinds (email, ip, card, phone) are taken whenever their
 validator holds; the kinds that the method adds must also reach ``MIN_SCORE``, and
 must not overlap a base span.  Everything is a Column expression.
 
@@ -182,11 +182,9 @@ def _placed(kind: Kind, parts: Column) -> Column:
 
 def _spans(kind: Kind, placed: Column, blocks: Column) -> Column:
     """``placed`` as scored spans; those of added kinds below ``MIN_SCORE`` are left out."""
-    def scored(x: Column, i: Column) -> Column:
-        since = F.when(i == 0, 0).otherwise(F.get(placed, i - 1)["end"])
-        upto = F.coalesce(F.get(placed, i + 1)["start"], x["end"] + CONTEXT_CHARS)
-        before = _piece(blocks, F.greatest(since, x["start"] - CONTEXT_CHARS), x["start"])
-        after = _piece(blocks, x["end"], F.least(upto, x["end"] + CONTEXT_CHARS))
+    def scored(x: Column) -> Column:
+        before = _piece(blocks, F.greatest(F.lit(0), x["start"] - CONTEXT_CHARS), x["start"])
+        after = _piece(blocks, x["end"], x["end"] + CONTEXT_CHARS)
         bonus = F.when(F.lower(F.concat_ws(" ", before, after)).rlike("|".join(kind.context)), CONTEXT_SCORE).otherwise(0.0)
         score = F.round(F.least(F.lit(1.0), F.lit(kind.score) + bonus), 2)
         return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
