@@ -2,7 +2,8 @@
 
 A text is compressed with zstandard as a whole and in fixed chunks.  A low ratio
 (compressed bytes / bytes) means repetition, a high one means noise.  Both limits
-depend on the length, as short texts always compress worse.
+depend on the length, as short texts always compress worse.  The last chunk may be
+shorter and has the band of its own length.
 
 Defined results: null and empty texts have no words and fail the base rule; texts
 of any length are read whole; equal rows get equal verdicts, each its own row; an
@@ -23,20 +24,23 @@ from pyspark.sql.types import StructType
 from trawl.llm.common import free_name
 
 #: Texts of at most so many bytes -> smallest and largest ratio of the whole text.
+#: The largest lie above prose in several languages at the short end of each length and below
+#: base64 and random alphanumeric words at its long end.
 BANDS: tuple[tuple[float, float, float], ...] = (
-    (256, 0.20, 2.00),
-    (512, 0.40, 0.95),
-    (1024, 0.41, 0.90),
-    (2048, 0.43, 0.82),
-    (4096, 0.415, 0.78),
-    (8192, 0.40, 0.74),
-    (16384, 0.385, 0.72),
-    (65536, 0.365, 0.72),
-    (float("inf"), 0.33, 0.72),
+    (256, 0.20, 0.95),
+    (512, 0.40, 0.84),
+    (1024, 0.41, 0.79),
+    (2048, 0.43, 0.71),
+    (4096, 0.415, 0.63),
+    (8192, 0.40, 0.58),
+    (16384, 0.385, 0.55),
+    (65536, 0.365, 0.52),
+    (float("inf"), 0.33, 0.49),
 )
 CHUNK_BYTES = 4096
-#: Smallest and largest ratio of a full chunk, and the largest share of chunks outside.
-CHUNK_BAND = (0.30, 0.80)
+#: Smallest and largest ratio of a full chunk (a shorter last one has the band of its
+#: length), and the largest share of a text's bytes in chunks outside.
+CHUNK_BAND = (0.30, 0.63)
 BAD_CHUNKS = 0.25
 LEVEL = 3
 MIN_WORDS = 50
@@ -78,6 +82,14 @@ def _repeat_words(words: list[bytes]) -> int:
     return int(hit.sum())
 
 
+def _band(n_bytes: int) -> tuple[float, float]:
+    return next((lo, hi) for upto, lo, hi in BANDS if n_bytes <= upto)
+
+
+def _inside(ratio: float, band: tuple[float, float]) -> bool:
+    return band[0] <= ratio <= band[1]
+
+
 def measure(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
     """The values of ``RESULT`` for one text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
@@ -88,12 +100,10 @@ def measure(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
     repeat = _repeat_words(words)
     base_failed = n < MIN_WORDS or 100 * repeat > MAX_REPEAT_PCT * n
     ratio = len(packer.compress(raw)) / len(raw) if raw else 0.0
-    chunks = range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)
-    low, high = CHUNK_BAND
-    bad = sum(not low <= len(packer.compress(raw[i:i + CHUNK_BYTES])) / CHUNK_BYTES <= high for i in chunks)
-    least, most = next((lo, hi) for upto, lo, hi in BANDS if len(raw) <= upto)
-    kept = not base_failed and least <= ratio <= most and bad <= BAD_CHUNKS * len(chunks)
-    return n, word_chars, symbols, _dup_lines(raw), repeat, base_failed, ratio, len(chunks), bad, kept
+    chunks = [raw[i:i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES)]
+    bad = [len(c) for c in chunks if not _inside(len(packer.compress(c)) / len(c), CHUNK_BAND if len(c) == CHUNK_BYTES else _band(len(c)))]
+    kept = not base_failed and _inside(ratio, _band(len(raw))) and sum(bad) <= BAD_CHUNKS * len(raw)
+    return n, word_chars, symbols, _dup_lines(raw), repeat, base_failed, ratio, len(chunks), len(bad), kept
 
 
 def compression_bands(docs: DataFrame, text: str = "text") -> DataFrame:
