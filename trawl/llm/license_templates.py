@@ -1,7 +1,8 @@
 """License scan: templates with optional and replaceable regions as token automata.
 
 A template is wording with ``[[`` ``]]`` around a part that may be missing and
-``<<n>>`` for up to ``n`` words of any kind (a name, a year).  It is compiled to an
+``<<n>>`` for up to ``n`` words of any kind (a name, a year), ``<<*>>`` for as many as
+stand before the next mandatory words (a holder).  It is compiled to an
 automaton over words: a state per word still to come, moves on one word or on any
 word, and moves without a word past optional parts.  A text is accepted where a
 stretch of its words runs through the automaton; all mandatory words then stand there
@@ -10,7 +11,9 @@ letters and digits, so case, line breaks and punctuation do not matter.
 
 The scan starts an automaton only where the template's rarest opening words stand, so
 texts without license wording cost a substring search.  All states advance together,
-one word at a time; a stretch is at most as long as its template allows.
+one word at a time; a stretch is at most as long as its template allows.  Templates
+with ``<<*>>`` are run once over the text from all their places together, as a stretch
+has no greatest length there; it ends where the template is first complete.
 
 Defined results: null and empty texts have no words, no labels and score 0; whole texts
 are read; equal rows get equal results; an empty table gives an empty result; result
@@ -34,12 +37,46 @@ PHRASES: tuple[tuple[str, str], ...] = (
     ("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"),
 )
 
-#: Fixed values: (label, wording) of the templates.
-TEMPLATES: tuple[tuple[str, str], ...] = (
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+    "files [[the software]] to deal in the software without restriction including without limitation the rights to use copy "
+    "modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software "
+    "is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+    "[[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is "
+    "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+    "merchantability fitness for a particular purpose and noninfringement in no event shall <<*>> be liable for any claim "
+    "damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
+    "the software or the use or other dealings in the software")
+_BSD_CONDITIONS = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met [[1]] [[a]] redistributions of source code must retain the above copyright notice this list of "
+    "conditions and the following disclaimer [[2]] [[b]] redistributions in binary form must reproduce the above copyright "
+    "notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+    "distribution")
+_BSD_NAMES = (
+    "[[3]] [[c]] neither the name of <<*>> nor the names of [[its]] contributors may be used to endorse or promote products "
+    "derived from this software without [[specific]] prior written permission")
+_BSD_DISCLAIMER = (
+    "this software is provided by <<*>> as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<*>> be liable for "
+    "any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of "
+    "liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the "
+    "use of this software even if advised of the possibility of such damage")
+
+#: Fixed values: (label, wording) of whole licenses.  Headings and copyright lines stand
+#: before the wording and need no region.
+TEXTS: tuple[tuple[str, str], ...] = (
+    ("mit", _MIT),
+    ("bsd", f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}"),
+    ("bsd", f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+    ("bsd-3", f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
+)
+
+#: Fixed values: (label, wording) of notice lines, which name a license without stating it.
+NOTICES: tuple[tuple[str, str], ...] = (
     ("mit", "[[this <<3>> is]] released under the [[terms of the]] mit license"),
     ("mit", "[[this <<3>> is]] licensed under the [[terms of the]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-            "documentation files [[the software]] to deal in the software without restriction"),
     ("apache-2", "licensed under the apache license version 2 [[0]] [[the license]]"),
     ("apache-2", "[[you may obtain a copy of the license at]] [[http]] [[https]] www apache org licenses license 2 0"),
     ("gpl-3", "[[this <<3>> is]] licensed under the gnu general public license [[as published by the free software foundation]] "
@@ -49,17 +86,15 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("gpl", "redistribute it and or modify it under the terms of the gnu general public license as published by the free "
             "software foundation"),
     ("lgpl", "[[this <<3>> is]] licensed under the gnu lesser general public license [[version <<2>>]]"),
-    ("bsd-3", "neither the name of <<8>> nor the names of its contributors may be used to endorse or promote products derived "
-              "from this software without [[specific]] prior written permission"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that "
-            "the following conditions are met"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("cc-by-nc", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by nc [[4 0]] [[license]]"),
     ("cc-by", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by 4 0 [[license]]"),
     ("cc-by-sa", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by sa [[4 0]] [[license]]"),
-    ("cc0", "has waived all copyright and related or neighboring rights to"),
+    ("cc0", "to the extent possible under law <<*>> has waived all copyright and related or neighboring rights to"),
 )
 
+TEMPLATES = TEXTS + NOTICES
+
 RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, matches array<struct<label:string,start:int,end:int>>")
 
@@ -79,25 +114,31 @@ class Automaton:
         opened: list[int] = []
         run: list[bytes] = []
         runs: list[tuple[int, list[bytes]]] = []
-        for part in re.findall(r"\[\[|\]\]|<<\d+>>|\w+", wording):
+        self.open = False
+        for part in re.findall(r"\[\[|\]\]|<<\d+>>|<<\*>>|\w+", wording):
             if part == "[[":
                 opened.append(self._last())
             elif part == "]]":
                 self.free[opened.pop()].append(self._last())
+            elif part == "<<*>>":
+                self._add_free([self._last()])
+                self.moves[-1].append((None, self._last()))
+                self.open = True
             elif part.startswith("<<"):
                 start = self._last()
                 self._add_free([start, *(self._add(None) for _ in range(int(part[2:-2])))])
             else:
                 self._add(part.encode())
             if part[0].isalnum() and not opened:
-                run.append(part.encode())
+                if not self.open:
+                    run.append(part.encode())
             elif run:
                 runs.append((len(runs), run))
                 run = []
         if run:
             runs.append((len(runs), run))
         self.accept = self._last()
-        #: The longest row of mandatory words: it stands in every accepted stretch.
+        #: The longest row of mandatory words (before any open region): it stands in every accepted stretch.
         self.core = b" " + b" ".join(max((r for _, r in runs), key=len)) + b" "
         self.first_words = {w for s in self._closure({0}) for w, _ in self.moves[s]}
         if None in self.first_words:
@@ -142,6 +183,33 @@ class Automaton:
                 end = i + 1
         return end, far
 
+    def sweep(self, words: list[bytes], starts: set[int]) -> tuple[list[tuple[int, int]], int]:
+        """(accepted stretches (start, end), furthest state) of a template with open
+        regions: all starts together, of each state only the latest start is kept."""
+        found, far = [], 0
+        live: dict[int, int] = {}
+        at = min(starts, default=len(words))
+        for i in range(at, len(words)):
+            if i in starts:
+                for s in self._closure({0}):
+                    live[s] = i
+            if not live:
+                continue
+            word, after = words[i], {}
+            for s, start in live.items():
+                for w, t in self.moves[s]:
+                    if w is None or w == word:
+                        for u in self._closure({t}):
+                            after[u] = max(start, after.get(u, start))
+            live = after
+            if live:
+                far = max(far, max(live))
+            if self.accept in live:
+                done = live[self.accept]
+                found.append((done, i + 1))
+                live = {s: start for s, start in live.items() if start > done}
+        return found, far
+
 
 @cache
 def automata() -> tuple[Automaton, ...]:
@@ -164,6 +232,13 @@ def template_matches(words: list[bytes], joined: bytes) -> tuple[list[tuple[str,
     found: dict[tuple[str, int], int] = {}
     best = 0.0
     for a in automata():
+        if a.open:
+            starts = {s for core in _places(joined, a.core) for s in range(max(0, core - a.longest), core + 1)
+                      if words[s] in a.first_words}
+            ends, far = a.sweep(words, starts)
+            best = max(best, far / a.accept)
+            found.update(((a.label, end), start) for start, end in ends)
+            continue
         for core in _places(joined, a.core):
             for start in range(max(0, core - a.longest), core + 1):
                 if words[start] in a.first_words:
