@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.llm import (
+    bpe_tree,
     decontam,
     language_id,
     license_templates,
@@ -125,3 +126,12 @@ def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["record_id"], x["length"])), ",")
     return r.select("file", "offset", "status", listed("first_records").alias("first_records"),
                     listed("second_records").alias("second_records"))
+
+
+@query
+def op11_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bpe_tree.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe_tree.digests(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
