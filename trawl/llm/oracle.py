@@ -173,3 +173,79 @@ SELECT coalesce(ga.file, gb.file) AS file, coalesce(ga.off, gb.off) AS "offset",
 FROM ga FULL JOIN gb ON ga.file = gb.file AND ga.off = gb.off
 WHERE ga.d IS DISTINCT FROM gb.d
 """
+
+
+def _leaf(n_chars: str) -> str:
+    fields = ["doc_id", "source", "lang", n_chars, "text"]
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR) END" for f in fields) + ")"
+
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE crc_steps AS (
+  SELECT range AS byte, 0 AS k, range::UBIGINT AS c FROM range(256)
+  UNION ALL
+  SELECT byte, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY byte) AS t FROM crc_steps WHERE k = 8),
+numbered AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, lang, n_chars, text,
+         list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)) AS b
+  FROM documents),
+crcs AS (
+  SELECT n.*, xor(list_reduce(b, lambda a, x: xor(a >> 8, t[(xor(a, x) % 256)::BIGINT + 1])), 4294967295::UBIGINT) AS crc FROM numbered n, crc_table),
+leaves AS (
+  SELECT rid, doc_id, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN crc % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS start FROM crcs),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+levels AS (
+  SELECT lang, 0 AS l, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, l + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range(0, (len(nodes) + 1) // 2)]
+  FROM levels WHERE len(nodes) > 1),
+subroots AS (SELECT lang, nodes[1] AS subroot, l AS depth FROM levels WHERE len(nodes) = 1),
+langs AS (SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM subroots),
+upper AS (
+  SELECT 0 AS l, list(subroot ORDER BY place) AS nodes FROM langs
+  UNION ALL
+  SELECT l + 1, [sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) FOR i IN range(0, (len(nodes) + 1) // 2)]
+  FROM upper WHERE len(nodes) > 1),
+root AS (SELECT nodes[1] AS root FROM upper WHERE len(nodes) = 1),
+steps AS (
+  SELECT p.rid, v.l, nodes[xor(p.place >> v.l, 1) + 1] AS sibling, (p.place >> v.l) % 2 = 0 AS is_left
+  FROM placed p JOIN levels v ON p.lang IS NOT DISTINCT FROM v.lang WHERE len(v.nodes) > 1
+  UNION ALL
+  SELECT p.rid, g.depth + v.l, nodes[xor(g.place >> v.l, 1) + 1], (g.place >> v.l) % 2 = 0
+  FROM placed p JOIN langs g ON p.lang IS NOT DISTINCT FROM g.lang, upper v WHERE len(v.nodes) > 1),
+folds AS (
+  SELECT rid, 0 AS l, start AS node FROM placed
+  UNION ALL
+  SELECT f.rid, f.l + 1, CASE WHEN sibling IS NULL THEN sha256(node) WHEN is_left THEN sha256(node || sibling) ELSE sha256(sibling || node) END
+  FROM folds f JOIN steps s ON f.rid = s.rid AND f.l = s.l),
+ends AS (SELECT rid, arg_max(node, l) AS folded_root FROM folds GROUP BY rid),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(sibling, '' ORDER BY l), '')) AS proof_sha256 FROM steps GROUP BY rid)
+SELECT p.doc_id, p.leaf, g.subroot, root.root, coalesce(f.proof_sha256, sha256('')) AS proof_sha256, e.folded_root,
+       e.folded_root = root.root AS verified
+FROM placed p JOIN langs g ON p.lang IS NOT DISTINCT FROM g.lang JOIN ends e ON e.rid = p.rid
+  LEFT JOIN proofs f ON f.rid = p.rid, root
+"""
+
+SQL["op13_rtree_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.q, r.q)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+  WHERE 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5
+"""

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from trawl.llm import (
     bpe_tree,
     decontam,
+    hard_negatives,
     language_id,
     license_templates,
     merkle_audit,
+    merkle_manifest,
     mixing,
     pii,
     quality_bands,
@@ -135,3 +137,26 @@ def op11_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe_tree.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe_tree.digests(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = lambda n_chars: merkle_manifest.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    leaves = docs.select("doc_id", "lang", leaf(F.col("n_chars")).alias("leaf"),
+                         F.when(altered, leaf(F.col("n_chars") + 1)).alias("tampered"))
+    proofs = merkle_manifest.manifest(leaves)
+    folded = merkle_manifest.folded_root(F.coalesce("tampered", "leaf"))
+    return (proofs.withColumn("folded_root", folded)
+            .select("doc_id", "leaf", "subroot", "root",
+                    merkle_manifest.proof_digest(F.concat("siblings", "lang_siblings")).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+@query
+def op13_rtree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("long").alias("label"), "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select("vec_id", label.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("q"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
