@@ -24,7 +24,7 @@ Defined results: rows with a null id, label or vector, or a null or non-finite c
 take no part; a shorter vector ends in zeros; equal rows are rows each, as anchors, positives
 and negatives; ties go by id; an anchor without positives, and a positive below zero (no
 score lies in its window), have no rows; an empty table gives an empty result; further
-columns are ignored.  Scores are exact integers; a product beyond 63 bits is an error.
+columns are ignored.  Scores are exact integers; vectors whose products may pass 62 bits are an error.
 """
 
 from __future__ import annotations
@@ -197,8 +197,6 @@ def _search_pair(row: dict, same: bool, k: int, leaf: int, fanout: int) -> list[
     m, ids, labels, rows = _unpacked(row, d)
     anchors, _, anchor_labels, anchor_rows = _unpacked(row, d, "a_")
     most = d * int(np.abs(m).max(initial=0)) * int(np.abs(anchors).max(initial=0))
-    if most >= 1 << 63:
-        raise ArithmeticError("inner products of these vectors do not fit 63 bits")
     if most < 1 << 53:  # exact as doubles, which multiply faster
         m, anchors = m.astype(np.float64), anchors.astype(np.float64)
     width = row["a_n_windows"]
@@ -308,7 +306,11 @@ def mine(vectors: DataFrame, anchor: Column, k_positives: int = 5, k_negatives:
     ``vectors(vec_id, label, q)``, q integers (see ``quantised``), and the rows where ``anchor`` holds."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "q",
                           F.coalesce(anchor, F.lit(False)).alias("anchor")).dropna()
-    rows = tiles(stored(rows.withColumn("row", F.monotonically_increasing_id()), "str-rows"))
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "str-rows")
+    most, d = rows.agg(F.max(F.greatest(F.array_max("q").cast("double"), -F.array_min("q").cast("double"))), F.max(F.size("q"))).first()
+    if (most or 0.0) ** 2 * (d or 0) >= 2.0 ** 62:
+        raise ArithmeticError("inner products of these vectors may not fit 62 bits")
+    rows = tiles(rows)
     shards = pack_shards(rows)
     anchors = ordered_position(rows.where("anchor"), [], ["tile", "part", "row"], out="place").select(
         F.floor((F.col("place") - 1) / ANCHORS_PER_BLOCK).alias("block"), "row", "vec_id", "label", "q")
