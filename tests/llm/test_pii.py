@@ -82,45 +82,3 @@ def valid_iban(s):
     s = s.replace(" ", "")
     number = "".join(str(int(c, 36)) for c in s[4:] + s[:4])
     return 15 <= len(s) <= 34 and int(number) % 97 == 1
-
-
-def all_spans(text):
-    """Base and added spans: the kinds one after the other, a match's context being what
-    is left of 40 characters on either side before the next match of its kind."""
-    digits = lambda s: re.sub("[^0-9]", "", s)
-    card = ("card", "karte", "tarjeta", "carte", "visa", "amex", "credit")
-    phone = ("phone", "tel", "call", "mobile", "fax")
-    added = (
-        ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
-         valid_iban, 0.8, ("iban", "account", "konto", "compte", "cuenta")),
-        ("short_card", r"[0-9](?:[ -]?[0-9])+", lambda s: 13 <= len(digits(s)) <= 15 and passes_luhn(digits(s)), 0.4, card),
-        ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-         lambda s: not (s[:3] in ("000", "666") or s[0] == "9" or s[4:6] == "00" or s[7:] == "0000"), 0.4, ("ssn", "social security")),
-        ("local_phone", r"(?<![0-9+])\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])", lambda s: True, 0.4, phone),
-    )
-    base = [x for spans in base_spans(text) for x in spans]
-    out = list(base)
-    for kind, pattern, ok, score, words in added:
-        hits = list(re.finditer(pattern, text))
-        for n, m in enumerate(hits):
-            before = text[hits[n - 1].end() if n else 0:m.start()][-40:]
-            after = text[m.end():hits[n + 1].start() if n + 1 < len(hits) else len(text)][:40]
-            total = score + (0.3 if any(w in f"{before} {after}".lower() for w in words) else 0)
-            free = not any(s < m.end() and m.start() < e for _, s, e in base)
-            if ok(m[0]) and round(min(1.0, total), 2) >= 0.6 and free:
-                out.append((kind, m.start(), m.end()))
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in out)
-
-
-def test_all_spans_on_mixed_texts(spark, make_dir):
-    import random
-
-    r = random.Random(11)
-    pieces = ["a@b.co", "x.y@z", "+1 (242) 555-3475", "(242) 555-3475", "242.555.3475", "12425553475", "4111 1111 1111 1111", "3782 822463 10005",
-              "378282246310005", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "DE89370400440532013001", "FR14 2004 1010 0505 0001 3M02 606",
-              "123-45-6789", "000-45-6789", "1.2.3.4", "999.1.1.1", "IBAN", "my Account", "call", "Tel.", "visa card", "SSN", "social security",
-              "word", "é", "\U0001f600", "12", "7", "-", "+", "(", "x" * 45]
-    rows = [(i, "".join(r.choice(pieces) + r.choice([" ", " ", "", ", ", "\n"]) for _ in range(r.randint(1, 30)))) for i in range(400)]
-    got = {x.doc_id: x.spans for x in QUERIES["op9_pii_spans"](spark, make_dir(rows)).collect()}
-    assert got == {i: all_spans(t) for i, t in rows}
-    assert all(any(f"{k.name}:" in s for s in got.values()) for k in pii.KINDS)
