@@ -158,20 +158,27 @@ def _replica(pages: str) -> str:
 
 
 SQL["op10_merkle_fixity"] = f"""
-WITH damaged AS (
-  SELECT page_id, url, CASE WHEN page_id % 211 = 17 THEN concat('#', substring(html, 2))
-                            WHEN page_id % 1009 = 400 THEN substring(html, 3) ELSE html END AS html
-  FROM pages WHERE NOT coalesce(floor(page_id / 500)::BIGINT % 20 = 3 AND page_id % 500 >= 495, false)),
+WITH hashed AS (SELECT page_id, url, html, coalesce(('0x' || substring(md5(CAST(page_id AS VARCHAR)), 1, 4))::INT, 0) AS h FROM pages),
+damaged AS (
+  SELECT page_id, url, CASE WHEN h % 8 = 1 THEN concat('#', substring(html, 2)) WHEN h % 32 = 2 THEN substring(html, 3) ELSE html END AS html
+  FROM hashed WHERE h % 32 <> 3
+  UNION ALL SELECT page_id, coalesce(url, '') || '#copy', html FROM hashed WHERE h % 64 = 4),
 a AS ({_replica('pages')}), b AS ({_replica('damaged')}),
-ga AS (SELECT file, off, string_agg(digest, ',' ORDER BY page_id, length, digest) AS d,
-              string_agg(page_id || ':' || length, ',' ORDER BY page_id, length, digest) AS r FROM a GROUP BY file, off),
-gb AS (SELECT file, off, string_agg(digest, ',' ORDER BY page_id, length, digest) AS d,
-              string_agg(page_id || ':' || length, ',' ORDER BY page_id, length, digest) AS r FROM b GROUP BY file, off)
-SELECT coalesce(ga.file, gb.file) AS file, coalesce(ga.off, gb.off) AS "offset",
-       CASE WHEN gb.file IS NULL THEN 'missing' WHEN ga.file IS NULL THEN 'extra' ELSE 'changed' END AS status,
-       ga.r AS first_records, gb.r AS second_records
-FROM ga FULL JOIN gb ON ga.file = gb.file AND ga.off = gb.off
-WHERE ga.d IS DISTINCT FROM gb.d
+na AS (SELECT *, row_number() OVER (PARTITION BY file, page_id, digest ORDER BY off) AS copy FROM a),
+nb AS (SELECT *, row_number() OVER (PARTITION BY file, page_id, digest ORDER BY off) AS copy FROM b),
+matched AS (
+  SELECT coalesce(na.file, nb.file) AS file, coalesce(na.page_id, nb.page_id) AS page_id, na.off AS o1, nb.off AS o2
+  FROM na FULL JOIN nb ON na.file = nb.file AND na.page_id IS NOT DISTINCT FROM nb.page_id AND na.digest = nb.digest AND na.copy = nb.copy),
+keyed AS (SELECT *, ('0x' || substring(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 8))::BIGINT AS k FROM matched),
+lone1 AS (SELECT *, row_number() OVER (PARTITION BY file, page_id ORDER BY o1) AS copy FROM keyed WHERE o2 IS NULL),
+lone2 AS (SELECT *, row_number() OVER (PARTITION BY file, page_id ORDER BY o2) AS copy FROM keyed WHERE o1 IS NULL)
+SELECT file, 'moved' AS status, min(o1) AS "offset", max(o1) AS last_offset, o2 - o1 AS shift, count(*) AS n_records,
+       '' AS record_id, CAST(sum(k) AS BIGINT) AS ids_sum
+FROM keyed WHERE o1 <> o2 GROUP BY file, o2 - o1
+UNION ALL
+SELECT coalesce(x.file, y.file), CASE WHEN y.file IS NULL THEN 'missing' WHEN x.file IS NULL THEN 'extra' ELSE 'changed' END,
+       coalesce(x.o1, y.o2), coalesce(x.o1, y.o2), coalesce(y.o2 - x.o1, 0), 1, coalesce(CAST(coalesce(x.page_id, y.page_id) AS VARCHAR), ''), coalesce(x.k, y.k)
+FROM lone1 x FULL JOIN lone2 y ON x.file = y.file AND x.page_id IS NOT DISTINCT FROM y.page_id AND x.copy = y.copy
 """
 
 

@@ -111,23 +111,20 @@ def op8_countmin_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def second_replica(pages: DataFrame) -> DataFrame:
-    """A replica to audit, with damage by rule: the content of every 211th page starts
-    with another character, every 20th file has lost its last five records, and a page
-    in 1009 has a shorter content, which moves all records after it."""
-    lost = (F.floor(F.col("page_id") / merkle_audit.FILE_RECORDS) % 20 == 3) & (
-        F.col("page_id") % merkle_audit.FILE_RECORDS >= merkle_audit.FILE_RECORDS - 5)
-    html = (F.when(F.col("page_id") % 211 == 17, F.concat(F.lit("#"), F.expr("substring(html, 2)")))
-            .when(F.col("page_id") % 1009 == 400, F.expr("substring(html, 3)")).otherwise(F.col("html")))
-    return pages.where(~F.coalesce(lost, F.lit(False))).withColumn("html", html)
+    """A replica to audit, with damage by rule, in proportion at every size, as places go by a
+    hash of the page_id (null: none): of 64 pages 8 have another first character, 2 are
+    shorter and 2 are lost, which moves what follows, and 1 is there once more."""
+    h = F.coalesce(F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 1, 4), 16, 10).cast("int"), F.lit(0))
+    html = (F.when(h % 8 == 1, F.concat(F.lit("#"), F.expr("substring(html, 2)")))
+            .when(h % 32 == 2, F.expr("substring(html, 3)")).otherwise(F.col("html")))
+    again = pages.where(h % 64 == 4).withColumn("url", F.concat(F.coalesce("url", F.lit("")), F.lit("#copy")))
+    return pages.where(h % 32 != 3).withColumn("html", html).unionByName(again)
 
 
 @query
 def op10_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    r = merkle_audit.audit(merkle_audit.archive(pages), merkle_audit.archive(second_replica(pages)))
-    listed = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["record_id"], x["length"])), ",")
-    return r.select("file", "offset", "status", listed("first_records").alias("first_records"),
-                    listed("second_records").alias("second_records"))
+    return merkle_audit.damage(merkle_audit.archive(pages), merkle_audit.archive(second_replica(pages)))
 
 
 @query
