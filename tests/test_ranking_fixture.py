@@ -123,3 +123,87 @@ def test_written_index_answers_like_in_memory(spark, tmp_dir):
     scans = [line for line in plan.splitlines() if "/idx/postings" in line]
     assert scans and all(re.search(r"PartitionFilters: \[tb#\d+ IN \(\d+(,\d+)?\)\]", line) for line in scans)
     assert all("In(term, [erblest,onesen])" in line.split("PushedFilters")[1] for line in scans)
+
+
+def answers(df):
+    return sorted((r.qid, r.rank, r.doc_id, round(r.score, 9)) for r in df.collect())
+
+
+@pytest.fixture(scope="module")
+def blocked(spark):
+    """An index of the documents written as small posting blocks, and the queries."""
+    import tempfile
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from trawl.operators.index import Index
+    from trawl.plans import inputs as inp
+
+    from .conftest import SF_SMALL
+    path = tempfile.mkdtemp(prefix="trawl-test-") + "/idx"
+    replace(build_index(inp.corpus(spark, SF_SMALL), unique_ids=True), block_docs=4).write(path, layout="blocks", term_buckets=3)
+    q = inp.bench_queries(spark, SF_SMALL)
+    q = q.unionByName(q.select((F.col("qid") + 1000).alias("qid"), F.substring_index("query", " ", 3).alias("query")))
+    return Index.read(spark, path), q
+
+
+def test_blocks_hold_the_same_postings(spark, blocked):
+    from trawl.plans import inputs as inp
+
+    from .conftest import SF_SMALL
+    index, _ = blocked
+    assert index.block_docs == 4 and index.term_buckets == 3
+    want = build_index(inp.corpus(spark, SF_SMALL), unique_ids=True)
+    cols = ["term", "doc_id", "tf", "dl"]
+    assert index.postings.select(cols).exceptAll(want.postings.select(cols)).isEmpty() and index.postings.count() == want.postings.count()
+    for table in ("lexicon", "doc_lengths"):
+        assert sorted(map(tuple, getattr(index, table).collect())) == sorted(map(tuple, getattr(want, table).collect()))
+    sizes = index.blocks().selectExpr("max(n) AS most", "max(size(posts) - n) AS off", "count(*) AS rows", "count(DISTINCT term, block) AS keys").first()
+    assert sizes.most <= 20 and sizes.off == 0 and sizes.rows == sizes["keys"] < want.postings.count()
+
+
+@pytest.mark.parametrize("ranker", ["bm25", "tfidf"])
+def test_cut_unpacks_fewer_postings(spark, blocked, monkeypatch, ranker):
+    """The cut gives the same answers from fewer postings than the queries' lists have."""
+    from trawl.operators import rank as rk
+    index, q = blocked
+    for k in (2,):
+        unpacked, whole = [], rk.term_contributions(q, index, ranker).count()
+        want, scored = answers(search(q, index, ranker, k=k)), rk._scored
+        monkeypatch.setattr(rk, "_scored", lambda *a: unpacked.append(scored(*a)) or unpacked[-1])
+        assert answers(search(q, index, ranker, k=k, prune=True)) == want
+        monkeypatch.setattr(rk, "_scored", scored)
+        assert sum(x.count() for x in unpacked) < 0.9 * whole
+
+
+def test_all_terms_over_blocks(spark, blocked, monkeypatch):
+    from trawl.operators import rank as rk
+    index, q = blocked
+    contrib = rk.term_contributions(q, index).toPandas()
+    need = {r.qid: r.n for r in rk.query_terms(q).groupBy("qid").count().withColumnRenamed("count", "n").collect()}
+    held = contrib.groupby(["qid", "doc_id"]).agg(score=("contrib", "sum"), n=("term", "size")).reset_index()
+    want = {(r.qid, r.doc_id): round(r.score, 9) for r in held.itertuples() if need[r.qid] == r.n}
+    for gathered in (1024, 1):
+        monkeypatch.setattr(rk, "GATHERED", gathered)
+        got = {(r.qid, r.doc_id): round(r.score, 9) for r in search(q, index, k=10_000, match="all").collect()}
+        assert got == want and len({d for _, d in got}) > 20
+
+
+def test_a_document_without_id_and_far_ids(spark, tmp_dir):
+    from trawl.operators.index import Index
+    rows = [(None, "red apple"), (1 << 60, "red red car"), (-5, "green apple pie apple"), (7, ""), (8, "red apple apple tart"), (9, "car red")]
+    build_index(spark.createDataFrame(rows, "doc_id long, text string"), unique_ids=True).write(f"{tmp_dir}/i", layout="blocks")
+    index = Index.read(spark, f"{tmp_dir}/i")
+    q = spark.createDataFrame([(0, "red apple"), (1, "red car apple"), (2, "zebra"), (3, "red zebra"), (4, "")], "qid long, query string")
+    assert answers(search(q.filter("qid < 2"), index, k=2, prune=True)) == answers(search(q.filter("qid < 2"), index, k=2))
+    both = search(q, index, k=9, match="all").collect()
+    assert sorted((r.qid, str(r.doc_id)) for r in both) == [(0, "8"), (0, "None")]
+
+
+def test_nothing_indexed(spark, tmp_dir):
+    from trawl.operators.index import Index
+    build_index(spark.createDataFrame([], "doc_id long, text string")).write(f"{tmp_dir}/i", layout="blocks")
+    index = Index.read(spark, f"{tmp_dir}/i")
+    q = spark.createDataFrame([(0, "red apple")], "qid long, query string")
+    assert search(q, index, prune=True).count() == search(q, index, match="all").count() == 0

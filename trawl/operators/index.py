@@ -17,7 +17,7 @@ joins the (large) document table.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,8 +81,42 @@ def collection_stats(doc_lengths: DataFrame) -> DataFrame:
     return doc_lengths.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("dl").cast("double")).alias("avgdl"))
 
 
-# Consecutive doc ids that share upper bounds (see ``Index.block_bounds``).
-BLOCK_DOCS = 1 << 18
+# Postings that a posting block holds on average, at most.
+BLOCK_POSTINGS = 128
+
+
+def block_count(df: Column, size: int) -> Column:
+    """How many posting blocks the list of a term has: the power of two from ``df / size`` up."""
+    full = F.floor((df - 1) / F.lit(size)).cast("long")
+    return F.when(full == 0, F.lit(1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(full))))
+
+
+def block_of(doc_id: Column, blocks: Column) -> Column:
+    """The block of a document among ``blocks``.  It goes by a hash, so blocks are of equal
+    size however ids lie, and those of a shorter list are unions of a longer list's."""
+    return F.pmod(F.xxhash64(doc_id), blocks)
+
+
+def posting_blocks(post: DataFrame, *more: str) -> DataFrame:
+    """(more, term, block, n, max_tf, min_dl, posts) from postings with ``block``: a row
+    per term and block, ``posts`` its (doc_id, tf, dl) in id order."""
+    return post.groupBy(*more, "term", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"),
+        F.array_sort(F.collect_list(F.struct("doc_id", "tf", "dl"))).alias("posts"))
+
+
+def with_blocks(post: DataFrame, lexicon: DataFrame, size: int) -> DataFrame:
+    """``post`` with ``block``.  Only terms of more than one block are looked up."""
+    from trawl.operators.distribute import broadcast_if_small
+    long = lexicon.filter(F.col("df") > size).select("term", block_count(F.col("df"), size).alias("_blocks"))
+    placed = post.join(broadcast_if_small(long), "term", "left")
+    return placed.withColumn("block", block_of(F.col("doc_id"), F.coalesce("_blocks", F.lit(1)))).drop("_blocks")
+
+
+def unblocked(blocks: DataFrame, *keep: str) -> DataFrame:
+    """(keep, term, doc_id, tf, dl): the postings of posting blocks."""
+    keep = [c for c in keep if c in blocks.columns]
+    return blocks.select(*keep, "term", F.explode("posts").alias("_p")).select(*keep, "term", "_p.doc_id", "_p.tf", "_p.dl")
 
 
 @dataclass(frozen=True)
@@ -108,20 +142,24 @@ class Index:
     # ``write`` stores.  None for an index read back from storage.
     combined: DataFrame | None = None
 
-    # (term, block, tf, dl) of a written index; computed when absent.
-    bounds_table: DataFrame | None = None
-    block_docs: int = BLOCK_DOCS
-
-    def block_of(self, doc_id: Column) -> Column:
-        return F.floor(doc_id / F.lit(self.block_docs)).cast("long")
-
-    def block_bounds(self) -> DataFrame:
-        """(term, block, tf, dl): the largest tf and smallest length of a term's
-        postings in each block of ``block_docs`` consecutive doc ids."""
-        if self.bounds_table is not None:
-            return self.bounds_table
-        return (self.postings.groupBy("term", self.block_of(F.col("doc_id")).alias("block"))
-                .agg(F.max("tf").alias("tf"), F.min("dl").alias("dl")))
+    # Posting blocks of an index written with them; computed when absent.
+    blocks_table: DataFrame | None = None
+    block_docs: int = BLOCK_POSTINGS
+
+    def blocks(self) -> DataFrame:
+        """(term, block, n, max_tf, min_dl, posts), see ``posting_blocks``."""
+        if self.blocks_table is not None:
+            return self.blocks_table
+        return posting_blocks(with_blocks(self.postings.select("term", "doc_id", "tf", "dl"), self.lexicon, self.block_docs))
+
+    def list_bounds(self) -> DataFrame:
+        """(term, tf, dl): the largest tf and smallest length of every list; of posting
+        blocks only these two columns are read."""
+        blocks = self.blocks_table
+        if blocks is None:
+            return self.postings.groupBy("term").agg(F.max("tf").alias("tf"), F.min("dl").alias("dl"))
+        return blocks.groupBy(*[c for c in ("tb",) if c in blocks.columns], "term").agg(
+            F.max("max_tf").alias("tf"), F.min("min_dl").alias("dl"))
 
     @property
     def stats(self) -> DataFrame:
@@ -135,7 +173,7 @@ class Index:
         path = scratch_path(spark, "postings")
         source = self.combined if self.combined is not None else self.postings
         source.select("term", "doc_id", "tf", "dl").write.parquet(path)
-        return index_from_combined(spark.read.parquet(path), self.stem, self.stopwords)
+        return replace(index_from_combined(spark.read.parquet(path), self.stem, self.stopwords), block_docs=self.block_docs)
 
     def write(self, path: str, mode: str = "overwrite", layout: str = "range", term_buckets: int | None = None) -> None:
         from trawl.sources.index_store import write_index

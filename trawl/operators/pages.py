@@ -29,8 +29,8 @@ def page_links(pages: DataFrame) -> DataFrame:
     return explode_nonempty(pages.select("page_id", H.hrefs(F.col("html")).alias("_l")), "_l", "href", "page_id")
 
 
-def link_edges(pages: DataFrame, resolve: bool = True, http_only: bool = True) -> DataFrame:
-    """(page_id, src_url, dst_url): distinct outgoing links per page.  With
+def link_edges(pages: DataFrame, resolve: bool = True, http_only: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(page_id, src_url, dst_url) and the columns ``keep``: distinct outgoing links per page.  With
     ``resolve`` relative links are made absolute first; ``http_only`` keeps
     links starting with "http" (the reference follows only those)."""
     links = H.hrefs(F.col("html"))
@@ -39,8 +39,8 @@ def link_edges(pages: DataFrame, resolve: bool = True, http_only: bool = True) -
                                           lambda l: l.isNotNull()))
     if http_only:
         links = F.filter(links, lambda l: l.startswith("http"))
-    return explode_nonempty(pages.select("page_id", F.col("url").alias("src_url"), links.alias("_l")), "_l", "dst_url",
-                            "page_id", "src_url")
+    return explode_nonempty(pages.select("page_id", F.col("url").alias("src_url"), *keep, links.alias("_l")), "_l", "dst_url",
+                            "page_id", "src_url", *keep)
 
 
 def page_summary(pages: DataFrame, chars: int = 1000, words: int = 20) -> DataFrame:

@@ -13,7 +13,7 @@ Ties are broken on the score rounded to 9 decimals, then the larger doc id.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from trawl.functions.scoring import Ranker, resolve_ranker
 from trawl.functions.stem import stem_terms
 from trawl.functions.text import drop_stopwords, explode_nonempty, index_text, token_array
-from trawl.operators.index import DEFAULT_STOPWORDS, Index
+from trawl.operators.distribute import broadcast_if_small
+from trawl.operators.index import DEFAULT_STOPWORDS, Index, block_count, block_of
 
 # Largest number of distinct query terms pushed into the index scans as a
 # literal IN list (Parquet row-group skipping on a term-sorted index).
@@ -53,27 +54,30 @@ def query_terms(queries: DataFrame, qid_col: str = "qid", query_col: str = "quer
     return toks.groupBy("qid", "term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[DataFrame, DataFrame, int | None]:
-    """Postings and lexicon limited to the query vocabulary, and the number of
-    (qid, term) rows when it was learnt on the way.  The bucket folders that the
+def _restrict(index: Index, qterms: DataFrame, push_terms: bool) -> tuple[Callable[[DataFrame], DataFrame], int | None]:
+    """A function that limits a table of the index to the query vocabulary, and the number
+    of (qid, term) rows when it was learnt on the way.  The bucket folders that the
     vocabulary needs (at most as many numbers as the index has folders) are pushed
     as a partition filter however many terms there are; the terms themselves also go
-    into both scans as a literal IN list while there are few."""
-    post, lex = index.postings, index.lexicon
-    n_rows = None
+    into the scans as a literal IN list while there are few."""
+    folders = terms = n_rows = None
     if push_terms:
         per_term = qterms.groupBy("term").agg(F.count(F.lit(1)).alias("c"))
-        if index.term_buckets and "tb" in post.columns:
+        if index.term_buckets and "tb" in index.postings.columns:
             from trawl.sources.index_store import term_bucket
             buckets = per_term.select(term_bucket(F.col("term"), index.term_buckets).alias("b")).distinct()
-            post = post.filter(F.col("tb").isin(sorted(r.b for r in buckets.collect())))
+            folders = sorted(r.b for r in buckets.collect())
         rows = per_term.limit(MAX_PUSHED_TERMS + 1).collect()
         if len(rows) <= MAX_PUSHED_TERMS:
             terms = [r.term for r in rows]
             n_rows = sum(r.c for r in rows)
-            post = post.filter(term_in(terms))
-            lex = lex.filter(term_in(terms))
-    return post, lex, n_rows
+
+    def limit(df: DataFrame) -> DataFrame:
+        if folders is not None and "tb" in df.columns:
+            df = df.filter(F.col("tb").isin(folders))
+        return df if terms is None else df.filter(term_in(terms))
+
+    return limit, n_rows
 
 
 def _sql_string(v: str) -> str:
@@ -90,36 +94,39 @@ def term_in(terms: list[str], col: str = "term") -> Column:
 
 
 def _known_terms(queries: DataFrame, index: Index, qid_col: str, query_col: str,
-                 push_terms: bool) -> tuple[DataFrame, DataFrame]:
-    """Postings limited to the query vocabulary, and the query side (qid, term, qtf, df,
-    n, avgdl), marked for broadcast if it is small.  It has at most as many rows as there
+                 push_terms: bool) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
+    """A function that limits a table of the index to the query vocabulary, and the query
+    side (qid, term, qtf, df, n, avgdl), marked for broadcast if it is small.  It has at most as many rows as there
     are query terms (one lexicon row per term), so the size check runs on those alone and
     never evaluates the index."""
     qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
-    post, lex, n_rows = _restrict(index, qt, push_terms)
+    limit, n_rows = _restrict(index, qt, push_terms)
     if n_rows is None:
         n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
     small = n_rows <= MAX_QUERY_TERM_ROWS
-    known = lex.join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))  # one row of statistics
-    return post, _maybe_broadcast(known, small)
+    known = limit(index.lexicon).join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))  # one row of statistics
+    return limit, _maybe_broadcast(known, small)
 
 
 def _term_score(ranker: str | Ranker) -> Column:
     return resolve_ranker(ranker)(F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
 
 
-def _contributions(post: DataFrame, known: DataFrame, ranker: str | Ranker, *keep: str) -> DataFrame:
-    joined = post.join(known, "term")
-    return joined.select("qid", "term", "qtf", "doc_id", *keep, _term_score(ranker).alias("s")).withColumn(
+def _scored(joined: DataFrame, ranker: str | Ranker) -> DataFrame:
+    return joined.select("qid", "term", "qtf", "doc_id", _term_score(ranker).alias("s")).withColumn(
         "contrib", F.col("qtf") * F.col("s"))
 
 
+def _contributions(post: DataFrame, known: DataFrame, ranker: str | Ranker) -> DataFrame:
+    return _scored(post.join(known, "term"), ranker)
+
+
 def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
                        qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
     """(qid, term, qtf, doc_id, s, contrib): single-term score ``s`` of every
     posting of every known query term, ``contrib = qtf * s``."""
-    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
-    return _contributions(post, known, ranker)
+    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    return _contributions(limit(index.postings), known, ranker)
 
 
 def score_documents(contrib: DataFrame) -> DataFrame:
@@ -181,20 +188,18 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
            qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
     """Top-k documents per query: (qid, rank, doc_id, score).  ``prune`` skips document
     blocks that cannot reach a query's top-k (with ``match="any"`` and ``mode="exact"``)."""
-    prune = prune and match == "any" and mode == "exact"
-    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
-    small_batch = None
-    if match == "all" or mode == "floor":
-        small_batch = few_queries(queries, qid_col)
-    contrib = _cut_contributions(post, known, index, ranker, k) if prune else _contributions(post, known, ranker)
-    scored = score_documents(contrib)
+    if match not in ("any", "all"):
+        raise ValueError("match must be 'any' or 'all'")
+    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    small_batch = few_queries(queries, qid_col) if mode == "floor" else None
     if match == "all":
         need = query_terms(queries, qid_col, query_col, index.stopwords, index.stem).groupBy("qid").agg(
-            F.count(F.lit(1)).alias("_need"))
-        scored = scored.join(_maybe_broadcast(need, small_batch), "qid").filter(
-            F.col("matched") == F.col("_need")).drop("_need")
-    elif match != "any":
-        raise ValueError("match must be 'any' or 'all'")
+            F.count(F.lit(1)).alias("need"))
+        scored = _all_term_scores(limit, known, need, index, ranker)
+    elif prune and mode == "exact":
+        scored = _cut_scores(limit, known, index, ranker, k)
+    else:
+        scored = score_documents(_contributions(limit(index.postings), known, ranker))
     return top_k(scored.select("qid", "doc_id", "score"), k, mode, small_batch)
 
 
@@ -206,8 +211,8 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
     per-ranker rows are unpivoted before the per-(ranker, query) top-k."""
     names = list(rankers)
     score_fns = {n: resolve_ranker(r) for n, r in rankers.items()}
-    post, known = _known_terms(queries, index, qid_col, query_col, push_terms)
-    joined = post.join(known, "term")
+    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    joined = limit(index.postings).join(known, "term")
     args = (F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
     contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
                                                 for i, n in enumerate(names)])
@@ -228,38 +233,134 @@ def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "
     return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
 
 
-def _cut_contributions(post: DataFrame, known: DataFrame, index: Index, ranker: str | Ranker, k: int) -> DataFrame:
-    """The contributions from blocks of documents that can reach a query's top-k.
-
-    The index' block bounds (largest tf, smallest length of a term in a block of doc ids)
-    give each (query, block) the most that any document in it can score, for rankers
-    that grow with tf and fall with the length, as both built-in ones do.  Each query's
-    best block is scored first; its k-th score is a floor, and blocks whose bound is below
-    it are never joined.  A query all of whose postings lie in one block has nothing
-    to cut.  Result-neutral: a document's terms all lie in its own block."""
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read again."""
     from trawl.session import scratch_path
-
-    spark = post.sparkSession
-    path = scratch_path(spark, "block-bounds")
-    (index.block_bounds().join(known, "term").withColumn("u", F.col("qtf") * _term_score(ranker))
-     .groupBy("qid", "block").agg(F.sum("u").alias("ub")).write.parquet(path))
-    bounds = spark.read.parquet(path)
-    placed = post.withColumn("block", index.block_of(F.col("doc_id")))
-    if bounds.groupBy("qid").count().where("count > 1").isEmpty():
-        return _contributions(post, known, ranker)
-
-    def scores(blocks: DataFrame) -> DataFrame:
-        return _contributions(placed, known, ranker, "block").join(blocks.select("qid", "block"), ["qid", "block"], "left_semi")
-
-    best = Window.partitionBy("qid").orderBy(F.col("ub").desc(), "block")
-    first = bounds.withColumn("r", F.row_number().over(best)).filter("r = 1")
-    by_score = Window.partitionBy("qid").orderBy(F.col("score").desc())
-    floor = (score_documents(scores(first)).withColumn("r", F.row_number().over(by_score)).filter(F.col("r") == k)
-             .select("qid", F.col("score").alias("floor")))
-    kept = bounds.join(floor, "qid", "left").filter(F.col("ub") >= F.coalesce("floor", F.lit(0.0)) - 1e-9)
-    kept_path = scratch_path(spark, "block-kept")
-    kept.select("qid", "block").write.parquet(kept_path)
-    return scores(spark.read.parquet(kept_path))
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _lists(limit: Callable[[DataFrame], DataFrame], known: DataFrame, index: Index) -> tuple[DataFrame, DataFrame]:
+    """The index' posting blocks of the query vocabulary, and ``known`` with ``blocks``, the
+    number that each term's list has."""
+    blocks = limit(index.blocks())
+    if index.blocks_table is None:
+        blocks = _written(blocks, "blocks")  # made for this search
+    return blocks, known.withColumn("blocks", block_count(F.col("df"), index.block_docs))
+
+
+def _whole_lists(blocks: DataFrame, terms: DataFrame, ranker: str | Ranker) -> DataFrame:
+    """The contributions of all postings of ``terms(qid, term, ...)``."""
+    met = blocks.select("term", "posts").join(broadcast_if_small(terms, MAX_QUERY_TERM_ROWS), "term")
+    flat = met.withColumn("_p", F.explode("posts"))
+    return _scored(flat.select("qid", "term", "qtf", "df", "n", "avgdl", "_p.doc_id", "_p.tf", "_p.dl"), ranker)
+
+
+# Documents that are looked up in a block at once, on average at most, the rows of such
+# lists that are broadcast, and what stands for a missing id in them.
+GATHERED = 1024
+MAX_GATHERED_ROWS = 50_000
+NO_ID = -(1 << 63)
+
+
+def _looked_up(blocks: DataFrame, terms: DataFrame, docs: DataFrame, ranker: str | Ranker) -> DataFrame:
+    """The contributions of ``terms(qid, term, ..., blocks)`` to the documents ``docs(qid, doc_id)``
+    of the same query.  The documents are gathered by the block they fall into; blocks without
+    any meet no row, and of the others only these documents' postings are unpacked.  Where
+    a query has far more documents than its list has blocks, they are gathered in parts."""
+    per_query = docs.groupBy("qid").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = terms.select("qid", "blocks").distinct().join(per_query, "qid").select(
+        "qid", "blocks", F.ceil(F.col("_n") / (F.col("blocks") * GATHERED)).alias("_parts"))
+    key = lambda d: F.coalesce(d, F.lit(NO_ID))
+    places = docs.join(broadcast_if_small(sizes), "qid").groupBy(
+        "qid", "blocks", block_of(F.col("doc_id"), F.col("blocks")).alias("block"),
+        F.pmod(F.hash("doc_id"), F.col("_parts")).alias("_part")).agg(F.collect_list(key(F.col("doc_id"))).alias("ids"))
+    need = broadcast_if_small(places.drop("_part").join(terms, ["qid", "blocks"]), MAX_GATHERED_ROWS)
+    met = blocks.select("term", "block", "posts").join(need, ["term", "block"])
+    hits = met.withColumn("_p", F.explode(F.filter("posts", lambda p: F.array_contains(F.col("ids"), key(p["doc_id"])))))
+    return _scored(hits.select("qid", "term", "qtf", "df", "n", "avgdl", "_p.doc_id", "_p.tf", "_p.dl"), ranker)
+
+
+# The k-th score is first estimated from the lists that promise this share of a query's score.
+FIRST_SHARE = 0.5
+# Sums of the same terms in another order differ by less.
+SLACK = 1e-9
+
+
+def _cut_scores(limit: Callable[[DataFrame], DataFrame], known: DataFrame, index: Index, ranker: str | Ranker, k: int) -> DataFrame:
+    """(qid, doc_id, score) of the documents that can reach a query's top-k.
+
+    The largest tf and smallest length of a list bound what its term adds to any document,
+    for rankers that grow with tf and fall with the length, as both built-in ones do.
+
+    1. The lists that promise most, usually the short ones, are summed; the k-th sum is a
+       floor for the k-th score.
+    2. Terms whose bounds together stay below the floor cannot lift a document to it alone.
+       All other lists are added, which may raise the floor, and documents that stay below
+       it with all that the common terms could add are dropped.
+    3. Of the common lists, the longest ones, only the postings of the documents left are
+       unpacked, from the blocks they fall into.
+
+    Result-neutral: a dropped document's score is below the k-th.  No list is unpacked twice."""
+    blocks, known = _lists(limit, known, index)
+    promised = limit(index.list_bounds()).join(known, "term").withColumn("u", F.col("qtf") * _term_score(ranker))
+    descending = Window.partitionBy("qid").orderBy(F.col("u").desc(), F.col("term").desc())
+    before = F.coalesce(F.sum("u").over(descending.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    ascending = Window.partitionBy("qid").orderBy("u", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    terms = _written(promised.select("qid", "term", "qtf", "df", "n", "avgdl", "blocks", "u").withColumns({
+        "first": before < FIRST_SHARE * F.sum("u").over(Window.partitionBy("qid")), "upto": F.sum("u").over(ascending)}), "term-bounds")
+    by_part = Window.partitionBy("qid").orderBy(F.col("part").desc())
+
+    def added(contrib: DataFrame) -> DataFrame:
+        return contrib.select("qid", "doc_id", F.col("contrib").alias("part"))
+
+    def summed(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("qid", "doc_id").agg(F.sum("part").alias("part"))
+
+    def floor_of(parts: DataFrame) -> DataFrame:
+        return (parts.withColumn("r", F.row_number().over(by_part)).filter(F.col("r") == k)
+                .select("qid", (F.col("part") - SLACK).alias("floor")))
+
+    first = _written(summed(added(_whole_lists(blocks, terms.filter("first"), ranker))), "first-sums")
+    split = _written(terms.join(floor_of(first), "qid", "left").withColumn(
+        "common", ~F.col("first") & (F.col("upto") < F.coalesce("floor", F.lit(0.0)))), "term-split")
+    other = added(_whole_lists(blocks, split.filter("not first and not common"), ranker))
+    parts = _written(summed(first.unionByName(other)), "rare-sums")
+    rest = (split.groupBy("qid").agg(F.sum(F.when(F.col("common"), F.col("u")).otherwise(0.0)).alias("rest"))
+            .join(floor_of(parts), "qid", "left"))
+    left = _written(parts.join(_maybe_broadcast(rest, few_queries(rest)), "qid")
+                    .filter(F.col("part") + F.col("rest") >= F.coalesce("floor", F.lit(0.0))).select("qid", "doc_id", "part"), "candidates")
+    common = split.filter("common").select("qid", "term", "qtf", "df", "n", "avgdl", "blocks")
+    full = summed(left.unionByName(added(_looked_up(blocks, common, left, ranker))))
+    return full.select("qid", "doc_id", F.col("part").alias("score")).filter(F.col("score") > 0)
+
+
+def _all_term_scores(limit: Callable[[DataFrame], DataFrame], known: DataFrame, need: DataFrame, index: Index,
+                     ranker: str | Ranker) -> DataFrame:
+    """(qid, doc_id, score) of the documents that hold all of a query's terms.
+
+    A query with an unknown term has none.  The documents of its rarest term are the
+    candidates, the second rarest is looked up for these, and all others for those left, so
+    longer lists are unpacked only where a candidate can stand in them."""
+    blocks, known = _lists(limit, known, index)
+    complete = known.groupBy("qid").agg(F.count(F.lit(1)).alias("has")).join(need, "qid").filter(F.col("has") == F.col("need")).select("qid")
+    terms = _written(known.join(complete, "qid", "left_semi").withColumn(
+        "r", F.row_number().over(Window.partitionBy("qid").orderBy("df", "term"))), "term-order")
+
+    def added(hits: DataFrame) -> DataFrame:
+        return hits.select("qid", "doc_id", F.col("contrib").alias("part"), F.lit(1).alias("found"))
+
+    left = _written(added(_whole_lists(blocks, terms.filter("r = 1").drop("r"), ranker)), "candidates")
+    for which in ("r = 2", "r > 2"):
+        step = terms.filter(which).drop("r")
+        if step.isEmpty():
+            break
+        both = left.unionByName(added(_looked_up(blocks, step, left, ranker)))
+        upto = terms.filter("r <= 2" if which == "r = 2" else "r > 0").groupBy("qid").agg(F.count(F.lit(1)).alias("upto"))
+        summed = both.groupBy("qid", "doc_id").agg(F.sum("part").alias("part"), F.sum("found").cast("int").alias("found"))
+        left = _written(summed.join(broadcast_if_small(upto), "qid").filter(F.col("found") == F.col("upto")).drop("upto"), "candidates")
+    return left.select("qid", "doc_id", F.col("part").alias("score")).filter(F.col("score") > 0)
 
 
 def format_results(ranked: DataFrame) -> DataFrame:

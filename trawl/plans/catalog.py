@@ -36,6 +36,14 @@ def _ready(spark: SparkSession, sf_dir: str, stem: bool = False) -> ix.Index:
     return ix.build_index(inp.corpus(spark, sf_dir), stem=stem, unique_ids=True).tokenized_once()
 
 
+def _opened(spark: SparkSession, sf_dir: str) -> ix.Index:
+    """The same written as posting blocks and opened again."""
+    from trawl.session import scratch_path
+    path = scratch_path(spark, "index")
+    _index(spark, sf_dir).write(path, layout="blocks")
+    return ix.Index.read(spark, path)
+
+
 def _rounded(ranked: DataFrame) -> DataFrame:
     return ranked.select("qid", "rank", "doc_id", F.round("score", 4).alias("score"))
 
@@ -121,15 +129,21 @@ def tfidf_topk_floor(spark, sf_dir):
 @plan("bm25_topk_all_terms")
 def bm25_topk_all_terms(spark, sf_dir):
     """Only documents holding every distinct query term."""
-    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _ready(spark, sf_dir), "bm25", inp.TOP_K,
-                              match="all"))
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _opened(spark, sf_dir), "bm25", inp.TOP_K, match="all"))
+
+
+@plan("bm25_all_terms_short")
+def bm25_all_terms_short(spark, sf_dir):
+    """R7 with many answers: the first two and the first four words of every passage."""
+    q = inp.bench_queries(spark, sf_dir)
+    two, four = (q.select((F.col("qid") * 10 + n).alias("qid"), F.substring_index("query", " ", n).alias("query")) for n in (2, 4))
+    return _rounded(rk.search(two.unionByName(four), _opened(spark, sf_dir), "bm25", inp.TOP_K, match="all"))
 
 
 @plan("bm25_topk_pruned")
 def bm25_topk_pruned(spark, sf_dir):
-    """Upper-bound candidate cut; must equal bm25_topk."""
-    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _ready(spark, sf_dir), "bm25", inp.TOP_K,
-                              prune=True))
+    """Upper-bound candidate cut over the posting blocks of a written index; must equal bm25_topk."""
+    return _rounded(rk.search(inp.bench_queries(spark, sf_dir), _opened(spark, sf_dir), "bm25", inp.TOP_K, prune=True))
 
 
 @plan("custom_ranker")
@@ -157,7 +171,7 @@ def tfidf_zero_idf(spark, sf_dir):
 @plan("term_upper_bounds")
 def term_upper_bounds(spark, sf_dir):
     """Largest single-term BM25 score per known query term."""
-    ub = rk.term_upper_bounds(inp.bench_queries(spark, sf_dir), _ready(spark, sf_dir), "bm25")
+    ub = rk.term_upper_bounds(inp.bench_queries(spark, sf_dir), _opened(spark, sf_dir), "bm25")
     return ub.select("qid", "term", "qtf", F.round("ub", 4).alias("ub"))
 
 
@@ -628,6 +642,30 @@ def stream_visited_dedup(spark, sf_dir):
     return runner.run_available_now(dedup.new_link_targets(s.select("page_id", "url", "html")), "visited")
 
 
+def _arrivals(df: DataFrame, key: str, parts: int):
+    """The rows of ``df`` in ``parts`` runs by ``key``, each a batch of files more in the folder that is given back."""
+    from trawl.session import scratch_path
+    folder = scratch_path(df.sparkSession, "arrivals")
+    top = df.agg(F.max(key)).first()[0] or 0
+    for n in range(parts):
+        df.filter(F.floor(F.col(key) * parts / (top + 1)) == n).write.mode("append").parquet(folder)
+        yield folder
+
+
+@plan("stream_first_seen")
+def stream_first_seen(spark, sf_dir):
+    """T1 over three runs with state that expires: each link target and the run that met it first."""
+    from trawl.session import scratch_path
+    from trawl.streaming import dedup, runner
+    pages = inp.pages(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60))
+    path, ends = scratch_path(spark, "visited"), []
+    for folder in _arrivals(pages, "page_id", 3):
+        dedup.first_seen(runner.file_stream(spark, folder), path, "30 minutes", "ts")
+        ends.append(dedup.Visited(path).urls(spark).agg(F.max("batch")).first()[0])
+    urls = dedup.Visited(path).urls(spark)
+    return urls.select("url", sum((F.col("batch") > end).cast("int") for end in ends).alias("run"))
+
+
 def _streamed_index(spark, sf_dir) -> ix.Index:
     """The documents as a file stream, each micro-batch (all new files) a partial index."""
     from trawl.session import scratch_path

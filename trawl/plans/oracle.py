@@ -124,6 +124,14 @@ SQL["bm25_topk_all_terms"] = _BM25.rstrip() + """,
 need AS (SELECT qid, count(*) AS need FROM qt GROUP BY qid),
 allm AS (SELECT s.qid, s.doc_id, s.score FROM scored s JOIN need n ON n.qid = s.qid WHERE s.matched = n.need)
 """ + topk_select("allm")
+SQL["bm25_all_terms_short"] = with_(
+    IDX,
+    "q AS (SELECT item_id * 10 + n AS qid, array_to_string(string_split(text, ' ')[1:n], ' ') AS query "
+    "FROM benchmark, (VALUES (2), (4)) AS v(n))",
+    cte_qterms(), cte_scored(bm25_expr())).rstrip() + """,
+need AS (SELECT qid, count(*) AS need FROM qt GROUP BY qid),
+allm AS (SELECT s.qid, s.doc_id, s.score FROM scored s JOIN need n ON n.qid = s.qid WHERE s.matched = n.need)
+""" + topk_select("allm")
 SQL["custom_ranker"] = with_(IDX, BENCH_Q, cte_qterms(), cte_scored(bm25_expr(1.2, 0.5))) + topk_select()
 SQL["tfidf_zero_idf"] = with_(
     IDX,
@@ -401,6 +409,8 @@ SQL["pages_per_domain"] = ("SELECT split_part(url, '/', 3) AS domain, count(*) A
 
 # ---------------------------------------------------------------- streaming
 SQL["stream_visited_dedup"] = with_(CTE_EDGES) + "SELECT DISTINCT dst_url AS url FROM edges"
+SQL["stream_first_seen"] = with_(CTE_EDGES) + (
+    "SELECT dst_url AS url, CAST(min(page_id * 3 // (SELECT max(page_id) + 1 FROM pages)) AS INTEGER) AS run FROM edges GROUP BY dst_url")
 SQL["stream_incremental_index"] = SQL["postings"]
 SQL["stream_index_bm25_topk"] = SQL["bm25_topk"]
 SQL["stream_progress"] = """

@@ -12,11 +12,16 @@ Layout under ``path``:
                 split over several files.  ``layout="sorted"`` saves the range
                 shuffle at build time but every file then spans all terms and
                 only page-level statistics can skip.
+                ``layout="blocks"`` stores posting blocks instead, rows (term, block, n,
+                max_tf, min_dl, posts) sorted on (term, block): some hundred (doc_id, tf, dl)
+                of one term each.  A search with ``prune`` or ``match="all"`` reads the
+                columns it rules lists out by, and unpacks the blocks it needs only.
+                The postings are written once more for it, as a term's number of blocks
+                follows from its df.
   lexicon/      (term, df), each file sorted on term
   doc_lengths/  (doc_id, dl)
   stats/        one row (n, avgdl)
-  bounds/       (term, block, tf, dl), what a block of documents can score at most
-  meta/         one row: how the index was made (stem, stop words, term buckets, block size)
+  meta/         one row: how the index was made (stem, stop words, term buckets, block size or null)
 The corpus is tokenized once: the lexicon is derived from the written
 postings, and document lengths from the one reserved-term row per document
 that the postings carry (``LENGTH_TERM``).  Opening reads ``stats`` and ``meta``, two
@@ -25,12 +30,10 @@ rows; queries are parsed as the documents were, by what ``meta`` says.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_from_postings
+from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_from_postings, posting_blocks, unblocked, with_blocks
 
 # Term-hash buckets of the postings directory (``tb=<n>`` sub-folders), one per so
 # many bytes of estimated corpus size.
@@ -40,6 +43,9 @@ BYTES_PER_TASK = 128 << 20
 
 META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int, block_docs long"
 
+POSTINGS_SCHEMA = "term string, doc_id long, tf long, dl long, tb int"
+BLOCKS_SCHEMA = ("term string, block long, n long, max_tf long, min_dl long, posts array<struct<doc_id: long, tf: long, dl: long>>, tb int")
+
 
 def plan_bytes(df: DataFrame) -> int | None:
     """The optimizer's size of the tables that ``df`` reads, from the listings it already
@@ -66,49 +72,74 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     source = index.combined if index.combined is not None else index.postings
     size = plan_bytes(source)
     term_buckets = term_buckets or max(1, (size or 0) // BYTES_PER_BUCKET)
-    post = source.select("term", "doc_id", "tf", "dl").withColumn("tb", term_bucket(F.col("term"), term_buckets))
-    if layout == "range":
+    with_tb = lambda df: df.withColumn("tb", term_bucket(F.col("term"), term_buckets))
+    tasks = [] if size is None else [int(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism))]
+    real = F.col("term") != LENGTH_TERM
+    if layout == "blocks":
+        index = index.tokenized_once()
+        source = index.combined
+        lexicon = spark.read.schema("term string, df long").parquet(_written_lexicon(index.postings, base, mode))
+        lists = with_blocks(source.select("term", "doc_id", "tf", "dl"), _with_lengths(lexicon, source), index.block_docs)
+        # All postings of a block meet in a task of this shuffle, so they are gathered without another.
+        keys = ["tb", "term", "block"]
+        post = posting_blocks(with_tb(lists).repartitionByRange(*tasks, *keys), "tb")
+    elif layout in ("range", "sorted"):
         # (tb, term, doc_id): each task covers a contiguous run of buckets and
         # terms, so a bucket folder holds few files and a hot term is split.
         keys = ["tb", "term", "doc_id"]
-        tasks = [] if size is None else [int(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism))]
-        post = post.repartitionByRange(*tasks, *keys)
-    elif layout != "sorted":
-        raise ValueError("layout must be 'sorted' or 'range'")
+        post = with_tb(source.select("term", "doc_id", "tf", "dl"))
+        post = post.repartitionByRange(*tasks, *keys) if layout == "range" else post
+    else:
+        raise ValueError("layout must be 'blocks', 'range' or 'sorted'")
     # Static overwrite: a smaller index over a larger one must not leave old bucket folders behind.
-    (post.sortWithinPartitions("tb", "term", "doc_id")
+    (post.sortWithinPartitions(*keys)
      .write.mode(mode).option("partitionOverwriteMode", "static")
      .option("parquet.bloom.filter.enabled#term", "true").partitionBy("tb").parquet(f"{base}/postings"))
-    written = spark.read.parquet(f"{base}/postings")
-    # Lexicon: partial counts per file, one shuffle of distinct terms, each
-    # file sorted on term (page statistics skip for a term lookup).
-    (lexicon_from_postings(written.filter(F.col("term") != LENGTH_TERM)).sortWithinPartitions("term")
-     .write.mode(mode).parquet(f"{base}/lexicon"))
-    (replace(index, postings=written.filter(F.col("term") != LENGTH_TERM), bounds_table=None).block_bounds()
-     .sortWithinPartitions("term", "block").write.mode(mode).parquet(f"{base}/bounds"))
+    written = spark.read.schema(post.schema).parquet(f"{base}/postings")  # an empty index has no file to tell
+    if layout == "blocks":
+        written = unblocked(written, "tb")
+    else:
+        _written_lexicon(written.filter(real), base, mode)
     if index.combined is not None:
         # The length rows: one bucket folder (pruned), first rows of its sort.
-        lengths = (written.filter((F.col("tb") == term_bucket(F.lit(LENGTH_TERM), term_buckets))
-                                  & (F.col("term") == LENGTH_TERM))
+        lengths = (written.filter((F.col("tb") == term_bucket(F.lit(LENGTH_TERM), term_buckets)) & ~real)
                    .select("doc_id", F.col("dl").cast("long").alias("dl")))
     else:
         lengths = index.doc_lengths
     lengths.write.mode(mode).parquet(f"{base}/doc_lengths")
     collection_stats(spark.read.parquet(f"{base}/doc_lengths")).coalesce(1).write.mode(mode).parquet(f"{base}/stats")
     stop = None if index.stopwords is None else list(index.stopwords)
-    spark.createDataFrame([(index.stem, stop, int(term_buckets), index.block_docs)], META_SCHEMA).coalesce(1).write.mode(mode).parquet(
+    size = index.block_docs if layout == "blocks" else None
+    spark.createDataFrame([(index.stem, stop, int(term_buckets), size)], META_SCHEMA).coalesce(1).write.mode(mode).parquet(
         f"{base}/meta")
 
 
+def _written_lexicon(post: DataFrame, base: str, mode: str) -> str:
+    """Lexicon: partial counts per file, one shuffle of distinct terms, each
+    file sorted on term (page statistics skip for a term lookup)."""
+    lexicon_from_postings(post).sortWithinPartitions("term").write.mode(mode).parquet(f"{base}/lexicon")
+    return f"{base}/lexicon"
+
+
+def _with_lengths(lexicon: DataFrame, source: DataFrame) -> DataFrame:
+    """The lexicon and the reserved term of the length rows, so that these are blocked too."""
+    return lexicon.unionByName(source.filter(F.col("term") == LENGTH_TERM).agg(F.lit(LENGTH_TERM).alias("term"), F.count(F.lit(1)).alias("df")))
+
+
 def read_index(spark: SparkSession, path: str) -> Index:
     base = path.rstrip("/")
     made = spark.read.schema(META_SCHEMA).parquet(f"{base}/meta").first()
-    return Index(postings=spark.read.parquet(f"{base}/postings").filter(F.col("term") != LENGTH_TERM),
+    if spark.read.parquet(f"{base}/stats").first().n:
+        stored = spark.read.parquet(f"{base}/postings")
+    else:  # no file that tells the columns
+        stored = spark.createDataFrame([], BLOCKS_SCHEMA if made.block_docs else POSTINGS_SCHEMA)
+    stored = stored.filter(F.col("term") != LENGTH_TERM)
+    blocks = {} if made.block_docs is None else {"blocks_table": stored, "block_docs": made.block_docs}
+    return Index(postings=unblocked(stored, "tb") if blocks else stored,
                  lexicon=spark.read.parquet(f"{base}/lexicon"),
                  doc_lengths=spark.read.parquet(f"{base}/doc_lengths"),
                  stem=made.stem, stopwords=None if made.stopwords is None else tuple(made.stopwords),
-                 stats_table=spark.read.parquet(f"{base}/stats"), term_buckets=made.term_buckets,
-                 bounds_table=spark.read.parquet(f"{base}/bounds"), block_docs=made.block_docs)
+                 stats_table=spark.read.parquet(f"{base}/stats"), term_buckets=made.term_buckets, **blocks)
 
 
 def lookup(index: Index, terms: DataFrame | list[str]) -> DataFrame:

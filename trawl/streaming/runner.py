@@ -3,6 +3,8 @@ the shared scratch location, and read the committed result back."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,12 +64,15 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(out)
 
 
-def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: float | None = None, output_mode: str = "append") -> None:
-    """Process all available input once with ``fn(batch_df, batch_id)``."""
-    ckpt = scratch_path(df.sparkSession, f"{name}-ckpt")
+def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: float | None = None, output_mode: str = "append",
+                      checkpoint: str | None = None) -> list[dict]:
+    """Process all available input once with ``fn(batch_df, batch_id)``; a given ``checkpoint``
+    folder lets a later run go on from here.  Returns the progress reports of the run."""
+    ckpt = checkpoint or scratch_path(df.sparkSession, f"{name}-ckpt")
     q = (df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     _finish(q, name, timeout_s)
+    return [json.loads(p.json) if not isinstance(p, dict) else p for p in q.recentProgress]
 
 
 def run_updates(df: DataFrame, name: str, keys: tuple[str, ...], timeout_s: float | None = None) -> DataFrame:
