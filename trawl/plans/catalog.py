@@ -530,6 +530,10 @@ VIOLATION_GAP_S = 600.0   # minimum gap between two requests of one user in the
 BUDGET_PAGES = 1000       # page budget for the crawl_budget plan
 
 
+# Seconds between the rounds of the politeness stream.
+ROUND_S = 6.0
+
+
 def _crawl_inputs(spark, sf_dir):
     from trawl.functions import html as H
     from trawl.operators import pages as pg
@@ -666,6 +670,94 @@ def stream_first_seen(spark, sf_dir):
     return urls.select("url", sum((F.col("batch") > end).cast("int") for end in ends).alias("run"))
 
 
+@plan("stream_politeness_rounds")
+def stream_politeness_rounds(spark, sf_dir):
+    """C9 over three rounds six seconds apart: all allowed candidates by the start of their
+    hash, spaced from the domain's last request, which the stream carries."""
+    from trawl.operators import crawlplan as cp
+    from trawl.session import scratch_path
+    from trawl.streaming import politeness, runner
+    p, cand = _candidates(spark, sf_dir)
+    prio = F.md5("url")
+    nth = F.when(prio < "5", 0).when(prio < "a", 1).otherwise(2)
+    allowed = cp.robots_filter(cand, _robots_rules(spark, p), CRAWL_AGENT).select(
+        "domain", "url", prio.alias("prio"), "delay", nth.cast("long").alias("nth"), (nth * F.lit(ROUND_S)).alias("now_s"))
+    path = scratch_path(spark, "politeness")
+    for folder in _arrivals(allowed, "nth", 3):
+        politeness.plan_stream(runner.file_stream(spark, folder).drop("nth"), path)
+    plan = politeness.DomainClock(path).plan(spark)
+    return plan.select("domain", "url", "pos", F.round("at_s", 6).alias("at_s"))
+
+
+@plan("frontier_rounds")
+def frontier_rounds(spark, sf_dir):
+    """C7 + C8 over three rounds of fetched pages: each adds its own links and removes its own
+    pages; what is then taken equals the frontier of one recomputation."""
+    from trawl.operators import crawlplan as cp
+    from trawl.operators.pages import link_edges
+    from trawl.session import scratch_path
+    from trawl.streaming.frontier import Frontier
+    p, seeds, _ = _crawl_inputs(spark, sf_dir)
+    top = p.agg(F.max("page_id")).first()[0] or 0
+    kept = Frontier(scratch_path(spark, "frontier"))
+    for n in range(3):
+        pages = p.filter(F.floor(F.col("page_id") * 3 / (top + 1)) == n)
+        found = link_edges(pages).select(F.col("dst_url").alias("url"))
+        kept.add(found.unionByName(seeds.select("url")) if n == 0 else found, n, visited=pages.select("url"))
+    return kept.take(2, cp.FRONTIER_SIZE)
+
+
+@plan("stream_progress_closed")
+def stream_progress_closed(spark, sf_dir):
+    """T3 with a watermark: fetches arrive up to ten hours out of order in four runs; closed
+    windows with their counts, and the rows that came too late for them."""
+    from trawl.operators.pages import successful
+    from trawl.session import scratch_path
+    from trawl.streaming import progress, runner
+    log = successful(inp.events(spark, sf_dir), "event_type")
+    first = log.agg(F.min("ts").alias("t0"))
+    hours = F.floor((F.unix_seconds("ts") - F.unix_seconds("t0")) / 3600) + F.col("event_id") % 10
+    arriving = log.crossJoin(F.broadcast(first)).select("ts", hours.alias("hour"))  # one row
+    done = progress.Progress(scratch_path(spark, "progress"), delay="4 hours")
+    for folder in _arrivals(arriving, "hour", 4):
+        done.run(runner.file_stream(spark, folder))
+    late = done.late(spark).groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("late"))
+    both = done.windows(spark).join(late, ["window_start", "window_end"], "full")
+    return both.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                       F.coalesce("fetches", F.lit(0)).alias("fetches"), F.coalesce("late", F.lit(0)).alias("late"))
+
+
+def _segments(spark, sf_dir, **options):
+    """The documents in six runs of a stream, a segment each."""
+    from trawl.session import scratch_path
+    from trawl.streaming import runner, segments
+    store = segments.Segments(scratch_path(spark, "segments"), **options)
+    for folder in _arrivals(inp.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 6):
+        segments.index_stream(runner.file_stream(spark, folder), store, title_col=None)
+    return store
+
+
+@plan("stream_segments")
+def stream_segments(spark, sf_dir):
+    """T2 + I6: six micro-batches as tiered segments, merged bucket by bucket; equals postings."""
+    return _segments(spark, sf_dir, buckets=4, fan_in=3).index(spark).postings.select("term", "doc_id", "tf")
+
+
+@plan("index_versions")
+def index_versions(spark, sf_dir):
+    """X2 by document: every third document comes again without the letter e, every seventh is
+    taken out, every 21st of these comes back; the latest version alone counts."""
+    from trawl.session import scratch_path
+    from trawl.streaming import segments
+    docs = inp.table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = segments.Segments(scratch_path(spark, "segments"), buckets=4, fan_in=2, rule="documents")
+    store.add(docs, 0, title_col=None)
+    store.add(docs.filter("doc_id % 3 = 0").withColumn("text", F.translate("text", "e", " ")), 1, title_col=None)
+    store.remove(docs.filter("doc_id % 7 = 0"), 2)
+    store.add(docs.filter("doc_id % 147 = 0"), 3, title_col=None)
+    return store.index(spark).postings.select("term", "doc_id", "tf", "dl")
+
+
 def _streamed_index(spark, sf_dir) -> ix.Index:
     """The documents as a file stream, each micro-batch (all new files) a partial index."""
     from trawl.session import scratch_path

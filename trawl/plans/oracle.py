@@ -411,6 +411,37 @@ SQL["pages_per_domain"] = ("SELECT split_part(url, '/', 3) AS domain, count(*) A
 SQL["stream_visited_dedup"] = with_(CTE_EDGES) + "SELECT DISTINCT dst_url AS url FROM edges"
 SQL["stream_first_seen"] = with_(CTE_EDGES) + (
     "SELECT dst_url AS url, CAST(min(page_id * 3 // (SELECT max(page_id) + 1 FROM pages)) AS INTEGER) AS run FROM edges GROUP BY dst_url")
+SQL["stream_politeness_rounds"] = with_(CTE_CAND, CTE_RULES, cte_robots("cand")).rstrip() + """,
+placed AS (
+  SELECT domain, url, coalesce(CASE WHEN delay > 0 THEN delay END, 0.1) AS wait, md5(url) AS prio,
+         CASE WHEN md5(url) < '5' THEN 0 WHEN md5(url) < 'a' THEN 1 ELSE 2 END AS nth FROM allowed),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY domain, nth ORDER BY prio, url) AS pos FROM placed),
+first AS (SELECT domain, url, pos, round((pos - 1) * wait, 6) AS at_s FROM numbered WHERE nth = 0),
+last1 AS (SELECT domain, max(at_s) AS t FROM first GROUP BY domain),
+second AS (
+  SELECT n.domain, url, pos, round(6 + greatest(0.0, coalesce(wait - (6 - t), 0.0)) + (pos - 1) * wait, 6) AS at_s
+  FROM numbered n LEFT JOIN last1 l ON l.domain = n.domain WHERE nth = 1),
+last2 AS (SELECT domain, max(at_s) AS t FROM (SELECT * FROM first UNION ALL SELECT * FROM second) GROUP BY domain),
+third AS (
+  SELECT n.domain, url, pos, round(12 + greatest(0.0, coalesce(wait - (12 - t), 0.0)) + (pos - 1) * wait, 6) AS at_s
+  FROM numbered n LEFT JOIN last2 l ON l.domain = n.domain WHERE nth = 2)
+SELECT * FROM first UNION ALL SELECT * FROM second UNION ALL SELECT * FROM third"""
+SQL["frontier_rounds"] = SQL["frontier_topn"]
+SQL["stream_progress_closed"] = """
+WITH ok AS (SELECT ts, event_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS w_end FROM events WHERE event_type <> 'error'),
+timed AS (SELECT *, floor((epoch(ts)::BIGINT - epoch((SELECT min(ts) FROM ok))::BIGINT) / 3600)::BIGINT + event_id % 10 AS hour FROM ok),
+placed AS (SELECT *, hour * 4 // ((SELECT max(hour) FROM timed) + 1) AS run FROM timed),
+latest AS (SELECT run, max(ts) AS t FROM placed GROUP BY run),
+marked AS (SELECT p.*, (SELECT max(t) FROM latest l WHERE l.run < p.run) - INTERVAL 4 HOUR AS mark FROM placed p),
+judged AS (SELECT *, coalesce(w_end <= mark, false) AS late FROM marked),
+windows AS (SELECT w_end, count(*) FILTER (WHERE NOT late) AS fetches, count(*) FILTER (WHERE late) AS late FROM judged GROUP BY w_end)
+SELECT w_end - INTERVAL 1 HOUR AS window_start, w_end AS window_end, fetches, late
+FROM windows WHERE w_end <= (SELECT max(t) FROM latest) - INTERVAL 4 HOUR"""
+SQL["stream_segments"] = SQL["postings"]
+SQL["index_versions"] = with_(
+    "v AS (SELECT doc_id, CASE WHEN doc_id % 147 = 0 THEN text WHEN doc_id % 3 = 0 THEN translate(text, 'e', ' ') ELSE text END AS text "
+    "FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 147 = 0)",
+    cte_index("v")) + "SELECT p.term, p.doc_id, p.tf, d.dl FROM post p JOIN dl d ON d.doc_id = p.doc_id"
 SQL["stream_incremental_index"] = SQL["postings"]
 SQL["stream_index_bm25_topk"] = SQL["bm25_topk"]
 SQL["stream_progress"] = """

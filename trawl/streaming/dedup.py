@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.operators.pages import link_edges
+from trawl.streaming.store import read_batches, write_batch
 
 # Bits of the URL bitmap: at most 256 MB of buckets, one wrong look in 200 at ten million URLs.
 BITS = 1 << 31
@@ -58,14 +59,13 @@ class Visited:
     path: str
     bits: int = BITS
 
-    def urls(self, spark: SparkSession) -> DataFrame:
-        return _read(spark, f"{self.path}/urls", URLS_SCHEMA)
+    def urls(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """(url, batch) of all batches, or those ``before`` one."""
+        return read_batches(spark, f"{self.path}/urls", URLS_SCHEMA, before)
 
     def bitmap(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """(bucket, bits) merged over all batches, or those ``before`` one."""
-        parts = _read(spark, f"{self.path}/bits", BITS_SCHEMA)
-        parts = parts if before is None else parts.filter(F.col("batch") < before)
-        return parts.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return read_batches(spark, f"{self.path}/bits", BITS_SCHEMA, before).groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
     def add(self, batch: DataFrame, batch_id: int) -> DataFrame:
         """(url) of the batch's URLs that no earlier batch had; they are kept."""
@@ -76,25 +76,15 @@ class Visited:
         known = placed.join(self.bitmap(spark, batch_id), "bucket", "left").withColumn("maybe", F.coalesce(_is_set(), F.lit(False)))
         from trawl.operators.rank import _written
         known = _written(known.select("url", "bucket", "position", "maybe"), "asked-urls")
-        earlier = self.urls(spark).filter(F.col("batch") < batch_id).select("url")
+        earlier = self.urls(spark, batch_id).select("url")
         fresh = known.filter("not maybe").unionByName(known.filter("maybe").join(earlier, "url", "left_anti"))
-        self._write(fresh.select("url"), "urls", batch_id)
+        write_batch(fresh.select("url"), f"{self.path}/urls", batch_id)
         added = self.urls(spark).filter(F.col("batch") == batch_id)
         at = added.withColumn("_at", _place(self.bits))
-        self._write(at.groupBy(F.bitmap_bucket_number("_at").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits")), "bits", batch_id)
+        write_batch(at.groupBy(F.bitmap_bucket_number("_at").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits")), f"{self.path}/bits", batch_id)
         return added.select("url")
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={int(batch_id)}")
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
-
 
 def first_seen(pages_stream: DataFrame, path: str, horizon: str = "1 hour", ts_col: str | None = None, bits: int = BITS) -> list[dict]:
     """Add the link targets of all pages that are available now to ``Visited(path)``, each under

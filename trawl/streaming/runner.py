@@ -64,6 +64,19 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(out)
 
 
+def _reports(query) -> list[dict]:
+    return [json.loads(p.json) if not isinstance(p, dict) else p for p in query.recentProgress]
+
+
+def run_to_folder(df: DataFrame, name: str, out: str, checkpoint: str, timeout_s: float | None = None) -> list[dict]:
+    """Append all available input to the parquet folder ``out``, going on from ``checkpoint``.
+    Returns the progress reports of the run."""
+    q = (df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode("append").trigger(availableNow=True).start())
+    _finish(q, name, timeout_s)
+    return _reports(q)
+
+
 def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: float | None = None, output_mode: str = "append",
                       checkpoint: str | None = None) -> list[dict]:
     """Process all available input once with ``fn(batch_df, batch_id)``; a given ``checkpoint``
@@ -72,7 +85,7 @@ def run_foreach_batch(df: DataFrame, name: str, fn, timeout_s: float | None = No
     q = (df.writeStream.foreachBatch(fn).outputMode(output_mode).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     _finish(q, name, timeout_s)
-    return [json.loads(p.json) if not isinstance(p, dict) else p for p in q.recentProgress]
+    return _reports(q)
 
 
 def run_updates(df: DataFrame, name: str, keys: tuple[str, ...], timeout_s: float | None = None) -> DataFrame:
