@@ -85,3 +85,12 @@ def test_drop_and_empty_tables(spark, make_docs):
     assert dc.contamination(docs.limit(0).select("doc_id", "text"), bench).count() == 0
     none = dc.contamination(docs.select("doc_id", "text"), bench.limit(0)).collect()
     assert len(none) == 5 and not any(r.contaminated for r in none)
+
+
+def test_an_unseen_word_does_not_hide_a_near_match(spark, make_docs):
+    docs = make_docs([(1, "aa x x bb x cc x dd"), (2, "aa " + "x " * 30 + "bb cc dd"), (3, "aa cc")])
+    bench = spark.createDataFrame([(1, "aa bb cc dd unseen"), (2, "aa never bb gone cc"), (3, "aa none of these occur"), (4, "no word")],
+                                  "item_id long, text string")
+    items = dc.items_with_words(bench)
+    got = sorted((r.item, r.doc_id) for r in dc.near_matches(dc.build_index(docs.select("doc_id", "text"), items), items).collect())
+    assert got == [("aa bb cc dd unseen", 1), ("aa never bb gone cc", 1)]  # in text 2 the rarer aa, bb, dd stand apart

@@ -35,6 +35,8 @@ WINDOW = 10
 #: Terms whose lists are intersected before all others are.
 RAREST = 3
 #: Words that the rarest terms of an item may span to be a near match.
+#: Share of an item's different terms that must have postings for a near match.
+NEAR_SEEN_PCT = 60
 NEAR_SPAN = 20
 LENGTH = " "
 BROADCAST_ROWS = 200_000
@@ -92,13 +94,15 @@ def phrases_of(items: DataFrame, width: int = WINDOW) -> DataFrame:
             .select(F.array_join("words", " ").alias("phrase"), "item_id", "words").distinct())
 
 
-def _rarest_first(index: PositionalIndex, lists: DataFrame, key: str) -> DataFrame:
-    """``lists(key, term, at)`` with ``rank`` 1 for the rarest term; keys that have
-    a term without postings are left out, as nothing can match them."""
+def _rarest_first(index: PositionalIndex, lists: DataFrame, key: str, seen_pct: int = 100) -> DataFrame:
+    """``lists(key, term, at)`` of the terms that have postings, with ``rank`` 1 for the rarest.
+    Keys of whose terms fewer than ``seen_pct`` percent have postings are left out: for a
+    phrase all must, as nothing can match it otherwise."""
     counted = lists.join(small(index.counts, BROADCAST_ROWS), "term", "left")
     by = Window.partitionBy(key)
-    return (counted.withColumn("missing", F.max(F.col("n").isNull()).over(by)).where(~F.col("missing"))
-            .withColumn("rank", F.row_number().over(by.orderBy("n", "term", "at"))).drop("missing", "n"))
+    enough = 100 * F.count("n").over(by) >= seen_pct * F.count("*").over(by)
+    return (counted.withColumn("enough", enough).where("enough and n is not null")
+            .withColumn("rank", F.row_number().over(by.orderBy("n", "term", "at"))).drop("enough", "n"))
 
 
 def _same_doc(a: DataFrame, b: DataFrame) -> Column:
@@ -147,12 +151,13 @@ def phrase_matches(index: PositionalIndex, phrases: DataFrame) -> DataFrame:
 
 
 def near_matches(index: PositionalIndex, items: DataFrame, span: int = NEAR_SPAN) -> DataFrame:
-    """``(doc_id, th, item)`` where the ``RAREST`` rarest terms of the item (all of
-    them if it has fewer) stand within ``span`` words in any order.  ``item`` is
-    the item's words joined by blanks."""
+    """``(doc_id, th, item)`` where the ``RAREST`` rarest terms of the item that occur in any
+    document (all of them if there are fewer) stand within ``span`` words in any order; at
+    least ``NEAR_SEEN_PCT`` percent of an item's different terms must occur at all, so an unseen
+    or altered word does not hide an item.  ``item`` is the item's words joined by blanks."""
     lists = items.select(F.array_join("words", " ").alias("item"), F.explode(F.array_distinct("words")).alias("term"),
                          F.lit(0).alias("at")).distinct()
-    terms = _rarest_first(index, lists, "item").where(F.col("rank") <= RAREST).select(
+    terms = _rarest_first(index, lists, "item", NEAR_SEEN_PCT).where(F.col("rank") <= RAREST).select(
         "item", "term", "rank", F.max("rank").over(Window.partitionBy("item")).alias("n"))
     hits = index.postings.join(small(stored(terms, "decontam-near"), BROADCAST_ROWS), "term")
     so_far = Window.partitionBy("doc_id", "th", "item").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)

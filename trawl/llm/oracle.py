@@ -28,10 +28,12 @@ tokens AS (SELECT rid, unnest(w) AS term, unnest(range(0, len(w))) AS pos FROM d
 freq AS (SELECT term, count(*) AS n FROM tokens GROUP BY term),
 texts AS (SELECT DISTINCT array_to_string(w, ' ') AS item, w FROM full_items),
 item_terms AS (SELECT DISTINCT item, unnest(w) AS term FROM texts),
-counted AS (SELECT item, i.term, n, row_number() OVER (PARTITION BY item ORDER BY n, i.term) AS r,
-                   bool_or(n IS NULL) OVER (PARTITION BY item) AS missing
-            FROM item_terms i LEFT JOIN freq f ON i.term = f.term),
-rare AS (SELECT item, term FROM counted WHERE NOT missing AND r <= 3),
+seen AS (SELECT item, i.term, f.n FROM item_terms i JOIN freq f ON i.term = f.term),
+shares AS (SELECT i.item FROM item_terms i LEFT JOIN seen s ON i.item = s.item AND i.term = s.term
+           GROUP BY i.item HAVING count(s.term) >= 0.6 * count(*)),
+counted AS (SELECT s.item, s.term, row_number() OVER (PARTITION BY s.item ORDER BY s.n, s.term) AS r
+            FROM seen s JOIN shares h ON s.item = h.item),
+rare AS (SELECT item, term FROM counted WHERE r <= 3),
 n_rare AS (SELECT item, count(*) AS k FROM rare GROUP BY item),
 near_hits AS (SELECT rid, pos, r.item, r.term FROM tokens t JOIN rare r ON t.term = r.term),
 spans AS (SELECT a.rid, a.item, a.pos, count(DISTINCT b.term) AS k
