@@ -207,3 +207,25 @@ def test_nothing_indexed(spark, tmp_dir):
     index = Index.read(spark, f"{tmp_dir}/i")
     q = spark.createDataFrame([(0, "red apple")], "qid long, query string")
     assert search(q, index, prune=True).count() == search(q, index, match="all").count() == 0
+
+
+def test_upper_bounds_from_few_blocks(spark, blocked):
+    from trawl.operators import rank as rk
+    index, q = blocked
+    whole = rk.term_contributions(q, index).groupBy("qid", "term", "qtf").agg({"s": "max"})
+    for ranker in ("bm25", "tfidf"):
+        want = {(r.qid, r.term): round(r["max(s)"], 9) for r in rk.term_contributions(q, index, ranker).groupBy("qid", "term").agg({"s": "max"}).collect()}
+        assert {(r.qid, r.term): round(r.ub, 9) for r in rk.term_upper_bounds(q, index, ranker).collect()} == want
+    assert whole.count() == len(want)
+
+
+def test_report_with_seconds(spark, index):
+    from pyspark.sql import functions as F
+
+    from trawl.operators.report import run_report, timed
+    q = spark.createDataFrame(list(enumerate(QUERIES)), "qid long, query string")
+    found, took = timed(search(q, index, "bm25", k=3))
+    rows = {r.ranker: r for r in run_report(q, found.withColumn("ranker", F.lit("bm25")), ("bm25", "none"), seconds={"bm25": took}).collect()}
+    assert took > 0 and rows["bm25"].total_s == round(took, 4)
+    assert rows["bm25"].s_per_query == pytest.approx(took / len(QUERIES), abs=1e-5) and rows["none"].total_s is None
+    assert "total_s" not in run_report(q, found.withColumn("ranker", F.lit("bm25")), ("bm25",)).columns

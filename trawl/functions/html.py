@@ -58,8 +58,9 @@ def without_invisible(html: Column) -> Column:
 
 
 def visible_text(html: Column) -> Column:
-    decoded = decode_entities(F.regexp_replace(without_invisible(html), r"<[^>]*>", SEP))
-    cleaned = F.transform(F.split(decoded, SEP), strip_ws)
+    # Few nodes hold an entity; only these are decoded.  No entity stands for SEP.
+    nodes = F.split(F.regexp_replace(without_invisible(html), r"<[^>]*>", SEP), SEP)
+    cleaned = F.transform(nodes, lambda n: strip_ws(F.when(n.contains("&"), decode_entities(n)).otherwise(n)))
     return F.array_join(F.filter(cleaned, lambda n: n != F.lit("")), " ")
 
 

@@ -228,9 +228,29 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
 
 def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25",
                       qid_col: str = "qid", query_col: str = "query") -> DataFrame:
-    """(qid, term, qtf, ub): the largest single-term score of each known query term."""
-    contrib = term_contributions(queries, index, ranker, qid_col, query_col)
-    return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
+    """(qid, term, qtf, ub): the largest single-term score of each known query term.  Of
+    posting blocks, and with a built-in ranker, only those are unpacked whose largest tf and
+    smallest length promise more than the best posting of the most promising one."""
+    if index.blocks_table is None or not isinstance(ranker, str):
+        contrib = term_contributions(queries, index, ranker, qid_col, query_col)
+        return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
+    limit, known = _known_terms(queries, index, qid_col, query_col, True)
+    terms = _written(known, "known-terms")
+    lists = broadcast_if_small(terms.select("term", "df", "n", "avgdl").distinct(), MAX_QUERY_TERM_ROWS)
+    blocks = limit(index.blocks())
+    promised = _written(blocks.select("term", "block", F.col("max_tf").alias("tf"), F.col("min_dl").alias("dl")).join(lists, "term")
+                        .select("term", "block", "df", "n", "avgdl", _term_score(ranker).alias("u")), "block-bounds")
+
+    def best(need: DataFrame) -> DataFrame:
+        met = blocks.select("term", "block", "posts").join(broadcast_if_small(need, MAX_QUERY_TERM_ROWS), ["term", "block"])
+        flat = met.withColumn("_p", F.explode("posts")).select("term", "df", "n", "avgdl", "_p.tf", "_p.dl")
+        return flat.groupBy("term").agg(F.max(_term_score(ranker)).alias("ub"))
+
+    leading = promised.groupBy("term").agg(F.max_by("block", F.struct("u", "block")).alias("block"))
+    first = _written(best(promised.join(leading, ["term", "block"], "left_semi")), "term-bests")
+    rest = promised.join(leading, ["term", "block"], "left_anti").join(first, "term").filter(F.col("u") > F.col("ub"))
+    ub = first.unionByName(best(rest.drop("ub"))).groupBy("term").agg(F.max("ub").alias("ub"))
+    return terms.select("qid", "term", "qtf").join(ub, "term")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:

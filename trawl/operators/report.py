@@ -4,16 +4,29 @@ rows per query, so the joins below stay small."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def run_report(queries: DataFrame, ranked: DataFrame, rankers: Sequence[str], qid_col: str = "qid") -> DataFrame:
+def timed(results: DataFrame) -> tuple[DataFrame, float]:
+    """``results`` written to the shared scratch folder, and the seconds that took: what
+    ``run_report`` wants to know of a ranker's run over a whole batch of queries."""
+    from time import perf_counter
+
+    from trawl.session import scratch_path
+    spark, path, begin = results.sparkSession, scratch_path(results.sparkSession, "timed"), perf_counter()
+    results.write.parquet(path)
+    return spark.read.schema(results.schema).parquet(path), perf_counter() - begin
+
+
+def run_report(queries: DataFrame, ranked: DataFrame, rankers: Sequence[str], qid_col: str = "qid",
+               seconds: Mapping[str, float] | None = None) -> DataFrame:
     """Per ranker of ``rankers``, also of one without any result: queries, queries
     with results, total results, results per query, min / max / average score of the
-    returned results.
+    returned results.  With the ``seconds`` that each ranker's batch took (see ``timed``) also
+    total_s, s_per_query and queries_per_s, null for a ranker that was not timed.
 
     ``ranked`` is read once: one aggregate per (ranker, query) carries the
     count, min, max and sum, and the per-ranker figures are folded from it."""
@@ -28,9 +41,14 @@ def run_report(queries: DataFrame, ranked: DataFrame, rankers: Sequence[str], qi
     named = (queries.agg(F.count(F.lit(1)).alias("queries"))
              .select("queries", F.explode(F.array(*[F.lit(r) for r in rankers])).alias("ranker")))
     total = F.coalesce("total_results", F.lit(0))
+    took = []
+    if seconds is not None:
+        s = F.coalesce(*[F.when(F.col("ranker") == r, F.lit(float(v))) for r, v in seconds.items()], F.lit(None).cast("double"))
+        took = [F.round(s, 4).alias("total_s"), F.round(s / F.nullif("queries", F.lit(0)), 6).alias("s_per_query"),
+                F.round(F.col("queries") / F.nullif(s, F.lit(0.0)), 2).alias("queries_per_s")]
     return named.join(hits, "ranker", "left").select(
         "ranker", "queries", F.coalesce("with_results", F.lit(0)).alias("with_results"), total.alias("total_results"),
-        F.round(total / F.col("queries"), 4).alias("results_per_query"), "min_score", "max_score", "avg_score")
+        F.round(total / F.col("queries"), 4).alias("results_per_query"), "min_score", "max_score", "avg_score", *took)
 
 
 def compare_rankers(ranked: DataFrame, rankers: tuple[str, ...] = ("bm25", "tfidf")) -> DataFrame:
