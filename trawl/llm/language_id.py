@@ -9,7 +9,8 @@ the same on every run.  Predictions read whole texts, never the label columns.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0, and so
 is every text if no language could be learned; one learned language is predicted for
-all others, as far as its family goes; rows with null lang or null doc_id are not
+all others, as far as its family goes; of languages that win equally many duels the one with
+the larger sum of beliefs is taken, then the first by name; rows with null lang or null doc_id are not
 learned from; equal texts get equal results; an empty table gives an empty result; the
 columns lang_pred and score replace any of these names.
 """
