@@ -61,3 +61,32 @@ def test_places_and_repeated_openings():
     assert labels("to the extent possible under law " * 5000) == ""
     cut = MIT[:MIT.index("BE LIABLE")]
     assert [m["start"] for m in lt.scan(cut + MIT)[7]] == [len(lt.tokens(cut + MIT[:MIT.index("Permission")]))]
+
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that
+the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL
+WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE
+LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+SOFTWARE."""
+ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages
+arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications,
+and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented;
+you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation
+would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being
+the original software. 3. This notice may not be removed or altered from any source distribution."""
+
+
+def test_more_licenses_and_spellings():
+    assert labels("Copyright 2019 " + ISC) == labels(ISC.replace("and/or distribute", "and distribute")) == "isc"
+    assert labels(ZLIB) == labels(ZLIB.replace("acknowledgment", "acknowledgement")) == "zlib"
+    for one, other in (("NONINFRINGEMENT", "NON-INFRINGEMENT"), ("sublicense", "sub-license")):
+        assert labels(MIT.replace(one, other)) == "mit"
+    assert labels(MIT.replace("NONINFRINGEMENT", "NON-INFRINGEMENT").replace("sublicense", "sub-license")) == "mit"
+    assert [labels(t) for t in (ISC.replace("with or without fee", "without fee"), ZLIB.replace("anyone", "members"), ISC + ZLIB)] == ["", "", "isc,zlib"]
+
+
+def test_a_holder_has_at_most_a_hundred_words():
+    holder = "THE AUTHORS OR COPYRIGHT HOLDERS"
+    assert labels(MIT.replace(holder, "w " * 100)) == "mit"
+    assert labels(MIT.replace(holder, "w " * 101)) == labels(MIT.replace(holder, "w " * 60_000)) == ""

@@ -44,7 +44,7 @@ _MIT = (
     "is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
     "[[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is "
     "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
-    "merchantability fitness for a particular purpose and noninfringement in no event shall <<*>> be liable for any claim "
+    "merchantability fitness for a particular purpose and noninfringement in no event shall <<100>> be liable for any claim "
     "damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with "
     "the software or the use or other dealings in the software")
 _BSD_CONDITIONS = (
@@ -54,24 +54,56 @@ _BSD_CONDITIONS = (
     "notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
     "distribution")
 _BSD_NAMES = (
-    "[[3]] [[c]] neither the name of <<*>> nor the names of [[its]] contributors may be used to endorse or promote products "
+    "[[3]] [[c]] neither the name of <<100>> nor the names of [[its]] contributors may be used to endorse or promote products "
     "derived from this software without [[specific]] prior written permission")
 _BSD_DISCLAIMER = (
-    "this software is provided by <<*>> as is and any express or implied warranties including but not limited to the implied "
-    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<*>> be liable for "
+    "this software is provided by <<100>> as is and any express or implied warranties including but not limited to the implied "
+    "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<100>> be liable for "
     "any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
     "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of "
     "liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the "
     "use of this software even if advised of the possibility of such damage")
 
-#: Fixed values: (label, wording) of whole licenses.  Headings and copyright lines stand
-#: before the wording and need no region.
-TEXTS: tuple[tuple[str, str], ...] = (
+_ISC = (
+    "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted "
+    "provided that the above copyright notice and this permission notice appear in all copies the software is provided as is and "
+    "<<100>> disclaims all warranties with regard to this software including all implied warranties of merchantability and "
+    "fitness in no event shall <<100>> be liable for any special direct indirect or consequential damages or any damages whatsoever "
+    "resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out "
+    "of or in connection with the use or performance of this software")
+_ZLIB = (
+    "this software is provided as is without any express or implied warranty in no event will <<100>> be held liable for any "
+    "damages arising from the use of this software permission is granted to anyone to use this software for any purpose including "
+    "commercial applications and to alter it and redistribute it freely subject to the following restrictions [[1]] the origin of "
+    "this software must not be misrepresented you must not claim that you wrote the original software if you use this software in "
+    "a product an acknowledgment in the product documentation would be appreciated but is not required [[2]] altered source "
+    "versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] this notice may "
+    "not be removed or altered from any source distribution")
+
+#: Spellings that count as the same wording.
+EQUIVALENTS: tuple[tuple[str, str], ...] = (
+    ("noninfringement", "non infringement"), ("sublicense", "sub license"), ("acknowledgment", "acknowledgement"),
+)
+
+
+def _spellings(label: str, wording: str) -> list[tuple[str, str]]:
+    """The wording in each of its equivalent spellings."""
+    found = [wording]
+    for one, other in EQUIVALENTS:
+        found += [w.replace(one, other) for w in found if one in w.split()]
+    return [(label, w) for w in found]
+
+
+#: (label, wording) of whole licenses.  Headings and copyright lines stand before the wording
+#: and need no region; names of holders may have up to a hundred words.
+TEXTS: tuple[tuple[str, str], ...] = tuple(x for label, wording in (
     ("mit", _MIT),
+    ("isc", _ISC),
+    ("zlib", _ZLIB),
     ("bsd", f"{_BSD_CONDITIONS} {_BSD_DISCLAIMER}"),
     ("bsd", f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
     ("bsd-3", f"{_BSD_CONDITIONS} {_BSD_NAMES} {_BSD_DISCLAIMER}"),
-)
+) for x in _spellings(label, wording))
 
 #: Fixed values: (label, wording) of notice lines, which name a license without stating it.
 NOTICES: tuple[tuple[str, str], ...] = (
@@ -90,7 +122,7 @@ NOTICES: tuple[tuple[str, str], ...] = (
     ("cc-by-nc", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by nc [[4 0]] [[license]]"),
     ("cc-by", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by 4 0 [[license]]"),
     ("cc-by-sa", "[[this <<3>> is]] licensed under [[a]] [[the]] cc by sa [[4 0]] [[license]]"),
-    ("cc0", "to the extent possible under law <<*>> has waived all copyright and related or neighboring rights to"),
+    ("cc0", "to the extent possible under law <<100>> has waived all copyright and related or neighboring rights to"),
 )
 
 TEMPLATES = TEXTS + NOTICES
