@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline: quality bands, decontamination, near
 and substring de-duplication, source mixing, URL reputation, license and
-language labels, personal data, archive fixity.
+language labels, personal data, archive fixity, byte-level BPE, dataset manifests,
+hard negatives.
 
 One module per operator; ``queries`` registers the ``opN_*`` queries and
 ``oracle`` the SQL of those that SQL can express.
