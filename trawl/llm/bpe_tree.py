@@ -48,7 +48,7 @@ LEAF_BYTES = 64
 #: Pieces or tokens at a leaf of the tree over a whole text.
 LEAF_ITEMS = 4096
 #: Entries of a worker's table of pieces seen and of fitting pairs; a full table starts anew.
-MEMO = 1 << 18
+MEMO = 1 << 19
 
 RESULT = "n_tokens long, ids binary, decoded binary"
 
@@ -74,6 +74,21 @@ class _Pieces(dict):
         return ids
 
 
+class _Pairs(dict):
+    """Rank of the token that two tokens merge to, by ``first << 32 | second``."""
+
+    def __init__(self, codec: TreeCodec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, pair: int) -> int:
+        if len(self) >= MEMO:
+            self.clear()
+        codec = self.codec
+        self[pair] = rank = codec.ranks.get(codec.vocabulary[pair >> 32] + codec.vocabulary[pair & 0xFFFFFFFF], codec._none)
+        return rank
+
+
 class TreeCodec:
     """Encoder and decoder of one vocabulary ``ranks``; ``pattern`` cuts texts into pieces."""
 
@@ -81,25 +96,27 @@ class TreeCodec:
         self.ranks, self.leaf_bytes = ranks, leaf_bytes
         self.vocabulary = {rank: token for token, rank in ranks.items()}
         self.pieces = regex.compile(pattern).findall
-        self._known = _Pieces(self)
+        self._known, self._pairs = _Pieces(self), _Pairs(self)
+        self._none = 1 << 62  # no token
+        self._bytes = [ranks.get(bytes([b]), -1) for b in range(256)]
         self._fits: dict[tuple[int, int], bool] = {}
 
     def merge(self, raw: bytes) -> list[int]:
         """The encoding of ``raw`` by plain merges: smallest rank first, then leftmost."""
         if len(raw) > LEAF_BYTES:
             return self._merge_long(raw)
-        rank, none = self.ranks.get, len(self.ranks)
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        ranks = [rank(raw[i:i + 2], none) for i in range(len(raw) - 1)]
+        pairs, none = self._pairs, self._none
+        ids = [self._bytes[b] for b in raw]
+        ranks = [pairs[a << 32 | b] for a, b in zip(ids, ids[1:])]
         while ranks and (best := min(ranks)) < none:
             i = ranks.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            ids[i] = best  # a token's id is its rank
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank(parts[i] + parts[i + 1], none)
+                ranks[i] = pairs[best << 32 | ids[i + 1]]
             if i:
-                ranks[i - 1] = rank(parts[i - 1] + parts[i], none)
-        return [self.ranks[p] for p in parts]
+                ranks[i - 1] = pairs[ids[i - 1] << 32 | best]
+        return ids
 
     def _merge_long(self, raw: bytes) -> list[int]:
         """The same by a queue of merges, for windows of any length."""
