@@ -126,6 +126,15 @@ def audit(first: DataFrame, second: DataFrame, range_bytes: int = RANGE_BYTES, f
     return both.select("file", "offset", status.alias("status"), "first_records", "second_records")
 
 
+def _copies(rows: DataFrame, keys: list[str], offset: str) -> DataFrame:
+    """``rows`` with ``copy``, which row of its ``keys`` it is by ``offset``.  Few keys repeat; only
+    their rows are numbered, over many tasks however often one does."""
+    rows = stored(rows, "merkle-rows")
+    again = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "merkle-again")
+    many = ordered_position(rows.join(again, keys, "left_semi"), keys, [offset], out="copy")
+    return rows.join(again, keys, "left_anti").withColumn("copy", F.lit(1).cast("long")).unionByName(many)
+
+
 def damage(first: DataFrame, second: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> DataFrame:
     """``(file, status, offset, last_offset, shift, n_records, record_id, ids_sum)``.
 
@@ -138,13 +147,13 @@ def damage(first: DataFrame, second: DataFrame, range_bytes: int = RANGE_BYTES,
     sides = []
     for r, offset in zip(_held(first, second, range_bytes, fanout), ("offset", "other"), strict=True):
         named = r.select("file", key.alias("key"), "digest", F.col("offset").alias(offset))
-        sides.append(ordered_position(named, ["file", "key", "digest"], [offset], out="copy"))
+        sides.append(_copies(named, ["file", "key", "digest"], offset))
     both = stored(sides[0].join(sides[1], ["file", "key", "digest", "copy"], "full"), "merkle-matches")
     id_hash = F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("long")
     moved = (both.where("offset <> other").groupBy("file", (F.col("other") - F.col("offset")).alias("shift")).agg(
         F.min("offset").alias("offset"), F.max("offset").alias("last_offset"), F.count(F.lit(1)).alias("n_records"),
         F.sum(id_hash).alias("ids_sum")).withColumn("status", F.lit("moved")).withColumn("record_id", F.lit("")))
-    lone = [ordered_position(both.where(F.col(there).isNull()).select("file", "key", offset), ["file", "key"], [offset], out="copy")
+    lone = [_copies(both.where(F.col(there).isNull()).select("file", "key", offset), ["file", "key"], offset)
             for there, offset in (("other", "offset"), ("offset", "other"))]
     single = lone[0].join(lone[1], ["file", "key", "copy"], "full")
     status = F.when(F.col("other").isNull(), "missing").when(F.col("offset").isNull(), "extra").otherwise("changed")
