@@ -10,7 +10,7 @@ import __spark_entry__ as E
 
 from .conftest import SF_SMALL
 
-TABLES = "events documents pages benchmark labels".split()
+TABLES = "events documents embeddings pages benchmark labels".split()
 
 
 def _rows(pdf):
