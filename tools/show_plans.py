@@ -35,6 +35,8 @@ def main() -> None:
     index = ix.build_index(corpus, unique_ids=True)
     index.write(path)
     opened = ix.Index.read(spark, path)
+    index.write(path + "-blocks", layout="blocks")
+    blocked = ix.Index.read(spark, path + "-blocks")
     q = inp.bench_queries(spark, sf)
     pages = inp.pages(spark, sf)
     seeds = pages.select(F.concat(F.regexp_extract("url", r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1),
@@ -43,6 +45,8 @@ def main() -> None:
         "Postings as written (before the Parquet writer)":
             index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id"),
         "BM25 top-10 for a query batch over the written index": rk.search(q, opened, "bm25", 10),
+        "BM25 top-10 with the upper-bound cut over posting blocks (last step)": rk.search(q, blocked, "bm25", 10, prune=True),
+        "All-terms match over posting blocks (last step)": rk.search(q, blocked, "bm25", 10, match="all"),
         "One crawl round (frontier, robots rules, fetch plan)":
             cp.next_fetch_list(pages, seeds, pages, _robots_rules(spark, pages)),
         "Request gaps per domain (skew-safe predecessor)":
