@@ -38,8 +38,9 @@ from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_
 # Term-hash buckets of the postings directory (``tb=<n>`` sub-folders), one per so
 # many bytes of estimated corpus size.
 BYTES_PER_BUCKET = 1 << 30
-# Estimated corpus bytes for each range partition of the postings.
-BYTES_PER_TASK = 128 << 20
+# Estimated input bytes for each task that postings are dealt out to: some two million
+# postings, which a task sorts and gathers in memory.
+BYTES_PER_TASK = 16 << 20
 
 META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int, block_docs long"
 
@@ -61,6 +62,15 @@ def plan_bytes(df: DataFrame) -> int | None:
     return size if size < 1 << 62 else None
 
 
+def postings_tasks(df: DataFrame) -> int:
+    """How many tasks to deal postings out to that ``df`` makes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = plan_bytes(df)
+    if size is None:
+        return max(cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return int(max(size // BYTES_PER_TASK, cores))
+
+
 def term_bucket(term, buckets: int):
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
@@ -73,22 +83,24 @@ def write_index(index: Index, path: str, mode: str = "overwrite", layout: str =
     size = plan_bytes(source)
     term_buckets = term_buckets or max(1, (size or 0) // BYTES_PER_BUCKET)
     with_tb = lambda df: df.withColumn("tb", term_bucket(F.col("term"), term_buckets))
-    tasks = [] if size is None else [int(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism))]
+    tasks = postings_tasks(source)
     real = F.col("term") != LENGTH_TERM
-    if layout == "blocks":
+    if layout == "blocks" or layout == "range" and index.combined is not None:
+        # Range bounds are drawn from a first look at the rows, so these are stored before.
         index = index.tokenized_once()
         source = index.combined
+    if layout == "blocks":
         lexicon = spark.read.schema("term string, df long").parquet(_written_lexicon(index.postings, base, mode))
         lists = with_blocks(source.select("term", "doc_id", "tf", "dl"), _with_lengths(lexicon, source), index.block_docs)
         # All postings of a block meet in a task of this shuffle, so they are gathered without another.
         keys = ["tb", "term", "block"]
-        post = posting_blocks(with_tb(lists).repartitionByRange(*tasks, *keys), "tb")
+        post = posting_blocks(with_tb(lists).repartitionByRange(tasks, *keys), "tb")
     elif layout in ("range", "sorted"):
         # (tb, term, doc_id): each task covers a contiguous run of buckets and
         # terms, so a bucket folder holds few files and a hot term is split.
         keys = ["tb", "term", "doc_id"]
         post = with_tb(source.select("term", "doc_id", "tf", "dl"))
-        post = post.repartitionByRange(*tasks, *keys) if layout == "range" else post
+        post = post.repartitionByRange(tasks, *keys) if layout == "range" else post
     else:
         raise ValueError("layout must be 'blocks', 'range' or 'sorted'")
     # Static overwrite: a smaller index over a larger one must not leave old bucket folders behind.
