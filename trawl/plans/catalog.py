@@ -158,11 +158,12 @@ def custom_ranker(spark, sf_dir):
 def tfidf_zero_idf(spark, sf_dir):
     """Over the documents that contain the most common term, that term has
     idf 0, so a query of that term alone returns nothing."""
+    from trawl.operators.distribute import broadcast_if_small
     corpus = inp.corpus(spark, sf_dir)
     full = _ready(spark, sf_dir)
     top = full.lexicon.orderBy(F.col("df").desc(), F.col("term")).limit(1)
-    docs = full.postings.join(top.select("term"), "term", "left_semi").select("doc_id")
-    sub = corpus.join(docs, "doc_id", "left_semi")
+    docs = full.postings.join(F.broadcast(top.select("term")), "term", "left_semi").select("doc_id")  # one term
+    sub = corpus.join(broadcast_if_small(rk._written(docs, "docs")), "doc_id", "left_semi")
     queries = inp.bench_queries(spark, sf_dir).unionByName(
         top.select(F.lit(-1).cast("long").alias("qid"), F.col("term").alias("query")))
     return _rounded(rk.search(queries, ix.build_index(sub, unique_ids=True).tokenized_once(), "tfidf", inp.TOP_K))
@@ -375,12 +376,15 @@ def merge_partials(spark, sf_dir):
     """Two partials over overlapping id ranges; the later one (doubled text, more
     stop words) wins per (term, doc), and its length holds for the whole document."""
     from trawl.operators.index import DEFAULT_STOPWORDS
+    from trawl.session import scratch_path
     c = inp.corpus(spark, sf_dir)
     top = c.agg(F.max("doc_id")).first()[0] or 0
     p0 = ix.postings_with_lengths(ix.doc_terms(c.filter(F.col("doc_id") <= top * 2 / 3)))
     doubled = c.filter(F.col("doc_id") >= top / 3).withColumn("text", F.concat_ws(" ", "text", "text"))
     p1 = ix.postings_with_lengths(ix.doc_terms(doubled, stopwords=tuple(DEFAULT_STOPWORDS) + MERGE_EXTRA_STOP))
-    parts = p0.withColumn("part_no", F.lit(0)).unionByName(p1.withColumn("part_no", F.lit(1)))
+    path = scratch_path(spark, "partials")
+    p0.withColumn("part_no", F.lit(0)).unionByName(p1.withColumn("part_no", F.lit(1))).write.parquet(path)
+    parts = spark.read.parquet(path)
     return ix.index_from_combined(ix.merge_partials(parts)).postings.select("term", "doc_id", "tf", "dl")
 
 
