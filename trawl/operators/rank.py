@@ -2,9 +2,12 @@
 
   queries -> (qid, term, qtf)                     narrow tokenize + small agg
           -> join lexicon (df) + stats (n, avgdl)  query side is small: broadcast
-          -> join postings on term                 postings streamed, never shuffled
-                                                   while the query side is broadcast
-          -> groupBy(qid, doc_id) sum(qtf * s)      partial agg; keys spread hot terms
+          -> postings of these terms dealt out      one shuffle of postings, whose size
+             by document                            does not grow with the queries
+          -> join the query side on term            broadcast
+          -> groupBy(qid, doc_id) sum(qtf * s)      no shuffle: a document is in one task
+          -> score >= floor of the query            the k-th score of some documents, so
+                                                   few rows are rounded and sorted
           -> score > 0, top-k per qid              row_number <= k becomes a
                                                    WindowGroupLimit that also runs
                                                    before the shuffle
@@ -22,7 +25,7 @@ from trawl.functions.scoring import Ranker, resolve_ranker
 from trawl.functions.stem import stem_terms
 from trawl.functions.text import drop_stopwords, explode_nonempty, index_text, token_array
 from trawl.operators.distribute import broadcast_if_small
-from trawl.operators.index import DEFAULT_STOPWORDS, Index, block_count, block_of
+from trawl.operators.index import DEFAULT_STOPWORDS, Index, block_count, block_of, unblocked
 
 # Largest number of distinct query terms pushed into the index scans as a
 # literal IN list (Parquet row-group skipping on a term-sorted index).
@@ -94,10 +97,10 @@ def term_in(terms: list[str], col: str = "term") -> Column:
 
 
 def _known_terms(queries: DataFrame, index: Index, qid_col: str, query_col: str,
-                 push_terms: bool) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
-    """A function that limits a table of the index to the query vocabulary, and the query
-    side (qid, term, qtf, df, n, avgdl), marked for broadcast if it is small.  It has at most as many rows as there
-    are query terms (one lexicon row per term), so the size check runs on those alone and
+                 push_terms: bool) -> tuple[Callable[[DataFrame], DataFrame], DataFrame, bool]:
+    """A function that limits a table of the index to the query vocabulary, the query
+    side (qid, term, qtf, df, n, avgdl), marked for broadcast if it is small, and whether it is.  It has at most as
+    many rows as there are query terms (one lexicon row per term), so the size check runs on those alone and
     never evaluates the index."""
     qt = query_terms(queries, qid_col, query_col, index.stopwords, index.stem)
     limit, n_rows = _restrict(index, qt, push_terms)
@@ -105,7 +108,7 @@ def _known_terms(queries: DataFrame, index: Index, qid_col: str, query_col: str,
         n_rows = qt.limit(MAX_QUERY_TERM_ROWS + 1).count()
     small = n_rows <= MAX_QUERY_TERM_ROWS
     known = limit(index.lexicon).join(_maybe_broadcast(qt, small), "term").crossJoin(F.broadcast(index.stats))  # one row of statistics
-    return limit, _maybe_broadcast(known, small)
+    return limit, _maybe_broadcast(known, small), small
 
 
 def _term_score(ranker: str | Ranker) -> Column:
@@ -125,10 +128,47 @@ def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker =
                        qid_col: str = "qid", query_col: str = "query", push_terms: bool = True) -> DataFrame:
     """(qid, term, qtf, doc_id, s, contrib): single-term score ``s`` of every
     posting of every known query term, ``contrib = qtf * s``."""
-    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    limit, known, _ = _known_terms(queries, index, qid_col, query_col, push_terms)
     return _contributions(limit(index.postings), known, ranker)
 
 
+def _by_document(post: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Postings dealt out by document, to tasks sized by the input.  Sums by (query, document) then need
+    no shuffle, and a task's sums are those of its own documents, however many queries there are."""
+    from trawl.sources.index_store import postings_tasks
+    return post.select("term", "doc_id", "tf", "dl").repartition(tasks or postings_tasks(post), "doc_id")
+
+
+# One document in so many is scored beforehand, for the floors of the queries.
+FIRST_DOCS = 16
+# Sums of the same terms in another order differ by less.
+SLACK = 1e-9
+
+
+def _first_docs(post: DataFrame) -> tuple[DataFrame, int]:
+    """The postings of these documents and the tasks to deal them out to."""
+    from trawl.sources.index_store import postings_tasks
+    tasks = max(postings_tasks(post) // FIRST_DOCS, post.sparkSession.sparkContext.defaultParallelism)
+    return post.filter(F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_DOCS)) == 0), tasks
+
+
+def _floors(scored: DataFrame, k: int, *keys: str) -> DataFrame:
+    """(keys, _floor): the k-th score of ``scored``, documents with their whole scores.  The k-th
+    score of all documents is not below that of some of them.  Written; a row per key at most."""
+    by_score = Window.partitionBy(*keys).orderBy(F.col("score").desc())
+    kth = scored.withColumn("_r", F.row_number().over(by_score)).filter(F.col("_r") == k)
+    return F.broadcast(_written(kth.select(*keys, F.col("score").alias("_floor")), "floors"))
+
+
+def _reaching(scored: DataFrame, floors: DataFrame, *keys: str) -> DataFrame:
+    """``scored`` without what is below its floor; all of a key that has none.  Scores that
+    round as the floor does stay, so ties are not touched."""
+    floor = F.col("_floor")
+    least = floor - 2 * SLACK - F.abs(floor) * SLACK
+    return scored.join(floors, list(keys), "left").filter(
+        floor.isNull() | (F.col("score") >= floor) | (F.col("score") >= least)).drop("_floor")
+
+
 def score_documents(contrib: DataFrame) -> DataFrame:
     """(qid, doc_id, score, matched): summed score and number of distinct query
     terms found in the document; zero (and null) scores dropped."""
@@ -190,7 +230,7 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
     blocks that cannot reach a query's top-k (with ``match="any"`` and ``mode="exact"``)."""
     if match not in ("any", "all"):
         raise ValueError("match must be 'any' or 'all'")
-    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
+    limit, known, small = _known_terms(queries, index, qid_col, query_col, push_terms)
     small_batch = few_queries(queries, qid_col) if mode == "floor" else None
     if match == "all":
         need = query_terms(queries, qid_col, query_col, index.stopwords, index.stem).groupBy("qid").agg(
@@ -198,6 +238,12 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
         scored = _all_term_scores(limit, known, need, index, ranker)
     elif prune and mode == "exact":
         scored = _cut_scores(limit, known, index, ranker, k)
+    elif small:
+        post, known = limit(index.postings), F.broadcast(_written(known, "known-terms"))
+        of = lambda some, tasks=None: score_documents(_contributions(_by_document(some, tasks), known, ranker))
+        scored = of(post)
+        if mode == "exact" and k > 0:
+            scored = _reaching(scored, _floors(of(*_first_docs(post)), k, "qid"), "qid")
     else:
         scored = score_documents(_contributions(limit(index.postings), known, ranker))
     return top_k(scored.select("qid", "doc_id", "score"), k, mode, small_batch)
@@ -211,16 +257,26 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
     per-ranker rows are unpivoted before the per-(ranker, query) top-k."""
     names = list(rankers)
     score_fns = {n: resolve_ranker(r) for n, r in rankers.items()}
-    limit, known = _known_terms(queries, index, qid_col, query_col, push_terms)
-    joined = limit(index.postings).join(known, "term")
+    limit, known, small = _known_terms(queries, index, qid_col, query_col, push_terms)
+    post = limit(index.postings)
     args = (F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
-    contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
-                                                for i, n in enumerate(names)])
-    summed = contrib.groupBy("qid", "doc_id").agg(*[F.sum(f"_c{i}").alias(f"_s{i}") for i in range(len(names))])
-    stacked = summed.select("qid", "doc_id", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("ranker"), F.col(f"_s{i}").alias("score")) for i, n in enumerate(names)])).alias("_x"))
-    scored = stacked.select(F.col("_x.ranker").alias("ranker"), "qid", "doc_id", F.col("_x.score").alias("score"))
-    scored = scored.filter(F.col("score") > 0).withColumn("_rs", _rs())
+    if small:
+        known = F.broadcast(_written(known, "known-terms"))
+
+    def scores(some: DataFrame, tasks: int | None = None) -> DataFrame:
+        joined = (_by_document(some, tasks) if small else some).join(known, "term")
+        contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
+                                                    for i, n in enumerate(names)])
+        summed = contrib.groupBy("qid", "doc_id").agg(*[F.sum(f"_c{i}").alias(f"_s{i}") for i in range(len(names))])
+        stacked = summed.select("qid", "doc_id", F.explode(F.array(*[
+            F.struct(F.lit(n).alias("ranker"), F.col(f"_s{i}").alias("score")) for i, n in enumerate(names)])).alias("_x"))
+        found = stacked.select(F.col("_x.ranker").alias("ranker"), "qid", "doc_id", F.col("_x.score").alias("score"))
+        return found.filter(F.col("score") > 0)
+
+    scored = scores(post)
+    if small and k > 0:
+        scored = _reaching(scored, _floors(scores(*_first_docs(post)), k, "ranker", "qid"), "ranker", "qid")
+    scored = scored.withColumn("_rs", _rs())
     w = Window.partitionBy("ranker", "qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select("ranker", "qid", F.col("rank").cast("long").alias("rank"), "doc_id", "score")
@@ -234,7 +290,7 @@ def term_upper_bounds(queries: DataFrame, index: Index, ranker: str | Ranker = "
     if index.blocks_table is None or not isinstance(ranker, str):
         contrib = term_contributions(queries, index, ranker, qid_col, query_col)
         return contrib.groupBy("qid", "term", "qtf").agg(F.max("s").alias("ub"))
-    limit, known = _known_terms(queries, index, qid_col, query_col, True)
+    limit, known, _ = _known_terms(queries, index, qid_col, query_col, True)
     terms = _written(known, "known-terms")
     lists = broadcast_if_small(terms.select("term", "df", "n", "avgdl").distinct(), MAX_QUERY_TERM_ROWS)
     blocks = limit(index.blocks())
@@ -302,10 +358,16 @@ def _looked_up(blocks: DataFrame, terms: DataFrame, docs: DataFrame, ranker: str
     return _scored(hits.select("qid", "term", "qtf", "df", "n", "avgdl", "_p.doc_id", "_p.tf", "_p.dl"), ranker)
 
 
+def _dealt_lists(blocks: DataFrame, terms: DataFrame, ranker: str | Ranker, tasks: int) -> DataFrame:
+    """``_whole_lists`` with every document's rows in one of ``tasks`` tasks: a list that many
+    queries share is unpacked and shuffled once."""
+    terms = broadcast_if_small(terms, MAX_QUERY_TERM_ROWS)
+    lists = blocks.select("term", "posts").join(terms.select("term").distinct(), "term", "left_semi")
+    return _contributions(_by_document(unblocked(lists), tasks), terms, ranker)
+
+
 # The k-th score is first estimated from the lists that promise this share of a query's score.
 FIRST_SHARE = 0.5
-# Sums of the same terms in another order differ by less.
-SLACK = 1e-9
 
 
 def _cut_scores(limit: Callable[[DataFrame], DataFrame], known: DataFrame, index: Index, ranker: str | Ranker, k: int) -> DataFrame:
@@ -323,7 +385,9 @@ def _cut_scores(limit: Callable[[DataFrame], DataFrame], known: DataFrame, index
        unpacked, from the blocks they fall into.
 
     Result-neutral: a dropped document's score is below the k-th.  No list is unpacked twice."""
+    from trawl.sources.index_store import postings_tasks
     blocks, known = _lists(limit, known, index)
+    tasks = postings_tasks(blocks)
     promised = limit(index.list_bounds()).join(known, "term").withColumn("u", F.col("qtf") * _term_score(ranker))
     descending = Window.partitionBy("qid").orderBy(F.col("u").desc(), F.col("term").desc())
     before = F.coalesce(F.sum("u").over(descending.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
@@ -342,15 +406,21 @@ def _cut_scores(limit: Callable[[DataFrame], DataFrame], known: DataFrame, index
         return (parts.withColumn("r", F.row_number().over(by_part)).filter(F.col("r") == k)
                 .select("qid", (F.col("part") - SLACK).alias("floor")))
 
-    first = _written(summed(added(_whole_lists(blocks, terms.filter("first"), ranker))), "first-sums")
+    first = _written(summed(added(_dealt_lists(blocks, terms.filter("first"), ranker, tasks))), "first-sums")
     split = _written(terms.join(floor_of(first), "qid", "left").withColumn(
         "common", ~F.col("first") & (F.col("upto") < F.coalesce("floor", F.lit(0.0)))), "term-split")
-    other = added(_whole_lists(blocks, split.filter("not first and not common"), ranker))
-    parts = _written(summed(first.unionByName(other)), "rare-sums")
-    rest = (split.groupBy("qid").agg(F.sum(F.when(F.col("common"), F.col("u")).otherwise(0.0)).alias("rest"))
-            .join(floor_of(parts), "qid", "left"))
-    left = _written(parts.join(_maybe_broadcast(rest, few_queries(rest)), "qid")
-                    .filter(F.col("part") + F.col("rest") >= F.coalesce("floor", F.lit(0.0))).select("qid", "doc_id", "part"), "candidates")
+    other = added(_dealt_lists(blocks, split.filter("not first and not common"), ranker, tasks))
+    rest = split.groupBy("qid").agg(F.sum(F.when(F.col("common"), F.col("u")).otherwise(0.0)).alias("rest"), F.max("floor").alias("floor"))
+    few = few_queries(rest)
+
+    def reaching(parts: DataFrame, rest: DataFrame) -> DataFrame:
+        return (parts.join(_maybe_broadcast(rest, few), "qid").filter(F.col("part") + F.col("rest") >= F.coalesce("floor", F.lit(0.0)))
+                .select("qid", "doc_id", "part"))
+
+    # Both sides are dealt out alike, so their sums need no other shuffle; what is below the first floor is not stored.
+    both = first.repartition(tasks, "doc_id").unionByName(other)
+    parts = _written(reaching(summed(both), rest), "rare-sums")
+    left = _written(reaching(parts, rest.drop("floor").join(floor_of(parts), "qid", "left")), "candidates")
     common = split.filter("common").select("qid", "term", "qtf", "df", "n", "avgdl", "blocks")
     full = summed(left.unionByName(added(_looked_up(blocks, common, left, ranker))))
     return full.select("qid", "doc_id", F.col("part").alias("score")).filter(F.col("score") > 0)
