@@ -38,9 +38,9 @@ from trawl.operators.index import LENGTH_TERM, Index, collection_stats, lexicon_
 # Term-hash buckets of the postings directory (``tb=<n>`` sub-folders), one per so
 # many bytes of estimated corpus size.
 BYTES_PER_BUCKET = 1 << 30
-# Estimated input bytes for each task that postings are dealt out to: some two million
-# postings, which a task sorts and gathers in memory.
-BYTES_PER_TASK = 16 << 20
+# Estimated input bytes for each task that postings are dealt out to: up to a million
+# postings, which a task sorts and gathers in memory (some 180 bytes each).
+BYTES_PER_TASK = 4 << 20
 
 META_SCHEMA = "stem boolean, stopwords array<string>, term_buckets int, block_docs long"
 
