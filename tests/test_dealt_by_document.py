@@ -83,3 +83,19 @@ def test_partials_are_folded_by_document(spark):
 
 def test_a_task_takes_a_bounded_share_of_the_postings(spark):
     assert postings_tasks(spark.range(1 << 25)) >= (8 << 25) // (4 << 20)  # 8 bytes a row
+
+
+@pytest.mark.parametrize("ranker", ["bm25", falling])
+def test_more_queries_are_scored_by_more_tasks(spark, corpus, monkeypatch, ranker):
+    """A task's hash maps hold its documents times the queries: sized by the input alone they grow with the queries."""
+    index, _ = corpus
+    q = spark.createDataFrame([(i, "red car pie road") for i in range(60)] + [(None, "tart"), (None, "red")], "qid long, query string")
+    pairs = rk.score_documents(rk.term_contributions(q, index, "bm25")).count()
+    monkeypatch.setattr(rk, "SUMS_PER_TASK", 500, raising=False)
+    key = lambda r: (r.qid, r["rank"], r.doc_id, round(r.score, 9))
+    want = sorted(map(key, rk.top_k(rk.score_documents(rk.term_contributions(q, index, ranker)), 10).collect()), key=str)
+    both = rk.search_many(q, index, {"a": ranker, "b": "bm25"})
+    for found, rows in ((rk.search(q, index, ranker), None), (both, both.filter("ranker = 'a'"))):
+        tasks = re.findall(r"Exchange hashpartitioning\(doc_id#\d+L, (\d+)\), REPARTITION_BY_NUM", found._jdf.queryExecution().executedPlan().toString())
+        assert tasks and all(int(n) >= pairs // 500 for n in tasks)
+        assert sorted(map(key, (found if rows is None else rows).collect()), key=str) == want

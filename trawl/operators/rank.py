@@ -132,11 +132,23 @@ def term_contributions(queries: DataFrame, index: Index, ranker: str | Ranker =
     return _contributions(limit(index.postings), known, ranker)
 
 
-def _by_document(post: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Postings dealt out by document, to tasks sized by the input.  Sums by (query, document) then need
-    no shuffle, and a task's sums are those of its own documents, however many queries there are."""
+def _by_document(post: DataFrame, tasks: int) -> DataFrame:
+    """Postings dealt out by document, to tasks sized by ``_sum_tasks``.  Sums by (query, document) then
+    need no shuffle, and a task's sums are those of its own documents."""
+    return post.select("term", "doc_id", "tf", "dl").repartition(tasks, "doc_id")
+
+
+# Sums by (query, document) that a task forms on average, at most: two hash maps hold them, some 150 bytes each.
+SUMS_PER_TASK = 1 << 20
+
+
+def _sum_tasks(post: DataFrame, known: DataFrame) -> int:
+    """How many tasks to deal ``post`` out to: sized by the input, and by the sums by (query, document) that the
+    stored query side ``known(qid, df, n, ...)`` can make of it, so that more queries do not fill a task's memory."""
     from trawl.sources.index_store import postings_tasks
-    return post.select("term", "doc_id", "tf", "dl").repartition(tasks or postings_tasks(post), "doc_id")
+    most = known.agg(F.sum("df").alias("met"), F.count_distinct("qid").alias("qids"), F.max("n").alias("n")).first()
+    sums = min(most.met or 0, (most.n or 0) * (most.qids + 1))  # one more for a null id
+    return max(postings_tasks(post), -(-sums // SUMS_PER_TASK))
 
 
 # One document in so many is scored beforehand, for the floors of the queries.
@@ -145,10 +157,9 @@ FIRST_DOCS = 16
 SLACK = 1e-9
 
 
-def _first_docs(post: DataFrame) -> tuple[DataFrame, int]:
-    """The postings of these documents and the tasks to deal them out to."""
-    from trawl.sources.index_store import postings_tasks
-    tasks = max(postings_tasks(post) // FIRST_DOCS, post.sparkSession.sparkContext.defaultParallelism)
+def _first_docs(post: DataFrame, tasks: int = 0) -> tuple[DataFrame, int]:
+    """The postings of these documents and the tasks to deal them out to, of ``tasks`` for all documents."""
+    tasks = max(tasks // FIRST_DOCS, post.sparkSession.sparkContext.defaultParallelism)
     return post.filter(F.pmod(F.xxhash64("doc_id"), F.lit(FIRST_DOCS)) == 0), tasks
 
 
@@ -240,10 +251,11 @@ def search(queries: DataFrame, index: Index, ranker: str | Ranker = "bm25", k: i
         scored = _cut_scores(limit, known, index, ranker, k)
     elif small:
         post, known = limit(index.postings), F.broadcast(_written(known, "known-terms"))
-        of = lambda some, tasks=None: score_documents(_contributions(_by_document(some, tasks), known, ranker))
-        scored = of(post)
+        tasks = _sum_tasks(post, known)
+        of = lambda some, tasks: score_documents(_contributions(_by_document(some, tasks), known, ranker))
+        scored = of(post, tasks)
         if mode == "exact" and k > 0:
-            scored = _reaching(scored, _floors(of(*_first_docs(post)), k, "qid"), "qid")
+            scored = _reaching(scored, _floors(of(*_first_docs(post, tasks)), k, "qid"), "qid")
     else:
         scored = score_documents(_contributions(limit(index.postings), known, ranker))
     return top_k(scored.select("qid", "doc_id", "score"), k, mode, small_batch)
@@ -260,10 +272,12 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
     limit, known, small = _known_terms(queries, index, qid_col, query_col, push_terms)
     post = limit(index.postings)
     args = (F.col("tf"), F.col("df"), F.col("dl"), F.col("n").cast("double"), F.col("avgdl"))
+    tasks = 0
     if small:
         known = F.broadcast(_written(known, "known-terms"))
+        tasks = _sum_tasks(post, known)
 
-    def scores(some: DataFrame, tasks: int | None = None) -> DataFrame:
+    def scores(some: DataFrame, tasks: int) -> DataFrame:
         joined = (_by_document(some, tasks) if small else some).join(known, "term")
         contrib = joined.select("qid", "doc_id", *[(F.col("qtf") * score_fns[n](*args)).alias(f"_c{i}")
                                                     for i, n in enumerate(names)])
@@ -273,9 +287,9 @@ def search_many(queries: DataFrame, index: Index, rankers: dict[str, str | Ranke
         found = stacked.select(F.col("_x.ranker").alias("ranker"), "qid", "doc_id", F.col("_x.score").alias("score"))
         return found.filter(F.col("score") > 0)
 
-    scored = scores(post)
+    scored = scores(post, tasks)
     if small and k > 0:
-        scored = _reaching(scored, _floors(scores(*_first_docs(post)), k, "ranker", "qid"), "ranker", "qid")
+        scored = _reaching(scored, _floors(scores(*_first_docs(post, tasks)), k, "ranker", "qid"), "ranker", "qid")
     scored = scored.withColumn("_rs", _rs())
     w = Window.partitionBy("ranker", "qid").orderBy(F.col("_rs").desc(), F.col("doc_id").desc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
