@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trawl.functions import stem as st
 from trawl.operators.index import build_index
+from trawl.operators.rank import query_terms, search
 from trawl.plans.oracle import CTE_STEM
 
 LISTS = [["running", "skies", None, "running"], None, [], ["running", "", "enjoying"]]
@@ -33,6 +34,12 @@ def test_null_empty_sliced_and_large_lists():
             assert out.type == given.type and out.to_pylist() == STEMS[at:]
 
 
+def test_distinct_words_go_through_the_rules_in_slices(monkeypatch):
+    monkeypatch.setattr(st, "SLICE", 3)
+    words = [f"{chr(97 + i)}runnings" for i in range(20)]
+    assert st.stem_lists(pa.array([words, words[::-1]])).to_pylist() == [[st.stem(w) for w in words], [st.stem(w) for w in words[::-1]]]
+
+
 def test_column_keeps_nulls(spark):
     df = spark.createDataFrame([(i, x) for i, x in enumerate(LISTS)], "i int, t array<string>")
     with warnings.catch_warnings():
@@ -50,6 +57,17 @@ def test_stemmed_index_is_one_arrow_pass_without_a_shuffle(spark):
         ("run", 1): (2, 3), ("ran", 1): (1, 3), ("sky", None): (2, 2)}
 
 
+def test_stemmed_search_stems_documents_and_queries_in_one_arrow_pass_each(spark):
+    docs = spark.createDataFrame([(1, "runs running skies"), (2, "sky"), (3, "car"), (4, None), (None, "ran")], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "runner run"), (2, "sky sky"), (3, ""), (None, "cars")], "qid long, query string")
+    terms = query_terms(queries, stem=True)
+    plan = terms._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("ArrowEvalPython") == 1
+    assert {(r.qid, r.term): r.qtf for r in terms.collect()} == {(1, "runner"): 1, (1, "run"): 1, (2, "sky"): 2, (None, "car"): 1}
+    found = search(queries, build_index(docs, stem=True, unique_ids=True).tokenized_once())
+    assert {(r.qid, r.rank, r.doc_id) for r in found.collect()} == {(1, 1, 1), (2, 1, 2), (2, 2, 1), (None, 1, 3)}
+
+
 def test_same_stems_as_the_sql_rules():
     rnd = random.Random(4)
     ends = [*st.STEP2, *st.STEP3, *st.STEP4, "", "s", "sses", "ied", "ies", "us", "eed", "eedly", "ed", "edly", "ing",
